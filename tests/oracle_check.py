@@ -1,0 +1,79 @@
+"""Run registered queries next to their SQL: python -m tests.oracle_check [sf] [name ...]"""
+
+from __future__ import annotations
+
+import os
+import sys
+import time
+
+import duckdb
+import pandas as pd
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages"
+    " benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    db = duckdb.connect()
+    for name in TABLES:
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return db
+
+
+def normalized(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame[sorted(frame.columns)]
+    for c in frame.columns:
+        kind = frame[c].dtype.kind
+        if kind == "f" and (frame[c].dropna() % 1 == 0).all():
+            frame = frame.assign(**{c: frame[c].astype("Int64")})
+        elif kind in "iu":
+            frame = frame.assign(**{c: frame[c].astype("Int64")})
+        elif kind == "O":
+            frame = frame.assign(**{c: frame[c].where(frame[c].notna(), None)})
+    return frame.sort_values(list(frame.columns), ignore_index=True)
+
+
+def difference(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
+    """None when equal, else what differs."""
+    got, want = normalized(got), normalized(want)
+    if list(got.columns) != list(want.columns):
+        return f"columns {list(got.columns)} != {list(want.columns)}"
+    if len(got) != len(want):
+        return f"{len(got)} rows != {len(want)}"
+    for c in got.columns:
+        same = (got[c] == want[c]) | (got[c].isna() & want[c].isna())
+        if not same.fillna(False).all():
+            at = (~same.fillna(False)).idxmax()
+            return f"{(~same).sum()} of {len(got)} differ in {c}: {got[c][at]!r:.300} != {want[c][at]!r:.300}"
+    return None
+
+
+def main() -> None:
+    from gleanery.catalog.oracle import ORACLE
+    from gleanery.catalog.queries import QUERIES
+    from tests.conftest import local_session
+
+    sf_dir = f"/root/testdata/sf{sys.argv[1] if len(sys.argv) > 1 else '0.01'}"
+    names = sys.argv[2:] or list(QUERIES)
+    spark = local_session()
+    db = connect(sf_dir)
+    for name in names:
+        t = time.time()
+        try:
+            got = QUERIES[name](spark, sf_dir).toPandas()
+            took = time.time() - t
+            t = time.time()
+            if name not in ORACLE:
+                print(f"{name:32} {took:6.2f}s rows={len(got)} (no SQL)", flush=True)
+                continue
+            problem = difference(got, db.execute(ORACLE[name]).df())
+            print(f"{name:32} {took:6.2f}s sql {time.time() - t:6.2f}s rows={len(got)} {problem or 'ok'}", flush=True)
+        except Exception as error:
+            print(f"{name:32} FAILED {str(error)[:1500]}", flush=True)
+
+
+if __name__ == "__main__":
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    main()
