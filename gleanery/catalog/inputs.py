@@ -17,7 +17,10 @@ TEMPLATE = "Context:\n{}\n\nQuestion:\n{}\n"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table, spread over all cores where its file has too few splits to use them."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def page_events(spark, sf_dir) -> DataFrame:

@@ -24,10 +24,10 @@ def chunk_words(
     generator streams the starts, so no intermediate array of chunks is held.
     """
     step = size - overlap
-    split = df.withColumn("_words", words(F.col(text_col))).where(F.size("_words") > 0)
-    placed = split.withColumn(
-        "_start", F.explode(F.sequence(F.lit(0), F.size("_words") - 1, F.lit(step)))
-    )
+    split = df.withColumn("_words", words(F.col(text_col)))
+    # no filter on the word count: it would be pushed below and split the text again
+    starts = F.when(F.size("_words") > 0, F.sequence(F.lit(0), F.size("_words") - 1, F.lit(step)))
+    placed = split.withColumn("_start", F.explode(starts))
     rest = [c for c in df.columns if c != text_col]
     return placed.select(
         *rest,

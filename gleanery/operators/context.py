@@ -2,30 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
-def _joined(field: str, separator: str):
-    ranked = F.array_sort(F.collect_list(F.struct("rank", field)))
-    return F.array_join(F.transform(ranked, lambda hit: hit[field]), separator)
+def gathered(hits: DataFrame) -> DataFrame:
+    """Per question its ``hits`` as an array in rank order."""
+    ranked = F.array_sort(F.collect_list(F.struct("rank", "chunk", "url_key")))
+    return hits.groupBy("qid").agg(ranked.alias("hits"))
+
+
+def joined(field: str, separator: str) -> Column:
+    """One field of the gathered hits as text; empty for a question without any."""
+    return F.coalesce(F.array_join(F.transform("hits", lambda hit: hit[field]), separator), F.lit(""))
+
+
+def filled(template: str, first: Column, second: Column) -> Column:
+    """``template`` with its two ``{}`` slots filled."""
+    before, between, after = template.split("{}")
+    return F.concat(F.lit(before), first, F.lit(between), second, F.lit(after))
 
 
 def assemble_context(hits: DataFrame, queries: DataFrame, template: str) -> DataFrame:
     """One ``model_input`` per question: its chunks in rank order put, with the
-    question, into the two ``{}`` slots of ``template``. No hits, empty context."""
-    before, between, after = template.split("{}")
-    contexts = hits.groupBy("qid").agg(_joined("chunk", "\n\n").alias("context"))
-    context = F.coalesce("context", F.lit(""))
-    filled = F.concat(F.lit(before), context, F.lit(between), F.col("prompt"), F.lit(after))
-    return queries.join(contexts, "qid", "left").select(
-        "qid", "prompt", context.alias("context"), filled.alias("model_input")
+    question, into the slots of ``template``. No hits, empty context."""
+    context = joined("chunk", "\n\n")
+    return queries.join(gathered(hits), "qid", "left").select(
+        "qid", "prompt", context.alias("context"), filled(template, context, F.col("prompt")).alias("model_input")
     )
 
 
 def evidence(hits: DataFrame) -> DataFrame:
     """Per question its chunks and page keys, one line per hit, duplicates kept."""
-    return hits.groupBy("qid").agg(
-        _joined("chunk", "\n").alias("chunks"), _joined("url_key", "\n").alias("urls")
+    return gathered(hits).select(
+        "qid", joined("chunk", "\n").alias("chunks"), joined("url_key", "\n").alias("urls")
     )
 
 
@@ -35,7 +44,5 @@ ANSWER_FORMAT = "🧠 Answer:\n{}\n\n⏳ URL:\n{}\n\n"
 
 def answer_block(answers: DataFrame, evidence: DataFrame) -> DataFrame:
     """Displayed answer per question (``qid, answer``) with its source list."""
-    before, between, after = ANSWER_FORMAT.split("{}")
-    urls = F.coalesce("urls", F.lit(""))
-    block = F.concat(F.lit(before), F.col("answer"), F.lit(between), urls, F.lit(after))
+    block = filled(ANSWER_FORMAT, F.col("answer"), F.coalesce("urls", F.lit("")))
     return answers.join(evidence, "qid", "left").select("qid", block.alias("block"))

@@ -1,10 +1,11 @@
 """Last-write-wins state.
 
-The winner per key is found on narrow columns only (key and order are longs and short
-strings: a hash aggregate with map-side combine, reading just those Parquet columns).
-Wide columns such as html then pass one semi-join against the winners. Joining on
-(key, order) instead of key alone also spreads a page that holds a third of all events
-over all tasks.
+The newest write per key is found on narrow columns (keys and a long: a hash aggregate
+with map-side combine, reading only those Parquet columns). Wide columns such as html or
+vectors are then filtered, not grouped. Usually few keys were ever written twice; once
+that list is measured to be small it is broadcast and the wide rows are not shuffled at
+all. Otherwise they meet the newest writes in a semi-join on (key, order), which spreads
+a page holding a third of all events over all tasks.
 """
 
 from __future__ import annotations
@@ -12,12 +13,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from gleanery.functions.urls import url_key
-
-
-def latest_by(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Rows holding the greatest ``order`` of their key (unique if order is, per key)."""
-    winners = rows.groupBy(*keys).agg(F.max(order).alias(order))
-    return rows.join(winners, [*keys, order], "left_semi")
+from gleanery.operators.sizing import BROADCAST_BYTES, measured
+
+
+def latest_by(
+    rows: DataFrame,
+    keys: list[str],
+    order: str,
+    versions: DataFrame | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Rows holding the greatest ``order`` of their key (one row, if orders are distinct).
+
+    ``versions`` names the table whose writes count, by default the rows themselves.
+    """
+    columns = rows.columns
+    newest = (rows if versions is None else versions).groupBy(*keys).agg(
+        F.min(order).alias("_oldest"), F.max(order).alias("_newest")
+    )
+    rewritten, size = measured(newest.where(F.col("_oldest") < F.col("_newest")).drop("_oldest"))
+    if size <= broadcast_bytes:
+        judged = rows.join(F.broadcast(rewritten), keys, "left")
+        return judged.where(F.col("_newest").isNull() | (F.col(order) == F.col("_newest"))).select(*columns)
+    winners = newest.select(*keys, F.col("_newest").alias(order))
+    return rows.join(winners, [*keys, order], "left_semi").select(*columns)
 
 
 def keyed(events: DataFrame) -> DataFrame:

@@ -19,41 +19,106 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gleanery.session import shared_dir
+from gleanery.operators.sizing import BROADCAST_BYTES, measured, row_bytes
 
 K = 7
-BROADCAST_BYTES = 64 << 20
 PAIR_BLOCK = 4 << 20  # distances held at once by one task
+SMALL_SCOPE = 1 << 14  # pairs of a scope in a batch below which all are compared
 
 _PARTIAL = "qid string, document_id string, dist double"
 
 
+class _Questions:
+    """The broadcast side: vectors ordered by scope, and where each scope lies."""
+
+    def __init__(self, table: pa.Table):
+        table = table.sort_by("scope").combine_chunks()
+        scopes = np.array(table["scope"].to_pylist(), dtype=object)
+        self.qids = np.array(table["qid"].to_pylist(), dtype=object)
+        self.vectors = _matrix(table["embed"].combine_chunks())
+        names, starts, counts = np.unique(scopes, return_index=True, return_counts=True)
+        self.places = {name: (start, n) for name, start, n in zip(names, starts.tolist(), counts.tolist())}
+
+
 class _Best:
-    """The k nearest seen so far for the questions of one scope."""
+    """The k nearest documents one task has seen so far, for every question."""
 
-    def __init__(self, qids: list[str], vectors: np.ndarray, k: int):
-        self.qids, self.q, self.k = qids, vectors, k
-        self.q_norms = np.einsum("ij,ij->i", vectors, vectors)
-        self.bound = np.full(len(qids), np.inf)
-        self.rows = pd.DataFrame({"q": np.empty(0, np.int64), "id": np.empty(0, object), "dist": np.empty(0)})
+    def __init__(self, questions: _Questions, k: int):
+        self.asked, self.k = questions, k
+        self.q = questions.vectors.astype(np.float64)
+        self.norms = np.einsum("ij,ij->i", self.q, self.q)
+        self.bound = np.full(len(self.q), np.inf)
+        self.rows = pd.DataFrame({"q": np.empty(0, np.int64), "dist": np.empty(0), "id": np.empty(0, object)})
 
-    def offer(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def offer(self, scopes: pa.DictionaryArray, ids: np.ndarray, vectors: np.ndarray) -> None:
+        """One batch of documents, each with the scope it may answer."""
         if vectors.shape[1] != self.q.shape[1]:
             raise ValueError(f"document vectors have {vectors.shape[1]} dimensions, questions {self.q.shape[1]}")
-        ids, copy_of, vectors = self._fold_copies(ids, vectors)
-        q_at, d_at = self._candidates(vectors)
+        places = [self.asked.places.get(name, (0, 0)) for name in scopes.dictionary.to_pylist()]
+        start, n_asked = np.array(places, dtype=np.int64).T[:, scopes.indices.to_numpy()]
+        docs = pd.DataFrame({"start": start, "n": n_asked, "vector": self._distinct(vectors), "id": ids})
+        docs = docs[docs["n"] > 0]
+        if docs["vector"].nunique() < len(docs):
+            # copies of one vector rank by id: k of them are enough, compared once
+            docs = docs.sort_values("id").groupby(["start", "vector"], sort=False).head(self.k)
+        firsts = docs.drop_duplicates(["start", "vector"])
+        q_at, d_at = self._candidates(firsts, vectors)
         dist = self._exact(vectors, q_at, d_at)
-        near = pd.DataFrame({"q": q_at, "vector": d_at, "dist": dist})
-        near = near.merge(pd.DataFrame({"vector": copy_of, "id": ids}), on="vector")
-        merged = pd.concat([self.rows, near[["q", "id", "dist"]]]) if len(self.rows) else near[["q", "id", "dist"]]
-        merged = merged.sort_values(["q", "dist", "id"], ignore_index=True)
-        self.rows = merged.groupby("q", sort=False).head(self.k)
-        kth = self.rows.groupby("q")["dist"].agg(["size", "max"])
-        full = kth[kth["size"] == self.k]
-        self.bound[full.index] = full["max"]
-
-    def _exact(self, vectors, q_at, d_at):
-        """Squared distances summed in dimension order, so they equal a sequential fold."""
+        near = pd.DataFrame({"q": q_at, "vector": d_at, "dist": dist})[dist <= self.bound[q_at]]
+        near["start"] = self._starts()[near["q"].to_numpy()]
+        self._keep(near.merge(docs[["start", "vector", "id"]], on=["start", "vector"])[["q", "dist", "id"]])
+
+    def _starts(self) -> np.ndarray:
+        places = sorted(self.asked.places.values())
+        return np.repeat([start for start, _ in places], [n for _, n in places])
+
+    @staticmethod
+    def _distinct(vectors: np.ndarray) -> np.ndarray:
+        """For each row the first row holding the same vector."""
+        as_bytes = np.ascontiguousarray(vectors).view(np.dtype((np.void, vectors.itemsize * vectors.shape[1]))).ravel()
+        _, first, copy_of = np.unique(as_bytes, return_index=True, return_inverse=True)
+        return first[copy_of]
+
+    def _candidates(self, docs: pd.DataFrame, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(question, vector) positions that may rank. Large scopes are narrowed down by
+        matrix products; of small ones every pair is taken."""
+        pairs = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        sizes = docs.groupby("start")["n"].sum()
+        large = docs["start"].isin(sizes.index[sizes > SMALL_SCOPE])
+        few = docs[~large]
+        each = few["n"].to_numpy()
+        within = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        pairs.append((np.repeat(few["start"].to_numpy(), each) + within, np.repeat(few["vector"].to_numpy(), each)))
+        for start, group in docs[large].groupby("start"):
+            pairs += self._narrowed(start, group["n"].iloc[0], group["vector"].to_numpy(), vectors)
+        return np.concatenate([q for q, _ in pairs]), np.concatenate([d for _, d in pairs])
+
+    def _narrowed(self, start: int, n: int, at: np.ndarray, vectors: np.ndarray) -> Iterator[tuple]:
+        """Candidates of questions start..start+n among the vectors ``at``, by distances
+        in single precision. Their error is below ``slack`` (4 times the worst case of a
+        dot product of this length), so the exact pass misses no neighbour."""
+        vectors = vectors[at]
+        norms = np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64)
+        step = max(1, PAIR_BLOCK // len(vectors))
+        for begin in range(start, start + n, step):
+            part = slice(begin, min(begin + step, start + n))
+            scale = self.norms[part] + norms.max()
+            if not scale.max() < 1e30:  # beyond single precision
+                near = np.ones((len(scale), len(vectors)), bool)
+            else:
+                slack = 4 * (vectors.shape[1] + 8) * float(np.finfo(np.float32).eps) * scale
+                rough = self.asked.vectors[part] @ vectors.T
+                rough *= -2
+                rough += norms.astype(np.float32)
+                cut = self.bound[part] - self.norms[part]
+                if np.isinf(cut).any() and len(vectors) > self.k:
+                    cut = np.minimum(cut, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1] + slack)
+                near = rough <= (cut + slack).astype(np.float32)[:, None]
+            q_at, d_at = np.nonzero(near)
+            yield q_at + begin, at[d_at]
+
+    def _exact(self, vectors, q_at, d_at) -> np.ndarray:
+        """Squared distances in double, summed in dimension order like a sequential fold."""
         dist = np.empty(len(q_at))
         for at in range(0, len(q_at), 8192):
             part = slice(at, at + 8192)
@@ -61,47 +126,23 @@ class _Best:
             dist[part] = np.cumsum(gaps * gaps, axis=1)[:, -1]
         return dist
 
-    def _fold_copies(self, ids, vectors):
-        """Distinct vectors, with the k smallest ids of each: only those can rank."""
-        _, first, copy_of = np.unique(
-            np.ascontiguousarray(vectors).view(np.dtype((np.void, vectors.dtype.itemsize * vectors.shape[1]))).ravel(),
-            return_index=True,
-            return_inverse=True,
-        )
-        order = pd.DataFrame({"vector": copy_of, "id": ids}).sort_values(["vector", "id"])
-        kept = order.groupby("vector", sort=False).head(self.k)
-        return kept["id"].to_numpy(), kept["vector"].to_numpy(), vectors[first]
-
-    def _candidates(self, vectors):
-        """(question, vector) positions that may rank, found by matrix products.
-
-        The product form of the distance is off by rounding only; ``slack`` covers it,
-        so no true neighbour is lost before the exact pass.
-        """
-        norms = np.einsum("ij,ij->i", vectors, vectors)
-        pairs = []
-        step = max(1, PAIR_BLOCK // max(1, len(vectors)))
-        for at in range(0, len(self.q), step):
-            q, q_norms = self.q[at : at + step], self.q_norms[at : at + step]
-            rough = q_norms[:, None] + norms[None, :] - 2.0 * (q @ vectors.T)
-            slack = 1e-9 * (q_norms + norms.max() + 1.0)
-            cut = self.bound[at : at + step]
-            if len(vectors) > self.k:
-                cut = np.minimum(cut, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1] + slack)
-            q_at, d_at = np.nonzero(rough <= (cut + slack)[:, None])
-            pairs.append((q_at + at, d_at))
-        return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
+    def _keep(self, near: pd.DataFrame) -> None:
+        touched = self.rows["q"].isin(near["q"].unique())
+        merged = pd.concat([self.rows[touched], near]) if touched.any() else near
+        best = merged.sort_values(["q", "dist", "id"]).groupby("q", sort=False).head(self.k)
+        kth = best.groupby("q")["dist"].agg(["size", "max"])
+        full = kth[kth["size"] == self.k]
+        self.bound[full.index] = full["max"]
+        self.rows = pd.concat([self.rows[~touched], best]) if len(self.rows) else best
 
     def emit(self) -> pa.RecordBatch:
-        qids = np.array(self.qids, dtype=object)[self.rows["q"].to_numpy(np.int64)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(qids, pa.string()), pa.array(self.rows["id"], pa.string()), pa.array(self.rows["dist"], pa.float64())],
-            names=["qid", "document_id", "dist"],
-        )
+        qids = self.asked.qids[self.rows["q"].to_numpy(np.int64)]
+        columns = [pa.array(qids, pa.string()), pa.array(self.rows["id"], pa.string()), pa.array(self.rows["dist"])]
+        return pa.RecordBatch.from_arrays(columns, names=["qid", "document_id", "dist"])
 
 
 def _matrix(column: pa.ListArray) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False)
     if len(column) and (column.null_count or len(flat) % len(column)):
         raise ValueError("vectors are missing or differ in length")
     widths = np.diff(column.offsets.to_numpy())
@@ -112,54 +153,39 @@ def _matrix(column: pa.ListArray) -> np.ndarray:
 
 def _scan(questions, k: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = {scope: _Best(qids, vectors, k) for scope, (qids, vectors) in questions.value.items()}
+        best = _Best(questions.value, k)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            scopes = batch.column(0).dictionary_encode()
-            ids = np.array(batch.column(1).to_pylist(), dtype=object)
-            vectors = _matrix(batch.column(2))
-            codes = scopes.indices.to_numpy()
-            order = np.argsort(codes, kind="stable")
-            ends = np.cumsum(np.bincount(codes, minlength=len(scopes.dictionary)))
-            for scope, rows in zip(scopes.dictionary.to_pylist(), np.split(order, ends[:-1])):
-                if scope in best and len(rows):
-                    best[scope].offer(ids[rows], vectors[rows])
-        for state in best.values():
-            if len(state.rows):
-                yield state.emit()
+            if batch.num_rows:
+                ids = np.array(batch.column(1).to_pylist(), dtype=object)
+                best.offer(batch.column(0).dictionary_encode(), ids, _matrix(batch.column(2)))
+        if len(best.rows):
+            yield best.emit()
 
     return scan
 
 
-def _by_scope(table: pa.Table) -> dict[str, tuple[list[str], np.ndarray]]:
-    table = table.combine_chunks()
-    scopes = np.array(table["scope"].to_pylist(), dtype=object)
-    qids = np.array(table["qid"].to_pylist(), dtype=object)
-    vectors = _matrix(table["embed"].combine_chunks())
-    return {s: (qids[scopes == s].tolist(), vectors[scopes == s]) for s in dict.fromkeys(scopes)}
-
-
 def _ranked(partial: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("qid").orderBy("dist", "document_id")
     ranked = partial.withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= k).select("qid", "rank", "document_id", "dist")
 
 
-def _scoped(questions: dict, documents: DataFrame, ownership: DataFrame | None) -> DataFrame:
+def _scoped(scopes: set[str], documents: DataFrame, ownership: DataFrame | None) -> DataFrame:
     """Candidate vectors with the scope they may answer: "" for all, else a user."""
     frames = []
-    if "" in questions:
+    if "" in scopes:
         frames.append(documents.select(F.lit("").alias("scope"), "id", "embed"))
-    users = sorted(set(questions) - {""})
+    users = sorted(scopes - {""})
     if users:
         if ownership is None:
             raise ValueError("questions with a user scope need the ownership table")
-        if len(users) <= 256:  # reaches the Parquet scan as an IN filter
+        # few users reach the Parquet scan as an IN filter; any number is bounded by
+        # the size of the broadcast questions
+        if len(users) <= 256:
             mine = ownership.where(F.col("user_id").isin(users))
         else:
             asking = ownership.sparkSession.createDataFrame([(u,) for u in users], "user_id string")
-            mine = ownership.join(asking, "user_id", "left_semi")
+            mine = ownership.join(F.broadcast(asking), "user_id", "left_semi")
         mine = mine.select(F.col("user_id").alias("scope"), F.col("document_id").alias("id")).distinct()
         frames.append(documents.join(mine, "id").select("scope", "id", "embed"))
     both = frames[0]
@@ -169,9 +195,9 @@ def _scoped(questions: dict, documents: DataFrame, ownership: DataFrame | None)
 
 
 def _answer(table: pa.Table, documents: DataFrame, ownership: DataFrame | None, k: int):
-    questions = _by_scope(table)
+    questions = _Questions(table)
     shared = documents.sparkSession.sparkContext.broadcast(questions)
-    partial = _scoped(questions, documents, ownership).mapInArrow(_scan(shared, k), _PARTIAL)
+    partial = _scoped(set(questions.places), documents, ownership).mapInArrow(_scan(shared, k), _PARTIAL)
     return _ranked(partial, k), shared
 
 
@@ -185,7 +211,9 @@ def nearest(
     """``qid, rank, document_id, dist``: the ``min(k, n)`` nearest documents per question.
 
     ``queries(qid, embed[, user_id])``; a blank user searches everything, any other only
-    what that user owns. Squared L2 in double, ties by id.
+    what that user owns. Squared L2 in double, ties by id. The hits are k narrow rows per
+    question; where that is small for certain they carry a broadcast hint, so fetching
+    their texts scans the documents without shuffling them.
     """
     user = F.coalesce(F.col("user_id").cast("string"), F.lit("")) if "user_id" in queries.columns else F.lit("")
     asked = queries.select(F.col("qid").cast("string").alias("qid"), user.alias("scope"), "embed")
@@ -194,19 +222,18 @@ def nearest(
         ownership = ownership.select(
             F.col("document_id").cast("string").alias("document_id"), F.col("user_id").cast("string").alias("user_id")
         )
-    width = F.size("embed") * 8 + F.length("qid") + F.length("scope") + 64
-    count, total = asked.agg(F.count("*"), F.sum(width)).first()
+    count, total = asked.agg(F.count("*"), F.sum(row_bytes(asked).cast("bigint"))).first()
     if not count:
         return documents.sparkSession.createDataFrame([], "qid string, rank int, document_id string, dist double")
-    if total <= broadcast_bytes:
-        return _answer(asked.toArrow(), documents, ownership, k)[0]
-    return _in_rounds(asked, total, documents, ownership, k, broadcast_bytes)
+    if total > broadcast_bytes:
+        return _in_rounds(asked, documents, ownership, k, broadcast_bytes)
+    hits, _ = _answer(asked.toArrow(), documents, ownership, k)
+    return F.broadcast(hits) if count * k <= 250_000 else hits
 
 
-def _in_rounds(asked, total, documents, ownership, k, broadcast_bytes) -> DataFrame:
+def _in_rounds(asked, documents, ownership, k, broadcast_bytes) -> DataFrame:
     """Hash-split questions into parts well under the bound; one pass per part."""
-    shared_dir(documents.sparkSession)
-    asked = asked.checkpoint()
+    asked, total = measured(asked)
     parts = int(np.ceil(2 * total / broadcast_bytes))
     done = None
     for part in range(parts):

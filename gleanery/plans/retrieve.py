@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gleanery.operators.context import assemble_context, evidence
+from gleanery.operators.context import filled, gathered, joined
 from gleanery.operators.embedding import Embedder, embed_queries
 from gleanery.operators.messages import non_empty
 from gleanery.operators.topk import K, nearest
@@ -27,8 +27,12 @@ def prompts(
     queries: DataFrame, documents: DataFrame, ownership: DataFrame, embedder: Embedder, template: str, k: int = K
 ) -> DataFrame:
     """One row per non-empty question: the model input and the evidence shown with it."""
-    hits = retrieve(queries, documents, ownership, embedder, k)
-    asked = assemble_context(hits, non_empty(queries), template)
-    shown = asked.join(evidence(hits), "qid", "left")
-    blank = lambda c: F.coalesce(c, F.lit("")).alias(c)
-    return shown.select("qid", "prompt", "model_input", blank("chunks"), blank("urls"))
+    hits = gathered(retrieve(queries, documents, ownership, embedder, k))
+    model_input = filled(template, joined("chunk", "\n\n"), F.col("prompt"))
+    return non_empty(queries).join(hits, "qid", "left").select(
+        "qid",
+        "prompt",
+        model_input.alias("model_input"),
+        joined("chunk", "\n").alias("chunks"),
+        joined("url_key", "\n").alias("urls"),
+    )

@@ -73,9 +73,7 @@ class Store:
     def documents(self) -> DataFrame:
         """Documents of each page's latest snapshot. A page that shrank, even to no
         words at all, loses its old chunks."""
-        newest = self.read("page_snapshots").groupBy("url_key").agg(F.max("commit_id").alias("commit_id"))
-        current = self.read("documents").join(newest, ["url_key", "commit_id"], "left_semi")
-        return current.select(*schemas.TABLES["documents"].names)
+        return latest_by(self.read("documents"), ["url_key"], "commit_id", versions=self.read("page_snapshots"))
 
     def documents_by_id(self) -> DataFrame:
         """Last write per id alone, stale trailing chunks included."""
