@@ -9,7 +9,7 @@ from gleanery.operators.embedding import HashedWords
 from gleanery.operators.links import host_edges
 from gleanery.operators.messages import page_event_messages, parse_page_events
 from gleanery.plans.build_index import build_index
-from gleanery.session import scratch_path
+from gleanery.session import scratch_path, shared_dir
 from gleanery.sources.store import Store
 
 EMBEDDER = HashedWords(384)
@@ -114,7 +114,8 @@ def linked_site(spark, sf_dir) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("url", "html")
     back = host_edges(pages).groupBy("target").agg(F.min("url").alias("back"))
     link = F.concat(F.lit("<a href='"), F.replace("back", F.lit("&"), F.lit("&amp;")), F.lit("'>back</a><a href='#'>top</a>"))
-    return pages.unionByName(back.select(F.col("target").alias("url"), link.alias("html")))
+    shared_dir(spark)
+    return pages.unionByName(back.select(F.col("target").alias("url"), link.alias("html"))).checkpoint()
 
 
 _indexes: dict[tuple, Store] = {}

@@ -32,17 +32,20 @@ class _PageText(HTMLParser):
         super().__init__(convert_charrefs=False)
         self.open: list[str] = []
         self.counts: Counter[str] = Counter()
+        self.removed = self.silent = 0  # open elements of either kind
         self.run: list[str] = []
         self.nodes: dict[str, list[str]] = {}  # root -> its text nodes
         self.level: dict[str, int] = {}  # root still open -> its height in `open`
 
-    def _inside(self, tags: frozenset[str]) -> bool:
-        return any(self.counts[t] for t in tags)
+    def updatepos(self, i, j):  # line numbers, which nobody asks for
+        return j
 
     def end_run(self) -> None:
+        if not self.run:
+            return
         node = "".join(self.run).strip()
         self.run.clear()
-        if node and self.level and not self._inside(SILENT_TAGS) and not self._inside(REMOVED_TAGS):
+        if node and not self.removed and not self.silent:
             for root in self.level:
                 self.nodes[root].append(node)
 
@@ -53,11 +56,18 @@ class _PageText(HTMLParser):
         root = "body" if tag == "body" else None
         if tag == "div" and dict(attrs).get("id") == "content":
             root = "content"
-        if root and root not in self.nodes and not self._inside(REMOVED_TAGS):
+        if root and root not in self.nodes and not self.removed:
             self.nodes[root] = []
             self.level[root] = len(self.open)
         self.open.append(tag)
-        self.counts[tag] += 1
+        self._count(tag, 1)
+
+    def _count(self, tag: str, change: int) -> None:
+        self.counts[tag] += change
+        if tag in REMOVED_TAGS:
+            self.removed += change
+        if tag in SILENT_TAGS:
+            self.silent += change
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -67,10 +77,11 @@ class _PageText(HTMLParser):
         self.end_run()
         while self.counts[tag]:
             last = self.open.pop()
-            self.counts[last] -= 1
+            self._count(last, -1)
+            if last in ("div", "body"):
+                self.level = {root: at for root, at in self.level.items() if at < len(self.open)}
             if last == tag:
                 break
-        self.level = {root: at for root, at in self.level.items() if at < len(self.open)}
 
     def handle_data(self, data):
         self.run.append(data)

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed value: characters a storage key may not hold; each becomes "_".
 KEY_FORBIDDEN = '<>:"/\\|?*'
 
-# scheme, userinfo, host, port of an http(s) URL
-_AUTHORITY = r"^(?i)(https?)://((?:[^/?#@\\]*@)?)(\[[^\]]*\]|[^/?#:\\]+)(:\d*)?"
+# scheme with slashes, userinfo, host, port of an http(s) URL
+_AUTHORITY = r"^(?i)(https?://)((?:[^/?#@\\]*@)?)(\[[^\]]*\]|[^/?#:\\]+)(:\d*)?"
+
+# What the URL standard percent-encodes in a path, and after it.
+_PATH_UNSAFE = r"""[^\x21-\x7e]|["<>`{}]"""
+_SUFFIX_UNSAFE = r"""[^\x21-\x7e]|["<>]"""
+
+# A rooted href that resolves by mere concatenation: no second slash, no backslash, no
+# dot segment, nothing to encode.
+_PLAIN = r"""^/(?![/.])(?:[^\x00-\x20\x7f-\x{10ffff}"<>`{}\\/?#]++|/(?!\.))*+(?:[?#][^\x00-\x20\x7f-\x{10ffff}"<>`{}\\]*+)?$"""
 
 
 def url_key(url: Column) -> Column:
@@ -27,11 +35,11 @@ def url_host(url: Column) -> Column:
 
 
 def _origin(url: Column) -> Column:
-    """``scheme://[user@]host[:port]``, lower-case, default port dropped."""
-    scheme, port = F.lower(_part(url, 1)), _part(url, 4)
-    default = F.when(scheme == "https", ":443").otherwise(":80")
-    shown = F.when(port.isin("", ":") | (port == default), "").otherwise(port)
-    return F.when(url_host(url).isNotNull(), F.concat(scheme, F.lit("://"), _part(url, 2), url_host(url), shown))
+    """``scheme://[user@]host[:port]``, lower-case, default port dropped; "" if none."""
+    place = F.lower(F.concat(_part(url, 3), _part(url, 4)))
+    scheme = F.lower(_part(url, 1))
+    shown = F.regexp_replace(F.concat(scheme, _part(url, 2), place), "^(http://.*):80$|^(https://.*):443$|^(.*):$", "$1$2$3")
+    return F.when(scheme != "", shown).otherwise("")
 
 
 def _escape(text: Column, unsafe: str) -> Column:
@@ -56,24 +64,35 @@ def _fold_dots(path: Column) -> Column:
     ).otherwise(path)
 
 
-def resolve_link(href: Column, base: Column) -> Column:
-    """Target of a link, or NULL for anything that is not followed.
+def with_target(links: DataFrame, href: str = "href", base: str = "url") -> DataFrame:
+    """Links that can be followed, with their ``target``.
 
     Only hrefs starting with ``/`` are resolved (``//host/x`` takes the base scheme),
-    with the normalisation the WHATWG URL standard gives them; hrefs starting with
-    ``http`` pass untouched; every other form is dropped.
+    with the normalisation the URL standard gives them; hrefs starting with ``http`` pass
+    untouched; every other form is dropped. Each step is a column of its own, and links
+    without a target leave by an ``explode`` of none: a filter on the target would be
+    pushed below these steps and have every regular expression run again.
     """
-    rooted = F.translate(F.regexp_replace(F.rtrim(href), "[\t\n\r]", ""), "\\", "/")
-    absolute = F.concat(F.lower(_part(base, 1)), F.lit(":"), rooted)
-    protocol_relative = rooted.startswith("//")
-    origin = F.when(protocol_relative, _origin(absolute)).otherwise(_origin(base))
-    rest = F.when(protocol_relative, F.regexp_replace(absolute, _AUTHORITY, "")).otherwise(rooted)
-    path = F.regexp_extract(rest, r"^[^?#]*", 0)
+    raw = F.col(href)
+    located = links.withColumn("_origin", _origin(F.col(base)))
+    rooted = F.translate(F.regexp_replace(F.rtrim(raw), "[\t\n\r]", ""), "\\", "/")
+    other_host = F.concat(F.regexp_extract("_origin", "^https?:", 0), rooted)
+    kind = F.when(raw.rlike(_PLAIN), "plain").when(raw.startswith("//"), "host").when(raw.startswith("/"), "rooted")
+    parsed = located.withColumn("_kind", F.when(F.col("_origin") != "", kind)).withColumn(
+        "_full",
+        F.when(F.col("_kind") == "host", F.concat(_origin(other_host), F.regexp_replace(other_host, _AUTHORITY, "")))
+        .when(F.col("_kind") == "rooted", F.concat("_origin", rooted)),
+    )
+    at = F.length(F.regexp_extract("_full", _AUTHORITY, 0))
+    split = parsed.withColumn("_rest", F.substr("_full", at + 1)).withColumn("_base", F.substr("_full", F.lit(1), at))
+    path = F.regexp_extract("_rest", r"^[^?#]*", 0)
     path = F.when(path == "", F.lit("/")).otherwise(path)
-    suffix = F.regexp_extract(rest, r"(?s)[?#].*$", 0)
-    resolved = F.concat(
-        origin,
-        _escape(_fold_dots(path), r"""[^\x21-\x7e]|["<>`{}]"""),
-        _escape(suffix, r"""[^\x21-\x7e]|["<>]"""),
+    suffix = F.regexp_extract("_rest", r"(?s)[?#].*$", 0)
+    normalized = F.concat("_base", _escape(_fold_dots(path), _PATH_UNSAFE), _escape(suffix, _SUFFIX_UNSAFE))
+    target = (
+        F.when(F.col("_kind") == "plain", F.concat("_origin", raw))
+        .when(F.col("_kind").isNotNull() & (F.col("_base") != ""), normalized)
+        .when(raw.startswith("http"), raw)
     )
-    return F.when(href.startswith("/"), resolved).when(href.startswith("http"), href)
+    found = F.when(target.isNotNull(), F.array(target))
+    return split.select(*links.columns, F.explode(found).alias("target"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from gleanery.functions.html import hrefs, unescape_html
 from gleanery.functions.text import urls_in
-from gleanery.functions.urls import resolve_link, url_host
+from gleanery.functions.urls import url_host, with_target
 from gleanery.session import shared_dir
 
 
@@ -25,8 +25,7 @@ def extract_links(pages: DataFrame) -> DataFrame:
 
 def resolve_links(links: DataFrame) -> DataFrame:
     """Links that can be followed, with their ``target``."""
-    resolved = links.withColumn("target", resolve_link(F.col("href"), F.col("url")))
-    return resolved.where(F.col("target").isNotNull())
+    return with_target(links)
 
 
 def same_host(links: DataFrame, host: str = "host") -> DataFrame:

@@ -33,6 +33,13 @@ def build_session(app: str = "gleanery", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Give a session made elsewhere the same runtime settings."""
+    for name, value in SQL_CONF.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
-
 from gleanery.functions.html import extract_text, hrefs, page_text
-from gleanery.functions.urls import resolve_link
+from gleanery.functions.urls import with_target
 from gleanery.operators.links import extract_links, resolve_links
 from tests.test_text import evaluate
 
@@ -93,6 +91,13 @@ RESOLVED = [
     ("https://h.org/p", "/a?x=../y", "https://h.org/a?x=../y"),
     ("https://h.org/p", "/😀", "https://h.org/%F0%9F%98%80"),
     ("https://h.org/p", "/a\\b\n", "https://h.org/a/b"),
+    ("https://h.org/p", "/%zz/a.b/~c?x#y", "https://h.org/%zz/a.b/~c?x#y"),
+    ("https://h.org/p", "/a//b", "https://h.org/a//b"),
+    ("https://h.org/p", "/.hidden", "https://h.org/.hidden"),
+    ("https://h.org/p", "/" + "a/" * 5000, "https://h.org/" + "a/" * 5000),
+    ("https://h.org/p", "/{a}`", "https://h.org/%7Ba%7D%60"),
+    ("https://h.org/p", "///x", None),
+    ("https://h.org:/p", "/x", "https://h.org/x"),
     ("https://h.org/p", "http://Other.org/Ü", "http://Other.org/Ü"),
     ("https://h.org/p", "httpx:y", "httpx:y"),
     ("https://h.org/p", "#top", None),
@@ -104,7 +109,7 @@ RESOLVED = [
 ]
 
 
-def test_resolve_link(spark):
-    df = spark.createDataFrame([(n, *case) for n, case in enumerate(RESOLVED)], "n int, base string, href string, want string")
-    got = df.withColumn("got", resolve_link(F.col("href"), F.col("base"))).orderBy("n").collect()
-    assert [r.got for r in got] == [r.want for r in got]
+def test_with_target(spark):
+    df = spark.createDataFrame([(n, *case) for n, case in enumerate(RESOLVED)], "n int, url string, href string, want string")
+    got = {r.n: r.target for r in with_target(df).collect()}
+    assert got == {n: want for n, (_, _, want) in enumerate(RESOLVED) if want is not None}
