@@ -23,29 +23,33 @@ from gleanery.operators.sizing import BROADCAST_BYTES, measured, row_bytes
 
 K = 7
 PAIR_BLOCK = 4 << 20  # distances held at once by one task
+FEW_HITS = 250_000  # rows of a question id, a document id and two numbers
 SMALL_SCOPE = 1 << 14  # pairs of a scope in a batch below which all are compared
 
 _PARTIAL = "qid string, document_id string, dist double"
 
 
-class _Questions:
-    """The broadcast side: vectors ordered by scope, and where each scope lies."""
+def _asked(table: pa.Table) -> dict:
+    """The broadcast side: vectors ordered by scope, and where each scope lies.
 
-    def __init__(self, table: pa.Table):
-        table = table.sort_by("scope").combine_chunks()
-        scopes = np.array(table["scope"].to_pylist(), dtype=object)
-        self.qids = np.array(table["qid"].to_pylist(), dtype=object)
-        self.vectors = _matrix(table["embed"].combine_chunks())
-        names, starts, counts = np.unique(scopes, return_index=True, return_counts=True)
-        self.places = {name: (start, n) for name, start, n in zip(names, starts.tolist(), counts.tolist())}
+    Plain values only: a broadcast is pickled by reference, and executors need not have
+    this package installed."""
+    table = table.sort_by("scope").combine_chunks()
+    scopes = np.array(table["scope"].to_pylist(), dtype=object)
+    names, starts, counts = np.unique(scopes, return_index=True, return_counts=True)
+    return {
+        "qids": np.array(table["qid"].to_pylist(), dtype=object),
+        "vectors": _matrix(table["embed"].combine_chunks()),
+        "places": {name: (start, n) for name, start, n in zip(names, starts.tolist(), counts.tolist())},
+    }
 
 
 class _Best:
     """The k nearest documents one task has seen so far, for every question."""
 
-    def __init__(self, questions: _Questions, k: int):
-        self.asked, self.k = questions, k
-        self.q = questions.vectors.astype(np.float64)
+    def __init__(self, asked: dict, k: int):
+        self.qids, self.vectors, self.places, self.k = asked["qids"], asked["vectors"], asked["places"], k
+        self.q = self.vectors.astype(np.float64)
         self.norms = np.einsum("ij,ij->i", self.q, self.q)
         self.bound = np.full(len(self.q), np.inf)
         self.rows = pd.DataFrame({"q": np.empty(0, np.int64), "dist": np.empty(0), "id": np.empty(0, object)})
@@ -54,7 +58,7 @@ class _Best:
         """One batch of documents, each with the scope it may answer."""
         if vectors.shape[1] != self.q.shape[1]:
             raise ValueError(f"document vectors have {vectors.shape[1]} dimensions, questions {self.q.shape[1]}")
-        places = [self.asked.places.get(name, (0, 0)) for name in scopes.dictionary.to_pylist()]
+        places = [self.places.get(name, (0, 0)) for name in scopes.dictionary.to_pylist()]
         start, n_asked = np.array(places, dtype=np.int64).T[:, scopes.indices.to_numpy()]
         docs = pd.DataFrame({"start": start, "n": n_asked, "vector": self._distinct(vectors), "id": ids})
         docs = docs[docs["n"] > 0]
@@ -69,7 +73,7 @@ class _Best:
         self._keep(near.merge(docs[["start", "vector", "id"]], on=["start", "vector"])[["q", "dist", "id"]])
 
     def _starts(self) -> np.ndarray:
-        places = sorted(self.asked.places.values())
+        places = sorted(self.places.values())
         return np.repeat([start for start, _ in places], [n for _, n in places])
 
     @staticmethod
@@ -107,7 +111,7 @@ class _Best:
                 near = np.ones((len(scale), len(vectors)), bool)
             else:
                 slack = 4 * (vectors.shape[1] + 8) * float(np.finfo(np.float32).eps) * scale
-                rough = self.asked.vectors[part] @ vectors.T
+                rough = self.vectors[part] @ vectors.T
                 rough *= -2
                 rough += norms.astype(np.float32)
                 cut = self.bound[part] - self.norms[part]
@@ -136,7 +140,7 @@ class _Best:
         self.rows = pd.concat([self.rows[~touched], best]) if len(self.rows) else best
 
     def emit(self) -> pa.RecordBatch:
-        qids = self.asked.qids[self.rows["q"].to_numpy(np.int64)]
+        qids = self.qids[self.rows["q"].to_numpy(np.int64)]
         columns = [pa.array(qids, pa.string()), pa.array(self.rows["id"], pa.string()), pa.array(self.rows["dist"])]
         return pa.RecordBatch.from_arrays(columns, names=["qid", "document_id", "dist"])
 
@@ -195,9 +199,9 @@ def _scoped(scopes: set[str], documents: DataFrame, ownership: DataFrame | None)
 
 
 def _answer(table: pa.Table, documents: DataFrame, ownership: DataFrame | None, k: int):
-    questions = _Questions(table)
-    shared = documents.sparkSession.sparkContext.broadcast(questions)
-    partial = _scoped(set(questions.places), documents, ownership).mapInArrow(_scan(shared, k), _PARTIAL)
+    asked = _asked(table)
+    shared = documents.sparkSession.sparkContext.broadcast(asked)
+    partial = _scoped(set(asked["places"]), documents, ownership).mapInArrow(_scan(shared, k), _PARTIAL)
     return _ranked(partial, k), shared
 
 
@@ -211,10 +215,28 @@ def nearest(
     """``qid, rank, document_id, dist``: the ``min(k, n)`` nearest documents per question.
 
     ``queries(qid, embed[, user_id])``; a blank user searches everything, any other only
-    what that user owns. Squared L2 in double, ties by id. The hits are k narrow rows per
-    question; where that is small for certain they carry a broadcast hint, so fetching
-    their texts scans the documents without shuffling them.
+    what that user owns. Squared L2 in double, ties by id.
     """
+    return _nearest(queries, documents, k, ownership, broadcast_bytes)[0]
+
+
+def nearest_rows(
+    queries: DataFrame,
+    documents: DataFrame,
+    columns: list[str],
+    k: int = K,
+    ownership: DataFrame | None = None,
+) -> DataFrame:
+    """``nearest`` with some columns of the documents found. Hits are k narrow rows per
+    question; where that is small for certain they are broadcast, so the documents are
+    scanned for these columns but not shuffled."""
+    hits, few = _nearest(queries, documents, k, ownership, BROADCAST_BYTES)
+    found = documents.select(F.col("id").cast("string").alias("document_id"), *columns)
+    return (F.broadcast(hits) if few else hits).join(found, "document_id")
+
+
+def _nearest(queries, documents, k, ownership, broadcast_bytes) -> tuple[DataFrame, bool]:
+    """The hits, and whether their number is known to be small."""
     user = F.coalesce(F.col("user_id").cast("string"), F.lit("")) if "user_id" in queries.columns else F.lit("")
     asked = queries.select(F.col("qid").cast("string").alias("qid"), user.alias("scope"), "embed")
     documents = documents.select(F.col("id").cast("string").alias("id"), "embed")
@@ -224,11 +246,11 @@ def nearest(
         )
     count, total = asked.agg(F.count("*"), F.sum(row_bytes(asked).cast("bigint"))).first()
     if not count:
-        return documents.sparkSession.createDataFrame([], "qid string, rank int, document_id string, dist double")
+        none = documents.sparkSession.createDataFrame([], "qid string, rank int, document_id string, dist double")
+        return none, True
     if total > broadcast_bytes:
-        return _in_rounds(asked, documents, ownership, k, broadcast_bytes)
-    hits, _ = _answer(asked.toArrow(), documents, ownership, k)
-    return F.broadcast(hits) if count * k <= 250_000 else hits
+        return _in_rounds(asked, documents, ownership, k, broadcast_bytes), False
+    return _answer(asked.toArrow(), documents, ownership, k)[0], count * k <= FEW_HITS
 
 
 def _in_rounds(asked, documents, ownership, k, broadcast_bytes) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from gleanery.operators.context import filled, gathered, joined
 from gleanery.operators.embedding import Embedder, embed_queries
 from gleanery.operators.messages import non_empty
-from gleanery.operators.topk import K, nearest
+from gleanery.operators.topk import K, nearest_rows
 
 
 def retrieve(
@@ -18,9 +18,8 @@ def retrieve(
     Ranking reads only ``id, embed``; the chunk text is fetched for the few hits.
     """
     asked = embed_queries(non_empty(queries), embedder)
-    ranked = nearest(asked, documents, k, ownership)
-    found = documents.select(F.col("id").alias("document_id"), "url_key", "chunk")
-    return ranked.join(found, "document_id").select("qid", "rank", "document_id", "url_key", "chunk", "dist")
+    hits = nearest_rows(asked, documents, ["url_key", "chunk"], k, ownership)
+    return hits.select("qid", "rank", "document_id", "url_key", "chunk", "dist")
 
 
 def prompts(

@@ -83,10 +83,8 @@ class Store:
         return self.read("ownership").distinct()
 
     def conversations(self) -> DataFrame:
-        rows = self.read("conversations")
-        fields = [c for c in rows.columns if c != "id"]
-        last = F.max_by(F.struct(*fields), "commit_id")
-        return rows.groupBy("id").agg(last.alias("row")).select("id", "row.*").drop("commit_id", "seq")
+        """Last batch per event id; within a batch ids are already distinct."""
+        return latest_by(self.read("conversations"), ["id"], "commit_id").drop("commit_id", "seq")
 
     def compact(self, table: str, folder: str) -> None:
         """Rewrite a view as one batch of a new folder; point a new Store at it."""

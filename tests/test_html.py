@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from html.parser import HTMLParser
+
 import pytest
-from gleanery.functions.html import extract_text, hrefs, page_text
+from hypothesis import given, settings, strategies as st
+
+from gleanery.functions.html import VOID_TAGS, extract_text, hrefs, page_text
 from gleanery.functions.urls import with_target
 from gleanery.operators.links import extract_links, resolve_links
 from tests.test_text import evaluate
@@ -113,3 +117,90 @@ def test_with_target(spark):
     df = spark.createDataFrame([(n, *case) for n, case in enumerate(RESOLVED)], "n int, url string, href string, want string")
     got = {r.n: r.target for r in with_target(df).collect()}
     assert got == {n: want for n, (_, _, want) in enumerate(RESOLVED) if want is not None}
+
+
+class Tree(HTMLParser):
+    """The whole document as nested lists, the slow and plain way."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=False)
+        self.root = ["#root", {}, []]
+        self.path = [self.root]
+        self.fresh = True
+
+    def handle_starttag(self, tag, attrs):
+        node = [tag, dict(attrs), []]
+        self.path[-1][2].append(node)
+        if tag not in VOID_TAGS:
+            self.path.append(node)
+        self.fresh = True
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        self.handle_endtag(tag)
+
+    def handle_endtag(self, tag):
+        at = max((n for n, node in enumerate(self.path) if node[0] == tag), default=None)
+        self.path = self.path[:at] if at else self.path
+        self.fresh = True
+
+    def handle_data(self, data):
+        children = self.path[-1][2]
+        if self.fresh or not children or not isinstance(children[-1], str):
+            children.append("")
+        children[-1] += data
+        self.fresh = False
+
+    def handle_comment(self, data):
+        self.fresh = True
+
+
+def tree_text(html):
+    tree = Tree()
+    tree.feed(html)
+    tree.close()
+
+    def prune(node):
+        node[2] = [c for c in node[2] if isinstance(c, str) or c[0] not in ("script", "style", "footer", "header", "nav")]
+        for child in node[2]:
+            if not isinstance(child, str):
+                prune(child)
+
+    def walk(node):
+        yield node
+        for child in node[2]:
+            if not isinstance(child, str):
+                yield from walk(child)
+
+    def texts(node, silent=False):
+        for child in node[2]:
+            if isinstance(child, str):
+                if child.strip() and not silent:
+                    yield child.strip()
+            else:
+                yield from texts(child, silent or child[0] in ("template", "rt", "rp"))
+
+    def under(root):
+        """Whether a silent element encloses the root."""
+        for node in walk(tree.root):
+            if node[0] in ("template", "rt", "rp") and any(n is root for n in walk(node)):
+                return True
+        return False
+
+    prune(tree.root)
+    nodes = list(walk(tree.root))
+    root = next((n for n in nodes if n[0] == "div" and n[1].get("id") == "content"), None)
+    root = root or next((n for n in nodes if n[0] == "body"), None)
+    return "\n".join(texts(root, under(root))) if root else ""
+
+
+piece = st.sampled_from(
+    ["a", " b ", "<div>", "</div>", "<div id=content>", "<body>", "</body>", "<nav>", "</nav>", "<header>", "</header>"]
+    + ["<p>", "</p>", "<br>", "<script>x<p></script>", "<!-- c -->", "<template>", "</template>", "<nav/>", "<span>", "</span>"]
+)
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(piece, max_size=25).map("".join))
+def test_stream_of_tags_equals_the_tree(html):
+    assert page_text(html) == tree_text(html)
