@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from gleanery.functions.html import hrefs, unescape_html
 from gleanery.functions.text import urls_in
 from gleanery.functions.urls import url_host, with_target
+from gleanery.operators.sizing import broadcast_if_small
 from gleanery.session import shared_dir
 
 
@@ -44,14 +45,24 @@ def valid_depth(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad.select(F.to_json(F.struct("url", "depth")).alias("value"), "reason")
 
 
+def on_hosts_of(pages: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Pages on some seed's host. A walk never leaves it, so no other page is parsed."""
+    hosts = broadcast_if_small(seeds.select(url_host(F.col("url")).alias("host")).distinct())
+    placed = pages.withColumn("host", url_host(F.col("url")))
+    return placed.join(hosts, "host", "left_semi").select("url", "html", "host")
+
+
 def host_edges(pages: DataFrame) -> DataFrame:
-    """Distinct (url, target) of links staying on their page's host.
+    """(url, target) of links staying on their page's host, without repeats in a page.
 
     A walk keeps to its seed's host, so every page it stands on has that host: links
-    leaving the page's own host can be dropped before any walk starts.
+    leaving the page's own host can be dropped before any walk starts. Repeats are dropped
+    inside the page's row, so the edges of all pages need no shuffle.
     """
-    links = resolve_links(extract_links(pages.select("url", "html")))
-    return same_host(links.withColumn("host", url_host(F.col("url")))).select("url", "target").distinct()
+    placed = pages.select("url", url_host(F.col("url")).alias("host"), F.array_distinct(hrefs(F.col("html"))).alias("raw"))
+    links = placed.select("url", "host", F.explode("raw").alias("raw"))
+    decoded = links.select("url", "host", unescape_html(F.col("raw")).alias("href"))
+    return same_host(resolve_links(decoded)).select("url", "target")
 
 
 def crawl_reach(pages: DataFrame, seeds: DataFrame, edges: DataFrame | None = None) -> DataFrame:
@@ -67,12 +78,12 @@ def crawl_reach(pages: DataFrame, seeds: DataFrame, edges: DataFrame | None = No
     seeds = seeds.groupBy(F.col("url").alias("seed")).agg(F.max("depth").alias("max_depth"))
     started = seeds.join(captured.withColumnRenamed("url", "seed"), "seed", "left_semi")
     frontier = started.select("seed", F.col("seed").alias("url"), F.lit(1).alias("depth"), "max_depth")
-    deepest = seeds.agg(F.max("max_depth")).first()[0] or 0
+    deepest = seeds.agg(F.max("max_depth")).first()[0] or 0  # one number
     if deepest <= 1:
         return frontier.select("seed", "url", "depth")
 
-    edges = host_edges(pages) if edges is None else edges
-    steps = edges.join(captured.withColumnRenamed("url", "target"), "target", "left_semi").checkpoint()
+    edges = host_edges(on_hosts_of(pages, started.withColumnRenamed("seed", "url"))) if edges is None else edges
+    steps = edges.join(captured.withColumnRenamed("url", "target"), "target", "left_semi").distinct().checkpoint()
     frontier = frontier.checkpoint()
     rounds = [frontier]
     for depth in range(2, deepest + 1):
@@ -100,7 +111,8 @@ def crawl_frontier(pages: DataFrame, reach: DataFrame, edges: DataFrame | None =
     captured, with the depth at which a fetcher would visit them."""
     edges = host_edges(pages) if edges is None else edges
     captured = pages.select(F.col("url").alias("target")).distinct()
-    missing = edges.join(captured, "target", "left_anti")
+    reached = reach.select("url").distinct()
+    missing = edges.join(reached, "url", "left_semi").distinct().join(captured, "target", "left_anti")
     return reach.join(missing, "url").select(
         "seed", "url", "target", (F.col("depth") + 1).alias("depth")
     )

@@ -27,3 +27,9 @@ def measured(df: DataFrame) -> tuple[DataFrame, int]:
     shared_dir(df.sparkSession)
     kept = df.checkpoint()
     return kept, kept.agg(F.sum(row_bytes(kept).cast("bigint"))).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows with a broadcast hint if they were measured to fit, else without."""
+    kept, size = measured(df)
+    return F.broadcast(kept) if size <= limit else kept

@@ -52,6 +52,8 @@ class _Best:
         self.q = self.vectors.astype(np.float64)
         self.norms = np.einsum("ij,ij->i", self.q, self.q)
         self.bound = np.full(len(self.q), np.inf)
+        places = sorted(self.places.values())
+        self.start_of = np.repeat([start for start, _ in places], [n for _, n in places])
         self.rows = pd.DataFrame({"q": np.empty(0, np.int64), "dist": np.empty(0), "id": np.empty(0, object)})
 
     def offer(self, scopes: pa.DictionaryArray, ids: np.ndarray, vectors: np.ndarray) -> None:
@@ -68,14 +70,10 @@ class _Best:
         firsts = docs.drop_duplicates(["start", "vector"])
         q_at, d_at = self._candidates(firsts, vectors)
         dist = self._exact(vectors, q_at, d_at)
-        near = pd.DataFrame({"q": q_at, "vector": d_at, "dist": dist})[dist <= self.bound[q_at]]
-        near["start"] = self._starts()[near["q"].to_numpy()]
+        near = pd.DataFrame({"q": q_at, "start": self.start_of[q_at], "vector": d_at, "dist": dist})
+        near = near[dist <= self.bound[q_at]]
         self._keep(near.merge(docs[["start", "vector", "id"]], on=["start", "vector"])[["q", "dist", "id"]])
 
-    def _starts(self) -> np.ndarray:
-        places = sorted(self.places.values())
-        return np.repeat([start for start, _ in places], [n for _, n in places])
-
     @staticmethod
     def _distinct(vectors: np.ndarray) -> np.ndarray:
         """For each row the first row holding the same vector."""
