@@ -46,15 +46,7 @@ def pair_turns(turns: DataFrame, span: int = SPAN) -> DataFrame:
         .select("conv_id", "turn", F.lit(False).alias("asks"))
     )
     long_ones = heads.select("conv_id").distinct()
-    order = Window.partitionBy("conv_id").orderBy("turn", "asks")
-    borders = (
-        last_asked.join(long_ones, "conv_id", "left_semi")
-        .unionByName(heads)
-        .select("conv_id", "turn", "asks", F.lead("turn").over(order).alias("next_turn"),
-                F.lead("asks").over(order).alias("next_asks"))
-        .where(F.col("asks") & ~F.col("next_asks"))
-        .select("conv_id", "turn", "next_turn")
-    )
+    borders = _followed(last_asked.join(long_ones, "conv_id", "left_semi").unionByName(heads), span)
     prompts = turns.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("user_prompt"))
     answers = turns.where((F.col("role") == "assistant") & (F.col("turn") >= span)).select(
         "conv_id", F.col("turn").alias("next_turn"), F.col("text").alias("model_response")
@@ -63,6 +55,31 @@ def pair_turns(turns: DataFrame, span: int = SPAN) -> DataFrame:
     return inside.unionByName(across.select(*columns))
 
 
+def _followed(markers: DataFrame, span: int) -> DataFrame:
+    """``conv_id, turn, next_turn``: each asking marker and the span head after it.
+
+    Markers are at most two narrow rows per span; even so they meet in blocks of spans
+    first, and only what borders a block meets the rest of its conversation.
+    """
+    found = []
+    for width in (span * SPAN, None):
+        block = F.floor(F.col("turn") / width) if width else F.lit(0)
+        w = Window.partitionBy("conv_id", "block").orderBy("turn", "asks")
+        seen = markers.withColumn("block", block).select(
+            "conv_id",
+            "turn",
+            "asks",
+            F.lead("turn").over(w).alias("next_turn"),
+            F.lead("asks").over(w).alias("next_asks"),
+            F.row_number().over(w).alias("place"),
+        )
+        found.append(seen.where(F.col("asks") & ~F.col("next_asks")).select("conv_id", "turn", "next_turn"))
+        open_ended = F.col("asks") & F.col("next_asks").isNull()
+        first = ~F.col("asks") & (F.col("place") == 1)
+        markers = seen.where(open_ended | first).select("conv_id", "turn", "asks")
+    return found[0].unionByName(found[1])
+
+
 def truncate_to_last_user(turns: DataFrame) -> DataFrame:
     """Turns up to the last user turn; a conversation without one is dropped.
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import pytest
-from hypothesis import given, settings, strategies as st
+from hypothesis import HealthCheck, given, settings, strategies as st
 
+from gleanery.operators import conversations
 from gleanery.operators.conversations import pair_turns, truncate_to_last_user
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -14,6 +15,8 @@ FIXED = [
     (3, 0, "user"), (3, 5, "user"), (3, 9, "assistant"), (3, 40, "assistant"),
     (4, 3, "user"), (4, 4, "system"), (4, 5, "assistant"),
     (5, 7, "user"), (5, 8, "assistant"), (5, 31, "user"), (5, 64, "assistant"),
+    (6, 5, "user"), (6, 5000, "assistant"), (6, 5001, "user"), (6, 9_000_000, "user"), (6, 40_000_000, "assistant"),
+    (6, 40_000_001, "user"), (6, 40_000_002, "system"), (6, 90_000_000, "user"),
 ]
 
 
@@ -57,6 +60,17 @@ turns = st.lists(
 )
 
 
+@pytest.fixture()
+def tiny_blocks(monkeypatch):
+    monkeypatch.setattr(conversations, "SPAN", 2)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(turns, st.integers(1, 4))
+def test_random_conversations_in_tiny_blocks(spark, tiny_blocks, rows, span):
+    assert sorted(tuple(r) for r in pair_turns(table(spark, rows), span).collect()) == sorted(model_pairs(rows))
+
+
 @settings(max_examples=8, deadline=None)
 @given(turns, st.integers(1, 6))
 def test_random_conversations(spark, rows, span):

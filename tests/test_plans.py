@@ -1,0 +1,82 @@
+"""The plans are the ones wanted: narrow scans, pushed filters, no stray shuffles."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from gleanery.operators import messages as m
+from gleanery.operators.embedding import HashedWords
+from gleanery.operators.keyed import crawl_log
+from gleanery.operators.links import extract_links, host_edges, resolve_links
+from gleanery.operators.ownership import documents_for_user, ownership_edges
+from gleanery.operators.topk import nearest, nearest_rows
+from gleanery.plans.build_index import build_index, documents_of, page_texts
+from gleanery.sources.store import Store
+from tests.test_streams import MESSAGE, body, page
+
+EMBEDDER = HashedWords(16)
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(df) -> list[set[str]]:
+    """Columns each Parquet scan reads."""
+    return [set(re.findall(r"(\w+):", schema)) for schema in re.findall(r"ReadSchema: struct<(.*?)>(?:\s|$)", plan(df))]
+
+
+@pytest.fixture(scope="module")
+def store(spark, tmp_path_factory):
+    built = Store(spark, str(tmp_path_factory.mktemp("index")))
+    rows = [(f"p{n}", page(f"http://h{n}.org", body(20 + n, f"x{n}y"), f"u{n % 3}"), n) for n in range(12)]
+    build_index(m.parse_page_events(spark.createDataFrame(rows, MESSAGE)), built, EMBEDDER, run=1)
+    return built
+
+
+def test_narrow_operators_read_narrow_columns(store):
+    events = store.read("page_events")
+    assert scans(crawl_log(events)) == [{"url", "ts", "ingest_seq"}]
+    assert scans(ownership_edges(events)) == [{"url_key", "user_id", "n_words"}]
+
+
+def test_ranking_reads_vectors_and_not_texts(spark, store):
+    asked = EMBEDDER.embed(spark.createDataFrame([("1", "x1y3 x1y4", "")], "qid string, prompt string, user_id string"), "prompt")
+    ranked = nearest(asked, store.documents())
+    assert all("chunk" not in columns for columns in scans(ranked))
+    fetched = nearest_rows(asked, store.documents(), ["chunk"])
+    assert [("chunk" in c, "embed" in c) for c in scans(fetched)] == [(False, True), (True, False)]
+    assert "SortMergeJoin" not in plan(fetched)
+
+
+def test_user_filter_reaches_the_scan(spark, store):
+    asked = EMBEDDER.embed(spark.createDataFrame([("1", "x", "u1")], "qid string, prompt string, user_id string"), "prompt")
+    scoped = nearest(asked, store.documents(), ownership=store.read("ownership"))
+    assert re.search(r"PushedFilters: \[[^]]*EqualTo\(user_id,u1\)", plan(scoped))
+    assert re.search(r"PushedFilters: \[[^]]*EqualTo\(user_id,u2\)", plan(documents_for_user(store.documents(), store.read("ownership"), "u2")))
+
+
+def test_python_runs_once_per_row(spark, store):
+    pages = store.snapshots().select("url", "html")
+    assert plan(resolve_links(extract_links(pages))).count("ArrowEvalPython") == 1
+    assert plan(host_edges(pages)).count("ArrowEvalPython") == 1
+    events = store.read("page_events").drop("text", "n_words", "url_key")
+    assert plan(page_texts(events)).count("ArrowEvalPython") == 1
+
+
+def test_link_edges_need_no_shuffle(store):
+    assert "Exchange" not in plan(host_edges(store.read("page_snapshots")))
+
+
+def test_documents_are_made_without_a_shuffle(store):
+    texts = store.read("page_events").select("url_key", "text")
+    assert "Exchange" not in plan(documents_of(texts, EMBEDDER))
+
+
+def test_expressions_compile(store):
+    """Cleaning and chunking stay in generated code."""
+    cleaned = documents_of(store.read("page_events").select("url_key", F.lower("text").alias("text")), EMBEDDER)
+    assert plan(cleaned).count("*(") >= 3
