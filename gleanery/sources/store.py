@@ -93,6 +93,7 @@ class Store:
             "documents": self.documents,
             "ownership": self.ownership,
             "crawl_log": lambda: latest_by(self.read("crawl_log"), ["url_key", "url"], "commit_id"),
+            "conversations": lambda: latest_by(self.read("conversations"), ["id"], "commit_id"),
         }
         compacted = Store(self.spark, self.root, **{table: folder})
         compacted.write(table, views[table](), run=0, batch_id=0)

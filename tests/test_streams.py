@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gleanery.operators import messages as m
 from gleanery.operators.embedding import HashedWords
 from gleanery.plans.build_index import build_index, reindex
+from gleanery.plans.migrate import import_pages
 from gleanery.session import shared_dir
 from gleanery.sources.messages import read_chat_events, read_messages, read_page_events, write_messages
 from gleanery.sources.pages import export_crawl_log, read_crawl_logs, read_snapshots
@@ -119,6 +120,25 @@ def test_stored_page_folder(spark, tmp_path):
     assert {tuple(r) for r in back.collect()} == {(odd, "http://x", "5"), (odd, "https://x", "6")}
 
 
+def test_a_page_folder_is_taken_over(spark, tmp_path):
+    pages = tmp_path / "html"
+    pages.mkdir()
+    (pages / "p.html").write_text(body(400))
+    (pages / "q.html").write_text("<body>q</body>")
+    (pages / "p.log").write_text("url,timestamp\nhttp://p,5\nhttps://p,6\n")
+    store = Store(spark, f"{tmp_path}/store")
+    import_pages(str(pages), store, run=1)
+    rebuilt = reindex(store, EMBEDDER, "documents-1")
+    assert ids(rebuilt.documents()) == ["p_0", "p_1", "q_0"]
+    assert {(r.url_key, r.url, r.ts) for r in store.snapshots().collect()} == {("p", "https://p", 6), ("q", None, None)}
+    assert store.crawl_log().count() == 2 and store.ownership().count() == 0
+
+    # events arriving later replace the imported page
+    parsed = m.parse_page_events(spark.createDataFrame([("p", page("http://p", body(3)), 1)], MESSAGE))
+    build_index(parsed, rebuilt, EMBEDDER, run=2)
+    assert ids(rebuilt.documents()) == ["p_0", "q_0"]
+
+
 def feed(folder, name, messages):
     folder.mkdir(exist_ok=True)
     lines = [json.dumps({"key": k, "value": v, "seq": s}) for k, v, s in messages]
@@ -227,6 +247,10 @@ def test_chat_stream_restarts_without_loss_or_duplicates(spark, tmp_path):
     assert rows["a"] == "one, repeated later" and rows["b"] == "two again" and len(rows) == 3
     assert "no key" in rows.values()
     assert [r.value for r in store.read("chat_dead_letter").collect()] == ["junk"]
+    store.compact("conversations", "conversations-compact")
+    compacted = Store(spark, store.root, conversations="conversations-compact")
+    assert {r.id: r.user_prompt for r in compacted.conversations().collect()} == rows
+    assert compacted.read("conversations").count() == 3
 
 
 def test_shared_dir_is_the_named_one(spark):
