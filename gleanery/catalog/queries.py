@@ -198,7 +198,7 @@ def non_empty_questions(spark, sf_dir):
 def valid_crawl_requests(spark, sf_dir):
     """Depth is the page number in the URL minus one, where there is one."""
     number = F.nullif(F.regexp_extract("url", r"[?&]page=(\d+)", 1), F.lit(""))
-    good, bad = valid_depth(_pages(spark, sf_dir).select("url", (number.cast("int") - 1).alias("depth")))
+    good, bad = valid_depth(_pages(spark, sf_dir).select("url", (number.try_cast("int") - 1).alias("depth")))
     rejected = bad.select(F.get_json_object("value", "$.url").alias("url"), F.lit(None).cast("int").alias("depth"), "reason")
     return good.withColumn("reason", F.lit("ok")).unionByName(rejected)
 
@@ -296,8 +296,9 @@ def paired_turns(spark, sf_dir):
 
 @query
 def paired_turns_short_spans(spark, sf_dir):
-    """The same pairs with spans so short that most pairs cross a border."""
-    return pair_turns(i.table(spark, sf_dir, "conversations"), span=2)
+    """The same pairs with every conversation held to be long, in spans so short that
+    most pairs cross a border."""
+    return pair_turns(i.table(spark, sf_dir, "conversations"), long=0, span=2)
 
 
 @query

@@ -1,23 +1,36 @@
 """Operators on turn tables ``conv_id, turn, role, text``.
 
-One conversation may hold a third of all turns, so nothing gathers a conversation in
-one task: windows run over spans of consecutive turn numbers, and only one narrow row
-per span meets its neighbours.
+One conversation may hold a third of all turns. Conversations too long for one task are
+found by a count first; only their windows run over spans of consecutive turn numbers,
+and only one narrow row per span meets its neighbours.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from gleanery.operators.sizing import BROADCAST_BYTES, measured
+
+LONG = 1_000_000  # turns
 SPAN = 1024
 
+_PAIR = ["conv_id", "turn", "user_prompt", "model_response"]
+
 
-def pair_turns(turns: DataFrame, span: int = SPAN) -> DataFrame:
+def pair_turns(turns: DataFrame, long: int = LONG, span: int = SPAN) -> DataFrame:
     """Each user turn directly followed by an assistant turn, as one chat event."""
-    # inside a span
-    placed = turns.withColumn("span_no", F.floor(F.col("turn") / span))
-    w = Window.partitionBy("conv_id", "span_no").orderBy("turn")
-    seen = placed.select(
+    counted = turns.groupBy("conv_id").agg(F.count("*").alias("n"))
+    long_ones, size = measured(counted.where(F.col("n") > long).select("conv_id"))
+    if size == 0:
+        return _adjacent(turns, "conv_id")
+    long_ones = F.broadcast(long_ones) if size <= BROADCAST_BYTES else long_ones
+    usual = _adjacent(turns.join(long_ones, "conv_id", "left_anti"), "conv_id")
+    return usual.unionByName(_pairs_in_spans(turns.join(long_ones, "conv_id", "left_semi"), span))
+
+
+def _adjacent(turns: DataFrame, *within: str) -> DataFrame:
+    w = Window.partitionBy(*within).orderBy("turn")
+    seen = turns.select(
         "conv_id",
         "turn",
         "role",
@@ -25,34 +38,28 @@ def pair_turns(turns: DataFrame, span: int = SPAN) -> DataFrame:
         F.lead("role").over(w).alias("next_role"),
         F.lead("text").over(w).alias("model_response"),
     )
-    asked = seen.where(F.col("role") == "user")
-    columns = ["conv_id", "turn", "user_prompt", "model_response"]
-    inside = asked.where(F.col("next_role") == "assistant").select(*columns)
-
-    # across a span border: a user turn ending its span, and the first turn of the next
-    # non-empty span. Only long conversations have turns numbered >= span, and that
-    # filter reaches the scan.
-    narrow = placed.select("conv_id", "span_no", "turn", "role")
-    last_asked = (
-        narrow.groupBy("conv_id", "span_no")
-        .agg(F.max("turn").alias("turn"), F.max_by(F.col("role") == "user", "turn").alias("is_user"))
-        .where("is_user")
-        .select("conv_id", "turn", F.lit(True).alias("asks"))
+    return seen.where((F.col("role") == "user") & (F.col("next_role") == "assistant")).select(*_PAIR)
+
+
+def _pairs_in_spans(turns: DataFrame, span: int) -> DataFrame:
+    """The pairs inside a span, and those across a border: a user turn ending its span
+    and the first turn of the next span that has any."""
+    placed = turns.withColumn("span_no", F.floor(F.col("turn") / span))
+    inside = _adjacent(placed, "conv_id", "span_no")
+    ends = placed.groupBy("conv_id", "span_no").agg(
+        F.min("turn").alias("head"),
+        F.max("turn").alias("turn"),
+        F.max_by(F.col("role") == "user", "turn").alias("asks"),
     )
-    heads = (
-        narrow.where(F.col("turn") >= span)
-        .groupBy("conv_id", "span_no")
-        .agg(F.min("turn").alias("turn"))
-        .select("conv_id", "turn", F.lit(False).alias("asks"))
+    markers = ends.where("asks").select("conv_id", "turn", "asks").unionByName(
+        ends.select("conv_id", F.col("head").alias("turn"), F.lit(False).alias("asks"))
     )
-    long_ones = heads.select("conv_id").distinct()
-    borders = _followed(last_asked.join(long_ones, "conv_id", "left_semi").unionByName(heads), span)
     prompts = turns.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("user_prompt"))
-    answers = turns.where((F.col("role") == "assistant") & (F.col("turn") >= span)).select(
+    answers = turns.where(F.col("role") == "assistant").select(
         "conv_id", F.col("turn").alias("next_turn"), F.col("text").alias("model_response")
     )
-    across = borders.join(answers, ["conv_id", "next_turn"]).join(prompts, ["conv_id", "turn"])
-    return inside.unionByName(across.select(*columns))
+    across = _followed(markers, span).join(answers, ["conv_id", "next_turn"]).join(prompts, ["conv_id", "turn"])
+    return inside.unionByName(across.select(*_PAIR))
 
 
 def _followed(markers: DataFrame, span: int) -> DataFrame:

@@ -16,12 +16,14 @@ from gleanery.sources.store import Store
 def append_conversations(parsed: DataFrame, store: Store, run: int, batch_id: int) -> None:
     """One micro-batch of chat events; of a repeated id the last arrival is kept."""
     parsed = numbered(parsed, "seq").persist()  # a micro-batch, read for both tables; recomputed if lost
-    good = valid(parsed)
-    fields = [c for c in good.columns if c != "id"]
-    last = good.groupBy("id").agg(F.max_by(F.struct(*fields), "seq").alias("row")).select("id", "row.*")
-    store.write("conversations", last, run, batch_id)
-    store.write("chat_dead_letter", dead_letter(parsed), run, batch_id)
-    parsed.unpersist()
+    try:
+        good = valid(parsed)
+        fields = [c for c in good.columns if c != "id"]
+        last = good.groupBy("id").agg(F.max_by(F.struct(*fields), "seq").alias("row")).select("id", "row.*")
+        store.write("conversations", last, run, batch_id)
+        store.write("chat_dead_letter", dead_letter(parsed), run, batch_id)
+    finally:
+        parsed.unpersist()
 
 
 def _start(parsed: DataFrame, each, checkpoint: str, available_now: bool, interval: str | None) -> StreamingQuery:

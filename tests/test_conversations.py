@@ -42,9 +42,9 @@ def model_cut(rows):
     return {(c, t, r) for c, t, r in rows if t <= last.get(c, -1)}
 
 
-@pytest.mark.parametrize("span", [1, 2, 3, 8, 1024])
-def test_pairs_whatever_the_span(spark, span):
-    got = pair_turns(table(spark, FIXED), span).collect()
+@pytest.mark.parametrize("long,span", [(0, 1), (0, 2), (3, 3), (0, 8), (4, 1024), (1000, 2)])
+def test_pairs_whatever_is_long(spark, long, span):
+    got = pair_turns(table(spark, FIXED), long, span).collect()
     assert len(got) == len(model_pairs(FIXED))
     assert {tuple(r) for r in got} == model_pairs(FIXED)
 
@@ -68,12 +68,12 @@ def tiny_blocks(monkeypatch):
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(turns, st.integers(1, 4))
 def test_random_conversations_in_tiny_blocks(spark, tiny_blocks, rows, span):
-    assert sorted(tuple(r) for r in pair_turns(table(spark, rows), span).collect()) == sorted(model_pairs(rows))
+    assert sorted(tuple(r) for r in pair_turns(table(spark, rows), 0, span).collect()) == sorted(model_pairs(rows))
 
 
 @settings(max_examples=8, deadline=None)
-@given(turns, st.integers(1, 6))
-def test_random_conversations(spark, rows, span):
+@given(turns, st.integers(0, 15), st.integers(1, 6))
+def test_random_conversations(spark, rows, long, span):
     df = table(spark, rows)
-    assert sorted(tuple(r) for r in pair_turns(df, span).collect()) == sorted(model_pairs(rows))
+    assert sorted(tuple(r) for r in pair_turns(df, long, span).collect()) == sorted(model_pairs(rows))
     assert {(r.conv_id, r.turn, r.role) for r in truncate_to_last_user(df).collect()} == model_cut(rows)
