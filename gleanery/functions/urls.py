@@ -94,5 +94,4 @@ def with_target(links: DataFrame, href: str = "href", base: str = "url") -> Data
         .when(F.col("_kind").isNotNull() & (F.col("_base") != ""), normalized)
         .when(raw.startswith("http"), raw)
     )
-    found = F.when(target.isNotNull(), F.array(target))
-    return split.select(*links.columns, F.explode(found).alias("target"))
+    return split.select(*links.columns, F.explode(F.array_compact(F.array(target))).alias("target"))

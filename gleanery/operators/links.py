@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from gleanery.functions.html import hrefs, unescape_html
 from gleanery.functions.text import urls_in
 from gleanery.functions.urls import url_host, with_target
-from gleanery.operators.sizing import broadcast_if_small
+from gleanery.operators.sizing import BROADCAST_BYTES, broadcast_if_small, measured
 from gleanery.session import shared_dir
 
 
@@ -59,13 +59,15 @@ def host_edges(pages: DataFrame) -> DataFrame:
     leaving the page's own host can be dropped before any walk starts. Repeats are dropped
     inside the page's row, so the edges of all pages need no shuffle.
     """
-    placed = pages.select("url", url_host(F.col("url")).alias("host"), F.array_distinct(hrefs(F.col("html"))).alias("raw"))
-    links = placed.select("url", "host", F.explode("raw").alias("raw"))
+    # exploding the expression, not a column holding it, keeps the optimizer from adding a
+    # "not empty" filter that would extract the links a second time
+    found = F.explode(F.array_distinct(hrefs(F.col("html"))))
+    links = pages.select("url", url_host(F.col("url")).alias("host"), found.alias("raw"))
     decoded = links.select("url", "host", unescape_html(F.col("raw")).alias("href"))
     return same_host(resolve_links(decoded)).select("url", "target")
 
 
-def crawl_reach(pages: DataFrame, seeds: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+def crawl_reach(pages: DataFrame, seeds: DataFrame) -> DataFrame:
     """``seed, url, depth``: captured pages within each seed's depth, at least depth.
 
     Breadth-first over edges between captured pages. A round is one equi-join of the
@@ -82,7 +84,7 @@ def crawl_reach(pages: DataFrame, seeds: DataFrame, edges: DataFrame | None = No
     if deepest <= 1:
         return frontier.select("seed", "url", "depth")
 
-    edges = host_edges(on_hosts_of(pages, started.withColumnRenamed("seed", "url"))) if edges is None else edges
+    edges = host_edges(on_hosts_of(pages, started.withColumnRenamed("seed", "url")))
     steps = edges.join(captured.withColumnRenamed("url", "target"), "target", "left_semi").distinct().checkpoint()
     frontier = frontier.checkpoint()
     rounds = [frontier]
@@ -106,13 +108,16 @@ def crawl_reach(pages: DataFrame, seeds: DataFrame, edges: DataFrame | None = No
     return reached.select("seed", "url", "depth")
 
 
-def crawl_frontier(pages: DataFrame, reach: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+def crawl_frontier(pages: DataFrame, reach: DataFrame) -> DataFrame:
     """``seed, url, target, depth``: same-host links of reached pages to pages not yet
     captured, with the depth at which a fetcher would visit them."""
-    edges = host_edges(pages) if edges is None else edges
     captured = pages.select(F.col("url").alias("target")).distinct()
-    reached = reach.select("url").distinct()
-    missing = edges.join(reached, "url", "left_semi").distinct().join(captured, "target", "left_anti")
+    reached, size = measured(reach.select("url").distinct())
+    if size <= BROADCAST_BYTES:  # only the html of reached pages is parsed
+        edges = host_edges(pages.join(F.broadcast(reached), "url", "left_semi"))
+    else:  # links are narrower to shuffle than html
+        edges = host_edges(pages).join(reached, "url", "left_semi")
+    missing = edges.distinct().join(captured, "target", "left_anti")
     return reach.join(missing, "url").select(
         "seed", "url", "target", (F.col("depth") + 1).alias("depth")
     )

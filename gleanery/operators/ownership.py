@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from gleanery.operators.chunks import chunk_count, document_id
+from gleanery.operators.sizing import broadcast_if_small
 
 
 def ownership_edges(texts: DataFrame) -> DataFrame:
@@ -22,6 +23,7 @@ def ownership_edges(texts: DataFrame) -> DataFrame:
 
 
 def documents_for_user(documents: DataFrame, ownership: DataFrame, user_id: str) -> DataFrame:
-    """Documents the user contributed to; edges act as a set."""
-    mine = ownership.where(F.col("user_id") == user_id).select(F.col("document_id").alias("id"))
-    return documents.join(mine, "id", "left_semi")
+    """Documents the user contributed to; edges act as a set. A user's edges are measured
+    first: when few, the documents are filtered where they lie."""
+    mine = ownership.where(F.col("user_id") == user_id).select(F.col("document_id").alias("id")).distinct()
+    return documents.join(broadcast_if_small(mine), "id", "left_semi").select(*documents.columns)

@@ -3,8 +3,9 @@
 No question x document pair is ever a row. The questions (the small side, measured
 first) are broadcast as matrices; every task streams its Arrow batches of vectors past
 them and keeps k candidates per question, so what leaves a task is at most k rows per
-question. Vectors are never shuffled, whatever their distribution. The second stage
-ranks those few rows per question.
+question. Vectors stay where they are scanned, whatever their distribution; only finding
+the documents of users who own very many takes a join. The second stage ranks the few rows
+per question.
 
 Questions beyond the broadcast bound are answered in rounds of bounded size, each one
 checkpointed, so no broadcast grows with the data.
@@ -19,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gleanery.operators.sizing import BROADCAST_BYTES, measured, row_bytes
+from gleanery.operators.sizing import BROADCAST_BYTES, broadcast_if_small, measured, row_bytes
 
 K = 7
 PAIR_BLOCK = 4 << 20  # distances held at once by one task
@@ -189,7 +190,9 @@ def _scoped(scopes: set[str], documents: DataFrame, ownership: DataFrame | None)
             asking = ownership.sparkSession.createDataFrame([(u,) for u in users], "user_id string")
             mine = ownership.join(F.broadcast(asking), "user_id", "left_semi")
         mine = mine.select(F.col("user_id").alias("scope"), F.col("document_id").alias("id")).distinct()
-        frames.append(documents.join(mine, "id").select("scope", "id", "embed"))
+        # measured, as a filtered table looks as large as the whole to the optimizer, and
+        # shuffling all vectors to find a few users' would be the dearest step
+        frames.append(documents.join(broadcast_if_small(mine), "id").select("scope", "id", "embed"))
     both = frames[0]
     for frame in frames[1:]:
         both = both.unionByName(frame)

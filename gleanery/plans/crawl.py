@@ -6,7 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
-from gleanery.operators.links import crawl_frontier, crawl_reach, extract_urls, host_edges, on_hosts_of, valid_depth
+from gleanery.operators.links import crawl_frontier, crawl_reach, extract_urls, valid_depth
 
 
 class CrawlPlan(NamedTuple):
@@ -21,7 +21,5 @@ def crawl_plan(requests: DataFrame, pages: DataFrame) -> CrawlPlan:
     valid seeds, the captured pages within depth, and what to fetch next."""
     seeds, rejected = valid_depth(extract_urls(requests.select("text", "depth"), "text"))
     seeds = seeds.groupBy("url").agg(F.max("depth").alias("depth"))
-    pages = on_hosts_of(pages, seeds)
-    edges = host_edges(pages)
-    reach = crawl_reach(pages, seeds, edges)
-    return CrawlPlan(seeds, reach, crawl_frontier(pages, reach, edges), rejected)
+    reach = crawl_reach(pages, seeds)
+    return CrawlPlan(seeds, reach, crawl_frontier(pages, reach), rejected)

@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from gleanery.operators import messages as m
+from gleanery.operators import messages as m, sizing
 from gleanery.operators.embedding import HashedWords
 from gleanery.operators.keyed import crawl_log
 from gleanery.operators.links import extract_links, host_edges, resolve_links
@@ -52,17 +52,29 @@ def test_ranking_reads_vectors_and_not_texts(spark, store):
     assert "SortMergeJoin" not in plan(fetched)
 
 
-def test_user_filter_reaches_the_scan(spark, store):
+def test_user_filter_reaches_the_scan(spark, store, monkeypatch):
     asked = EMBEDDER.embed(spark.createDataFrame([("1", "x", "u1")], "qid string, prompt string, user_id string"), "prompt")
+    pushed = []
+    original = sizing.measured
+
+    def spy(df):
+        pushed.extend(re.findall(r"PushedFilters: \[[^]]*EqualTo\(user_id,(\w+)\)", plan(df)))
+        return original(df)
+
+    monkeypatch.setattr(sizing, "measured", spy)
     scoped = nearest(asked, store.documents(), ownership=store.read("ownership"))
-    assert re.search(r"PushedFilters: \[[^]]*EqualTo\(user_id,u1\)", plan(scoped))
-    assert re.search(r"PushedFilters: \[[^]]*EqualTo\(user_id,u2\)", plan(documents_for_user(store.documents(), store.read("ownership"), "u2")))
+    mine = documents_for_user(store.documents(), store.read("ownership"), "u2")
+    assert pushed == ["u1", "u2"]
+    assert "SortMergeJoin" not in plan(scoped) + plan(mine)
 
 
 def test_python_runs_once_per_row(spark, store):
     pages = store.snapshots().select("url", "html")
     assert plan(resolve_links(extract_links(pages))).count("ArrowEvalPython") == 1
     assert plan(host_edges(pages)).count("ArrowEvalPython") == 1
+    for links in (host_edges(pages), resolve_links(extract_links(pages))):
+        assert plan(links).count("regexp_extract_all(html") == 1
+        assert plan(links).count("(?s).,") == 2  # path and suffix, each escaped once
     events = store.read("page_events").drop("text", "n_words", "url_key")
     assert plan(page_texts(events)).count("ArrowEvalPython") == 1
 
