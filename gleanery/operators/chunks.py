@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gleanery.functions.text import words
 
-SIZE, OVERLAP = 512, 128
+SIZE, OVERLAP = 512, 128  # fixed values, in words
 
 
 def chunk_count(n_words: Column, size: int = SIZE, overlap: int = OVERLAP) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from gleanery.operators.sizing import BROADCAST_BYTES, broadcast_if_small, measured, row_bytes
 
-K = 7
+K = 7  # fixed value: documents found per question
 PAIR_BLOCK = 4 << 20  # distances held at once by one task
 FEW_HITS = 250_000  # rows of a question id, a document id and two numbers
 SMALL_SCOPE = 1 << 14  # pairs of a scope in a batch below which all are compared
@@ -187,7 +187,7 @@ def _scoped(scopes: set[str], documents: DataFrame, ownership: DataFrame | None)
         if len(users) <= 256:
             mine = ownership.where(F.col("user_id").isin(users))
         else:
-            asking = ownership.sparkSession.createDataFrame([(u,) for u in users], "user_id string")
+            asking = ownership.sparkSession.createDataFrame(pa.table({"user_id": users}))
             mine = ownership.join(F.broadcast(asking), "user_id", "left_semi")
         mine = mine.select(F.col("user_id").alias("scope"), F.col("document_id").alias("id")).distinct()
         # measured, as a filtered table looks as large as the whole to the optimizer, and

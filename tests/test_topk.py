@@ -95,6 +95,18 @@ def test_rounds_beyond_the_broadcast_bound(spark):
     assert found(got) == brute(asked, docs, 7, owned)
 
 
+def test_more_users_than_a_filter_lists(spark):
+    rng = np.random.default_rng(3)
+    docs = [(f"d{n}", rng.normal(size=4).tolist()) for n in range(40)]
+    asked = [(f"q{n}", f"u{n}", rng.normal(size=4).tolist()) for n in range(300)]
+    owned = {(d, f"u{n}") for n in range(0, 400, 3) for d, _ in docs[n % 7 :: 5]}
+    got = nearest(
+        spark.createDataFrame(asked, ASKED), spark.createDataFrame(docs, DOCS), 7,
+        spark.createDataFrame(sorted(owned), OWNED),
+    )
+    assert found(got) == brute(asked, docs, 7, owned)
+
+
 def test_no_questions_no_documents(spark):
     asked, docs, _ = case(1, 5, 2, users=0)
     a, d = spark.createDataFrame(asked, ASKED), spark.createDataFrame(docs, DOCS)
