@@ -87,11 +87,23 @@ def _followed(markers: DataFrame, span: int) -> DataFrame:
     return found[0].unionByName(found[1])
 
 
-def truncate_to_last_user(turns: DataFrame) -> DataFrame:
+def truncate_to_last_user(turns: DataFrame, long: int = LONG) -> DataFrame:
     """Turns up to the last user turn; a conversation without one is dropped.
 
-    The cut per conversation is a hash aggregate; the join back has one row per
-    conversation on its small side, so a hot conversation is split by AQE.
+    The cut per conversation is a hash aggregate. Long conversations, which are few, get
+    theirs by broadcast and are not shuffled; the rest join theirs.
     """
-    cuts = turns.where(F.col("role") == "user").groupBy("conv_id").agg(F.max("turn").alias("_cut"))
-    return turns.join(cuts, "conv_id").where(F.col("turn") <= F.col("_cut")).select(*turns.columns)
+    cuts = turns.groupBy("conv_id").agg(
+        F.count("*").alias("n"), F.max(F.when(F.col("role") == "user", F.col("turn"))).alias("cut")
+    )
+
+    def cut(rows: DataFrame, at: DataFrame) -> DataFrame:
+        return rows.join(at, "conv_id").where(F.col("turn") <= F.col("cut")).select(*turns.columns)
+
+    long_ones, size = measured(cuts.where(F.col("n") > long).drop("n"))
+    cuts = cuts.drop("n")
+    if size == 0 or size > BROADCAST_BYTES:
+        return cut(turns, cuts)
+    long_ones = F.broadcast(long_ones)
+    usual = turns.join(long_ones, "conv_id", "left_anti")
+    return cut(turns, long_ones).unionByName(cut(usual, cuts))

@@ -49,8 +49,10 @@ def test_pairs_whatever_is_long(spark, long, span):
     assert {tuple(r) for r in got} == model_pairs(FIXED)
 
 
-def test_cut_after_the_last_user_turn(spark):
-    got = truncate_to_last_user(table(spark, FIXED)).collect()
+@pytest.mark.parametrize("long", [0, 3, 1000])
+def test_cut_after_the_last_user_turn(spark, long):
+    got = truncate_to_last_user(table(spark, FIXED), long).collect()
+    assert len(got) == len(model_cut(FIXED))
     assert {(r.conv_id, r.turn, r.role) for r in got} == model_cut(FIXED)
 
 
@@ -76,4 +78,4 @@ def test_random_conversations_in_tiny_blocks(spark, tiny_blocks, rows, span):
 def test_random_conversations(spark, rows, long, span):
     df = table(spark, rows)
     assert sorted(tuple(r) for r in pair_turns(df, long, span).collect()) == sorted(model_pairs(rows))
-    assert {(r.conv_id, r.turn, r.role) for r in truncate_to_last_user(df).collect()} == model_cut(rows)
+    assert {(r.conv_id, r.turn, r.role) for r in truncate_to_last_user(df, long).collect()} == model_cut(rows)
