@@ -27,7 +27,8 @@ def read_messages(
     **options: str,
 ) -> DataFrame:
     """``key, value, seq`` of a topic or folder. ``options`` go to the reader as they are
-    (dots as ``__``, e.g. ``kafka__bootstrap__servers``)."""
+    (dots as ``__``, e.g. ``kafka__bootstrap__servers``); ``minPartitions`` splits a topic
+    partition that a much-captured page has swollen."""
     reader = spark.readStream if stream else spark.read
     for name, value in options.items():
         reader = reader.option(name.replace("__", "."), value)

@@ -104,6 +104,17 @@ def test_unknown_transports_are_refused(spark):
         write_messages(spark.createDataFrame([], MESSAGE), "carrier pigeon", "x")
 
 
+@pytest.mark.parametrize("stream", [False, True])
+def test_kafka_is_asked_for_by_name(spark, stream):
+    """No connector is at hand: Spark itself must be what refuses, naming it."""
+    servers = {"kafka__bootstrap__servers": "localhost:9092"}
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_page_events(spark, "kafka", "html", stream=stream, per_trigger=5, **servers)
+    if not stream:
+        with pytest.raises(Exception, match="(?i)kafka"):
+            write_messages(spark.createDataFrame([], MESSAGE), "kafka", "html", **servers)
+
+
 def test_stored_page_folder(spark, tmp_path):
     odd = "a.org_ü+%20 &=#1"
     (tmp_path / f"{odd}.html").write_text("<body>\n two\nlines</body>", encoding="utf-8")
