@@ -39,6 +39,8 @@ def build_index(parsed: DataFrame, store: Store, embedder: Embedder, run: int, b
     vetted = vetted.withColumn("reason", F.coalesce("reason", broken)).withColumn(
         "value", F.when(F.col("reason").isNotNull(), F.col("value"))
     )
+    # fixed by this write: tells apart events that were given one arrival number
+    vetted = vetted.withColumn("arrival", F.monotonically_increasing_id())
     store.write("page_events", vetted, run, batch_id)
 
     events = store.read_batch("page_events", run, batch_id)
@@ -47,7 +49,7 @@ def build_index(parsed: DataFrame, store: Store, embedder: Embedder, run: int, b
     store.write("crawl_log", crawl_log(good), run, batch_id)
     # every event's user gets edges, also when a later event replaced the page
     store.append_ownership(ownership_edges(good), run, batch_id)
-    latest = latest_by(good, ["url_key"], "ingest_seq")
+    latest = latest_by(latest_by(good, ["url_key"], "ingest_seq"), ["url_key"], "arrival")
     store.write("page_snapshots", latest, run, batch_id)
     store.upsert_documents(documents_of(latest.select("url_key", "text"), embedder), embedder.dim, run, batch_id)
 

@@ -37,7 +37,7 @@ QUERY = _struct("qid STRING, prompt STRING, user_id STRING")
 # Keyed tables. `commit_id` orders the batches that wrote the rows.
 TABLES: dict[str, T.StructType] = {
     "page_events": _struct(
-        "ingest_seq BIGINT, url_key STRING, url STRING, ts BIGINT, user_id STRING,"
+        "ingest_seq BIGINT, arrival BIGINT, url_key STRING, url STRING, ts BIGINT, user_id STRING,"
         " n_words INT, text STRING, html STRING, reason STRING, value STRING"
     ),
     "page_snapshots": _struct(

@@ -219,6 +219,14 @@ def test_replaying_a_batch_changes_nothing(spark, tmp_path):
     assert store.read("documents").first().commit_id == commit_id(1, 3)
 
 
+def test_one_snapshot_though_arrival_numbers_repeat(spark, tmp_path):
+    store = Store(spark, f"{tmp_path}/store")
+    rows = [("p", page("http://p", body(3, word)), 5) for word in "abcd"] + [("q", page("http://q", body(2)), 5)]
+    build_index(m.parse_page_events(spark.createDataFrame(rows, MESSAGE).repartition(3)), store, EMBEDDER, run=1)
+    assert sorted(r.url_key for r in store.snapshots().collect()) == ["p", "q"]
+    assert ids(store.documents()) == ["p_0", "q_0"]
+
+
 def test_later_runs_win(spark, tmp_path):
     store = Store(spark, f"{tmp_path}/store")
     for run, batch, word in ((1, 9, "old"), (2, 0, "new")):
