@@ -18,6 +18,7 @@ SQL_CONF = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
 
 
