@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from gleanery.llm.bpe import encode
 from gleanery.llm.decontaminate import benchmark_hits, n_hit
 from gleanery.llm.host_rules import STATS, quality_scores
+from gleanery.llm.near_dedup import near_duplicates
+from gleanery.llm.secret_scan import digest, secret_spans
 from gleanery.llm.texts import read
 from gleanery.session import shared_dir
 
@@ -16,6 +21,24 @@ def op2_host_quality(spark, sf_dir):
     return found.select("doc_id", *[f"quality.{s}" for s in STATS], "quality.base_failed", "quality.kept", "quality.host_rate")
 
 
+def op3_near_duplicates(spark, sf_dir):
+    return near_duplicates(read(spark, sf_dir, "documents"), shingle=4)
+
+
+def op4_secret_spans(spark, sf_dir):
+    spans = F.col("secrets")
+    base = F.filter(spans, lambda s: s["kind"] != "markov")
+    of_kind = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+    return secret_spans(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        of_kind("assign").alias("n_assign"),
+        of_kind("access").alias("n_access"),
+        of_kind("hex").alias("n_hex"),
+        F.sha2(digest(base), 256).alias("base_sha256"),
+        digest(spans).alias("spans"),
+    )
+
+
 def op7_benchmark_passages(spark, sf_dir):
     hits = benchmark_hits(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return hits.select(
@@ -28,9 +51,23 @@ def op7_benchmark_passages(spark, sf_dir):
     )
 
 
+def op8_byte_bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = F.col("bpe.ids")
+    return encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN).select(
+        "doc_id",
+        F.size(ids).cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("bpe.decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op2_host_quality": op2_host_quality,
+    "op3_near_duplicates": op3_near_duplicates,
+    "op4_secret_spans": op4_secret_spans,
     "op7_benchmark_passages": op7_benchmark_passages,
+    "op8_byte_bpe": op8_byte_bpe,
 }
 
 ORACLE: dict[str, str] = {}
