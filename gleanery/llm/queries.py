@@ -10,6 +10,7 @@ from gleanery.llm.bpe import encode
 from gleanery.llm.decontaminate import benchmark_hits, n_hit
 from gleanery.llm.host_rules import STATS, quality_scores
 from gleanery.llm.near_dedup import near_duplicates
+from gleanery.llm.quality import quality_scores as classified_quality
 from gleanery.llm.secret_scan import digest, secret_spans
 from gleanery.llm.texts import read
 from gleanery.session import shared_dir
@@ -62,12 +63,19 @@ def op8_byte_bpe(spark, sf_dir):
     )
 
 
+def op10_quality_classifier(spark, sf_dir):
+    scores = classified_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0)
+    return scores.select("doc_id", (F.col("fold") == 0).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 QUERIES = {
     "op2_host_quality": op2_host_quality,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_secret_spans": op4_secret_spans,
     "op7_benchmark_passages": op7_benchmark_passages,
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE: dict[str, str] = {}
