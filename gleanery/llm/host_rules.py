@@ -116,10 +116,10 @@ def host_rates(judged: DataFrame, host: str, failed: str) -> DataFrame:
     between = (spread - (F.col("H") - 1) * within) / (F.col("N") - F.col("N2") / F.col("N"))
     usable = (F.col("H") > 1) & (within > 0)
     strength = F.when(usable & (between > 0), F.greatest(within / between - 1, F.lit(1e-6))).otherwise(F.lit(1e9))
-    prior = sums.select(mean.alias("_mean"), strength.alias("_strength"))
-    shrunk = (F.col("n_failed") + F.col("_mean") * F.col("_strength")) / (F.col("n") + F.col("_strength"))
-    # one row of prior beside the hosts
-    return hosts.join(F.broadcast(prior)).select("host", "n", "n_failed", rate.alias("rate"), shrunk.alias("shrunk"))
+    mean, strength = sums.select(mean, strength).first()
+    # without hosts there is no mean, and no row that it would be for
+    shrunk = (F.col("n_failed") + F.lit(mean) * strength) / (F.col("n") + strength)
+    return hosts.select("host", "n", "n_failed", rate.alias("rate"), shrunk.alias("shrunk"))
 
 
 def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:

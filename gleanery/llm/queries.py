@@ -8,14 +8,23 @@ import public_tokenizers
 
 from gleanery.llm.bpe import encode
 from gleanery.llm.decontaminate import benchmark_hits, n_hit
+from gleanery.llm.hmm import score_texts
 from gleanery.llm.host_rules import STATS, quality_scores
+from gleanery.llm.language import identify, train
 from gleanery.llm.near_dedup import near_duplicates
 from gleanery.llm.quality import quality_scores as classified_quality
 from gleanery.llm.secret_scan import digest, secret_spans
-from gleanery.llm.texts import read
+from gleanery.llm.texts import fold, read
 from gleanery.session import shared_dir
 
 
+def op1_hidden_markov(spark, sf_dir):
+    scores = score_texts(read(spark, sf_dir, "documents"), fold(7) != 2)
+    return scores.select(
+        "doc_id", (~F.col("learned_from")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op2_host_quality(spark, sf_dir):
     shared_dir(spark)
     found = quality_scores(read(spark, sf_dir, "documents"))
@@ -40,6 +49,13 @@ def op4_secret_spans(spark, sf_dir):
     )
 
 
+def op5_language(spark, sf_dir):
+    docs, path = read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    model = train(docs.where(fold(4) != 2), path)
+    judged = identify(docs.withColumn("held_out", fold(4) == 2), model, path)
+    return judged.select("doc_id", "held_out", "language.lang_pred", "language.score")
+
+
 def op7_benchmark_passages(spark, sf_dir):
     hits = benchmark_hits(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return hits.select(
@@ -70,9 +86,11 @@ def op10_quality_classifier(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_hidden_markov": op1_hidden_markov,
     "op2_host_quality": op2_host_quality,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_secret_spans": op4_secret_spans,
+    "op5_language": op5_language,
     "op7_benchmark_passages": op7_benchmark_passages,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_quality_classifier": op10_quality_classifier,
