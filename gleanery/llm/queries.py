@@ -13,6 +13,7 @@ from gleanery.llm.host_rules import STATS, quality_scores
 from gleanery.llm.language import identify, train
 from gleanery.llm.near_dedup import near_duplicates
 from gleanery.llm.quality import quality_scores as classified_quality
+from gleanery.llm.repeats import remove_repeats
 from gleanery.llm.secret_scan import digest, secret_spans
 from gleanery.llm.texts import fold, read
 from gleanery.session import shared_dir
@@ -79,6 +80,17 @@ def op8_byte_bpe(spark, sf_dir):
     )
 
 
+def op9_repeated_bytes(spark, sf_dir):
+    found = remove_repeats(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_quality_classifier(spark, sf_dir):
     scores = classified_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0)
@@ -93,6 +105,7 @@ QUERIES = {
     "op5_language": op5_language,
     "op7_benchmark_passages": op7_benchmark_passages,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_repeated_bytes": op9_repeated_bytes,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
