@@ -10,7 +10,7 @@ from all their registers together by maximum likelihood given both sizes; pairs
 estimate is far below the threshold are dropped, the others are confirmed on full sets.
 
 A band's classes are not paired with one another. In a round each band offers a few pivots,
-twice as many as in the round before, to its other classes that do not belong to the
+eight times as many as in the round before, to its other classes that do not belong to the
 pivot's component yet; a pivot then has met all its band and leaves it. Bands whose classes
 are one component are done, so a group of near copies takes a round or two however large it
 is, and no link is skipped that could join two components.
@@ -22,6 +22,7 @@ its own id, and it is kept. Rows that share an id are judged one by one by their
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,7 @@ THRESHOLD = 80  # percent of the union
 BANDS, ROWS = 28, 4
 REGISTERS = BANDS * ROWS
 B, RATE = 1.001, 20.0  # of the registers: step of the exponents, rate of the variables
+PIVOTS, MORE = 4, 8  # of a band in the first round, and times as many in each next one
 DOUBT = 20  # percent below the threshold where an estimate is believed: over 5 standard errors
 
 _FACTORS = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
@@ -163,8 +165,8 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
     sets = few.select(_sets(shingle)(raw(text)).alias("s")).select("s.digest", "s.shingles").dropDuplicates(["digest"])
     sets = sets.join(wanted, "digest").select("id", "shingles").checkpoint()
     narrow = classes.select("id", "n", "registers")
-    tested = linked = roots = None
-    pivots = 1
+    tested = roots = None
+    pivots = PIVOTS
     while True:
         if roots is None:
             placed = members.withColumn("root", F.col("id"))
@@ -193,17 +195,19 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
         two = narrow.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"))
         near = pairs.join(one, "a").join(two, "b").where(100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
         near = near.where(100 * similarity("r_a", "r_b", "n_a", "n_b") >= threshold - DOUBT).select("a", "b", "n_a", "n_b")
-        near = near.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("s_a")), "a")
-        near = near.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("s_b")), "b")
+        near = near.checkpoint()
+        needed = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        some = sets.join(broadcast_if_small(needed), "id", "left_semi")
+        near = near.join(some.select(F.col("id").alias("a"), F.col("shingles").alias("s_a")), "a")
+        near = near.join(some.select(F.col("id").alias("b"), F.col("shingles").alias("s_b")), "b")
         near = near.withColumn("both", common("s_a", "s_b"))
         found = near.where(100 * F.col("both") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("both")))
         found = found.select("a", "b").checkpoint()
         if not found.isEmpty():
-            linked = found if linked is None else linked.union(found)
-            roots = components(linked)
+            stars = [] if roots is None else [roots.select(F.col("node").alias("a"), F.col("root").alias("b"))]
+            roots = components(reduce(DataFrame.union, stars, found))
         members = placed.select("key", "id").join(chosen, (placed["key"] == chosen["key"]) & (F.col("id") == F.col("pivot")), "left_anti")
-        members = members.checkpoint()
-        pivots *= 2
+        pivots *= MORE
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD, text: str = "text") -> DataFrame:
