@@ -16,7 +16,9 @@ not, and no length is cut off.
 from __future__ import annotations
 
 import base64
+import functools
 import heapq
+import itertools
 from collections.abc import Iterator
 
 import duckdb
@@ -28,29 +30,38 @@ from pyspark.sql import DataFrame, functions as F
 from gleanery.llm.texts import chunks
 
 QUERY_BYTES = 64  # longest piece that the recursive query takes
-REMEMBERED = 200_000  # pieces kept from one run of documents to the next
+REMEMBERED = 400_000  # pieces kept from one run of documents to the next
 QUERY_PIECES = 20_000  # in one query
 DUCKDB_MEMORY = "384MB"
 
 ENCODED = "struct<ids:array<int>,decoded:binary>"
 
+# A row of the state: the token of a piece that starts at byte pos, its length, its pair
+# with the next token as rank * 1024 + pos (null where that is no token), the next's length.
 _MERGE = """
 WITH RECURSIVE state AS (
-    SELECT piece, pos, id, 0 AS step FROM start
-    UNION ALL
-    SELECT n.piece, n.pos, CASE WHEN n.pos = b.pos THEN b.rank ELSE n.id END, n.step + 1
-    FROM (
-        SELECT *, lag(pos) OVER (PARTITION BY piece ORDER BY pos) AS before FROM state
-    ) n JOIN (
-        SELECT piece, (min(m.rank * 1024 + p.pos) // 1024)::INTEGER AS rank, (min(m.rank * 1024 + p.pos) % 1024)::INTEGER AS pos
-        FROM (SELECT piece, pos, id, lead(id) OVER (PARTITION BY piece ORDER BY pos) AS next FROM state) p
-        JOIN merges m ON m.l = p.id AND m.r = p.next
-        GROUP BY piece
-    ) b ON n.piece = b.piece
-    WHERE n.before IS DISTINCT FROM b.pos
+    SELECT s.piece, s.pos, s.id, s.len, 0 AS step, m.rank * 1024 + s.pos AS pair, n.len AS next_len
+    FROM start s
+    LEFT JOIN start n ON n.piece = s.piece AND n.pos = s.pos + s.len
+    LEFT JOIN merges m ON m.l = s.id AND m.r = n.id
+    UNION ALL (
+    WITH least AS MATERIALIZED (
+        SELECT piece, min(pair) AS pair FROM state GROUP BY piece HAVING min(pair) IS NOT NULL
+    ), merged AS MATERIALIZED (
+        SELECT s.piece, s.pos, s.step + 1 AS step,
+            CASE WHEN s.pair = l.pair THEN (l.pair // 1024)::INTEGER ELSE s.id END AS id,
+            CASE WHEN s.pair = l.pair THEN s.len + s.next_len ELSE s.len END AS len
+        FROM state s JOIN least l ON l.piece = s.piece
+        WHERE NOT EXISTS (SELECT 1 FROM state b WHERE b.piece = s.piece AND b.pos + b.len = s.pos AND b.pair = l.pair)
+    )
+    SELECT s.piece, s.pos, s.id, s.len, s.step, m.rank * 1024 + s.pos, n.len
+    FROM merged s
+    LEFT JOIN merged n ON n.piece = s.piece AND n.pos = s.pos + s.len
+    LEFT JOIN merges m ON m.l = s.id AND m.r = n.id)
 )
-SELECT piece, id FROM (SELECT *, max(step) OVER (PARTITION BY piece) AS last FROM state)
-WHERE step = last ORDER BY piece, pos
+SELECT piece, id
+FROM state JOIN (SELECT piece, max(step) AS step FROM state GROUP BY piece) USING (piece, step)
+ORDER BY piece, pos
 """
 _DECODE = "SELECT doc, string_agg(t.hex, '' ORDER BY i.pos) AS hex FROM ids i JOIN tokens t USING (id) GROUP BY doc ORDER BY doc"
 
@@ -88,36 +99,44 @@ class Codec:
 
     def _forget(self) -> None:
         self.slots: dict[str, int] = {}
-        self.flat, self.counts = np.empty(0, np.int32), np.empty(0, np.int64)  # ids of the pieces, in order of their slots
-
-    def pieces(self, found: list[bytes]) -> list[np.ndarray]:
-        """The ids of each of some distinct pieces."""
-        out: list = [None] * len(found)
-        queried = []
-        for n, piece in enumerate(found):
-            if (rank := self.ranks.get(piece)) is not None:
-                out[n] = np.array([rank], np.int32)
-            elif len(piece) > QUERY_BYTES:
-                out[n] = self.contract(piece)
-            else:
-                queried.append(n)
+        # ids of the pieces in order of their slots, and how many each has
+        self.flat, self.counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+
+    def pieces(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct pieces one after another, and how many each has."""
+        lengths = np.array([len(piece) for piece in found])
+        ends = np.cumsum(lengths)
+        whole = np.frombuffer(b"".join(found), np.uint8)
+        rows = {
+            "piece": np.repeat(np.arange(len(found), dtype=np.int32), lengths),
+            "pos": (np.arange(len(whole)) - np.repeat(ends - lengths, lengths)).astype(np.int32),
+            "id": self.bytes[whole],
+            "len": np.ones(len(whole), np.int32),
+        }
+        self.db.register("start", pa.table(rows))
+        merged = self.db.execute(_MERGE).fetchnumpy()
+        self.db.unregister("start")
+        return np.asarray(merged["id"], np.int32), np.bincount(merged["piece"], minlength=len(found))
+
+    def learn(self, new: list[str]) -> None:
+        """Encode pieces not seen before."""
+        tokens, queried, long = [], [], []
+        for piece in new:
+            bytes_ = piece.encode()
+            rank = self.ranks.get(bytes_)
+            (queried if len(bytes_) <= QUERY_BYTES else long).append((piece, bytes_)) if rank is None else tokens.append((piece, rank))
+        self.remember([p for p, _ in tokens], np.array([r for _, r in tokens], np.int32), np.ones(len(tokens), np.int64))
         for a in range(0, len(queried), QUERY_PIECES):
             some = queried[a : a + QUERY_PIECES]
-            lengths = np.array([len(found[n]) for n in some])
-            whole = np.frombuffer(b"".join(found[n] for n in some), np.uint8)
-            ends = np.cumsum(lengths)
-            rows = {
-                "piece": np.repeat(np.arange(len(some), dtype=np.int32), lengths),
-                "pos": (np.arange(len(whole)) - np.repeat(ends - lengths, lengths)).astype(np.int32),
-                "id": self.bytes[whole],
-            }
-            self.db.register("start", pa.table(rows))
-            merged = self.db.execute(_MERGE).fetchnumpy()
-            self.db.unregister("start")
-            cuts = np.searchsorted(merged["piece"], np.arange(1, len(some)))
-            for n, ids in zip(some, np.split(np.asarray(merged["id"], np.int32), cuts)):
-                out[n] = ids
-        return out
+            self.remember([p for p, _ in some], *self.pieces([b for _, b in some]))
+        for piece, bytes_ in long:
+            ids = self.contract(bytes_)
+            self.remember([piece], ids, np.array([len(ids)]))
+
+    def remember(self, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        self.slots.update(zip(pieces, range(len(self.slots), len(self.slots) + len(pieces))))
+        self.flat.append(ids)
+        self.counts.append(counts)
 
     def contract(self, piece: bytes) -> np.ndarray:
         """The same contraction with a heap of pairs by rank, then position."""
@@ -148,13 +167,10 @@ class Codec:
         if len(self.slots) > REMEMBERED:
             self._forget()
         words = [self.find(t) for t in texts]
-        new = list({w for row in words for w in row} - self.slots.keys())
-        found = self.pieces([w.encode() for w in new])
-        self.slots.update(zip(new, range(len(self.slots), len(self.slots) + len(new))))
-        self.flat = np.concatenate([self.flat, *found])
-        self.counts = np.concatenate([self.counts, np.array([len(ids) for ids in found], np.int64)])
-        at = np.fromiter((self.slots[w] for row in words for w in row), np.int64, sum(map(len, words)))
-        counts, flat = self.counts, self.flat
+        self.learn(list({w for row in words for w in row} - self.slots.keys()))
+        self.flat, self.counts = [np.concatenate(self.flat)], [np.concatenate(self.counts)]
+        flat, counts = self.flat[0], self.counts[0]
+        at = np.fromiter(map(self.slots.__getitem__, itertools.chain.from_iterable(words)), np.int64, sum(map(len, words)))
         begins = np.cumsum(counts) - counts
         each = counts[at]
         ends = np.cumsum(each)
@@ -176,15 +192,20 @@ class Codec:
         return out
 
 
+@functools.lru_cache(maxsize=1)
+def codec_of(path: str, pattern: str) -> Codec:
+    """The codec of a Python worker, which serves one task after another."""
+    return Codec(path, pattern)
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded: bool = True) -> DataFrame:
     """The documents' columns and ``bpe``: the text's ids and, unless told otherwise, the
     bytes decoded from these ids."""
 
     @F.arrow_udf(ENCODED)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = None
+        codec = codec_of(path, pattern)
         for column in batches:
-            codec = codec or Codec(path, pattern)
             texts = [t or "" for t in column.to_pylist()]
             all_ids, offsets, back = [np.empty(0, np.int32)], [np.zeros(1, np.int64)], []
             for a, b in chunks(texts):
@@ -203,9 +224,8 @@ def decode(rows: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFr
 
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = None
+        codec = codec_of(path, pattern)
         for column in batches:
-            codec = codec or Codec(path, pattern)
             lists = [np.array(x or [], np.int32) for x in column.to_pylist()]
             back = []
             for a, b in chunks(lists, 1 << 18):
