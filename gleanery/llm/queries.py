@@ -11,6 +11,7 @@ from gleanery.llm.decontaminate import benchmark_hits, n_hit
 from gleanery.llm.hmm import score_texts
 from gleanery.llm.host_rules import STATS, quality_scores
 from gleanery.llm.language import identify, train
+from gleanery.llm.licenses import license_scan
 from gleanery.llm.near_dedup import near_duplicates
 from gleanery.llm.quality import quality_scores as classified_quality
 from gleanery.llm.repeats import remove_repeats
@@ -57,6 +58,17 @@ def op5_language(spark, sf_dir):
     return judged.select("doc_id", "held_out", "language.lang_pred", "language.score")
 
 
+def op6_license_scan(spark, sf_dir):
+    names = F.transform("licenses", lambda x: x["license"])
+    return license_scan(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.size("licenses").cast("bigint").alias("n_licenses"),
+        F.size(F.filter(names, lambda x: x == "unknown")).cast("bigint").alias("n_unknown"),
+        F.array_join(F.array_sort(F.array_distinct(F.filter(names, lambda x: x != "unknown"))), ",").alias("families"),
+        F.array_max(F.transform("licenses", lambda x: x["probability"])).alias("probability"),
+    )
+
+
 def op7_benchmark_passages(spark, sf_dir):
     hits = benchmark_hits(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return hits.select(
@@ -103,6 +115,7 @@ QUERIES = {
     "op3_near_duplicates": op3_near_duplicates,
     "op4_secret_spans": op4_secret_spans,
     "op5_language": op5_language,
+    "op6_license_scan": op6_license_scan,
     "op7_benchmark_passages": op7_benchmark_passages,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_repeated_bytes": op9_repeated_bytes,
