@@ -4,9 +4,10 @@ Paragraphs are lines. Lines that state a licence by its name label a sample, wit
 families' templates and a share of the other lines as class ``none``; the sample is bounded
 by ``SAMPLE`` different lines for each class. Features are the words and word pairs that
 occur in labelled statements. Multinomial logistic regression over these is fitted by
-proximal gradient steps, which keep the weights sparse. The probability from which a family
-is believed is calibrated on a fold of the sample that was not fitted; below it, and where
-the family's template does not confirm the prediction, a licence is ``unknown``.
+proximal gradient steps, which keep the weights sparse. Two probabilities are calibrated on
+a fold of the sample that was not fitted: the one from which a line is a licence at all, so
+that no line of class none is, and the one from which its family is believed. Below that,
+and where the family's template does not confirm the prediction, a licence is ``unknown``.
 
 The model is of bounded size and becomes a literal: scoring touches no other rows, and only
 documents that hold a word of positive weight are looked at more closely, since no other
@@ -50,7 +51,7 @@ CLASSES = ["none", *FAMILIES]
 SAMPLE = 1000  # different lines of each class
 NEGATIVES = 64  # one other line in so many is a candidate for class none
 FEATURES = 512
-STEPS, RATE, SPARSITY = 12, 4.0, 0.002
+STEPS, RATE, SPARSITY = 15, 6.0, 0.001
 CONFIRMED = 0.7  # share of the template's word pairs found in the paragraph
 
 
@@ -82,10 +83,8 @@ def labelled_sample(docs: DataFrame, text: str = "text") -> DataFrame:
     # of the lines without a name, those that merely look alike are sampled as all others
     named = named.where((F.col("label") != "none") | (F.pmod(F.xxhash64("line"), F.lit(NEGATIVES)) == 0))
     place = F.xxhash64("line", F.lit(1))
-    few = [
-        named.where(F.col("label") == c).groupBy("line", "label").agg(F.min(place).alias("place")).orderBy("place", "line").limit(SAMPLE)
-        for c in CLASSES
-    ]
+    different = named.groupBy("line", "label").agg(F.min(place).alias("place")).checkpoint()
+    few = [different.where(F.col("label") == c).orderBy("place", "line").limit(SAMPLE) for c in CLASSES]
     spark = docs.sparkSession
     templates = spark.createDataFrame([(t, c) for c, t in TEMPLATES.items()], "line string, label string")
     return reduce(DataFrame.union, [f.select("line", "label") for f in few], templates)
@@ -95,7 +94,8 @@ def labelled_sample(docs: DataFrame, text: str = "text") -> DataFrame:
 class Model:
     weights: dict[str, list[float]]  # of each feature, by class
     bias: list[float]
-    believed: float
+    licensed: float  # a line is a licence if class none leaves more than this
+    believed: float  # and of its family if that has as much
 
 
 def _scores(found: DataFrame, weights: DataFrame, bias: list[float]) -> DataFrame:
@@ -134,12 +134,14 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         weights = weights.join(steps, "feature", "left").select("feature", *[s.alias(f"w{i}") for i, s in enumerate(shrunk)]).coalesce(1).checkpoint()
     rows = {r["feature"]: [r[f"w{i}"] for i in k] for r in weights.collect()}  # FEATURES at most
     bias = rows.pop("", [0.0] * len(CLASSES))
-    # the surest wrong prediction among the lines kept apart is not to be believed
+    # the surest wrong predictions among the lines kept apart are not to be believed
     apart = _scores(found.where("fold = 0"), weights, [0.0] * len(CLASSES))
     best = F.greatest(*[f"p{i}" for i in k if i])
     right = reduce(Column.__or__, [(F.col("label") == c) & (F.col(f"p{i}") == best) for i, c in enumerate(CLASSES) if i])
-    wrong = apart.where((best > 0.5) & ~right).agg(F.max(best)).first()[0]
-    return Model({f: w for f, w in rows.items() if any(w)}, bias, min(max(0.5, wrong or 0.5), 0.99))
+    none = F.max(F.when(F.col("label") == "none", 1 - F.col("p0")))
+    wrong = F.max(F.when((F.col("label") != "none") & ~right, best))
+    limits = [min(max(0.5, x or 0.5), 0.99) for x in apart.agg(none, wrong).first()]
+    return Model({f: w for f, w in rows.items() if any(w)}, bias, *limits)
 
 
 def _judge(model: Model):
@@ -167,7 +169,7 @@ def _judge(model: Model):
                         for c, shape in shapes.items()
                     ],
                 )
-                name = F.when(p[0] >= 0.5, "none").when((best >= model.believed) & confirmed, family).otherwise("unknown")
+                name = F.when(1 - p[0] <= model.licensed, "none").when((best >= model.believed) & confirmed, family).otherwise("unknown")
                 return F.struct(name.alias("license"), best.alias("probability"))
 
             return let(F.array_max(F.slice(p, 2, len(FAMILIES))), named)
