@@ -158,15 +158,18 @@ def _searcher(shared):
     return search
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents' columns and a struct ``hits``: n_words, the word spans that occur in
+def benchmark_hits(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES, into: str = "hits"
+) -> DataFrame:
+    """The documents' columns and a struct ``into`` (in place of such a column): n_words, the word spans that occur in
     the benchmark (ends exclusive, merged), and the ids, as strings, of the items hit."""
     spark = docs.sparkSession
     known = benchmark.select(F.col("item_id").cast("string").alias("item"), raw().alias("body")).where("item is not null")
     size = known.agg(F.sum(F.length("body") + 64)).first()[0] or 0
     if size <= block_bytes:
         index = spark.sparkContext.broadcast(Index([tuple(r) for r in known.collect()]))
-        return docs.withColumn("hits", _searcher(index)(raw(text)))
+        return docs.withColumn(into, _searcher(index)(raw(text)))
+    docs = docs.drop(into)
     table, blocks = scratch_path(spark, "documents"), -(-size // block_bytes)
     docs.withColumn("_row", F.monotonically_increasing_id()).write.parquet(table)
     docs, found = spark.read.parquet(table), scratch_path(spark, "hits")
@@ -182,7 +185,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", bl
             F.max("h.n_words").alias("n_words"),
             union_of(all_spans).alias("spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("h.items")))).alias("items"),
-        ).alias("hits")
+        ).alias(into)
     )
     return docs.join(one, "_row").drop("_row")
 
@@ -206,4 +209,4 @@ def n_hit(hits: str = "hits") -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no window of an item occurs, with their own columns."""
-    return benchmark_hits(docs, benchmark).where("size(hits.items) = 0").drop("hits")
+    return benchmark_hits(docs, benchmark, into="_hits").where("size(_hits.items) = 0").drop("_hits")

@@ -287,7 +287,7 @@ def _scorer(shared):
     return score
 
 
-def score_texts(docs: DataFrame, learn, id: str = "doc_id", text: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, learn, id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """(id, learned_from, n_tokens, n_known, train_tokens, base_score, score) of every
     document, learning from those for which the condition ``learn`` holds."""
     spark = docs.sparkSession
@@ -298,7 +298,7 @@ def score_texts(docs: DataFrame, learn, id: str = "doc_id", text: str = "text")
     path = scratch_path(spark, "encoded")
     encoded.select(F.monotonically_increasing_id().alias("row"), "_id", "learned_from", "e.*").write.parquet(path)
     encoded = spark.read.parquet(path)
-    model = spark.sparkContext.broadcast(train(encoded.where("learned_from").select("symbols"), words))
+    model = spark.sparkContext.broadcast(train(encoded.where("learned_from").select("symbols"), words, rounds))
     rare = encoded.select("row", F.explode("rare").alias("word")).join(counts, "word", "left")
     rare = rare.groupBy("row").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1.0)).alias("rare"), F.count("n").alias("rare_known"))
     scored = encoded.select("row", "_id", "learned_from", "n_tokens", "n_known", "counts", "within", _scorer(model)("symbols").alias("path"))

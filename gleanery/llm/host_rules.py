@@ -122,14 +122,17 @@ def host_rates(judged: DataFrame, host: str, failed: str) -> DataFrame:
     return hosts.select("host", "n", "n_failed", rate.alias("rate"), shrunk.alias("shrunk"))
 
 
-def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
-    """The documents' columns and a struct ``quality``: the stats, base_failed, host_rate
-    (the host's shrunk rate if beyond the limit, else null) and kept."""
+def quality_rules(
+    docs: DataFrame, text: str = "text", host: str = "source", limit: float = HOST_LIMIT, into: str = "quality"
+) -> DataFrame:
+    """The documents' columns and a struct ``into``, which takes the place of a column of
+    this name: the stats, base_failed, host_rate (the host's shrunk rate if beyond the
+    limit, else null) and kept."""
     judged = docs.withColumn("_stats", document_stats(F.col(text))).withColumn("_failed", base_failed("_stats"))
-    return with_hosts(judged, judged, host, limit)
+    return with_hosts(judged, judged, host, limit, into)
 
 
-def with_hosts(judged: DataFrame, counted: DataFrame, host: str, limit: float = HOST_LIMIT) -> DataFrame:
+def with_hosts(judged: DataFrame, counted: DataFrame, host: str, limit: float = HOST_LIMIT, into: str = "quality") -> DataFrame:
     """Join the verdicts on the hosts in ``counted`` back to the rows of ``judged``."""
     rates = host_rates(counted, host, "_failed").where(F.col("shrunk") > limit)
     bad = broadcast_if_small(rates.select(F.col("host").alias("_host"), F.col("shrunk").alias("_shrunk")))
@@ -140,7 +143,7 @@ def with_hosts(judged: DataFrame, counted: DataFrame, host: str, limit: float =
         F.col("_shrunk").alias("host_rate"),
         (~F.col("_failed") & F.col("_host").isNull()).alias("kept"),
     )
-    return joined.withColumn("quality", quality).drop("_stats", "_failed", "_host", "_shrunk")
+    return joined.withColumn(into, quality).drop("_stats", "_failed", "_host", "_shrunk")
 
 
 def quality_scores(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
@@ -153,4 +156,4 @@ def quality_scores(docs: DataFrame, id: str = "doc_id", text: str = "text", host
 
 def filter_quality(docs: DataFrame) -> DataFrame:
     """The documents that pass, with their own columns."""
-    return quality_rules(docs).where("quality.kept").drop("quality")
+    return quality_rules(docs, into="_quality").where("_quality.kept").drop("_quality")

@@ -49,7 +49,7 @@ def chunks(texts: list, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
 class WordHashes(dict):
     """64-bit hashes of words, remembered for a bounded number of them."""
 
-    LIMIT = 300_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
