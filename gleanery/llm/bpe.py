@@ -36,34 +36,41 @@ DUCKDB_MEMORY = "384MB"
 
 ENCODED = "struct<ids:array<int>,decoded:binary>"
 
-# A row of the state: the token of a piece that starts at byte pos, its length, its pair
-# with the next token as rank * 1024 + pos (null where that is no token), the next's length.
+# A row of the state: the token of a piece that starts at byte pos, its length, the next
+# token and its length, and the two as a pair: rank * 1024 + pos, null where they are none.
+# A step merges each piece's least pair: the row at pos takes both tokens, that at gone goes,
+# and the one before pos gets a new neighbour.
 _MERGE = """
 WITH RECURSIVE state AS (
-    SELECT s.piece, s.pos, s.id, s.len, 0 AS step, m.rank * 1024 + s.pos AS pair, n.len AS next_len
+    SELECT s.piece, s.pos, s.id, s.len, n.id AS next_id, n.len AS next_len, m.rank * 1024 + s.pos AS pair, 0 AS step
     FROM start s
     LEFT JOIN start n ON n.piece = s.piece AND n.pos = s.pos + s.len
     LEFT JOIN merges m ON m.l = s.id AND m.r = n.id
     UNION ALL (
     WITH least AS MATERIALIZED (
-        SELECT piece, min(pair) AS pair FROM state GROUP BY piece HAVING min(pair) IS NOT NULL
-    ), merged AS MATERIALIZED (
-        SELECT s.piece, s.pos, s.step + 1 AS step,
-            CASE WHEN s.pair = l.pair THEN (l.pair // 1024)::INTEGER ELSE s.id END AS id,
-            CASE WHEN s.pair = l.pair THEN s.len + s.next_len ELSE s.len END AS len
-        FROM state s JOIN least l ON l.piece = s.piece
-        WHERE NOT EXISTS (SELECT 1 FROM state b WHERE b.piece = s.piece AND b.pos + b.len = s.pos AND b.pair = l.pair)
+        SELECT l.piece, l.rank AS id, l.pos, l.gone, g.pos + g.len - l.pos AS len, g.next_id, g.next_len
+        FROM (
+            SELECT piece, (min(pair) // 1024)::INTEGER AS rank, (min(pair) % 1024)::INTEGER AS pos, arg_min(pos + len, pair) AS gone
+            FROM state GROUP BY piece HAVING min(pair) IS NOT NULL
+        ) l
+        JOIN state g ON g.piece = l.piece AND g.pos = l.gone
     )
-    SELECT s.piece, s.pos, s.id, s.len, s.step, m.rank * 1024 + s.pos, n.len
-    FROM merged s
-    LEFT JOIN merged n ON n.piece = s.piece AND n.pos = s.pos + s.len
-    LEFT JOIN merges m ON m.l = s.id AND m.r = n.id)
+    SELECT s.piece, s.pos, s.id, s.len, s.next_id, s.next_len, CASE WHEN s.changed THEN m.rank * 1024 + s.pos ELSE s.pair END, s.step
+    FROM (
+        SELECT s.piece, s.pos, s.step + 1 AS step, s.pair,
+            CASE WHEN s.pos = l.pos THEN l.id ELSE s.id END AS id,
+            CASE WHEN s.pos = l.pos THEN l.len ELSE s.len END AS len,
+            CASE WHEN s.pos = l.pos THEN l.next_id WHEN s.pos + s.len = l.pos THEN l.id ELSE s.next_id END AS next_id,
+            CASE WHEN s.pos = l.pos THEN l.next_len WHEN s.pos + s.len = l.pos THEN l.len ELSE s.next_len END AS next_len,
+            s.pos = l.pos OR s.pos + s.len = l.pos AS changed
+        FROM state s JOIN least l ON l.piece = s.piece WHERE s.pos != l.gone
+    ) s LEFT JOIN merges m ON m.l = s.id AND m.r = s.next_id)
 )
 SELECT piece, id
 FROM state JOIN (SELECT piece, max(step) AS step FROM state GROUP BY piece) USING (piece, step)
 ORDER BY piece, pos
 """
-_DECODE = "SELECT doc, string_agg(t.hex, '' ORDER BY i.pos) AS hex FROM ids i JOIN tokens t USING (id) GROUP BY doc ORDER BY doc"
+_DECODE = "SELECT doc, array_to_string(list(t.hex ORDER BY i.pos), '') FROM ids i JOIN tokens t USING (id) GROUP BY doc"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
