@@ -40,7 +40,7 @@ from gleanery.session import shared_dir
 LENGTH = 50
 GRAM = 20
 REACH = LENGTH - GRAM
-BUCKET_BYTES = 4 << 20  # of text for each bucket
+BUCKET_BYTES = 12 << 20  # of text for each bucket
 FLUSH = 1_500_000  # anchors gathered in a task before they are handed on
 FLUSH_DOCS = 60_000  # fit 16 bits
 MARGIN = 2 * LENGTH
@@ -50,8 +50,8 @@ _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
 _LOW = np.uint64((1 << 24) - 1)
 
 BLOBS = "bucket int, kind int, ids binary, hashes binary, data binary"
-FOUND = "doc_id bigint, hash bigint, whole binary, asked binary, anchors binary"
-PARTS = "doc_id bigint, hash bigint, start bigint, end bigint"
+FOUND = "doc_id bigint, hash int, whole binary, asked binary, anchors binary"
+PARTS = "doc_id bigint, hash int, start bigint, end bigint"
 
 
 class Powers:
@@ -150,7 +150,7 @@ class Gatherer:
         if not self.n:
             return
         ids = np.array([d[0] for d in self.docs], np.int64)
-        hashes = np.array([d[1] for d in self.docs], np.int64)
+        hashes = np.array([d[1] for d in self.docs], np.int32)
         ref, at, anchor, context = (np.concatenate(x) for x in zip(*self.parts))
         order = np.lexsort((ids[ref], context, anchor))
         ref, at, anchor, context = ref[order], at[order], anchor[order], context[order]
@@ -163,7 +163,7 @@ class Gatherer:
                 if not len(own):
                     continue
                 docs, small = np.unique(ref[own], return_inverse=True)
-                data = [small.astype(np.uint16), at[own].astype(np.uint32)]
+                data = [small.astype(np.uint16), at[own].astype(np.uint16), (at[own] >> 16).astype(np.uint16)]
                 if kind == 0:
                     data += [anchor[own].astype(np.uint32), context[own].astype(np.uint32), (context[own] >> np.uint64(32)).astype(np.uint8)]
                 yield int(to[own[0]]), kind, ids[docs].tobytes(), hashes[docs].tobytes(), b"".join(d.tobytes() for d in data)
@@ -203,14 +203,15 @@ def handed_on(rows: Iterator[tuple], at_once: int = 64) -> Iterator[pa.RecordBat
 
 def unpacked(table: pa.Table, kind: int) -> list[np.ndarray]:
     """id, hash, position, and for anchors the anchor and both parts of the context."""
-    types = [np.uint16, np.uint32] + ([np.uint32, np.uint32, np.uint8] if kind == 0 else [])
-    out: list[list[np.ndarray]] = [[] for _ in range(len(types) + 1)]
+    types = [np.uint16, np.uint16, np.uint16] + ([np.uint32, np.uint32, np.uint8] if kind == 0 else [])
+    out: list[list[np.ndarray]] = [[] for _ in types]
     for ids, hashes, data in zip(*(table[c].to_pylist() for c in ("ids", "hashes", "data"))):
         n, offset, fields = len(data) // sum(np.dtype(t).itemsize for t in types), 0, []
         for t in types:
             fields.append(np.frombuffer(data, t, n, offset))
             offset += n * np.dtype(t).itemsize
-        for x, values in zip(out, [np.frombuffer(ids, np.int64)[fields[0]], np.frombuffer(hashes, np.int64)[fields[0]], *fields[1:]]):
+        at = fields[1].astype(np.uint32) | (fields[2].astype(np.uint32) << np.uint32(16))
+        for x, values in zip(out, [np.frombuffer(ids, np.int64)[fields[0]], np.frombuffer(hashes, np.int32)[fields[0]], at, *fields[3:]]):
             x.append(values)
     return [np.concatenate(x) if x else np.empty(0, np.int64) for x in out]
 
@@ -245,7 +246,7 @@ def _settle(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table(
         {
             "doc_id": pa.array(doc[cuts], pa.int64()),
-            "hash": pa.array(hash[cuts], pa.int64()),
+            "hash": pa.array(hash[cuts], pa.int32()),
             "whole": pa.array([place[a:m].tobytes() for a, m, _ in spans], pa.binary()),
             "asked": pa.array([place[m:b].tobytes() for _, m, b in spans], pa.binary()),
             "anchors": pa.array([name[m:b].tobytes() for _, m, b in spans], pa.binary()),
@@ -262,7 +263,7 @@ def _deliver(buckets: int):
     def packed(rows: list[tuple]) -> Iterator[tuple]:
         if not rows:
             return
-        ids, hashes = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
+        ids, hashes = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int32)
         ref = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
         at, name = np.concatenate([r[2] for r in rows]), np.concatenate([r[3] for r in rows])
         sides, bytes_ = np.concatenate([r[4] for r in rows]), np.concatenate([r[5] for r in rows])
@@ -315,7 +316,7 @@ def _order(table: pa.Table) -> pa.Table:
     lists: list[list] = [[] for _ in range(6)]
     for ids, hashes, data in zip(*(table[c].to_pylist() for c in ("ids", "hashes", "data"))):
         n, offset = len(ids) // 8, 0
-        for i, (t, width) in enumerate(((np.int64, 1), (np.int64, 1), (np.uint32, 1), (np.uint64, 1), (np.uint8, 2), (np.uint8, WIDTH))):
+        for i, (t, width) in enumerate(((np.int64, 1), (np.int32, 1), (np.uint32, 1), (np.uint64, 1), (np.uint8, 2), (np.uint8, WIDTH))):
             source = (ids, hashes, data, data, data, data)[i]
             values = np.frombuffer(source, t, n * width, offset if i >= 2 else 0)
             offset += values.nbytes if i >= 2 else 0
@@ -377,19 +378,22 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, spans, kept) of every document: the byte spans removed, and the
     remaining bytes one after another."""
     shared_dir(docs.sparkSession)
-    docs = docs.select("doc_id", F.xxhash64(raw(text)).alias("hash"), raw(text).alias("bytes"))
+    docs = docs.select("doc_id", F.hash(raw(text)).alias("hash"), raw(text).alias("bytes"))
     judged = docs.where("doc_id is not null")
     size = judged.agg(F.sum(F.length("bytes"))).first()[0] or 0
     buckets = 1 + size // BUCKET_BYTES
     blobs = judged.where(F.length("bytes") >= LENGTH).mapInArrow(_gather(buckets), BLOBS)
     found = blobs.groupBy("bucket").applyInArrow(_settle, FOUND).checkpoint()
     asked = found.where("length(asked) > 0").groupBy("doc_id", "hash").agg(F.collect_list(F.struct("asked", "anchors")).alias("asked"))
-    asked = docs.join(asked.hint("shuffle_merge"), ["doc_id", "hash"]).select("doc_id", "hash", "bytes", "asked")
+    # the texts meet what is known of them twice, by one exchange that Spark uses again
+    asked = judged.join(asked.hint("shuffle_merge"), ["doc_id", "hash"]).select("doc_id", "hash", "bytes", "asked")
     ordered = asked.mapInArrow(_deliver(buckets), BLOBS).groupBy("bucket").applyInArrow(_order, PARTS)
     whole = found.where("length(whole) > 0").select("doc_id", "hash", "whole")
     parts = ordered.select("doc_id", "hash", F.struct("start", "end").alias("part"))
     covers = whole.unionByName(parts, allowMissingColumns=True).groupBy("doc_id", "hash")
     covers = covers.agg(F.collect_list("whole").alias("whole"), F.collect_list("part").alias("parts"))
-    joined = docs.join(covers.hint("shuffle_merge"), ["doc_id", "hash"], "left")
+    joined = judged.join(covers.hint("shuffle_merge"), ["doc_id", "hash"], "left").select("doc_id", "bytes", "whole", "parts")
+    nameless = docs.where("doc_id is null").select("doc_id", "bytes")
+    joined = joined.unionByName(nameless, allowMissingColumns=True)
     result = joined.select("doc_id", F.length("bytes").cast("bigint").alias("n_bytes"), _remover()("bytes", "whole", "parts").alias("r"))
     return result.select("doc_id", "n_bytes", "r.spans", "r.kept")
