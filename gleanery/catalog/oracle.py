@@ -115,6 +115,12 @@ ORACLE["indexed_snapshots"] = _with(*_INDEX) + "SELECT url_key, url, ts, html FR
 ORACLE["indexed_crawl_log"] = _with(*_INDEX) + _LOG
 ORACLE["indexed_ownership"] = _with(*_INDEX, _texts("keyed", "url_key, user_id"), _chunks("texts", "url_key, user_id")) + _EDGES
 
+_TWINS = f"SELECT {URL_KEY.format('url')} || '_0' AS id, max(page_id) AS last FROM pages GROUP BY 1"
+ORACLE["interleaved_runs_documents"] = f"SELECT id, 'write 2 of ' || last AS chunk FROM ({_TWINS})"
+ORACLE["compacted_snapshots_documents"] = f"SELECT id, last::VARCHAR AS chunk FROM ({_TWINS})"
+ORACLE["fetched_records"] = """
+SELECT url, page_id AS ts, CASE WHEN page_id % 3 = 0 THEN url ELSE 'crawler' END AS user_id, 'ok' AS reason FROM pages"""
+
 # links -----------------------------------------------------------------------------
 
 LINKS = r"""links AS (
@@ -162,6 +168,14 @@ ORACLE["crawl_plans"] = _with(EVENTS, SITE, LINKS.format("site"), TARGETS, EDGES
 SELECT 'seed' AS step, url AS seed, url, NULL::VARCHAR AS target, max_depth AS depth FROM ({_SEEDS})
 UNION ALL SELECT 'reach', seed, url, NULL, depth FROM reach
 UNION ALL SELECT 'fetch', seed, url, target, depth FROM frontier"""
+_SECTIONS = """SELECT DISTINCT url, 2 AS max_depth FROM (
+    SELECT regexp_extract(url, '^https?://[^/]+/[a-z]+', 0) AS url FROM captures UNION ALL SELECT url FROM captures WHERE user_id = 'de')
+  WHERE url <> ''"""
+ORACLE["crawl_fetches"] = _with(EVENTS, "site AS (SELECT url, html FROM pages)", LINKS.format("site"), TARGETS, EDGES, _walk(_SECTIONS)) + f"""
+SELECT url AS seed, NULL::VARCHAR AS url, url AS target, 1 AS depth FROM ({_SECTIONS}) WHERE url NOT IN (SELECT url FROM pages)
+UNION ALL SELECT seed, url, target, depth FROM frontier WHERE depth <= 2"""
+ORACLE["entity_links"] = """
+SELECT page_id, 0 AS pos, '/s?a=' || page_id || '&region=eu&section=2&copy=3' || chr(172) || chr(169) || '&x=1&y=2' AS href FROM pages"""
 ORACLE["valid_crawl_requests"] = r"""
 SELECT url, CASE WHEN depth >= 1 THEN depth END AS depth, CASE WHEN depth >= 1 THEN 'ok' ELSE 'invalid_depth' END AS reason
 FROM (SELECT url, nullif(regexp_extract(url, '[?&]page=(\d+)', 1), '')::INTEGER - 1 AS depth FROM pages)"""

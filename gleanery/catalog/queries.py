@@ -26,7 +26,7 @@ from gleanery.operators.links import (
 )
 from gleanery.operators.ownership import documents_for_user, ownership_edges
 from gleanery.operators.topk import nearest
-from gleanery.plans.build_index import page_texts, reindex
+from gleanery.plans.build_index import build_index, page_texts, reindex
 from gleanery.plans.crawl import crawl_plan
 from gleanery.plans.retrieve import prompts, retrieve
 from gleanery.session import scratch_path
@@ -166,6 +166,24 @@ def crawl_plans(spark, sf_dir):
     )
 
 
+@query
+def crawl_fetches(spark, sf_dir):
+    """What a fetcher is to fetch when only every page's section was asked for, which is
+    not captured, beside the pages of one language."""
+    events = i.page_events(spark, sf_dir)
+    section = F.regexp_extract("url", "^https?://[^/]+/[a-z]+", 0)
+    texts = events.select(F.concat_ws(" ", section, F.when(F.col("user_id") == "de", F.col("url"))).alias("text"), F.lit(2).alias("depth"))
+    return crawl_plan(texts, events.select("url", "html")).fetches
+
+
+@query
+def entity_links(spark, sf_dir):
+    """Links whose query names parameters like references, beside real references."""
+    tail = "&region=eu&section=2&copy=3&not&copy;&#38;x=1&amp;y=2"
+    html = F.concat(F.lit('<p><a href="/s?a='), "page_id", F.lit(tail + '">x</a>'))
+    return extract_links(_pages(spark, sf_dir).select("page_id", html.alias("html"))).select("page_id", "pos", "href")
+
+
 # filters
 
 
@@ -175,6 +193,15 @@ def judged_page_events(spark, sf_dir):
     return parsed.select("ingest_seq", F.coalesce("reason", F.lit("ok")).alias("reason"))
 
 
+@query
+def fetched_records(spark, sf_dir):
+    """Pages as a fetcher reports them, without a user, and every third one with its own."""
+    own = F.when(F.col("page_id") % 3 == 0, F.col("url"))
+    value = F.to_json(F.struct("url", F.col("page_id").alias("timestamp"), "html", own.alias("userId")))
+    lines = _pages(spark, sf_dir).select(F.lit(None).cast("string").alias("key"), value.alias("value"), F.lit(None).cast("bigint").alias("seq"))
+    return m.parse_page_events(lines, user="crawler").select("url", "ts", "user_id", F.coalesce("reason", F.lit("ok")).alias("reason"))
+
+
 @query
 def judged_chat_events(spark, sf_dir):
     """Turns as chat messages in which only user turns carry a prompt, and system
@@ -375,6 +402,29 @@ def indexed_crawl_log(spark, sf_dir):
     return i.index(spark, sf_dir).crawl_log()
 
 
+@query
+def interleaved_runs_documents(spark, sf_dir):
+    """Three writes of every page: a stream, a backfill under a later run, and the stream
+    again, which arrives last."""
+    store = Store(spark, scratch_path(spark, "interleaved"))
+    for n, (run, batch) in enumerate(((1, 0), (2, 0), (1, 1))):
+        events = i.page_events(spark, sf_dir).withColumn("html", F.concat(F.lit(f"<body>write {n} of "), "ingest_seq", F.lit("</body>")))
+        build_index(m.parse_page_events(m.page_event_messages(events)), store, i.EMBEDDER, run, batch)
+    return store.documents().select("id", "chunk")
+
+
+@query
+def compacted_snapshots_documents(spark, sf_dir):
+    """Documents after pages shrank and the snapshots alone were compacted."""
+    store = Store(spark, scratch_path(spark, "compacted"))
+    for batch, words in enumerate((600, 1)):
+        body = F.concat(F.lit("<body>"), F.repeat(F.lit("w "), words - 1), "ingest_seq", F.lit("</body>"))
+        events = i.page_events(spark, sf_dir).withColumn("html", body)
+        build_index(m.parse_page_events(m.page_event_messages(events)), store, i.EMBEDDER, 1, batch)
+    store.compact("page_snapshots", "page_snapshots-compact")
+    return Store(spark, store.root, page_snapshots="page_snapshots-compact").documents().select("id", "chunk")
+
+
 @query
 def reindexed_documents(spark, sf_dir):
     store = i.index(spark, sf_dir)

@@ -8,6 +8,7 @@ short href values visit Python, to decode character references.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from html import unescape
 from html.entities import html5
@@ -146,9 +147,28 @@ def hrefs(html: Column) -> Column:
     return F.transform(values, lambda v: F.regexp_replace(v, """^["']|["']$""", ""))
 
 
+_REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)")
+
+
+def unescape_attribute(value: str) -> str:
+    """The value with its character references decoded. In an attribute a name without a
+    semicolon that a letter, a digit or ``=`` follows is no reference: ``&region=eu``."""
+
+    def decoded(found: re.Match) -> str:
+        name = found[0][1:]
+        if name.startswith("#"):
+            return unescape(found[0])
+        assigned = not name.endswith(";") and value[found.end() :].startswith("=")
+        return found[0] if assigned else html5.get(name, found[0])
+
+    return _REFERENCE.sub(decoded, value)
+
+
 def unescape_html(text: Column) -> Column:
+    """Attribute values decoded; those without a reference never leave the JVM's rows."""
+
     @F.pandas_udf(T.StringType())
     def unescape_html(values: pd.Series) -> pd.Series:
-        return values.map(unescape, na_action="ignore")
+        return values.map(unescape_attribute, na_action="ignore")
 
-    return unescape_html(text)
+    return F.coalesce(unescape_html(F.when(F.contains(text, F.lit("&")), text)), text)

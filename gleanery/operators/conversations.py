@@ -11,14 +11,17 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from gleanery.operators.sizing import BROADCAST_BYTES, measured
 
-LONG = 1_000_000  # turns
+LONG = 20_000  # turns
 SPAN = 1024
 
 _PAIR = ["conv_id", "turn", "user_prompt", "model_response"]
 
 
 def pair_turns(turns: DataFrame, long: int = LONG, span: int = SPAN) -> DataFrame:
-    """Each user turn directly followed by an assistant turn, as one chat event."""
+    """Each user turn directly followed by an assistant turn, as one chat event. Rows that
+    repeat a turn's number are one turn, the least by role and text."""
+    turns = turns.groupBy("conv_id", "turn").agg(F.min(F.struct("role", "text")).alias("said"))
+    turns = turns.select("conv_id", "turn", "said.role", "said.text")
     counted = turns.groupBy("conv_id").agg(F.count("*").alias("n"))
     long_ones, size = measured(counted.where(F.col("n") > long).select("conv_id"))
     if size == 0:

@@ -5,12 +5,14 @@ with map-side combine, reading only those Parquet columns). Wide columns such as
 vectors are then filtered, not grouped. Usually few keys were ever written twice; once
 that list is measured to be small it is broadcast and the wide rows are not shuffled at
 all. Otherwise they meet the newest writes in a semi-join on (key, order), which spreads
-a page holding a third of all events over all tasks.
+a page holding a third of all events over all tasks. Both ways give the same rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gleanery.functions.urls import url_key
 from gleanery.operators.sizing import BROADCAST_BYTES, measured
@@ -25,18 +27,31 @@ def latest_by(
 ) -> DataFrame:
     """Rows holding the greatest ``order`` of their key (one row, if orders are distinct).
 
-    ``versions`` names the table whose writes count, by default the rows themselves.
+    ``versions`` names the table whose writes count, by default the rows themselves; rows
+    of a key it does not have, or of another order than its newest, are not shown. Null
+    keys are one key, and a row without an order is never the latest.
     """
     columns = rows.columns
-    newest = (rows if versions is None else versions).groupBy(*keys).agg(
-        F.min(order).alias("_oldest"), F.max(order).alias("_newest")
+    extent = rows.groupBy(*keys).agg(
+        F.min(order).alias("_oldest"), F.max(order).alias("_last"), F.count_if(F.col(order).isNull()).alias("_unordered")
     )
-    rewritten, size = measured(newest.where(F.col("_oldest") < F.col("_newest")).drop("_oldest"))
+    if versions is None:
+        judged = extent.withColumn("_newest", F.col("_last"))
+    else:
+        newest = versions.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(order).alias("_newest"))
+        judged = extent.join(newest, _same(extent, newest, keys), "left")
+    judged = judged.select(*[F.col(k).alias(f"_{k}") for k in keys], "_oldest", "_last", "_unordered", "_newest")
+    settled = (F.col("_oldest") == F.col("_newest")) & (F.col("_last") == F.col("_newest")) & (F.col("_unordered") == 0)
+    mixed = judged.where(~F.coalesce(settled, F.lit(False))).drop("_oldest", "_last", "_unordered")
+    mixed, size = measured(mixed.withColumn("_mixed", F.lit(True)))
     if size <= broadcast_bytes:
-        judged = rows.join(F.broadcast(rewritten), keys, "left")
-        return judged.where(F.col("_newest").isNull() | (F.col(order) == F.col("_newest"))).select(*columns)
-    winners = newest.select(*keys, F.col("_newest").alias(order))
-    return rows.join(winners, [*keys, order], "left_semi").select(*columns)
+        found = rows.join(F.broadcast(mixed), _same(rows, mixed, keys), "left")
+        return found.where(F.col("_mixed").isNull() | (F.col(order) == F.col("_newest"))).select(*columns)
+    return rows.join(judged, _same(rows, judged, keys) & (rows[order] == judged["_newest"]), "left_semi").select(*columns)
+
+
+def _same(rows: DataFrame, other: DataFrame, keys: list[str]) -> Column:
+    return reduce(Column.__and__, [rows[k].eqNullSafe(other[f"_{k}"]) for k in keys])
 
 
 def keyed(events: DataFrame) -> DataFrame:

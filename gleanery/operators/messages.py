@@ -23,9 +23,11 @@ def _first_problem(checks: list[tuple[Column, str]]) -> Column:
     return F.coalesce(*[F.when(F.coalesce(test, F.lit(False)), F.lit(name)) for test, name in checks])
 
 
-def parse_page_events(messages: DataFrame) -> DataFrame:
-    """Page events with a ``reason`` column, NULL on good rows."""
+def parse_page_events(messages: DataFrame, user: str | None = None) -> DataFrame:
+    """Page events with a ``reason`` column, NULL on good rows. ``user`` is stamped on
+    records that name none, as those of a fetcher do not."""
     data = _decoded(messages, schemas.PAGE_EVENT_JSON)
+    user_id = F.coalesce(F.col("data.userId"), F.lit(user).cast("string"))
     field = lambda name: F.col(f"data.{name}")
     reason = _first_problem(
         [
@@ -34,15 +36,15 @@ def parse_page_events(messages: DataFrame) -> DataFrame:
             (field("url").isNull(), "missing_url"),
             (field("timestamp").isNull(), "missing_timestamp"),
             (field("html").isNull(), "missing_html"),
-            (field("userId").isNull(), "missing_userId"),
+            (user_id.isNull(), "missing_userId"),
         ]
     )
     return data.select(
-        F.coalesce("data.seq", "seq").alias("ingest_seq"),
+        F.coalesce("seq", "data.seq").alias("ingest_seq"),  # the transport's word comes first
         field("url").alias("url"),
         field("timestamp").alias("ts"),
         field("html").alias("html"),
-        field("userId").alias("user_id"),
+        user_id.alias("user_id"),
         "value",
         reason.alias("reason"),
     )
@@ -62,11 +64,11 @@ def parse_chat_events(messages: DataFrame) -> DataFrame:
         ]
     )
     return data.select(
-        event_id(F.coalesce("data.key", "key"), F.col("value")).alias("id"),
+        event_id(F.coalesce("key", "data.key"), F.col("value")).alias("id"),
         "data.user_prompt",
         "data.model_response",
         "data.timestamp",
-        F.coalesce("data.seq", "seq").alias("seq"),
+        F.coalesce("seq", "data.seq").alias("seq"),
         "value",
         reason.alias("reason"),
     )

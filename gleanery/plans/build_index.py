@@ -50,8 +50,10 @@ def build_index(parsed: DataFrame, store: Store, embedder: Embedder, run: int, b
     # every event's user gets edges, also when a later event replaced the page
     store.append_ownership(ownership_edges(good), run, batch_id)
     latest = latest_by(latest_by(good, ["url_key"], "ingest_seq"), ["url_key"], "arrival")
-    store.write("page_snapshots", latest, run, batch_id)
+    # documents first: readers see those of a page's latest snapshot, so the snapshot's
+    # write shows a page and its documents at once
     store.upsert_documents(documents_of(latest.select("url_key", "text"), embedder), embedder.dim, run, batch_id)
+    store.write("page_snapshots", latest, run, batch_id)
 
 
 def reindex(store: Store, embedder: Embedder, folder: str, run: int = 0) -> Store:

@@ -34,6 +34,7 @@ CHAT_EVENT_JSON = _struct(
 CRAWL_REQUEST = _struct("url STRING, depth INT")
 QUERY = _struct("qid STRING, prompt STRING, user_id STRING")
 
+COMMIT = _struct("commit_id BIGINT")
 # Keyed tables. `commit_id` orders the batches that wrote the rows.
 TABLES: dict[str, T.StructType] = {
     "page_events": _struct(

@@ -49,9 +49,12 @@ def read_messages(
     raise ValueError(f"unknown source {source!r}: kafka, envelope or lines")
 
 
-def read_page_events(spark: SparkSession, source: str, location: str, stream: bool = False, **kw) -> DataFrame:
-    """Parsed page events from the earliest message on (with their ``reason``)."""
-    return parse_page_events(read_messages(spark, source, location, stream, "earliest", **kw))
+def read_page_events(
+    spark: SparkSession, source: str, location: str, stream: bool = False, user: str | None = None, **kw
+) -> DataFrame:
+    """Parsed page events from the earliest message on (with their ``reason``); ``user``
+    is the contributor of records that name none."""
+    return parse_page_events(read_messages(spark, source, location, stream, "earliest", **kw), user)
 
 
 def read_chat_events(spark: SparkSession, source: str, location: str, stream: bool = False, **kw) -> DataFrame:

@@ -3,10 +3,17 @@
 A batch overwrites its own ``run=R/batch_id=N`` folder, so replaying it changes
 nothing; a job (or streaming checkpoint) owns one ``run`` number, so two jobs never
 write the same folder. Readers see the last write per key.
+
+Batches are ordered by when they were first begun, whatever their run: a small record for
+each keeps its number, so a replay takes the same place again and a backfill does not
+outlast the later batches of a running stream. The number is the time in microseconds;
+drivers that write to one store keep their clocks together.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,15 +22,11 @@ from gleanery.functions.vectors import checked_vector
 from gleanery.operators.keyed import latest_by, latest_documents
 
 
-def commit_id(run: int, batch_id: int) -> int:
-    """Batches in write order: by run, then by batch."""
-    return (run << 32) + batch_id
-
-
 class Store:
     def __init__(self, spark: SparkSession, root: str, **folders: str):
         """``folders`` renames tables, e.g. ``documents="documents-2"`` after a reindex."""
         self.spark, self.root, self.folders = spark, root.rstrip("/"), folders
+        self.begun: dict[tuple[int, int], int] = {}
 
     def folder(self, table: str) -> str:
         return f"{self.root}/{self.folders.get(table, table)}"
@@ -31,10 +34,21 @@ class Store:
     def write(self, table: str, rows: DataFrame, run: int, batch_id: int) -> None:
         schema = schemas.TABLES[table]
         if "commit_id" in schema.names and "commit_id" not in rows.columns:
-            rows = rows.withColumn("commit_id", F.lit(commit_id(run, batch_id)).cast("bigint"))
+            rows = rows.withColumn("commit_id", F.lit(self.commit_id(run, batch_id)).cast("bigint"))
         target = f"{self.folder(table)}/run={run}/batch_id={batch_id}"
         rows.select(*schema.names).write.mode("overwrite").parquet(target)
 
+    def commit_id(self, run: int, batch_id: int) -> int:
+        """The batch's place in the order of writes, recorded when first asked for."""
+        if (run, batch_id) not in self.begun:
+            record = f"{self.root}/commits/run={run}/batch_id={batch_id}"
+            known = self._load(record, schemas.COMMIT).first()
+            number = known[0] if known else max(time.time_ns() // 1000, *self.begun.values(), 0) + 1
+            if not known:
+                self.spark.createDataFrame([(number,)], schemas.COMMIT).coalesce(1).write.mode("overwrite").parquet(record)
+            self.begun[run, batch_id] = number
+        return self.begun[run, batch_id]
+
     def read(self, table: str) -> DataFrame:
         """Every row ever written."""
         return self._load(self.folder(table), schemas.TABLES[table])

@@ -56,6 +56,12 @@ def test_cut_after_the_last_user_turn(spark, long):
     assert {(r.conv_id, r.turn, r.role) for r in got} == model_cut(FIXED)
 
 
+@pytest.mark.parametrize("long", [0, 1000])
+def test_a_repeated_turn_is_one_turn(spark, long):
+    rows = [(1, 1, "user"), (1, 2, "assistant"), (1, 2, "assistant"), (1, 3, "user"), (1, 3, "assistant"), (1, 4, "assistant")]
+    assert [(r.turn, r.model_response) for r in pair_turns(table(spark, rows), long, 2).collect()] == [(1, "1.2")]
+
+
 turns = st.lists(
     st.tuples(st.integers(0, 2), st.integers(0, 30), st.sampled_from(["user", "assistant", "system"])),
     min_size=1, max_size=40, unique_by=lambda row: row[:2],

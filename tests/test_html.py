@@ -204,3 +204,16 @@ piece = st.sampled_from(
 @given(st.lists(piece, max_size=25).map("".join))
 def test_stream_of_tags_equals_the_tree(html):
     assert page_text(html) == tree_text(html)
+
+
+def test_references_in_attributes():
+    from gleanery.functions.html import unescape_attribute
+
+    cases = {
+        "/s?a=1&region=eu&section=2&current=3&notify=4&copy=5": "/s?a=1&region=eu&section=2&current=3&notify=4&copy=5",
+        "/s?a&copy;b&copy": "/s?a\u00a9b\u00a9",
+        "/s?a=1&amp;b=2&#38;c=3&#x26;d": "/s?a=1&b=2&c=3&d",
+        "&copy2 &unknown; &amp= &ampx; & &;": "&copy2 &unknown; &amp= &ampx; & &;",
+        "&amp;=1": "&=1",
+    }
+    assert {c: unescape_attribute(c) for c in cases} == cases

@@ -44,6 +44,16 @@ def test_both_ways_of_picking_the_latest_agree(spark, limit):
     assert got == {(k, max(n for kk, n, _ in rows if kk == k)) for k, _, _ in rows}
 
 
+@pytest.mark.parametrize("limit", [1 << 20, -1])
+def test_both_ways_agree_on_nulls_and_versions(spark, limit):
+    rows = [(None, 1), (None, 2), ("a", None), ("b", 1), ("b", 2), ("c", 1), ("d", 5), ("e", None), ("e", 1)]
+    df = spark.createDataFrame(rows, "k string, n long")
+    assert {tuple(r) for r in latest_by(df, ["k"], "n", broadcast_bytes=limit).collect()} == {(None, 2), ("b", 2), ("c", 1), ("d", 5), ("e", 1)}
+    versions = spark.createDataFrame([(None, 1), ("b", 2), ("c", 9), ("e", 1)], "k string, n long")
+    got = latest_by(df, ["k"], "n", versions=versions, broadcast_bytes=limit).collect()
+    assert {tuple(r) for r in got} == {(None, 1), ("b", 2), ("e", 1)}
+
+
 def test_wide_rows_are_not_shuffled_when_few_keys_repeat(spark):
     df = spark.range(1000).selectExpr("cast(id as string) k", "id n", "'wide' w")
     plan = latest_by(df, ["k"], "n")._jdf.queryExecution().executedPlan().toString()

@@ -98,6 +98,12 @@ def test_extract_urls_keeps_order(spark):
     assert got == [("u", 0, "http://b.org"), ("u", 1, "http://a.org"), ("u", 2, "http://b.org")]
 
 
+def test_fetches_start_with_uncaptured_seeds(spark, pages):
+    requests = spark.createDataFrame([(f"{A}/1 and http://new.org/x", 2)], "text string, depth int")
+    got = {(r.seed, r.url, r.target, r.depth) for r in crawl_plan(requests, pages).fetches.collect()}
+    assert got == {("http://new.org/x", None, "http://new.org/x", 1), (f"{A}/1", f"{A}/1", f"{A}/missing", 2)}
+
+
 def test_crawl_plan(spark, pages):
     requests = spark.createDataFrame(
         [(f"start at {A}/ please", 2), (f"also {A}/ and www.nohost.org/", 1), ("http://b.org/", 0)], "text string, depth int"
@@ -106,4 +112,5 @@ def test_crawl_plan(spark, pages):
     assert [(r.url, r.depth) for r in plan.seeds.collect()] == [(f"{A}/", 2)]
     assert {r.url for r in plan.reach.collect()} == set(walk(f"{A}/", 1, 2, {}))
     assert plan.frontier.count() == 2
+    assert plan.fetches.count() == 0  # those lie beyond the depth asked for
     assert sorted(r.reason for r in plan.dead_letter.collect()) == ["invalid_depth", "invalid_url"]

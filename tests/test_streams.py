@@ -15,7 +15,7 @@ from gleanery.plans.migrate import import_pages
 from gleanery.session import shared_dir
 from gleanery.sources.messages import read_chat_events, read_messages, read_page_events, write_messages
 from gleanery.sources.pages import export_crawl_log, read_crawl_logs, read_snapshots
-from gleanery.sources.store import Store, commit_id
+from gleanery.sources.store import Store
 from gleanery.streaming.jobs import chat_stream, page_stream
 
 EMBEDDER = HashedWords(16)
@@ -216,7 +216,10 @@ def test_replaying_a_batch_changes_nothing(spark, tmp_path):
     assert {t: store.read(t).count() for t in ("page_events", "page_snapshots", "documents", "ownership", "crawl_log")} == {
         "page_events": 1, "page_snapshots": 1, "documents": 2, "ownership": 2, "crawl_log": 1,
     }
-    assert store.read("documents").first().commit_id == commit_id(1, 3)
+    before = store.read("documents").first().commit_id
+    again = Store(spark, store.root)
+    build_index(parsed, again, EMBEDDER, run=1, batch_id=3)
+    assert {r.commit_id for r in again.read("documents").collect()} == {before} == {again.commit_id(1, 3)}
 
 
 def test_one_snapshot_though_arrival_numbers_repeat(spark, tmp_path):
@@ -235,6 +238,39 @@ def test_later_runs_win(spark, tmp_path):
     assert [r.chunk for r in store.documents().collect()] == ["new0 new1 new2"]
 
 
+def test_a_running_stream_outlasts_a_backfill(spark, tmp_path):
+    store = Store(spark, f"{tmp_path}/store")
+    for run, batch, word in ((1, 0, "first"), (2, 0, "backfill"), (1, 1, "last")):
+        parsed = m.parse_page_events(spark.createDataFrame([("p", page("http://p", body(3, word)), 1)], MESSAGE))
+        build_index(parsed, Store(spark, store.root), EMBEDDER, run, batch)
+    assert [r.chunk for r in store.documents().collect()] == ["last0 last1 last2"]
+
+
+def test_views_survive_compaction_of_one_table(spark, tmp_path):
+    store = Store(spark, f"{tmp_path}/store")
+    for batch, words in enumerate((1000, 1)):
+        parsed = m.parse_page_events(spark.createDataFrame([("p", page("http://p", body(words)), 1)], MESSAGE))
+        build_index(parsed, store, EMBEDDER, 1, batch)
+    for table in ("page_snapshots", "documents"):
+        store.compact(table, f"{table}-compact")
+        assert ids(Store(spark, store.root, **{table: f"{table}-compact"}).documents()) == ["p_0"]
+
+
+def test_fetched_records_get_their_user(spark):
+    body = json.dumps({"url": "http://p", "timestamp": 1, "html": "x"})
+    rows = spark.createDataFrame([(None, body, None), ("k", page("http://p", "x", "own"), 7)], MESSAGE)
+    assert [r.reason for r in m.parse_page_events(rows).orderBy("user_id").collect()] == ["missing_userId", None]
+    assert [r.user_id for r in m.parse_page_events(rows, user="crawler").orderBy("user_id").collect()] == ["crawler", "own"]
+
+
+def test_the_transport_comes_before_the_body(spark):
+    body = json.dumps({"url": "http://p", "timestamp": 1, "html": "x", "userId": "u", "seq": 999})
+    rows = spark.createDataFrame([("k", body, 3), (None, body, None)], MESSAGE)
+    assert sorted(r.ingest_seq for r in m.parse_page_events(rows).collect()) == [3, 999]
+    talk = json.dumps({"user_prompt": "a", "key": "body"})
+    assert [r.id for r in m.parse_chat_events(spark.createDataFrame([("k", talk, 1), (None, talk, 2)], MESSAGE)).orderBy("seq").collect()] == ["k", "body"]
+
+
 def test_wrong_vector_length_fails_the_write(spark, tmp_path):
     class Short(HashedWords):
         def embed(self, df, text_col, out_col="embed"):
