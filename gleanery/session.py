@@ -19,7 +19,7 @@ SQL_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
     # an iterative job has many plans, whose texts the driver keeps
-    "spark.sql.maxPlanStringLength": "8192",
+    "spark.sql.maxPlanStringLength": "65536",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
