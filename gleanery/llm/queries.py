@@ -122,4 +122,53 @@ QUERIES = {
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-ORACLE: dict[str, str] = {}
+
+_LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+
+ORACLE = {
+    "op2_host_quality": rf"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+windows AS (SELECT doc_id, i, ws[i] AS a, ws[i + 1] AS b, ws[i + 2] AS c FROM d, LATERAL (SELECT unnest(range(1, len(ws) - 1)) AS i)),
+repeated AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, a, b, c) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM repeated, (VALUES (0), (1), (2)) v(k) GROUP BY doc_id),
+stats AS (
+  SELECT doc_id, source, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0)::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM (SELECT *, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM d)
+  LEFT JOIN covered USING (doc_id)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM stats),
+hosts AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS k FROM judged WHERE source IS NOT NULL GROUP BY source),
+sums AS (SELECT sum(n) AS n, sum(k) AS k, count(*) AS h, sum(n * n) AS n2, sum(k * k / n) AS kp, sum(k) / sum(n) AS mean FROM hosts),
+prior AS (SELECT mean, CASE WHEN h > 1 AND mean * (1 - mean) > 0 AND between_hosts > 0
+    THEN greatest(mean * (1 - mean) / between_hosts - 1, 1e-6) ELSE 1e9 END AS strength
+  FROM (SELECT *, (kp - k * mean - (h - 1) * mean * (1 - mean)) / (n - n2 / n) AS between_hosts FROM sums)),
+bad AS (SELECT source, (k + mean * strength) / (n + strength) AS shrunk FROM hosts, prior WHERE shrunk > 0.8)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND shrunk IS NULL AS kept, shrunk AS host_rate
+FROM judged LEFT JOIN bad USING (source)""",
+    "op3_near_duplicates": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(_LOWER.format("text"))} AS ws FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')] ELSE
+  list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i : i + 3], ' '))) END AS shingles FROM d),
+each AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+links AS (SELECT a.doc_id AS x, b.doc_id AS y FROM each a JOIN each b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, len(shingles)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least USING (doc_id)""",
+    "op7_benchmark_passages": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+items AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+wanted AS (SELECT DISTINCT item, n, ws[i : i + n - 1] AS gram
+  FROM (SELECT *, least(10, len(ws)) AS n FROM items WHERE len(ws) > 0 AND item IS NOT NULL), LATERAL (SELECT unnest(range(1, len(ws) - n + 2)) AS i)),
+lengths AS (SELECT DISTINCT n FROM wanted),
+grams AS (SELECT doc_id, n, i, ws[i : i + n - 1] AS gram FROM d, lengths, LATERAL (SELECT unnest(range(1, len(ws) - n + 2)) AS i)),
+found AS (SELECT doc_id, item, n, i FROM grams JOIN wanted USING (n, gram)),
+hit AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM found, LATERAL (SELECT unnest(range(0, n)) AS k) GROUP BY doc_id),
+names AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM found GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN names USING (doc_id)""",
+}
