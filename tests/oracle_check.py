@@ -51,24 +51,24 @@ def difference(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
 
 
 def main() -> None:
-    from gleanery.catalog.oracle import ORACLE
-    from gleanery.catalog.queries import QUERIES
+    import __spark_entry__ as contract
     from tests.conftest import local_session
 
     sf_dir = f"/root/testdata/sf{sys.argv[1] if len(sys.argv) > 1 else '0.01'}"
-    names = sys.argv[2:] or list(QUERIES)
+    queries, oracle = contract.queries(), contract.oracle_sql()
+    names = sys.argv[2:] or list(queries)
     spark = local_session()
     db = connect(sf_dir)
     for name in names:
         t = time.time()
         try:
-            got = QUERIES[name](spark, sf_dir).toPandas()
+            got = queries[name](spark, sf_dir).toPandas()
             took = time.time() - t
             t = time.time()
-            if name not in ORACLE:
+            if name not in oracle:
                 print(f"{name:32} {took:6.2f}s rows={len(got)} (no SQL)", flush=True)
                 continue
-            problem = difference(got, db.execute(ORACLE[name]).df())
+            problem = difference(got, db.execute(oracle[name]).df())
             print(f"{name:32} {took:6.2f}s sql {time.time() - t:6.2f}s rows={len(got)} {problem or 'ok'}", flush=True)
         except Exception as error:
             print(f"{name:32} FAILED {str(error)[:1500]}", flush=True)
