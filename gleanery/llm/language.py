@@ -15,6 +15,8 @@ judged one by one.
 
 from __future__ import annotations
 
+import functools
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,7 +36,7 @@ SMOOTHING = 0.1
 PER_LETTER = 12.0  # each letter's probabilities are scaled by this, to stay near one
 UNDETERMINED = "und"
 FLUSH = 400_000  # words counted in a task before they are handed on
-REMEMBERED = 300_000  # words whose scores a task keeps
+REMEMBERED = 500_000  # words whose scores a Python worker keeps
 START = "▁"
 
 _LETTERS = regex.compile(r"\p{L}+")
@@ -193,7 +195,8 @@ def train(docs: DataFrame, path: str, text: str = "text", lang: str = "lang") ->
 
 
 class Scorer:
-    """Scores the texts of one task; scores of frequent words are kept."""
+    """Scores the texts of a Python worker's tasks; scores of words are kept. When they
+    are too many, those of the texts at hand stay, the frequent ones among them."""
 
     def __init__(self, path: str, model: Model):
         self.model, self.lattice = model, Lattice(path)
@@ -201,13 +204,16 @@ class Scorer:
         self.scores = np.empty((0, len(model.langs)))
 
     def judge(self, texts: list[str]) -> Iterator[tuple[str, float]]:
-        if len(self.slots) > REMEMBERED:
-            self.slots, self.scores = {}, self.scores[:0]
-        found = [words(t) for t in texts]
         if not self.model.langs:
             yield from ((UNDETERMINED, 0.0) for _ in texts)
             return
-        new = list({w for row in found for w in row} - self.slots.keys())
+        found = [words(t) for t in texts]
+        here = set(itertools.chain.from_iterable(found))
+        if len(self.slots) > REMEMBERED:
+            kept = list(here & self.slots.keys())
+            self.scores = self.scores[[self.slots[w] for w in kept]]
+            self.slots = dict(zip(kept, range(len(kept))))
+        new = list(here - self.slots.keys())
         if new:
             self.slots.update(zip(new, range(len(self.slots), len(self.slots) + len(new))))
             self.scores = np.concatenate([self.scores, log_chances(self.lattice, self.model.chances, new)])
@@ -220,6 +226,12 @@ class Scorer:
             yield self.model.langs[best], float(1 / np.exp(total - total[best]).sum())
 
 
+@functools.lru_cache(maxsize=1)
+def scorer_of(path: str, model: Model) -> Scorer:
+    """The scorer of a Python worker, which serves one task after another."""
+    return Scorer(path, model)
+
+
 def identify(docs: DataFrame, model: Model, path: str, text: str = "text") -> DataFrame:
     """The documents' columns and ``language``: lang_pred, and score, its probability."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -227,9 +239,8 @@ def identify(docs: DataFrame, model: Model, path: str, text: str = "text") -> Da
 
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scorer = None
+        scorer = scorer_of(path, shared.value)
         for column in batches:
-            scorer = scorer or Scorer(path, shared.value)
             texts = [t or "" for t in column.to_pylist()]
             rows = [r for a, b in chunks(texts) for r in scorer.judge(texts[a:b])]
             yield pa.array([{"lang_pred": x, "score": s} for x, s in rows], kind)
