@@ -78,6 +78,12 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def ranges(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers from each begin on, as many as its count, one range after another."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts - begins, counts)
+
+
 class Codec:
     """Encoder and decoder of one task."""
 
@@ -97,17 +103,23 @@ class Codec:
         self._fill("merges", "SELECT l, r, rank::BIGINT AS rank FROM given", {"l": left, "r": right, "rank": rank})
         tokens = {"id": list(self.ranks.values()), "hex": [t.hex() for t in self.ranks]}
         self._fill("tokens", "SELECT id::INTEGER AS id, hex FROM given", tokens)
-        self._forget()
+        self.slots: dict[str, int] = {}
+        # ids of the pieces in order of their slots, and how many each has
+        self.flat, self.counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
 
     def _fill(self, name: str, query: str, columns: dict) -> None:
         self.db.register("given", pa.table(columns))
         self.db.execute(f"CREATE TABLE {name} AS {query}")
         self.db.unregister("given")
 
-    def _forget(self) -> None:
-        self.slots: dict[str, int] = {}
-        # ids of the pieces in order of their slots, and how many each has
-        self.flat, self.counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+    def _forget(self, here: set[str]) -> None:
+        """Keep the pieces of the texts at hand, the frequent ones among them."""
+        kept = list(here & self.slots.keys())
+        at = np.array([self.slots[w] for w in kept], np.int64)
+        counts, flat = self.counts[0], self.flat[0]
+        begins = np.cumsum(counts) - counts
+        self.slots = dict(zip(kept, range(len(kept))))
+        self.flat, self.counts = [flat[ranges(begins[at], counts[at])]], [counts[at]]
 
     def pieces(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct pieces one after another, and how many each has."""
@@ -171,19 +183,18 @@ class Codec:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and where each text's end."""
-        if len(self.slots) > REMEMBERED:
-            self._forget()
         words = [self.find(t) for t in texts]
-        self.learn(list({w for row in words for w in row} - self.slots.keys()))
+        here = set(itertools.chain.from_iterable(words))
+        if len(self.slots) > REMEMBERED:
+            self._forget(here)
+        self.learn(list(here - self.slots.keys()))
         self.flat, self.counts = [np.concatenate(self.flat)], [np.concatenate(self.counts)]
         flat, counts = self.flat[0], self.counts[0]
         at = np.fromiter(map(self.slots.__getitem__, itertools.chain.from_iterable(words)), np.int64, sum(map(len, words)))
         begins = np.cumsum(counts) - counts
         each = counts[at]
-        ends = np.cumsum(each)
-        reach = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - each, each)
-        ids = flat[np.repeat(begins[at], each) + reach]
-        borders = np.concatenate([[0], ends])[np.cumsum([len(row) for row in words])]
+        ids = flat[ranges(begins[at], each)]
+        borders = np.concatenate([[0], np.cumsum(each)])[np.cumsum([len(row) for row in words])]
         return ids, borders
 
     def decode(self, ids: np.ndarray, borders: np.ndarray) -> list[bytes]:
