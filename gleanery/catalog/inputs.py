@@ -118,12 +118,13 @@ def linked_site(spark, sf_dir) -> DataFrame:
 _indexes: dict[tuple, Store] = {}
 
 
-def index(spark: SparkSession, sf_dir: str, fresh: bool = False) -> Store:
-    """The index over the section captures, built once per session and table folder."""
-    at = (spark.sparkContext.applicationId, sf_dir)
+def index(spark: SparkSession, sf_dir: str, fresh: bool = False, whole: bool = False) -> Store:
+    """The index over the section captures, or over all pages as they are (``whole``),
+    built once per session and table folder."""
+    at = (spark.sparkContext.applicationId, sf_dir, whole)
     if fresh or at not in _indexes:
         store = Store(spark, scratch_path(spark, "index"))
-        parsed = parse_page_events(page_messages(recrawl_events(spark, sf_dir)))
-        build_index(parsed, store, EMBEDDER, run=1)
+        messages = page_event_messages(page_events(spark, sf_dir)) if whole else page_messages(recrawl_events(spark, sf_dir))
+        build_index(parse_page_events(messages), store, EMBEDDER, run=1)
         _indexes[at] = store
     return _indexes[at]

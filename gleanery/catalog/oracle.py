@@ -280,7 +280,11 @@ ORACLE["embed_document_chunks"] = (
     + "SELECT id, bucket, weight FROM weights"
 )
 _RETRIEVED = (
-    *_DOCUMENTS,
+    EVENTS,
+    f"keyed AS (SELECT *, {URL_KEY.format('url')} AS url_key FROM captures)",
+    LATEST,
+    _texts("latest", "url_key"),
+    _chunks("texts", "url_key"),
     """docs AS MATERIALIZED (SELECT url_key || '_' || "offset" AS document_id, url_key, chunk, chunk AS txt FROM chunks)""",
     _texts("keyed", "url_key, user_id", "all_texts"),
     _chunks("all_texts", "url_key, user_id", "all_chunks"),

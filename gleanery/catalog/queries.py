@@ -434,11 +434,11 @@ def reindexed_documents(spark, sf_dir):
 
 @query
 def retrieved_hits(spark, sf_dir):
-    store = i.index(spark, sf_dir)
+    store = i.index(spark, sf_dir, whole=True)
     return retrieve(i.questions(spark, sf_dir), store.documents(), store.ownership(), i.EMBEDDER)
 
 
 @query
 def retrieval_prompts(spark, sf_dir):
-    store = i.index(spark, sf_dir)
+    store = i.index(spark, sf_dir, whole=True)
     return prompts(i.questions(spark, sf_dir), store.documents(), store.ownership(), i.EMBEDDER, i.TEMPLATE)
