@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gleanery.llm.texts import let
 from gleanery.operators.sizing import broadcast_if_small
+from gleanery.session import shared_dir
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of the words
@@ -103,6 +104,7 @@ def host_rates(judged: DataFrame, host: str, failed: str) -> DataFrame:
         judged.where(F.col(host).isNotNull())
         .groupBy(F.col(host).alias("host"))
         .agg(F.count("*").alias("n"), F.count_if(failed).alias("n_failed"))
+        .checkpoint()  # a row for each host; the texts are not judged again for the sums
     )
     rate = F.col("n_failed") / F.col("n")
     sums = hosts.agg(
@@ -128,6 +130,7 @@ def quality_rules(
     """The documents' columns and a struct ``into``, which takes the place of a column of
     this name: the stats, base_failed, host_rate (the host's shrunk rate if beyond the
     limit, else null) and kept."""
+    shared_dir(docs.sparkSession)
     judged = docs.withColumn("_stats", document_stats(F.col(text))).withColumn("_failed", base_failed("_stats"))
     return with_hosts(judged, judged, host, limit, into)
 
@@ -149,6 +152,7 @@ def with_hosts(judged: DataFrame, counted: DataFrame, host: str, limit: float =
 def quality_scores(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """(id, quality) of every document. The texts are read once: their narrow counts are
     kept in the shared folder, and both the hosts' rates and the verdicts come from those."""
+    shared_dir(docs.sparkSession)
     judged = docs.select(id, F.col(host).alias("_from"), document_stats(F.col(text)).alias("_stats"))
     judged = judged.withColumn("_failed", base_failed("_stats")).checkpoint()
     return with_hosts(judged, judged, "_from").select(id, "quality")
