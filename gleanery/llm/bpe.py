@@ -30,9 +30,10 @@ from pyspark.sql import DataFrame, functions as F
 from gleanery.llm.texts import chunks
 
 QUERY_BYTES = 64  # longest piece that the recursive query takes
-REMEMBERED = 400_000  # pieces kept from one run of documents to the next
-QUERY_PIECES = 20_000  # in one query
-DUCKDB_MEMORY = "384MB"
+REMEMBERED = 250_000  # pieces kept from one run of documents to the next
+QUERY_PIECES = 10_000  # in one query
+DUCKDB_MEMORY = "256MB"
+RUN_BYTES = 1 << 20  # of text encoded at once
 
 ENCODED = "struct<ids:array<int>,decoded:binary>"
 
@@ -97,16 +98,19 @@ class Codec:
             for i in range(1, len(token))
             if token[:i] in self.ranks and token[i:] in self.ranks
         ]
-        self.pairs = {(l, r): rank for l, r, rank in halves}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "temp_directory": ""})
-        left, right, rank = (pa.array(x, pa.int32()) for x in zip(*halves))
-        self._fill("merges", "SELECT l, r, rank::BIGINT AS rank FROM given", {"l": left, "r": right, "rank": rank})
+        columns = dict(zip(("l", "r", "rank"), np.array(halves, np.int32).T.copy()))
+        self._fill("merges", "SELECT l, r, rank::BIGINT AS rank FROM given", columns)
         tokens = {"id": list(self.ranks.values()), "hex": [t.hex() for t in self.ranks]}
         self._fill("tokens", "SELECT id::INTEGER AS id, hex FROM given", tokens)
         self.slots: dict[str, int] = {}
         # ids of the pieces in order of their slots, and how many each has
         self.flat, self.counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
 
+    @functools.cached_property
+    def pairs(self) -> dict[tuple[int, int], int]:
+        return {(l, r): rank for l, r, rank in self.db.execute("SELECT l, r, rank FROM merges").fetchall()}
+
     def _fill(self, name: str, query: str, columns: dict) -> None:
         self.db.register("given", pa.table(columns))
         self.db.execute(f"CREATE TABLE {name} AS {query}")
@@ -226,7 +230,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded
         for column in batches:
             texts = [t or "" for t in column.to_pylist()]
             all_ids, offsets, back = [np.empty(0, np.int32)], [np.zeros(1, np.int64)], []
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, RUN_BYTES):
                 ids, borders = codec.encode(texts[a:b])
                 offsets.append(borders + offsets[-1][-1])
                 all_ids.append(ids)
