@@ -16,7 +16,8 @@ def row_bytes(df: DataFrame) -> Column:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
         elif isinstance(field.dataType, T.ArrayType):
-            width = width + F.greatest(F.size(field.name), F.lit(0)) * 8 + 16
+            narrow = isinstance(field.dataType.elementType, (T.FloatType, T.IntegerType))
+            width = width + F.greatest(F.size(field.name), F.lit(0)) * (4 if narrow else 8) + 16
         else:
             width = width + 8
     return width

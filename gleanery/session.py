@@ -31,6 +31,8 @@ def build_session(app: str = "gleanery", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for name, value in SQL_CONF.items():
         builder = builder.config(name, value)
+    # checkpoint files go once nothing refers to them, so a long stream does not fill the folder
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)
     return builder.getOrCreate()
