@@ -9,9 +9,11 @@ in all ``ROWS`` registers of a band are candidates. The overlap of candidates is
 from all their registers together by maximum likelihood given both sizes; pairs whose
 estimate is far below the threshold are dropped, the others are confirmed on full sets.
 
-A band's classes are not paired with one another. In a round each band offers a few pivots,
-eight times as many as in the round before, to its other classes that do not belong to the
-pivot's component yet; a pivot then has met all its band and leaves it. Bands whose classes
+A band's classes are not paired with one another. First each class meets one other only,
+the least of the first classes of its bands, which connects most of a large group at the
+cost of a pair for each class. Then in each round a band offers a few pivots, eight times as
+many as in the round before, to its other classes that do not belong to the pivot's
+component yet; a pivot then has met all its band and leaves it. Bands whose classes
 are one component are done, so a group of near copies takes a round or two however large it
 is, and no link is skipped that could join two components.
 
@@ -38,7 +40,7 @@ THRESHOLD = 80  # percent of the union
 BANDS, ROWS = 28, 4
 REGISTERS = BANDS * ROWS
 B, RATE = 1.001, 20.0  # of the registers: step of the exponents, rate of the variables
-PIVOTS, MORE = 4, 8  # of a band in the first round, and times as many in each next one
+PIVOTS, MORE = 4, 8  # of a band in the second round, and times as many in each next one
 DOUBT = 20  # percent below the threshold where an estimate is believed: over 5 standard errors
 
 _FACTORS = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
@@ -166,7 +168,7 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
     sets = sets.join(wanted, "digest").select("id", "shingles").checkpoint()
     narrow = classes.select("id", "n", "registers")
     tested = roots = None
-    pivots = PIVOTS
+    pivots = 0  # the first round is the one with a single pair for each class
     while True:
         if roots is None:
             placed = members.withColumn("root", F.col("id"))
@@ -178,15 +180,13 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
         placed = placed.join(still, "key", "left_semi").checkpoint()
         if placed.isEmpty():
             return roots
-        place = F.pmod(F.xxhash64("id", F.lit(pivots)), F.lit(pivots))
+        place = F.pmod(F.xxhash64("id", F.lit(pivots)), F.lit(max(pivots, 1)))
         chosen = placed.groupBy("key", place.alias("place")).agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id", "root")).alias("p"))
-        chosen = chosen.select("key", F.col("p.id").alias("pivot"), F.col("p.root").alias("pivot_root"))
-        pairs = (
-            placed.join(chosen, "key")
-            .where("root != pivot_root")
-            .select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
-            .distinct()
-        )
+        chosen = chosen.select("key", "p.h", F.col("p.id").alias("pivot"), F.col("p.root").alias("pivot_root"))
+        offered = placed.join(chosen, "key").where("root != pivot_root").select("id", "h", "pivot")
+        if not pivots:
+            offered = offered.groupBy("id").agg(F.min(F.struct("h", "pivot")).alias("p")).select("id", "p.pivot")
+        pairs = offered.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = pairs.checkpoint()
@@ -206,8 +206,11 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
         if not found.isEmpty():
             stars = [] if roots is None else [roots.select(F.col("node").alias("a"), F.col("root").alias("b"))]
             roots = components(reduce(DataFrame.union, stars, found))
-        members = placed.select("key", "id").join(chosen, (placed["key"] == chosen["key"]) & (F.col("id") == F.col("pivot")), "left_anti")
-        pivots *= MORE
+        members = placed.select("key", "id")
+        if pivots:
+            met = chosen.select(F.col("key").alias("_key"), "pivot")
+            members = members.join(met, (F.col("key") == F.col("_key")) & (F.col("id") == F.col("pivot")), "left_anti")
+        pivots = pivots * MORE or PIVOTS
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD, text: str = "text") -> DataFrame:
