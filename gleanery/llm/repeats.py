@@ -50,7 +50,7 @@ _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
 _LOW = np.uint64((1 << 24) - 1)
 
 BLOBS = "bucket int, kind int, ids binary, hashes binary, data binary"
-FOUND = "doc_id bigint, hash int, whole binary, asked binary, anchors binary"
+FOUND = "doc_id bigint, hash int, at int, anchor bigint, whole binary"
 PARTS = "doc_id bigint, hash int, start bigint, end bigint"
 
 
@@ -232,26 +232,33 @@ def _settle(key: tuple, table: pa.Table) -> pa.Table:
     np.maximum.at(most, group[~repeat], firsts)
     asked = ~repeat & (least < most)[group] if len(group) else repeat
     names = (np.uint64(key[0].as_py()) << np.uint64(32)) | anchor.astype(np.uint64)
-    doc = np.concatenate([local[0], ids[repeat], ids[asked]])
-    hash = np.concatenate([local[1], hashes[repeat], hashes[asked]])
-    place = np.concatenate([local[2], at[repeat], at[asked]]).astype(np.uint32)
-    name = np.concatenate([np.zeros(len(local[0]) + int(repeat.sum()), np.uint64), names[asked]])
-    kind = np.concatenate([np.zeros(len(local[0]) + int(repeat.sum()), bool), np.ones(int(asked.sum()), bool)])
-    order = np.lexsort((kind, hash, doc))
-    doc, hash, place, name, kind = doc[order], hash[order], place[order], name[order], kind[order]
+    # a row for each anchor found here: their number follows the texts, not the buckets
+    single = pa.table(
+        {
+            "doc_id": np.concatenate([ids[repeat], ids[asked]]),
+            "hash": np.concatenate([hashes[repeat], hashes[asked]]),
+            "at": np.concatenate([at[repeat], at[asked]]).astype(np.int32),
+            "anchor": pa.array(
+                np.concatenate([np.zeros(int(repeat.sum()), np.uint64), names[asked]]).view(np.int64),
+                mask=np.arange(int(repeat.sum() + asked.sum())) < repeat.sum(),
+            ),
+            "whole": pa.nulls(int(repeat.sum() + asked.sum()), pa.binary()),
+        }
+    )
+    # and one for each document whose repeats its task knew
+    order = np.lexsort((local[1], local[0]))
+    doc, hash, place = (x[order] for x in local)
     cuts = np.flatnonzero(heads(doc, hash))
-    bounds = np.append(cuts, len(doc))
-    middle = [int(a + np.searchsorted(kind[a:b], True)) for a, b in zip(bounds[:-1], bounds[1:])]
-    spans = list(zip(bounds[:-1], middle, bounds[1:]))
-    return pa.table(
+    together = pa.table(
         {
-            "doc_id": pa.array(doc[cuts], pa.int64()),
-            "hash": pa.array(hash[cuts], pa.int32()),
-            "whole": pa.array([place[a:m].tobytes() for a, m, _ in spans], pa.binary()),
-            "asked": pa.array([place[m:b].tobytes() for _, m, b in spans], pa.binary()),
-            "anchors": pa.array([name[m:b].tobytes() for _, m, b in spans], pa.binary()),
+            "doc_id": doc[cuts].astype(np.int64),
+            "hash": hash[cuts].astype(np.int32),
+            "at": pa.nulls(len(cuts), pa.int32()),
+            "anchor": pa.nulls(len(cuts), pa.int64()),
+            "whole": pa.array([place[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts, np.append(cuts[1:], len(doc)))], pa.binary()),
         }
     )
+    return pa.concat_tables([single, together])
 
 
 WIDTH = REACH + LENGTH
@@ -277,8 +284,8 @@ def _deliver(buckets: int):
         rows, n = [], 0
         for batch in batches:
             for doc, hash, text, asked in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                at = np.concatenate([np.frombuffer(x["asked"], np.uint32) for x in asked]).astype(np.int64)
-                name = np.concatenate([np.frombuffer(x["anchors"], np.uint64) for x in asked])
+                at = np.array([x["at"] for x in asked], np.int64)
+                name = np.array([x["anchor"] for x in asked], np.int64).view(np.uint64)
                 padded = np.frombuffer(bytes(REACH) + text + bytes(LENGTH), np.uint8)
                 bytes_ = np.lib.stride_tricks.sliding_window_view(padded, WIDTH)[at]
                 sides = np.stack([np.minimum(at, REACH), np.minimum(len(text) - at, LENGTH)], axis=1).astype(np.uint8)
@@ -342,9 +349,9 @@ def _order(table: pa.Table) -> pa.Table:
     return pa.table({"doc_id": ids[rows_], "hash": hashes[rows_], "start": np.concatenate(starts), "end": np.concatenate(stops)})
 
 
-def removed(n: int, whole: list[bytes], parts: list[dict]) -> list[tuple[int, int]]:
+def removed(n: int, single: list[int], whole: list[bytes], parts: list[dict]) -> list[tuple[int, int]]:
     """Maximal covered runs of a text of n bytes."""
-    at = np.concatenate([np.frombuffer(x, np.uint32) for x in whole]).astype(np.int64) if whole else np.empty(0, np.int64)
+    at = np.concatenate([np.array(single, np.int64), *[np.frombuffer(x, np.uint32).astype(np.int64) for x in whole]])
     starts = np.concatenate([np.maximum(at - REACH, 0), np.array([p["start"] for p in parts], np.int64)])
     stops = np.concatenate([np.minimum(at + LENGTH, n), np.array([p["end"] for p in parts], np.int64)])
     if not len(starts):
@@ -360,11 +367,11 @@ def _remover():
     kind = pa.struct([("spans", span), ("kept", pa.binary())])
 
     @F.arrow_udf("struct<spans:array<struct<start:bigint,end:bigint>>,kept:binary>")
-    def remove(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, wholes, parts in batches:
+    def remove(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for columns in batches:
             rows = []
-            for text, whole, part in zip(texts.to_pylist(), wholes.to_pylist(), parts.to_pylist()):
-                spans, kept, at = removed(len(text), whole or [], part or []), [], 0
+            for text, single, whole, part in zip(*(c.to_pylist() for c in columns)):
+                spans, kept, at = removed(len(text), single or [], whole or [], part or []), [], 0
                 for start, end in spans:
                     kept.append(text[at:start])
                     at = end
@@ -384,16 +391,16 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     buckets = 1 + size // BUCKET_BYTES
     blobs = judged.where(F.length("bytes") >= LENGTH).mapInArrow(_gather(buckets), BLOBS)
     found = blobs.groupBy("bucket").applyInArrow(_settle, FOUND).checkpoint()
-    asked = found.where("length(asked) > 0").groupBy("doc_id", "hash").agg(F.collect_list(F.struct("asked", "anchors")).alias("asked"))
+    asked = found.where("anchor is not null").groupBy("doc_id", "hash").agg(F.collect_list(F.struct("at", "anchor")).alias("asked"))
     # the texts meet what is known of them twice, by one exchange that Spark uses again
     asked = judged.join(asked.hint("shuffle_merge"), ["doc_id", "hash"]).select("doc_id", "hash", "bytes", "asked")
     ordered = asked.mapInArrow(_deliver(buckets), BLOBS).groupBy("bucket").applyInArrow(_order, PARTS)
-    whole = found.where("length(whole) > 0").select("doc_id", "hash", "whole")
+    whole = found.where("anchor is null").select("doc_id", "hash", "at", "whole")
     parts = ordered.select("doc_id", "hash", F.struct("start", "end").alias("part"))
     covers = whole.unionByName(parts, allowMissingColumns=True).groupBy("doc_id", "hash")
-    covers = covers.agg(F.collect_list("whole").alias("whole"), F.collect_list("part").alias("parts"))
-    joined = judged.join(covers.hint("shuffle_merge"), ["doc_id", "hash"], "left").select("doc_id", "bytes", "whole", "parts")
+    covers = covers.agg(*[F.collect_list(c).alias(c) for c in ("at", "whole", "part")])
+    joined = judged.join(covers.hint("shuffle_merge"), ["doc_id", "hash"], "left").select("doc_id", "bytes", "at", "whole", "part")
     nameless = docs.where("doc_id is null").select("doc_id", "bytes")
     joined = joined.unionByName(nameless, allowMissingColumns=True)
-    result = joined.select("doc_id", F.length("bytes").cast("bigint").alias("n_bytes"), _remover()("bytes", "whole", "parts").alias("r"))
+    result = joined.select("doc_id", F.length("bytes").cast("bigint").alias("n_bytes"), _remover()("bytes", "at", "whole", "part").alias("r"))
     return result.select("doc_id", "n_bytes", "r.spans", "r.kept")
