@@ -117,21 +117,20 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     known = known.orderBy(F.desc("n"), "feature").limit(FEATURES).select("feature")
     # a line's bias term keeps the lines that have none of the features
     found = sample.join(F.broadcast(known), "feature", "left_semi").union(sample.where("feature = ''").select("feature", "line", "label", "fold"))
-    found = found.coalesce(8).checkpoint()
-    n = max(found.where("feature = ''").count(), 1)
+    found = found.checkpoint()
     k = range(len(CLASSES))
+    # each class counts alike, however many lines it has
+    sizes = dict(found.where("feature = '' and fold != 0").groupBy("label").count().collect())
+    share = F.coalesce(*[F.when(F.col("label") == c, F.lit(1.0 / n)) for c, n in sizes.items()], F.lit(0.0))
     weights = found.select("feature").distinct().select("feature", *[F.lit(0.0).alias(f"w{i}") for i in k])
     for _ in range(STEPS):
         judged = _scores(found.where("fold != 0"), weights, [0.0] * len(CLASSES))
-        errors = judged.select("line", *[((F.col("label") == c).cast("double") - F.col(f"p{i}")).alias(f"e{i}") for i, c in enumerate(CLASSES)])
-        # each class counts alike, however many lines it has
-        sizes = judged.groupBy("label").agg((F.lit(1.0) / F.count("*")).alias("share"))
-        errors = judged.select("line", "label").join(F.broadcast(sizes), "label").join(errors, "line").drop("label")
-        steps = found.where("fold != 0").join(errors, "line").groupBy("feature")
-        steps = steps.agg(*[F.sum(F.col("share") * F.col(f"e{i}")).alias(f"g{i}") for i in k])
+        errors = judged.select("line", *[(share * ((F.col("label") == c).cast("double") - F.col(f"p{i}"))).alias(f"e{i}") for i, c in enumerate(CLASSES)])
+        steps = found.where("fold != 0").join(errors, "line").groupBy("feature").agg(*[F.sum(f"e{i}").alias(f"g{i}") for i in k])
         moved = [F.col(f"w{i}") + RATE / len(CLASSES) * F.coalesce(f"g{i}", F.lit(0.0)) for i in k]
         shrunk = [F.signum(m) * F.greatest(F.abs(m) - F.when(F.col("feature") == "", 0.0).otherwise(RATE * SPARSITY), F.lit(0.0)) for m in moved]
-        weights = weights.join(steps, "feature", "left").select("feature", *[s.alias(f"w{i}") for i, s in enumerate(shrunk)]).coalesce(1).checkpoint()
+        weights = weights.join(steps, "feature", "left").select("feature", *[s.alias(f"w{i}") for i, s in enumerate(shrunk)])
+        weights = weights.repartition(1).checkpoint()  # FEATURES rows at most
     rows = {r["feature"]: [r[f"w{i}"] for i in k] for r in weights.collect()}  # FEATURES at most
     bias = rows.pop("", [0.0] * len(CLASSES))
     # the surest wrong predictions among the lines kept apart are not to be believed
