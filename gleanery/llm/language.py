@@ -4,7 +4,8 @@ Each language has a probability for every piece of a fixed public vocabulary. A
 probability is the sum over all its segmentations into pieces, which a forward algorithm
 adds up; a text's is the product over its words and the language's share. The pieces'
 probabilities are learned by expectation maximisation over the words counted in labelled
-texts: a backward pass gives how often each piece is expected in each word.
+texts: a backward pass gives how often each piece is expected in each word. Both passes
+rescale at every letter, so that no run of rare letters is lost to underflow.
 
 Words are runs of letters in lower case, marked at their start. A run beyond ``SPAN``
 letters is scored in spans of that length. A character that no piece covers is one unknown
@@ -33,7 +34,6 @@ SPAN = 96
 LONGEST = 16  # letters in a piece
 ROUNDS = 2
 SMOOTHING = 0.1
-PER_LETTER = 12.0  # each letter's probabilities are scaled by this, to stay near one
 UNDETERMINED = "und"
 FLUSH = 400_000  # words counted in a task before they are handed on
 REMEMBERED = 500_000  # words whose scores a Python worker keeps
@@ -84,26 +84,32 @@ class Lattice:
 
 
 
-def forward(arcs: np.ndarray, chances: np.ndarray, place: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Sums over the segmentations of each prefix [word, end, language], and the arcs'
-    scaled chances. ``place`` picks one language for each word."""
+def forward(arcs: np.ndarray, chances: np.ndarray, place: np.ndarray | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Logarithms of the sums over all segmentations [word, language] and, where ``place``
+    picks one language for each word, each end's shares [word, length - 1]: how much of the
+    sum up to this end comes by the arc of that length. A sum is kept relative to the one
+    before it, so none is too small for a number however rare the letters."""
     n, reach = arcs.shape[1:]
-    each = chances[arcs] if place is None else chances[arcs, place[:, None, None]][..., None]
-    each = each * (PER_LETTER ** np.arange(1, reach + 1))[None, None, :, None]
-    sums = np.zeros((len(arcs), n + 1, each.shape[3]))
-    sums[:, 0] = 1
+    logs = np.zeros((len(arcs), chances.shape[1] if place is None else 1))
+    before = first = np.ones((len(arcs), 1, logs.shape[1]))  # sums up to the last starts, by that of the last one
+    shares = []
     for end in range(1, n + 1):
-        for k in range(1, min(reach, end) + 1):
-            sums[:, end] += sums[:, end - k] * each[:, end - k, k - 1]
-    return sums, each
+        k = np.arange(1, min(reach, end) + 1)
+        some = arcs[:, end - k, k - 1]
+        parts = before * (chances[some] if place is None else chances[some, place[:, None]][..., None])
+        step = parts.sum(axis=1, keepdims=True)
+        logs += np.log(step[:, 0])
+        if place is not None:
+            shares.append((parts / step)[..., 0])
+        before = np.concatenate([first, before[:, : reach - 1] / step], axis=1)
+    return logs, shares
 
 
 def log_chances(lattice: Lattice, chances: np.ndarray, some: list[str]) -> np.ndarray:
     """Log-probability [word, language] summed over all segmentations."""
     out = np.zeros((len(some), chances.shape[1]))
     for places, arcs in lattice.by_length(some):
-        sums, _ = forward(arcs, chances)
-        out[places] = np.log(sums[:, -1]) - arcs.shape[1] * np.log(PER_LETTER)
+        out[places] = forward(arcs, chances)[0]
     return out
 
 
@@ -111,17 +117,17 @@ def expected(lattice: Lattice, chances: np.ndarray, some: list[str], place: np.n
     """Expected counts [piece, language] of words seen ``weight`` times in one language each."""
     out = np.zeros(chances.shape)
     for places, arcs in lattice.by_length(some):
-        sums, each = forward(arcs, chances, place[places])
+        _, shares = forward(arcs, chances, place[places])
         n, reach = arcs.shape[1:]
+        # how often a segmentation has a border here: what its arcs from here on have
         back = np.zeros((len(arcs), n + 1))
-        back[:, n] = 1
+        back[:, n] = weight[places]
         got = np.zeros(arcs.shape)
-        for start in range(n - 1, -1, -1):
-            for k in range(1, min(reach, n - start) + 1):
-                part = each[:, start, k - 1, 0] * back[:, start + k]
-                got[:, start, k - 1] = part * sums[:, start, 0]
-                back[:, start] += part
-        got *= (weight[places] / sums[:, n, 0])[:, None, None]
+        for end in range(n, 0, -1):
+            k = np.arange(1, min(reach, end) + 1)
+            part = shares[end - 1] * back[:, end, None]
+            got[:, end - k, k - 1] = part
+            back[:, end - k] += part
         cells = arcs.astype(np.int64) * chances.shape[1] + place[places][:, None, None]
         out += np.bincount(cells.ravel(), got.ravel(), out.size).reshape(out.shape)
     out[-1] = 0

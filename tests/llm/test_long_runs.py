@@ -1,0 +1,68 @@
+"""Long runs of rare and uncovered letters in the language operator."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+from gleanery.llm.language import ROUNDS, SPAN, START, Lattice, expected, identify, log_chances, train
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+RUNS = ["ლ" * SPAN, "ሰ" * SPAN, "語" * SPAN, "ꙮ" * SPAN, "".join(chr(0x4E00 + i) for i in range(SPAN))]
+
+
+def by_logs(lattice: Lattice, chances: np.ndarray, word: str) -> float:
+    """Log-probability of a word in the first language, by adding up logarithms."""
+    (_, arcs), *_ = lattice.by_length([word])
+    sums = [0.0]
+    for end in range(1, len(word) + 2):
+        reach = range(1, min(arcs.shape[2], end) + 1)
+        parts = [(sums[end - k], chances[arcs[0, end - k, k - 1], 0]) for k in reach]
+        logs = [s + math.log(c) for s, c in parts if c > 0]
+        sums.append(max(logs) + math.log(sum(math.exp(x - max(logs)) for x in logs)))
+    return sums[-1]
+
+
+@pytest.fixture(scope="module")
+def lattice():
+    return Lattice(PATH)
+
+
+def test_long_runs_have_finite_scores(lattice):
+    rng = np.random.default_rng(5)
+    chances = np.full((lattice.size, 2), 1 / lattice.size)
+    chances[:, 1] = rng.random(lattice.size) * 1e-9
+    chances[-1] = 0
+    some = [*RUNS, "hello", "w" * SPAN]
+    found = log_chances(lattice, chances, some)
+    assert np.isfinite(found).all()
+    for column in (0, 1):
+        assert found[:, column] == pytest.approx([by_logs(lattice, chances[:, [column]], w) for w in some], rel=1e-9)
+
+
+def test_long_runs_have_finite_expectations(lattice):
+    chances = np.full((lattice.size, 1), 1 / lattice.size)
+    chances[-1] = 0
+    for word in RUNS:
+        counts = expected(lattice, chances, [word], np.zeros(1, np.int64), np.array([3]))
+        assert np.isfinite(counts).all()
+        # pieces cover every letter of the three words once, and the mark of the start
+        lengths = {i: len(p) for p, i in lattice.ids.items()}
+        covered = sum(counts[i, 0] * lengths.get(i, 1) for i in np.flatnonzero(counts[:, 0]))
+        assert covered == pytest.approx(3 * len(START + word))
+
+
+def test_one_long_run_does_not_take_a_language(spark):
+    plain = [(i, f"the cat and the dog number {'abcdefgh'[i]} sat on the mat", "en") for i in range(8)]
+    other = [(10 + i, f"der hund und die katze sitzen auf der matte {'abcdefgh'[i]}", "de") for i in range(8)]
+    rare = [(20 + i, run, "aa") for i, run in enumerate(RUNS)]
+    docs = spark.createDataFrame(plain + other + rare, "doc_id long, text string, lang string")
+    model = train(docs, PATH)
+    assert ROUNDS > 1 and np.isfinite(model.chances).all()
+    asked = [(1, "the dog sat on the mat", "en"), (2, "der hund und die katze", "de"), (3, "ሰ" * SPAN * 3, "aa"), (4, "ﷲ" * SPAN, None)]
+    rows = identify(spark.createDataFrame(asked, docs.schema), model, PATH).select("lang", "language.*").collect()
+    assert [r["lang_pred"] for r in rows[:3]] == [r["lang"] for r in rows[:3]]
+    assert all(0 < r["score"] <= 1 for r in rows)
