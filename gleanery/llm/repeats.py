@@ -19,7 +19,9 @@ anchor of. Four steps:
    a longest previous factor of ``LENGTH`` are those whose previous smaller position stands
    in the run of suffixes that agree with them so far, and that is the run's head.
 
-Contexts are held equal in step 2 by 72 bits of hash beside the bucket's; step 4 compares
+Contexts are held equal in steps 1 and 2 by all 64 bits of their hash, beside the anchor's
+(whose bits tell nothing among the contexts of one anchor): of N different contexts of an
+anchor N * N / 2^65 pairs are expected to be confused, 3e-6 for ten million. Step 4 compares
 bytes. The number of buckets follows the size of the texts.
 
 A null text is empty. Rows without an id are left as they are, and are not earlier than any
@@ -165,7 +167,7 @@ class Gatherer:
                 docs, small = np.unique(ref[own], return_inverse=True)
                 data = [small.astype(np.uint16), at[own].astype(np.uint16), (at[own] >> 16).astype(np.uint16)]
                 if kind == 0:
-                    data += [anchor[own].astype(np.uint32), context[own].astype(np.uint32), (context[own] >> np.uint64(32)).astype(np.uint8)]
+                    data += [anchor[own].astype(np.uint32), context[own]]
                 yield int(to[own[0]]), kind, ids[docs].tobytes(), hashes[docs].tobytes(), b"".join(d.tobytes() for d in data)
 
 
@@ -202,8 +204,8 @@ def handed_on(rows: Iterator[tuple], at_once: int = 64) -> Iterator[pa.RecordBat
 
 
 def unpacked(table: pa.Table, kind: int) -> list[np.ndarray]:
-    """id, hash, position, and for anchors the anchor and both parts of the context."""
-    types = [np.uint16, np.uint16, np.uint16] + ([np.uint32, np.uint32, np.uint8] if kind == 0 else [])
+    """id, hash, position, and for anchors the anchor and the context."""
+    types = [np.uint16, np.uint16, np.uint16] + ([np.uint32, np.uint64] if kind == 0 else [])
     out: list[list[np.ndarray]] = [[] for _ in types]
     for ids, hashes, data in zip(*(table[c].to_pylist() for c in ("ids", "hashes", "data"))):
         n, offset, fields = len(data) // sum(np.dtype(t).itemsize for t in types), 0, []
@@ -219,11 +221,10 @@ def unpacked(table: pa.Table, kind: int) -> list[np.ndarray]:
 def _settle(key: tuple, table: pa.Table) -> pa.Table:
     """Step 2: repeated contexts of one bucket, and the contexts whose bytes are asked for."""
     local = unpacked(table.filter(pa.compute.equal(table["kind"], 1)), 1)
-    ids, hashes, at, anchor, high, low = unpacked(table.filter(pa.compute.equal(table["kind"], 0)), 0)
-    order = np.lexsort((ids, low, high, anchor))
-    ids, hashes, at, anchor, high, low = (x[order] for x in (ids, hashes, at, anchor, high, low))
-    context = heads(anchor, high, low)
-    repeat = ids != runs_least(context, ids)
+    ids, hashes, at, anchor, context = unpacked(table.filter(pa.compute.equal(table["kind"], 0)), 0)
+    order = np.lexsort((ids, context, anchor))
+    ids, hashes, at, anchor, context = (x[order] for x in (ids, hashes, at, anchor, context))
+    repeat = ids != runs_least(heads(anchor, context), ids)
     of_anchor = heads(anchor)
     group = np.cumsum(of_anchor) - 1
     firsts = ids[~repeat]

@@ -1,0 +1,23 @@
+"""Anchors with many different contexts in the operator that removes repeated bytes."""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+
+from gleanery.llm import repeats
+
+
+def gathered(buckets: int, anchor: list[int], context: list[int], **more) -> pa.Table:
+    """What a task hands on for anchors of one document each."""
+    some = repeats.Gatherer(buckets, **more)
+    n = len(anchor)
+    some.docs, some.n = [(i, i) for i in range(n)], n
+    some.parts = [(np.arange(n), np.full(n, 40), np.array(anchor, np.uint64), np.array(context, np.uint64))]
+    return pa.Table.from_batches(list(repeats.handed_on(some.packed())))
+
+
+def test_contexts_that_agree_in_forty_bits_are_two():
+    table = gathered(1, [7, 7, 7], [5, 5 + (1 << 41), 5 + (1 << 63)])
+    fields = repeats.unpacked(table.filter(pa.compute.equal(table["kind"], 0)), 0)
+    assert len({*zip(*(f.tolist() for f in fields[4:]))}) == 3
