@@ -19,6 +19,14 @@ anchor of. Four steps:
    a longest previous factor of ``LENGTH`` are those whose previous smaller position stands
    in the run of suffixes that agree with them so far, and that is the run's head.
 
+Beside a passage that many documents hold, each document has a context of its own, so one
+anchor has as many contexts as there are documents. No such anchor is gathered: a task that
+finds more than a crowd of them deals them by context instead, with a mark for the anchor's
+bucket, and all contexts of a marked anchor are asked for. Step 4 does not put these in
+order: their strings of ``LENGTH`` bytes are grouped, the bytes themselves as the key, for
+the smallest document, which combines within tasks; strings that stand in very many contexts
+meet them by broadcast.
+
 Contexts are held equal in steps 1 and 2 by all 64 bits of their hash, beside the anchor's
 (whose bits tell nothing among the contexts of one anchor): of N different contexts of an
 anchor N * N / 2^65 pairs are expected to be confused, 3e-6 for ten million. Step 4 compares
@@ -37,6 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gleanery.llm.texts import BASE, CHUNK_BYTES, MASK, chunks, mix, raw
+from gleanery.operators.sizing import broadcast_if_small
 from gleanery.session import shared_dir
 
 LENGTH = 50
@@ -45,6 +54,10 @@ REACH = LENGTH - GRAM
 BUCKET_BYTES = 12 << 20  # of text for each bucket
 FLUSH = 1_500_000  # anchors gathered in a task before they are handed on
 FLUSH_DOCS = 60_000  # fit 16 bits
+CROWD = 256  # contexts of an anchor in one flush beyond which they are dealt by context
+GATHERED = 4096  # contexts of an anchor that step 4 puts in order at once
+CROWDED_BYTES = 100 << 30  # of text, from which on a crowd is fewer, so that buckets stay bounded
+COMMON = 20_000  # strings at most that meet their contexts by broadcast
 MARGIN = 2 * LENGTH
 
 _BACK = np.uint64(pow(BASE, -1, MASK + 1))
@@ -52,7 +65,7 @@ _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
 _LOW = np.uint64((1 << 24) - 1)
 
 BLOBS = "bucket int, kind int, ids binary, hashes binary, data binary"
-FOUND = "doc_id bigint, hash int, at int, anchor bigint, whole binary"
+FOUND = "doc_id bigint, hash int, at int, anchor bigint, crowded boolean, whole binary"
 PARTS = "doc_id bigint, hash int, start bigint, end bigint"
 
 
@@ -120,11 +133,19 @@ def runs_least(head: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.minimum.reduceat(values, np.flatnonzero(head))[np.cumsum(head) - 1] if len(values) else values
 
 
+def names(anchor: np.ndarray, buckets: int) -> np.ndarray:
+    """What anchors are told apart by: their buckets and lower halves."""
+    bucket = (anchor >> np.uint64(32)) % np.uint64(buckets)
+    return (bucket << np.uint64(32)) | (anchor & np.uint64(0xFFFFFFFF))
+
+
 class Gatherer:
-    """Anchors of a task's documents, packed by bucket."""
+    """Anchors of a task's documents, packed by bucket: those to be compared (kind 0) and
+    known repeats (1). Anchors of more than ``crowd`` entries go by context (3), each with
+    one entry as a mark in its own bucket (4)."""
 
-    def __init__(self, buckets: int):
-        self.buckets, self.powers = buckets, Powers(CHUNK_BYTES + 4 * MARGIN)
+    def __init__(self, buckets: int, crowd: int = CROWD):
+        self.buckets, self.crowd, self.powers = buckets, crowd, Powers(CHUNK_BYTES + 4 * MARGIN)
         self.clear()
 
     def clear(self) -> None:
@@ -157,8 +178,14 @@ class Gatherer:
         order = np.lexsort((ids[ref], context, anchor))
         ref, at, anchor, context = ref[order], at[order], anchor[order], context[order]
         first = ids[ref] == runs_least(heads(anchor, context), ids[ref])
-        bucket = ((anchor >> np.uint64(32)) % np.uint64(self.buckets)).astype(np.int64)
-        for kind, chosen, to in ((0, first, bucket), (1, ~first, ref % self.buckets)):
+        name = names(anchor, self.buckets)
+        bucket = (name >> np.uint64(32)).astype(np.int64)
+        group = np.cumsum(heads(anchor)) - 1
+        crowded = first & (np.bincount(group[first], minlength=group[-1] + 1) > self.crowd)[group]
+        mark = np.zeros(len(name), bool)
+        mark[np.flatnonzero(crowded)[heads(group[crowded])]] = True
+        dealt = (mix(anchor ^ mix(context)) % np.uint64(self.buckets)).astype(np.int64)
+        for kind, chosen, to in ((0, first & ~crowded, bucket), (1, ~first, ref % self.buckets), (3, crowded, dealt), (4, mark, bucket)):
             rows = np.flatnonzero(chosen)
             rows = rows[np.argsort(to[rows], kind="stable")]
             for own in np.split(rows, np.flatnonzero(np.diff(to[rows])) + 1):
@@ -166,8 +193,8 @@ class Gatherer:
                     continue
                 docs, small = np.unique(ref[own], return_inverse=True)
                 data = [small.astype(np.uint16), at[own].astype(np.uint16), (at[own] >> 16).astype(np.uint16)]
-                if kind == 0:
-                    data += [anchor[own].astype(np.uint32), context[own]]
+                if kind != 1:
+                    data += [name[own] if kind == 3 else name[own].astype(np.uint32), context[own]]
                 yield int(to[own[0]]), kind, ids[docs].tobytes(), hashes[docs].tobytes(), b"".join(d.tobytes() for d in data)
 
 
@@ -177,9 +204,9 @@ def _blobs(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["bucket", "kind", "ids", "hashes", "data"])
 
 
-def _gather(buckets: int):
+def _gather(buckets: int, crowd: int):
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gatherer = Gatherer(buckets)
+        gatherer = Gatherer(buckets, crowd)
         for batch in batches:
             docs = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
             for a, b in chunks([d[2] for d in docs]):
@@ -204,8 +231,9 @@ def handed_on(rows: Iterator[tuple], at_once: int = 64) -> Iterator[pa.RecordBat
 
 
 def unpacked(table: pa.Table, kind: int) -> list[np.ndarray]:
-    """id, hash, position, and for anchors the anchor and the context."""
-    types = [np.uint16, np.uint16, np.uint16] + ([np.uint32, np.uint64] if kind == 0 else [])
+    """id, hash, position, and for anchors the anchor and the context; of one kind."""
+    table = table.filter(pa.compute.equal(table["kind"], kind))
+    types = [np.uint16, np.uint16, np.uint16] + ([] if kind == 1 else [np.uint64 if kind == 3 else np.uint32, np.uint64])
     out: list[list[np.ndarray]] = [[] for _ in types]
     for ids, hashes, data in zip(*(table[c].to_pylist() for c in ("ids", "hashes", "data"))):
         n, offset, fields = len(data) // sum(np.dtype(t).itemsize for t in types), 0, []
@@ -215,24 +243,31 @@ def unpacked(table: pa.Table, kind: int) -> list[np.ndarray]:
         at = fields[1].astype(np.uint32) | (fields[2].astype(np.uint32) << np.uint32(16))
         for x, values in zip(out, [np.frombuffer(ids, np.int64)[fields[0]], np.frombuffer(hashes, np.int32)[fields[0]], at, *fields[3:]]):
             x.append(values)
-    return [np.concatenate(x) if x else np.empty(0, np.int64) for x in out]
+    kinds = [np.int64, np.int32, np.uint32, *types[3:]]
+    return [np.concatenate(x) if x else np.empty(0, t) for x, t in zip(out, kinds)]
 
 
 def _settle(key: tuple, table: pa.Table) -> pa.Table:
     """Step 2: repeated contexts of one bucket, and the contexts whose bytes are asked for."""
-    local = unpacked(table.filter(pa.compute.equal(table["kind"], 1)), 1)
-    ids, hashes, at, anchor, context = unpacked(table.filter(pa.compute.equal(table["kind"], 0)), 0)
-    order = np.lexsort((ids, context, anchor))
-    ids, hashes, at, anchor, context = (x[order] for x in (ids, hashes, at, anchor, context))
-    repeat = ids != runs_least(heads(anchor, context), ids)
-    of_anchor = heads(anchor)
-    group = np.cumsum(of_anchor) - 1
+    local = unpacked(table, 1)
+    own = np.uint64(key[0].as_py()) << np.uint64(32)
+    plain, dealt = unpacked(table, 0), unpacked(table, 3)
+    plain[3], dealt[3] = own | plain[3].astype(np.uint64), dealt[3].astype(np.uint64)
+    marked = own | unpacked(table, 4)[3].astype(np.uint64)
+    crowded = np.concatenate([np.isin(plain[3], marked), np.ones(len(dealt[3]), bool)])
+    ids, hashes, at, name, context = (np.concatenate(x) for x in zip(plain, dealt))
+    order = np.lexsort((ids, context, name))
+    ids, hashes, at, name, context, crowded = (x[order] for x in (ids, hashes, at, name, context, crowded))
+    repeat = ids != runs_least(heads(name, context), ids)
+    group = np.cumsum(heads(name)) - 1
+    n = group[-1] + 1 if len(group) else 0
     firsts = ids[~repeat]
-    least, most = np.full(group[-1] + 1 if len(group) else 0, np.iinfo(np.int64).max), np.full(group[-1] + 1 if len(group) else 0, np.iinfo(np.int64).min)
+    least, most = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).min)
     np.minimum.at(least, group[~repeat], firsts)
     np.maximum.at(most, group[~repeat], firsts)
-    asked = ~repeat & (least < most)[group] if len(group) else repeat
-    names = (np.uint64(key[0].as_py()) << np.uint64(32)) | anchor.astype(np.uint64)
+    asked = ~repeat & (crowded | (least < most)[group])
+    # all of an anchor is here, or it is crowded everywhere
+    crowded |= (np.bincount(group[asked], minlength=n) > GATHERED)[group]
     # a row for each anchor found here: their number follows the texts, not the buckets
     single = pa.table(
         {
@@ -240,9 +275,10 @@ def _settle(key: tuple, table: pa.Table) -> pa.Table:
             "hash": np.concatenate([hashes[repeat], hashes[asked]]),
             "at": np.concatenate([at[repeat], at[asked]]).astype(np.int32),
             "anchor": pa.array(
-                np.concatenate([np.zeros(int(repeat.sum()), np.uint64), names[asked]]).view(np.int64),
+                np.concatenate([np.zeros(int(repeat.sum()), np.uint64), name[asked]]).view(np.int64),
                 mask=np.arange(int(repeat.sum() + asked.sum())) < repeat.sum(),
             ),
+            "crowded": np.concatenate([np.zeros(int(repeat.sum()), bool), crowded[asked]]),
             "whole": pa.nulls(int(repeat.sum() + asked.sum()), pa.binary()),
         }
     )
@@ -256,6 +292,7 @@ def _settle(key: tuple, table: pa.Table) -> pa.Table:
             "hash": hash[cuts].astype(np.int32),
             "at": pa.nulls(len(cuts), pa.int32()),
             "anchor": pa.nulls(len(cuts), pa.int64()),
+            "crowded": np.zeros(len(cuts), bool),
             "whole": pa.array([place[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts, np.append(cuts[1:], len(doc)))], pa.binary()),
         }
     )
@@ -320,7 +357,7 @@ def earlier(ids: np.ndarray, name: np.ndarray, sides: np.ndarray, bytes_: np.nda
 
 
 def _order(table: pa.Table) -> pa.Table:
-    """Step 4, for the contexts of a bucket; all of an anchor's at once."""
+    """Step 4, for the contexts of a bucket; all of an anchor's at once, ``GATHERED`` at most."""
     lists: list[list] = [[] for _ in range(6)]
     for ids, hashes, data in zip(*(table[c].to_pylist() for c in ("ids", "hashes", "data"))):
         n, offset = len(ids) // 8, 0
@@ -350,6 +387,26 @@ def _order(table: pa.Table) -> pa.Table:
     return pa.table({"doc_id": ids[rows_], "hash": hashes[rows_], "start": np.concatenate(starts), "end": np.concatenate(stops)})
 
 
+def _shared(judged: DataFrame, asked: DataFrame) -> DataFrame:
+    """Steps 3 and 4 for the contexts of crowded anchors: their strings, grouped."""
+    asked = broadcast_if_small(asked.groupBy("doc_id", "hash").agg(F.collect_list("at").alias("asked")))
+    begin = lambda at: F.greatest(at - REACH, F.lit(0))
+    context = lambda at: F.struct(begin(at).alias("begin"), at.alias("at"), F.substring("bytes", begin(at) + 1, at + LENGTH - begin(at)).alias("piece"))
+    contexts = judged.join(asked, ["doc_id", "hash"]).select("doc_id", "hash", F.transform("asked", context).alias("c"))
+    contexts = contexts.select("doc_id", "hash", F.explode("c").alias("c")).select("doc_id", "hash", "c.*").checkpoint()
+    shifts = F.sequence(F.lit(0), F.length("piece") - LENGTH)
+    strings = contexts.where(F.length("piece") >= LENGTH).withColumn("i", F.explode(shifts))
+    strings = strings.select("doc_id", "hash", "at", (F.col("begin") + F.col("i")).alias("start"), F.substring("piece", F.col("i") + 1, F.lit(LENGTH)).alias("string"))
+    known = strings.groupBy("string").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n"))
+    known = known.where("least < most").select("string", "least", "n").checkpoint()
+    often = max(1000, (known.agg(F.sum("n")).first()[0] or 0) // COMMON)
+    common = F.broadcast(known.where(F.col("n") > often).drop("n"))  # COMMON rows at most
+    others = strings.join(common, "string", "left_anti").join(known.where(F.col("n") <= often).drop("n"), "string")
+    later = strings.join(common, "string").unionByName(others).where(F.col("doc_id") > F.col("least"))
+    parts = later.groupBy("doc_id", "hash", "at").agg(F.min("start").alias("start"), F.max("start").alias("last"))
+    return parts.select("doc_id", "hash", F.col("start").cast("bigint"), (F.col("last") + LENGTH).cast("bigint").alias("end"))
+
+
 def removed(n: int, single: list[int], whole: list[bytes], parts: list[dict]) -> list[tuple[int, int]]:
     """Maximal covered runs of a text of n bytes."""
     at = np.concatenate([np.array(single, np.int64), *[np.frombuffer(x, np.uint32).astype(np.int64) for x in whole]])
@@ -382,21 +439,25 @@ def _remover():
     return remove
 
 
-def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", crowd: int = CROWD) -> DataFrame:
     """(doc_id, n_bytes, spans, kept) of every document: the byte spans removed, and the
-    remaining bytes one after another."""
+    remaining bytes one after another. ``crowd`` changes the work's shape, not its result."""
     shared_dir(docs.sparkSession)
     docs = docs.select("doc_id", F.hash(raw(text)).alias("hash"), raw(text).alias("bytes"))
     judged = docs.where("doc_id is not null")
     size = judged.agg(F.sum(F.length("bytes"))).first()[0] or 0
     buckets = 1 + size // BUCKET_BYTES
-    blobs = judged.where(F.length("bytes") >= LENGTH).mapInArrow(_gather(buckets), BLOBS)
+    blobs = judged.where(F.length("bytes") >= LENGTH).mapInArrow(_gather(buckets, min(crowd, max(4, CROWD * CROWDED_BYTES // max(size, 1)))), BLOBS)
     found = blobs.groupBy("bucket").applyInArrow(_settle, FOUND).checkpoint()
-    asked = found.where("anchor is not null").groupBy("doc_id", "hash").agg(F.collect_list(F.struct("at", "anchor")).alias("asked"))
+    named = found.where("anchor is not null")
+    asked = named.where("not crowded").groupBy("doc_id", "hash").agg(F.collect_list(F.struct("at", "anchor")).alias("asked"))
     # the texts meet what is known of them twice, by one exchange that Spark uses again
     asked = judged.join(asked.hint("shuffle_merge"), ["doc_id", "hash"]).select("doc_id", "hash", "bytes", "asked")
     ordered = asked.mapInArrow(_deliver(buckets), BLOBS).groupBy("bucket").applyInArrow(_order, PARTS)
     whole = found.where("anchor is null").select("doc_id", "hash", "at", "whole")
+    crowded = named.where("crowded").select("doc_id", "hash", "at")
+    if not crowded.isEmpty():
+        ordered = ordered.unionByName(_shared(judged, crowded))
     parts = ordered.select("doc_id", "hash", F.struct("start", "end").alias("part"))
     covers = whole.unionByName(parts, allowMissingColumns=True).groupBy("doc_id", "hash")
     covers = covers.agg(*[F.collect_list(c).alias(c) for c in ("at", "whole", "part")])

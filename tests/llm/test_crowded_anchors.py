@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 
 from gleanery.llm import repeats
+from tests.llm import brute
+from tests.llm.conftest import table, words
 
 
 def gathered(buckets: int, anchor: list[int], context: list[int], **more) -> pa.Table:
@@ -18,6 +20,34 @@ def gathered(buckets: int, anchor: list[int], context: list[int], **more) -> pa.
 
 
 def test_contexts_that_agree_in_forty_bits_are_two():
-    table = gathered(1, [7, 7, 7], [5, 5 + (1 << 41), 5 + (1 << 63)])
-    fields = repeats.unpacked(table.filter(pa.compute.equal(table["kind"], 0)), 0)
+    found = gathered(1, [7, 7, 7], [5, 5 + (1 << 41), 5 + (1 << 63)])
+    fields = repeats.unpacked(found.filter(pa.compute.equal(found["kind"], 0)), 0)
     assert len({*zip(*(f.tolist() for f in fields[4:]))}) == 3
+
+
+def test_no_bucket_gets_all_of_a_crowded_anchor():
+    rng = np.random.default_rng(1)
+    found = gathered(8, [7] * 4000, rng.integers(0, 1 << 62, 4000).tolist())
+    sizes: dict[int, int] = {}
+    for bucket, ids in zip(found["bucket"].to_pylist(), found["ids"].to_pylist()):
+        sizes[bucket] = sizes.get(bucket, 0) + len(ids) // 8
+    assert max(sizes.values()) < 1000 and sum(sizes.values()) >= 4000
+
+
+def test_crowded_anchors_give_the_same_repeats(spark):
+    passage, rows = words(70, 14), []
+    for i in range(60):
+        rows.append((i, words(700 + i, 12) + " " + passage + " " + words(800 + i % 7, 12)))
+    rows += [(100, rows[5][1][20:]), (101, passage), (102, passage[:49]), (103, None), (104, rows[9][1])]
+    want = brute.repeats(dict(rows))
+    docs = table(spark, rows).repartition(3)
+    for crowd in (1, 5, repeats.CROWD):
+        got = {r.doc_id: r for r in repeats.remove_repeats(docs, crowd=crowd).collect()}
+        for d, (n, gone, spans, kept) in want.items():
+            assert (got[d].n_bytes, len(got[d].spans), bytes(got[d].kept)) == (n, spans, kept), (crowd, d)
+
+
+def test_crowded_anchors_of_the_corpus(docs, rows):
+    got = {r.doc_id: r for r in repeats.remove_repeats(docs, crowd=0).collect()}
+    for d, (n, gone, spans, kept) in brute.repeats(dict(rows)).items():
+        assert (got[d].n_bytes, len(got[d].spans), bytes(got[d].kept)) == (n, spans, kept), d
