@@ -4,7 +4,8 @@ A text is split by the pattern, and each distinct piece is encoded once for a ru
 documents. Its bytes are token-position rows; a recursive query joins neighbouring tokens
 with the merge table and contracts each piece's leftmost pair of least rank, until no pair
 of any piece is left. A piece that is a token itself is not merged. Decoding joins ids with
-the tokens' bytes and concatenates them in order of position.
+the tokens' bytes and concatenates them in order of position, ``QUERY_IDS`` at a time; the
+bytes of a longer text's slices follow one another.
 
 Pieces beyond ``QUERY_BYTES`` would take as many rounds of the query as they have merges,
 each over all their rows; they are contracted by the same rule with a heap instead.
@@ -32,6 +33,7 @@ from gleanery.llm.texts import chunks
 QUERY_BYTES = 64  # longest piece that the recursive query takes
 REMEMBERED = 250_000  # pieces kept from one run of documents to the next
 QUERY_PIECES = 10_000  # in one query
+QUERY_IDS = 1 << 18  # decoded in one query
 DUCKDB_MEMORY = "256MB"
 RUN_BYTES = 1 << 20  # of text encoded at once
 
@@ -205,13 +207,15 @@ class Codec:
         """The bytes of each of the texts whose ids end at the borders."""
         lengths = np.diff(borders, prepend=0)
         doc = np.repeat(np.arange(len(borders), dtype=np.int32), lengths)
-        self.db.register("ids", pa.table({"doc": doc, "pos": np.arange(len(ids), dtype=np.int32), "id": ids}))
-        rows = self.db.execute(_DECODE).fetchall()
-        self.db.unregister("ids")
-        out = [b""] * len(borders)
-        for n, hex in rows:
-            out[n] = bytes.fromhex(hex)
-        return out
+        out: list[list[bytes]] = [[] for _ in borders]
+        for a in range(0, len(ids), QUERY_IDS):
+            some = ids[a : a + QUERY_IDS]
+            rows = {"doc": doc[a : a + QUERY_IDS], "pos": np.arange(len(some), dtype=np.int32), "id": some}
+            self.db.register("ids", pa.table(rows))
+            for n, hex in self.db.execute(_DECODE).fetchall():
+                out[n].append(bytes.fromhex(hex))
+            self.db.unregister("ids")
+        return [b"".join(parts) for parts in out]
 
 
 @functools.lru_cache(maxsize=1)
