@@ -5,7 +5,8 @@ labels the samples: values found are strings that somebody drew at random, every
 of identifier characters in the corpus is ordinary. The transitions between characters are
 counted in both, over all documents, and give two first-order Markov models. A further run
 of ``MIN_LENGTH`` characters or more is a secret if the logarithm of its likelihood ratio
-is beyond ``EVIDENCE`` in all and ``PER_CHAR`` for each character.
+is beyond ``EVIDENCE`` in all and ``PER_CHAR`` for each character; so is a part as long
+that the patterns' spans leave of a run.
 
 Spans are counted in code points, ends exclusive. Null or empty texts have none; where the
 corpus has no samples, both models are uniform and only the patterns find anything.
@@ -14,6 +15,7 @@ Repeated rows are scanned, and counted, one by one.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -98,15 +100,32 @@ def train(docs: DataFrame, text: str = "text") -> np.ndarray:
     return chances[1] - chances[0]
 
 
+def _beside(text: str, base: list[tuple[int, int, int, str]]) -> Iterator[tuple[int, int]]:
+    """What the sorted base spans leave of each run, in parts of MIN_LENGTH or more."""
+    first = 0  # base span that may reach behind the run's start
+    far = list(itertools.accumulate((s[1] for s in base), max))
+    for m in _RUN.finditer(text):
+        at, stop = m.span()
+        while first < len(base) and far[first] <= at:
+            first += 1
+        i = first
+        while i < len(base) and base[i][0] < stop:
+            if base[i][0] - at >= MIN_LENGTH:
+                yield at, base[i][0]
+            at = max(at, base[i][1])
+            i += 1
+        if stop - at >= MIN_LENGTH:
+            yield at, stop
+
+
 def all_spans(text: str, ratios: np.ndarray) -> list[tuple[int, int, str]]:
     base = base_spans(text)
-    taken = [(s[0], s[1]) for s in base]
     found = [(start, end, kind) for start, end, kind, _ in base]
-    for m in _RUN.finditer(text):
-        codes = _CODES[np.frombuffer(m[0].encode(), np.uint8)]
+    for start, end in _beside(text, base):
+        codes = _CODES[np.frombuffer(text[start:end].encode(), np.uint8)]
         ratio = ratios[0, codes[0]] + ratios[codes[:-1], codes[1:]].sum() + ratios[codes[-1], 0]
-        if ratio >= max(EVIDENCE, PER_CHAR * len(codes)) and not any(s < m.end() and m.start() < e for s, e in taken):
-            found.append((m.start(), m.end(), 3))
+        if ratio >= max(EVIDENCE, PER_CHAR * len(codes)):
+            found.append((start, end, 3))
     return [(start, end, KINDS[kind]) for start, end, kind in sorted(found, key=lambda s: (s[0], s[2]))]
 
 
