@@ -29,7 +29,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from gleanery.llm.texts import BASE, WordHashes, grams, mix, raw
 from gleanery.operators.sizing import broadcast_if_small
@@ -213,11 +213,17 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
         pivots = pivots * MORE or PIVOTS
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD, text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document."""
+def _key(text: str) -> Column:
+    """Tells apart the texts of rows that share an id."""
+    return F.xxhash64(raw(text))
+
+
+def _judged(docs: DataFrame, shingle: int, threshold: int, text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every document, and its text's key."""
     shared_dir(docs.sparkSession)
     docs = docs.select("doc_id", text)
-    rows = docs.select("doc_id", _sketcher(shingle)(raw(text)).alias("s")).select("doc_id", "s.*").checkpoint()
+    rows = docs.select("doc_id", _key(text).alias("key"), _sketcher(shingle)(raw(text)).alias("s"))
+    rows = rows.select("doc_id", "key", "s.*").checkpoint()
     classes = rows.where("doc_id is not null and n > 0").groupBy("digest").agg(
         F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("registers").alias("registers")
     )
@@ -231,7 +237,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
         least = joined.groupBy("root").agg(F.min("first").alias("least"))
         moved = broadcast_if_small(joined.join(least, "root").select("id", "least"))
         of_class = of_class.join(moved, "id", "left").select("digest", F.coalesce("least", "first").alias("first"))
-    found = rows.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
+    found = rows.select("doc_id", "key", "n", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
     found = found.join(of_class, "digest", "left")
     component = F.coalesce("first", "doc_id")
     return found.select(
@@ -239,10 +245,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        "key",
     )
 
 
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD, text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every document."""
+    return _judged(docs, shingle, threshold, text).drop("key")
+
+
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """The documents with their own columns, one of each group of near-duplicates."""
-    gone = near_duplicates(docs, shingle, threshold).where("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(broadcast_if_small(gone.distinct()), F.col("doc_id") == F.col("_gone"), "left_anti")
+    """The documents with their own columns, those of the smallest id of each group of
+    near-duplicates. A row goes by its id and text, so others that share its id stay."""
+    gone = _judged(docs, shingle, threshold).where("not kept").select(F.col("doc_id").alias("_gone"), F.col("key").alias("_key"))
+    same = (F.col("doc_id") == F.col("_gone")) & (_key("text") == F.col("_key"))
+    return docs.join(broadcast_if_small(gone.distinct()), same, "left_anti")
