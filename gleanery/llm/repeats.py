@@ -1,4 +1,4 @@
-"""Suffix-array deduplication: removing byte strings that an earlier document holds.
+"""Deduplication of substrings: removing byte strings that an earlier document holds.
 
 Every byte covered by a ``LENGTH``-byte string that also starts in a document of smaller id
 is removed; the first document keeps its copy. Strings are judged on the input.
@@ -15,9 +15,9 @@ anchor of. Four steps:
    Anchors left with different contexts may share a part of these: their bytes are asked
    for, once for each different context.
 3. The documents asked deliver these contexts.
-4. A bucket puts the suffixes of its contexts in order, equal ones by document. Those with
-   a longest previous factor of ``LENGTH`` are those whose previous smaller position stands
-   in the run of suffixes that agree with them so far, and that is the run's head.
+4. A bucket puts the strings of ``LENGTH`` bytes of its contexts in order, equal ones by
+   document, and compares each document with the first of its run. No suffix array and no
+   longest previous factors are computed: whether a string stands earlier is all that is asked.
 
 Beside a passage that many documents hold, each document has a context of its own, so one
 anchor has as many contexts as there are documents. No such anchor is gathered: a task that
@@ -339,7 +339,7 @@ def _deliver(buckets: int):
 
 def earlier(ids: np.ndarray, name: np.ndarray, sides: np.ndarray, bytes_: np.ndarray) -> np.ndarray:
     """[context, shift]: whether the string that starts ``shift`` bytes before the anchor
-    has a longest previous factor of its whole length."""
+    stands in an earlier document too."""
     n = len(ids)
     shift = np.tile(np.arange(REACH + 1, dtype=np.uint8), n)
     row = np.repeat(np.arange(n), REACH + 1)
