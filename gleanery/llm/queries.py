@@ -8,6 +8,7 @@ import public_tokenizers
 
 from gleanery.llm.bpe import encode
 from gleanery.llm.decontaminate import benchmark_hits, n_hit
+from gleanery.llm.fill_middle import fill_in_middle, restore
 from gleanery.llm.hmm import score_texts
 from gleanery.llm.host_rules import STATS, quality_scores
 from gleanery.llm.language import identify, train
@@ -16,7 +17,9 @@ from gleanery.llm.near_dedup import near_duplicates
 from gleanery.llm.quality import quality_scores as classified_quality
 from gleanery.llm.repeats import remove_repeats
 from gleanery.llm.secret_scan import digest, secret_spans
+from gleanery.llm.simhash import simhash_duplicates
 from gleanery.llm.texts import fold, read
+from gleanery.llm.whitening import whiten
 from gleanery.session import shared_dir
 
 
@@ -109,6 +112,38 @@ def op10_quality_classifier(spark, sf_dir):
     return scores.select("doc_id", (F.col("fold") == 0).alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op11_simhash(spark, sf_dir):
+    return simhash_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark, sf_dir):
+    """The deviation is null where it is beyond a long; the operator's is a decimal."""
+    rows = whiten(read(spark, sf_dir, "embeddings"))
+    entries = rows.select("*", F.posexplode("whitened").alias("at", "entry"))
+    return entries.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        "n",
+        F.col("deviation").try_cast("bigint").alias("deviation"),
+        F.col("entry").alias("whitened"),
+        F.get("explained", "at").alias("explained"),
+        "identity_error",
+    )
+
+
+def op13_fill_in_middle(spark, sf_dir):
+    fim = fill_in_middle(read(spark, sf_dir, "documents"))
+    return fim.select(
+        "doc_id",
+        "fim.n",
+        "fim.form",
+        "fim.prefix_chars",
+        "fim.middle_chars",
+        F.sha2(F.col("fim.output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restore(F.col("fim.output"), F.col("fim.form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_hidden_markov": op1_hidden_markov,
     "op2_host_quality": op2_host_quality,
@@ -120,6 +155,9 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_repeated_bytes": op9_repeated_bytes,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_simhash": op11_simhash,
+    "op12_whitening": op12_whitening,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 
@@ -171,4 +209,17 @@ names AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT it
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN names USING (doc_id)""",
+    "op13_fill_in_middle": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+numbers AS (SELECT doc_id, t, units, len(units)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+    ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+cuts AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+parts AS (SELECT *, array_to_string(units[1:a], '') AS p, array_to_string(units[a + 1:b], '') AS m, array_to_string(units[b + 1:], '') AS s FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts""",
 }
