@@ -298,7 +298,8 @@ _RETRIEVED = (
       WHERE user_id = '' OR (document_id, user_id) IN (SELECT document_id, user_id FROM owned)"""),
     "found AS (SELECT * FROM hits JOIN docs USING (document_id))",
 )
-ORACLE["retrieved_hits"] = _with(*_RETRIEVED) + "SELECT qid, rank, document_id, url_key, chunk, dist FROM found"
+for _name in ("retrieved_hits", "served_hits"):
+    ORACLE[_name] = _with(*_RETRIEVED) + "SELECT qid, rank, document_id, url_key, chunk, dist FROM found"
 ORACLE["retrieval_prompts"] = _with(*_RETRIEVED, _contexts(), _EVIDENCE) + f"""
 SELECT qid, prompt, {_BEFORE} || coalesce(context, '') || {_BETWEEN} || prompt || {_AFTER} AS model_input,
        coalesce(chunks, '') AS chunks, coalesce(urls, '') AS urls

@@ -442,3 +442,14 @@ def retrieved_hits(spark, sf_dir):
 def retrieval_prompts(spark, sf_dir):
     store = i.index(spark, sf_dir, whole=True)
     return prompts(i.questions(spark, sf_dir), store.documents(), store.ownership(), i.EMBEDDER, i.TEMPLATE)
+
+
+@query
+def served_hits(spark, sf_dir):
+    """The same hits from documents kept in buckets: owners and hits meet them there, as if
+    there were too many of either to be broadcast, and questions are asked in rounds."""
+    store = i.index(spark, sf_dir, whole=True)
+    folder = scratch_path(spark, "served").rsplit("/", 1)[1]
+    documents = store.serve_documents(folder, buckets=8)
+    bounds = {"broadcast_bytes": 4 << 20, "owner_bytes": 0, "few_hits": 0}
+    return retrieve(i.questions(spark, sf_dir), documents, store.ownership(), i.EMBEDDER, **bounds)

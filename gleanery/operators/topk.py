@@ -1,14 +1,20 @@
 """Exact nearest neighbours of many questions in one pass over the vectors.
 
-No question x document pair is ever a row. The questions (the small side, measured
-first) are broadcast as matrices; every task streams its Arrow batches of vectors past
-them and keeps k candidates per question, so what leaves a task is at most k rows per
-question. Vectors stay where they are scanned, whatever their distribution; only finding
-the documents of users who own very many takes a join. The second stage ranks the few rows
-per question.
-
-Questions beyond the broadcast bound are answered in rounds of bounded size, each one
-checkpointed, so no broadcast grows with the data.
+No question x document pair is ever a row. The questions are broadcast as matrices; every
+task streams its Arrow batches of vectors past them and keeps k candidates per question, so
+what leaves a task is at most k rows per question. These are merged in two stages, first
+those of ``FAN_IN`` tasks each, then what is left of a question, so that no group holds the
+rows of all tasks.
+
+Open and scoped questions pass the same scan: a document comes with the list of the scopes
+that own it, from a join on its id. The lists are broadcast where they were measured to be
+small. Otherwise both sides meet by the hash of the id, and vectors that are kept in buckets
+by id (``gleanery.sources.buckets``) are not exchanged for it; nor are they ever for open
+questions. Where no question is open, unowned documents do not leave the join.
+
+Questions beyond what a task may hold are answered in rounds of bounded size, each one
+checkpointed, so no broadcast grows with the data. Vectors are array<float> or
+array<double>, and are compared as what they are; other arrays are refused.
 """
 
 from __future__ import annotations
@@ -18,20 +24,26 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from gleanery.operators.sizing import BROADCAST_BYTES, broadcast_if_small, measured, row_bytes
+from gleanery.operators import sizing
 
 K = 7  # fixed value: documents found per question
+QUESTION_BYTES = 256 << 20  # of the questions and their candidates that one task holds
+OWNER_BYTES = sizing.BROADCAST_BYTES  # of the lists of owners, or the ids that were hit, that are broadcast
 PAIR_BLOCK = 4 << 20  # distances held at once by one task
+FAN_IN = 256  # tasks whose rows of a question are merged first
 FEW_HITS = 250_000  # rows of a question id, a document id and two numbers
+CANDIDATE_BYTES = 128  # of a task for each of the k candidates of a question
 SMALL_SCOPE = 1 << 14  # pairs of a scope in a batch below which all are compared
 
-_PARTIAL = "qid string, document_id string, dist double"
+_PARTIAL = "qid string, part int, document_id string, dist double"
 
 
 def _asked(table: pa.Table) -> dict:
-    """The broadcast side: vectors ordered by scope, and where each scope lies.
+    """The broadcast side: vectors ordered by scope, and where each scope lies. The open
+    scope is named "", and so the first, if there is one.
 
     Plain values only: a broadcast is pickled by reference, and executors need not have
     this package installed."""
@@ -41,7 +53,9 @@ def _asked(table: pa.Table) -> dict:
     return {
         "qids": np.array(table["qid"].to_pylist(), dtype=object),
         "vectors": _matrix(table["embed"].combine_chunks()),
-        "places": {name: (start, n) for name, start, n in zip(names, starts.tolist(), counts.tolist())},
+        "scopes": names.tolist(),
+        "starts": starts,
+        "counts": counts,
     }
 
 
@@ -49,22 +63,36 @@ class _Best:
     """The k nearest documents one task has seen so far, for every question."""
 
     def __init__(self, asked: dict, k: int):
-        self.qids, self.vectors, self.places, self.k = asked["qids"], asked["vectors"], asked["places"], k
-        self.q = self.vectors.astype(np.float64)
+        self.qids, self.k = asked["qids"], k
+        self.starts, self.counts, self.open = asked["starts"], asked["counts"], asked["scopes"][0] == ""
+        self.q = asked["vectors"].astype(np.float64)
+        self.rough = _single(asked["vectors"])
         self.norms = np.einsum("ij,ij->i", self.q, self.q)
         self.bound = np.full(len(self.q), np.inf)
-        places = sorted(self.places.values())
-        self.start_of = np.repeat([start for start, _ in places], [n for _, n in places])
+        self.start_of = np.repeat(self.starts, self.counts)
         self.rows = pd.DataFrame({"q": np.empty(0, np.int64), "dist": np.empty(0), "id": np.empty(0, object)})
 
-    def offer(self, scopes: pa.DictionaryArray, ids: np.ndarray, vectors: np.ndarray) -> None:
-        """One batch of documents, each with the scope it may answer."""
+    def offer(self, ids: np.ndarray, vectors: np.ndarray, owners: pa.ListArray | None) -> None:
+        """One batch of documents, each with the places of the scopes that own it."""
         if vectors.shape[1] != self.q.shape[1]:
             raise ValueError(f"document vectors have {vectors.shape[1]} dimensions, questions {self.q.shape[1]}")
-        places = [self.places.get(name, (0, 0)) for name in scopes.dictionary.to_pylist()]
-        start, n_asked = np.array(places, dtype=np.int64).T[:, scopes.indices.to_numpy()]
-        docs = pd.DataFrame({"start": start, "n": n_asked, "vector": self._distinct(vectors), "id": ids})
-        docs = docs[docs["n"] > 0]
+        if owners is not None:
+            lengths = np.diff(owners.offsets.to_numpy())
+            places = owners.flatten().to_numpy()
+            if len(ids) > 1 and self.counts[places].sum() > PAIR_BLOCK:
+                half = len(ids) // 2
+                self.offer(ids[:half], vectors[:half], owners[:half])
+                self.offer(ids[half:], vectors[half:], owners[half:])
+                return
+            rows = np.repeat(np.arange(len(ids)), lengths)
+        else:
+            places = rows = np.empty(0, np.int64)
+        if self.open:
+            places = np.concatenate([np.zeros(len(ids), np.int64), places])
+            rows = np.concatenate([np.arange(len(ids)), rows])
+        docs = pd.DataFrame(
+            {"start": self.starts[places], "n": self.counts[places], "vector": self._distinct(vectors)[rows], "id": ids[rows]}
+        )
         if docs["vector"].nunique() < len(docs):
             # copies of one vector rank by id: k of them are enough, compared once
             docs = docs.sort_values("id").groupby(["start", "vector"], sort=False).head(self.k)
@@ -98,8 +126,9 @@ class _Best:
 
     def _narrowed(self, start: int, n: int, at: np.ndarray, vectors: np.ndarray) -> Iterator[tuple]:
         """Candidates of questions start..start+n among the vectors ``at``, by distances
-        in single precision. Their error is below ``slack`` (4 times the worst case of a
-        dot product of this length), so the exact pass misses no neighbour."""
+        in single precision. Their error is below ``slack`` (over twice the worst case of a
+        dot product of this length, rounding of the entries included), so the exact pass
+        misses no neighbour."""
         vectors = vectors[at]
         norms = np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64)
         step = max(1, PAIR_BLOCK // len(vectors))
@@ -110,7 +139,7 @@ class _Best:
                 near = np.ones((len(scale), len(vectors)), bool)
             else:
                 slack = 4 * (vectors.shape[1] + 8) * float(np.finfo(np.float32).eps) * scale
-                rough = self.vectors[part] @ vectors.T
+                rough = self.rough[part] @ _single(vectors).T
                 rough *= -2
                 rough += norms.astype(np.float32)
                 cut = self.bound[part] - self.norms[part]
@@ -138,14 +167,21 @@ class _Best:
         self.bound[full.index] = full["max"]
         self.rows = pd.concat([self.rows[~touched], best]) if len(self.rows) else best
 
-    def emit(self) -> pa.RecordBatch:
+    def emit(self, part: int) -> pa.RecordBatch:
         qids = self.qids[self.rows["q"].to_numpy(np.int64)]
-        columns = [pa.array(qids, pa.string()), pa.array(self.rows["id"], pa.string()), pa.array(self.rows["dist"])]
-        return pa.RecordBatch.from_arrays(columns, names=["qid", "document_id", "dist"])
+        parts = pa.array(np.full(len(qids), part, np.int32))
+        columns = [pa.array(qids, pa.string()), parts, pa.array(self.rows["id"], pa.string()), pa.array(self.rows["dist"])]
+        return pa.RecordBatch.from_arrays(columns, names=["qid", "part", "document_id", "dist"])
+
+
+def _single(vectors: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):  # what is beyond single precision is not narrowed by it
+        return vectors.astype(np.float32, copy=False)
 
 
 def _matrix(column: pa.ListArray) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False)
+    """The vectors as rows, in their own precision."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
     if len(column) and (column.null_count or len(flat) % len(column)):
         raise ValueError("vectors are missing or differ in length")
     widths = np.diff(column.offsets.to_numpy())
@@ -159,50 +195,53 @@ def _scan(questions, k: int):
         best = _Best(questions.value, k)
         for batch in batches:
             if batch.num_rows:
-                ids = np.array(batch.column(1).to_pylist(), dtype=object)
-                best.offer(batch.column(0).dictionary_encode(), ids, _matrix(batch.column(2)))
+                ids = np.array(batch.column(0).to_pylist(), dtype=object)
+                best.offer(ids, _matrix(batch.column(1)), batch.column(2) if batch.num_columns > 2 else None)
         if len(best.rows):
-            yield best.emit()
+            yield best.emit(TaskContext.get().partitionId() // FAN_IN)
 
     return scan
 
 
 def _ranked(partial: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("qid").orderBy("dist", "document_id")
-    ranked = partial.withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") <= k).select("qid", "rank", "document_id", "dist")
-
-
-def _scoped(scopes: set[str], documents: DataFrame, ownership: DataFrame | None) -> DataFrame:
-    """Candidate vectors with the scope they may answer: "" for all, else a user."""
-    frames = []
-    if "" in scopes:
-        frames.append(documents.select(F.lit("").alias("scope"), "id", "embed"))
-    users = sorted(scopes - {""})
-    if users:
-        if ownership is None:
-            raise ValueError("questions with a user scope need the ownership table")
-        # few users reach the Parquet scan as an IN filter; any number is bounded by
-        # the size of the broadcast questions
-        if len(users) <= 256:
-            mine = ownership.where(F.col("user_id").isin(users))
-        else:
-            asking = ownership.sparkSession.createDataFrame(pa.table({"user_id": users}))
-            mine = ownership.join(F.broadcast(asking), "user_id", "left_semi")
-        mine = mine.select(F.col("user_id").alias("scope"), F.col("document_id").alias("id")).distinct()
-        # measured, as a filtered table looks as large as the whole to the optimizer, and
-        # shuffling all vectors to find a few users' would be the dearest step
-        frames.append(documents.join(broadcast_if_small(mine), "id").select("scope", "id", "embed"))
-    both = frames[0]
-    for frame in frames[1:]:
-        both = both.unionByName(frame)
-    return both
-
-
-def _answer(table: pa.Table, documents: DataFrame, ownership: DataFrame | None, k: int):
+    """The k best of each question, first within ``part``."""
+    for keys in (["qid", "part"], ["qid"]):
+        order = Window.partitionBy(*keys).orderBy("dist", "document_id")
+        partial = partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return partial.select("qid", "rank", "document_id", "dist")
+
+
+def _owners(scopes: list[str], ownership: DataFrame) -> DataFrame:
+    """(document_id, owners): the places in ``scopes`` of the users who own a document. Users
+    are as many as fit the broadcast questions, so a list is bounded by that."""
+    places = {user: place for place, user in enumerate(scopes) if user}
+    if len(places) <= 256:  # few users reach the Parquet scan as an IN filter
+        ownership = ownership.where(F.col("user_id").isin(list(places)))
+    asking = ownership.sparkSession.createDataFrame(
+        pa.table({"user_id": pa.array(list(places), pa.string()), "place": pa.array(list(places.values()), pa.int32())})
+    )
+    edges = ownership.join(F.broadcast(asking), "user_id").select("document_id", "place")
+    return edges.groupBy("document_id").agg(F.collect_set("place").alias("owners"))
+
+
+def _scoped(scopes: list[str], documents: DataFrame, ownership: DataFrame | None, limit: int) -> DataFrame:
+    """(id, embed) of the documents that may answer, with their ``owners`` if any question
+    is scoped. The vectors are scanned once, whether or not others are open."""
+    if scopes == [""]:
+        return documents
+    if ownership is None:
+        raise ValueError("questions with a user scope need the ownership table")
+    # measured, as a filtered table looks as large as the whole to the optimizer
+    owners, size = sizing.measured(_owners(scopes, ownership))
+    owners = F.broadcast(owners) if size <= limit else owners.hint("shuffle_hash")
+    how = "left" if scopes[0] == "" else "inner"
+    return documents.join(owners, documents["id"] == owners["document_id"], how).select("id", "embed", "owners")
+
+
+def _answer(table: pa.Table, documents: DataFrame, ownership: DataFrame | None, k: int, limit: int):
     asked = _asked(table)
     shared = documents.sparkSession.sparkContext.broadcast(asked)
-    partial = _scoped(set(asked["places"]), documents, ownership).mapInArrow(_scan(shared, k), _PARTIAL)
+    partial = _scoped(asked["scopes"], documents, ownership, limit).mapInArrow(_scan(shared, k), _PARTIAL)
     return _ranked(partial, k), shared
 
 
@@ -211,14 +250,17 @@ def nearest(
     documents: DataFrame,
     k: int = K,
     ownership: DataFrame | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int = QUESTION_BYTES,
+    owner_bytes: int = OWNER_BYTES,
 ) -> DataFrame:
     """``qid, rank, document_id, dist``: the ``min(k, n)`` nearest documents per question.
 
     ``queries(qid, embed[, user_id])``; a blank user searches everything, any other only
-    what that user owns. Squared L2 in double, ties by id.
+    what that user owns. Squared L2 in double, ties by id. ``broadcast_bytes`` is what a task
+    may hold of the questions, and ``owner_bytes`` what the lists of owners may take to be
+    broadcast.
     """
-    return _nearest(queries, documents, k, ownership, broadcast_bytes)[0]
+    return _nearest(queries, documents, k, ownership, broadcast_bytes, owner_bytes)[0]
 
 
 def nearest_rows(
@@ -227,43 +269,63 @@ def nearest_rows(
     columns: list[str],
     k: int = K,
     ownership: DataFrame | None = None,
+    broadcast_bytes: int = QUESTION_BYTES,
+    owner_bytes: int = OWNER_BYTES,
+    few_hits: int = FEW_HITS,
 ) -> DataFrame:
-    """``nearest`` with some columns of the documents found. Hits are k narrow rows per
-    question; where that is small for certain they are broadcast, so the documents are
-    scanned for these columns but not shuffled."""
-    hits, few = _nearest(queries, documents, k, ownership, BROADCAST_BYTES)
+    """``nearest`` with some columns of the documents found.
+
+    Hits are k narrow rows per question. Up to ``few_hits`` of them are broadcast, so the
+    documents are scanned for these columns but not shuffled. More of them meet the
+    documents by the hash of the id: documents kept in buckets by id stay where they are,
+    of others only those are exchanged that were hit (as long as the ids that were hit are
+    small enough to be broadcast)."""
+    hits, count = _nearest(queries, documents, k, ownership, broadcast_bytes, owner_bytes)
     found = documents.select(F.col("id").cast("string").alias("document_id"), *columns)
-    return (F.broadcast(hits) if few else hits).join(found, "document_id")
-
-
-def _nearest(queries, documents, k, ownership, broadcast_bytes) -> tuple[DataFrame, bool]:
-    """The hits, and whether their number is known to be small."""
+    if count <= few_hits:
+        return F.broadcast(hits).join(found, "document_id")
+    sizing.shared_dir(documents.sparkSession)
+    hits = hits.checkpoint()
+    wanted, size = sizing.measured(hits.select(F.col("document_id").alias("wanted")).distinct())
+    if size <= owner_bytes:
+        found = found.join(F.broadcast(wanted), F.col("document_id") == F.col("wanted"), "left_semi")
+    return found.join(hits.hint("shuffle_hash"), "document_id")
+
+
+def _nearest(queries, documents, k, ownership, broadcast_bytes, owner_bytes) -> tuple[DataFrame, int]:
+    """The hits, and how many they are at most."""
     user = F.coalesce(F.col("user_id").cast("string"), F.lit("")) if "user_id" in queries.columns else F.lit("")
     asked = queries.select(F.col("qid").cast("string").alias("qid"), user.alias("scope"), "embed")
     documents = documents.select(F.col("id").cast("string").alias("id"), "embed")
+    for side in (asked, documents):
+        kind = side.schema["embed"].dataType
+        if not isinstance(kind, T.ArrayType) or not isinstance(kind.elementType, (T.FloatType, T.DoubleType)):
+            raise ValueError(f"vectors are array<float> or array<double>, not {kind.simpleString()}")
     if ownership is not None:
         ownership = ownership.select(
             F.col("document_id").cast("string").alias("document_id"), F.col("user_id").cast("string").alias("user_id")
         )
-    count, total = asked.agg(F.count("*"), F.sum(row_bytes(asked).cast("bigint"))).first()
+    count, longest, named = asked.agg(
+        F.count("*"), F.max(F.size("embed")), F.sum(F.octet_length("qid") + F.octet_length("scope"))
+    ).first()
     if not count:
         none = documents.sparkSession.createDataFrame([], "qid string, rank int, document_id string, dist double")
-        return none, True
+        return none, 0
+    total = count * (max(longest, 0) * (8 + 4 + 8) + k * CANDIDATE_BYTES) + (named or 0)
     if total > broadcast_bytes:
-        return _in_rounds(asked, documents, ownership, k, broadcast_bytes), False
-    return _answer(asked.toArrow(), documents, ownership, k)[0], count * k <= FEW_HITS
+        return _in_rounds(asked, documents, ownership, k, -(-2 * total // broadcast_bytes), owner_bytes), count * k
+    return _answer(asked.toArrow(), documents, ownership, k, owner_bytes)[0], count * k
 
 
-def _in_rounds(asked, documents, ownership, k, broadcast_bytes) -> DataFrame:
+def _in_rounds(asked, documents, ownership, k, parts, owner_bytes) -> DataFrame:
     """Hash-split questions into parts well under the bound; one pass per part."""
-    asked, total = measured(asked)
-    parts = int(np.ceil(2 * total / broadcast_bytes))
+    asked, _ = sizing.measured(asked)
     done = None
     for part in range(parts):
         table = asked.where(F.pmod(F.xxhash64("qid"), F.lit(parts)) == part).toArrow()
         if not table.num_rows:
             continue
-        hits, shared = _answer(table, documents, ownership, k)
+        hits, shared = _answer(table, documents, ownership, k, owner_bytes)
         hits = hits.checkpoint()
         shared.destroy()
         done = hits if done is None else done.unionByName(hits)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gleanery import schemas
 from gleanery.functions.vectors import checked_vector
 from gleanery.operators.keyed import latest_by, latest_documents
+from gleanery.sources.buckets import bucket_count, read_bucketed, write_bucketed
 
 
 class Store:
@@ -111,3 +112,15 @@ class Store:
         }
         compacted = Store(self.spark, self.root, **{table: folder})
         compacted.write(table, views[table](), run=0, batch_id=0)
+
+    # copies that answer questions
+
+    def serve_documents(self, folder: str, buckets: int | None = None) -> DataFrame:
+        """Copy the view of the documents into a new folder, in buckets by id, and read it
+        from there: owners and hits find their documents without an exchange of vectors or
+        chunks. Without a number of buckets, the view is measured first."""
+        view = self.documents().select("id", "url_key", "chunk", "embed", "offset")
+        return write_bucketed(view, f"{self.root}/{folder}", "id", buckets or bucket_count(view))
+
+    def served_documents(self, folder: str) -> DataFrame:
+        return read_bucketed(self.spark, f"{self.root}/{folder}")
