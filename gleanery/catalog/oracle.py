@@ -115,6 +115,14 @@ ORACLE["indexed_snapshots"] = _with(*_INDEX) + "SELECT url_key, url, ts, html FR
 ORACLE["indexed_crawl_log"] = _with(*_INDEX) + _LOG
 ORACLE["indexed_ownership"] = _with(*_INDEX, _texts("keyed", "url_key, user_id"), _chunks("texts", "url_key, user_id")) + _EDGES
 
+ORACLE["unnumbered_captures"] = _with(
+    EVENTS, RECRAWLS, KEYED,
+    "delivered AS (SELECT *, unnest([0] || CASE WHEN ingest_seq % 5 = 0 THEN [1] ELSE [] END || CASE WHEN ingest_seq % 3 = 0 THEN [2] ELSE [] END) AS delivery FROM keyed)",
+    "newest AS (SELECT * FROM delivered QUALIFY row_number() OVER (PARTITION BY url_key, url ORDER BY delivery DESC, ingest_seq DESC) = 1)",
+) + """
+SELECT url_key, url, ts, '<body>delivery ' || delivery || ' of ' || ingest_seq || CASE delivery WHEN 1 THEN '</body>' ELSE '' END AS html, ts AS logged
+FROM newest QUALIFY row_number() OVER (PARTITION BY url_key ORDER BY delivery DESC, ingest_seq DESC) = 1"""
+
 _TWINS = f"SELECT {URL_KEY.format('url')} || '_0' AS id, max(page_id) AS last FROM pages GROUP BY 1"
 ORACLE["interleaved_runs_documents"] = f"SELECT id, 'write 2 of ' || last AS chunk FROM ({_TWINS})"
 ORACLE["compacted_snapshots_documents"] = f"SELECT id, last::VARCHAR AS chunk FROM ({_TWINS})"

@@ -341,7 +341,25 @@ def page_event_transport(spark, sf_dir):
     """Page events published and read back."""
     folder = scratch_path(spark, "html-topic")
     write_messages(m.page_event_messages(i.page_events(spark, sf_dir)), "envelope", folder)
-    return m.valid(read_page_events(spark, "envelope", folder))
+    return m.valid(read_page_events(spark, "envelope", folder)).drop("origin")
+
+
+@query
+def unnumbered_captures(spark, sf_dir):
+    """Three deliveries of captures as plain lines without arrival numbers, the first in the
+    largest files and the second in the smallest: snapshots with the time logged for them.
+    Within a delivery a section's captures are lines of one file, by page number."""
+    folder, store = scratch_path(spark, "captures"), Store(spark, scratch_path(spark, "index"))
+    for n, (every, filler) in enumerate(((1, 400), (5, 0), (3, 40))):
+        events = i.recrawl_events(spark, sf_dir).where(F.col("ingest_seq") % every == 0)
+        text = F.concat(F.lit(f"<body>delivery {n} of "), "ingest_seq", F.repeat(F.lit(" filler"), filler), F.lit("</body>"))
+        body = F.struct("url", F.col("ts").alias("timestamp"), text.alias("html"), F.lit("crawler").alias("userId"))
+        lines = events.select("url", "ingest_seq", F.to_json(body).alias("value"))
+        lines = lines.repartition(4, url_key(F.col("url"))).sortWithinPartitions("ingest_seq")
+        lines.select("value").write.mode("append").text(folder)
+    build_index(read_page_events(spark, "lines", folder), store, i.EMBEDDER, run=1)
+    newest = store.snapshots().select("url_key", "url", "ts", F.substring_index("html", " ", 4).alias("html"))
+    return newest.join(store.crawl_log().withColumnRenamed("ts", "logged"), ["url_key", "url"])
 
 
 @query

@@ -58,18 +58,17 @@ def keyed(events: DataFrame) -> DataFrame:
     return events.withColumn("url_key", url_key(F.col("url")))
 
 
-def latest_snapshot(events: DataFrame) -> DataFrame:
+def latest_snapshot(events: DataFrame, order: str = "ingest_seq") -> DataFrame:
     """Last arriving event per ``url_key``; event timestamps are not compared."""
-    return latest_by(keyed(events), ["url_key"], "ingest_seq")
+    return latest_by(keyed(events), ["url_key"], order)
 
 
-def crawl_log(events: DataFrame) -> DataFrame:
-    """Per (url_key, url) the timestamp of its last arriving event."""
-    return (
-        keyed(events)
-        .groupBy("url_key", "url")
-        .agg(F.max_by("ts", "ingest_seq").alias("ts"))
-    )
+def crawl_log(events: DataFrame, order: str = "ingest_seq") -> DataFrame:
+    """Per (url_key, url) the timestamp of its last arriving event; of several that arrived
+    at once, the greatest. By ``arrival``, which no two events share, the log and the
+    snapshot name the same capture."""
+    last = F.max(F.struct(F.col(order).alias("order"), "ts")).alias("last")
+    return keyed(events).groupBy("url_key", "url").agg(last).select("url_key", "url", "last.ts")
 
 
 def latest_documents(documents: DataFrame, order: str = "commit_id") -> DataFrame:

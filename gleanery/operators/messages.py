@@ -14,8 +14,9 @@ def _decoded(messages: DataFrame, body: T.StructType) -> DataFrame:
     """``data`` = the JSON body; null values are skipped, as an empty poll is."""
     schema = T.StructType([*body.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    origin = F.col("origin") if "origin" in messages.columns else F.lit(None)
     return messages.where(F.col("value").isNotNull()).select(
-        "key", "value", "seq", F.from_json("value", schema, options).alias("data")
+        "key", "value", "seq", origin.cast(schemas.ORIGIN).alias("origin"), F.from_json("value", schema, options).alias("data")
     )
 
 
@@ -45,6 +46,7 @@ def parse_page_events(messages: DataFrame, user: str | None = None) -> DataFrame
         field("timestamp").alias("ts"),
         field("html").alias("html"),
         user_id.alias("user_id"),
+        "origin",
         "value",
         reason.alias("reason"),
     )
@@ -69,6 +71,7 @@ def parse_chat_events(messages: DataFrame) -> DataFrame:
         "data.model_response",
         "data.timestamp",
         F.coalesce("seq", "data.seq").alias("seq"),
+        "origin",
         "value",
         reason.alias("reason"),
     )
@@ -78,9 +81,19 @@ def event_id(key: Column, value: Column) -> Column:
     return F.coalesce(key, F.md5(value))
 
 
-def numbered(parsed: DataFrame, order: str) -> DataFrame:
-    """Arrival numbers for events whose transport gave none (batches only)."""
-    return parsed.withColumn(order, F.coalesce(order, F.monotonically_increasing_id()))
+def arrived(parsed: DataFrame, number: str) -> DataFrame:
+    """Events with ``arrival``, by which all of a batch are ordered (batches only).
+
+    A number given by the transport or the body comes first; events without one are older
+    than all that have one. Equal or missing numbers are told apart by the origin: for a
+    topic the record's timestamp, its partition and offset, for files the modification time,
+    the path and the part of the file that was read. Within that part the line counts,
+    however Spark deals the parts to its tasks. A topic whose timestamps are the broker's
+    own (``LogAppendTime``) is so in the order of its offsets within a partition."""
+    origin = [F.coalesce(F.col("origin.at"), F.lit(0)), F.coalesce(F.col("origin.name"), F.lit("")), F.coalesce(F.col("origin.pos"), F.lit(0))]
+    first = F.coalesce(F.col(number), F.lit(-(1 << 63)))
+    arrival = F.struct(first, *origin, F.monotonically_increasing_id()).cast(schemas.ARRIVAL)
+    return parsed.withColumn("arrival", arrival)
 
 
 def valid(parsed: DataFrame) -> DataFrame:

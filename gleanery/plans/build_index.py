@@ -9,7 +9,7 @@ from gleanery.functions.text import clean_text, words
 from gleanery.functions.urls import url_key
 from gleanery.operators.chunks import chunk_words, document_rows
 from gleanery.operators.embedding import Embedder, embed_chunks
-from gleanery.operators.messages import dead_letter, numbered
+from gleanery.operators.messages import arrived, dead_letter
 from gleanery.operators.keyed import crawl_log, latest_by
 from gleanery.operators.ownership import ownership_edges
 from gleanery.sources.store import Store
@@ -34,22 +34,20 @@ def build_index(parsed: DataFrame, store: Store, embedder: Embedder, run: int, b
     that table, each step reading only its columns. So no step recomputes the Python
     extraction, nothing large is cached, and a replay overwrites its own folders.
     """
-    vetted = page_texts(numbered(parsed, "ingest_seq"))
+    vetted = page_texts(arrived(parsed, "ingest_seq"))  # the order is fixed by the first write
     broken = F.when(F.col("html").isNotNull() & F.col("text").isNull(), "unparsable_html")
     vetted = vetted.withColumn("reason", F.coalesce("reason", broken)).withColumn(
         "value", F.when(F.col("reason").isNotNull(), F.col("value"))
     )
-    # fixed by this write: tells apart events that were given one arrival number
-    vetted = vetted.withColumn("arrival", F.monotonically_increasing_id())
     store.write("page_events", vetted, run, batch_id)
 
     events = store.read_batch("page_events", run, batch_id)
     store.write("page_dead_letter", dead_letter(events), run, batch_id)
     good = events.where(F.col("reason").isNull())
-    store.write("crawl_log", crawl_log(good), run, batch_id)
+    store.write("crawl_log", crawl_log(good, "arrival"), run, batch_id)
     # every event's user gets edges, also when a later event replaced the page
     store.append_ownership(ownership_edges(good), run, batch_id)
-    latest = latest_by(latest_by(good, ["url_key"], "ingest_seq"), ["url_key"], "arrival")
+    latest = latest_by(good, ["url_key"], "arrival")
     # documents first: readers see those of a page's latest snapshot, so the snapshot's
     # write shows a page and its documents at once
     store.upsert_documents(documents_of(latest.select("url_key", "text"), embedder), embedder.dim, run, batch_id)

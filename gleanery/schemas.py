@@ -20,7 +20,16 @@ def _struct(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
-# Transport rows, whatever carried them (Kafka topic, envelope files, plain lines).
+# Where a record came from, in the order of its fields: the time it was taken down (of the
+# record, or of its file) in microseconds, the partition or file, the offset or start of the
+# part of the file.
+ORIGIN = _struct("at BIGINT, name STRING, pos BIGINT")
+# When an event arrived: by its number if it has one, else by its origin, and there by line.
+ARRIVAL = T.StructType([T.StructField("seq", T.LongType()), *ORIGIN.fields, T.StructField("line", T.LongType())])
+_TYPES["ARRIVAL"] = ARRIVAL
+
+# Transport rows, whatever carried them (Kafka topic, envelope files, plain lines). Their
+# reader adds an ORIGIN.
 MESSAGE = _struct("key STRING, value STRING, seq BIGINT")
 
 # JSON bodies. `seq` and `key` are only present in plain-line files.
@@ -38,7 +47,7 @@ COMMIT = _struct("commit_id BIGINT")
 # Keyed tables. `commit_id` orders the batches that wrote the rows.
 TABLES: dict[str, T.StructType] = {
     "page_events": _struct(
-        "ingest_seq BIGINT, arrival BIGINT, url_key STRING, url STRING, ts BIGINT, user_id STRING,"
+        "ingest_seq BIGINT, arrival ARRIVAL, url_key STRING, url STRING, ts BIGINT, user_id STRING,"
         " n_words INT, text STRING, html STRING, reason STRING, value STRING"
     ),
     "page_snapshots": _struct(

@@ -1,20 +1,33 @@
 """Message transports: Kafka topics, or folders of JSON files standing in for them.
 
 ``envelope`` files hold one ``{"key", "value", "seq"}`` object per line, the columns a
-topic record has; ``lines`` files hold bare bodies, such as a fetcher writes. Where a
-file gives no ``seq``, the batch that stores the events numbers them in reading order.
+topic record has; ``lines`` files hold bare bodies, such as a fetcher writes. Every message
+says where it came from (``origin``: of a record its timestamp, partition and offset, of a
+line its file's modification time, path and the part of it that was read), so that events
+without a ``seq`` have an order that does not depend on how files are dealt to tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gleanery import schemas
 from gleanery.operators.messages import parse_chat_events, parse_page_events
 
-# Kafka offsets count per partition; the low bits keep arrival numbers distinct across
-# partitions without reordering any of them.
-_PARTITION_BITS = 14
+def _origin(at: Column, name: Column, pos: Column) -> Column:
+    return F.struct(at.alias("at"), name.alias("name"), pos.cast("bigint").alias("pos")).alias("origin")
+
+
+def topic_messages(records: DataFrame) -> DataFrame:
+    """Messages of a topic's records. Partitions are named so that they sort by number."""
+    partition = F.lpad(F.col("partition").cast("string"), 10, "0")
+    origin = _origin(F.unix_micros(F.col("timestamp").cast("timestamp")), partition, F.col("offset"))
+    return records.select(F.col("key").cast("string"), F.col("value").cast("string"), F.lit(None).cast("bigint").alias("seq"), origin)
+
+
+def _file_origin() -> Column:
+    changed = F.unix_micros("_metadata.file_modification_time")
+    return _origin(changed, F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
 
 
 def read_messages(
@@ -26,7 +39,7 @@ def read_messages(
     per_trigger: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """``key, value, seq`` of a topic or folder. ``options`` go to the reader as they are
+    """``key, value, seq, origin`` of a topic or folder. ``options`` go to the reader as they are
     (dots as ``__``, e.g. ``kafka__bootstrap__servers``); ``minPartitions`` splits a topic
     partition that a much-captured page has swollen."""
     reader = spark.readStream if stream else spark.read
@@ -36,16 +49,14 @@ def read_messages(
         if stream and per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", per_trigger)
         start = starting if stream else "earliest"
-        records = reader.format("kafka").option("subscribe", location).option("startingOffsets", start).load()
-        seq = F.shiftleft("offset", _PARTITION_BITS) + F.col("partition")
-        return records.select(F.col("key").cast("string"), F.col("value").cast("string"), seq.alias("seq"))
+        return topic_messages(reader.format("kafka").option("subscribe", location).option("startingOffsets", start).load())
     if stream and per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
     if source == "envelope":
-        return reader.schema(schemas.MESSAGE).json(location)
+        return reader.schema(schemas.MESSAGE).json(location).select("*", _file_origin())
     if source == "lines":
         lines = reader.format("text").load(location)
-        return lines.select(F.lit(None).cast("string").alias("key"), "value", F.lit(None).cast("bigint").alias("seq"))
+        return lines.select(F.lit(None).cast("string").alias("key"), "value", F.lit(None).cast("bigint").alias("seq"), _file_origin())
     raise ValueError(f"unknown source {source!r}: kafka, envelope or lines")
 
 

@@ -8,18 +8,18 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gleanery.operators.embedding import Embedder
-from gleanery.operators.messages import dead_letter, numbered, valid
+from gleanery.operators.messages import arrived, dead_letter, valid
 from gleanery.plans.build_index import build_index
 from gleanery.sources.store import Store
 
 
 def append_conversations(parsed: DataFrame, store: Store, run: int, batch_id: int) -> None:
     """One micro-batch of chat events; of a repeated id the last arrival is kept."""
-    parsed = numbered(parsed, "seq").persist()  # a micro-batch, read for both tables; recomputed if lost
+    parsed = arrived(parsed, "seq").persist()  # a micro-batch, read for both tables; recomputed if lost
     try:
         good = valid(parsed)
-        fields = [c for c in good.columns if c != "id"]
-        last = good.groupBy("id").agg(F.max_by(F.struct(*fields), "seq").alias("row")).select("id", "row.*")
+        fields = [c for c in good.columns if c not in ("id", "origin", "arrival")]
+        last = good.groupBy("id").agg(F.max_by(F.struct(*fields), "arrival").alias("row")).select("id", "row.*")
         store.write("conversations", last, run, batch_id)
         store.write("chat_dead_letter", dead_letter(parsed), run, batch_id)
     finally:
