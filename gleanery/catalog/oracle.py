@@ -126,6 +126,13 @@ FROM newest QUALIFY row_number() OVER (PARTITION BY url_key ORDER BY delivery DE
 _TWINS = f"SELECT {URL_KEY.format('url')} || '_0' AS id, max(page_id) AS last FROM pages GROUP BY 1"
 ORACLE["interleaved_runs_documents"] = f"SELECT id, 'write 2 of ' || last AS chunk FROM ({_TWINS})"
 ORACLE["compacted_snapshots_documents"] = f"SELECT id, last::VARCHAR AS chunk FROM ({_TWINS})"
+ORACLE["merged_buckets_documents"] = _with(
+    f"twins AS (SELECT {URL_KEY.format('url')} AS url_key, page_id FROM pages)",
+    "batches AS (SELECT url_key, max(page_id) AS first, max(page_id) FILTER (page_id % 2 = 0) AS second, max(page_id) FILTER (page_id % 3 = 0) AS third FROM twins GROUP BY url_key)",
+    "pages_left AS (SELECT url_key, coalesce(third, second, first) AS last, CASE WHEN third IS NOT NULL THEN 1 WHEN second IS NOT NULL THEN 900 ELSE 600 END AS n FROM batches)",
+) + """
+SELECT url_key || '_' || i AS id, CASE WHEN i * 384 + 512 >= n THEN last::VARCHAR ELSE 'w' END AS last_word
+FROM (SELECT *, unnest(range(0, ((n + 383) // 384)::BIGINT)) AS i FROM pages_left)"""
 ORACLE["fetched_records"] = """
 SELECT url, page_id AS ts, CASE WHEN page_id % 3 = 0 THEN url ELSE 'crawler' END AS user_id, 'ok' AS reason FROM pages"""
 

@@ -443,6 +443,22 @@ def compacted_snapshots_documents(spark, sf_dir):
     return Store(spark, store.root, page_snapshots="page_snapshots-compact").documents().select("id", "chunk")
 
 
+@query
+def merged_buckets_documents(spark, sf_dir):
+    """Documents after pages grew and shrank over three batches, with every bucket merged
+    after the second and everything superseded deleted."""
+    store = Store(spark, scratch_path(spark, "merged"), buckets=4)
+    for batch, words in enumerate((600, 900, 1)):
+        body = F.concat(F.lit("<body>"), F.repeat(F.lit("w "), words - 1), "ingest_seq", F.lit("</body>"))
+        events = i.page_events(spark, sf_dir).where(F.col("ingest_seq") % (batch + 1) == 0).withColumn("html", body)
+        build_index(m.parse_page_events(m.page_event_messages(events)), store, i.EMBEDDER, 1, batch)
+        if batch == 1:
+            for bucket in range(store.buckets):
+                store.merge(bucket)
+            store.expire(grace_seconds=0)
+    return store.documents().select("id", F.substring_index("chunk", " ", -1).alias("last_word"))
+
+
 @query
 def reindexed_documents(spark, sf_dir):
     store = i.index(spark, sf_dir)

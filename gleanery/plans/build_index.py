@@ -14,6 +14,8 @@ from gleanery.operators.keyed import crawl_log, latest_by
 from gleanery.operators.ownership import ownership_edges
 from gleanery.sources.store import Store
 
+TABLES = ("page_events", "page_dead_letter", "crawl_log", "ownership", "documents", "page_snapshots")
+
 
 def page_texts(events: DataFrame) -> DataFrame:
     """Events with their ``url_key``, cleaned ``text`` and ``n_words``."""
@@ -32,8 +34,11 @@ def build_index(parsed: DataFrame, store: Store, embedder: Embedder, run: int, b
 
     The events are vetted, parsed and written once; everything else is derived from
     that table, each step reading only its columns. So no step recomputes the Python
-    extraction, nothing large is cached, and a replay overwrites its own folders.
+    extraction and nothing large is cached. All tables of the batch are published together
+    at the end; a batch that was published is left as it is.
     """
+    if store.published("page_events", run, batch_id):
+        return
     vetted = page_texts(arrived(parsed, "ingest_seq"))  # the order is fixed by the first write
     broken = F.when(F.col("html").isNotNull() & F.col("text").isNull(), "unparsable_html")
     vetted = vetted.withColumn("reason", F.coalesce("reason", broken)).withColumn(
@@ -48,10 +53,9 @@ def build_index(parsed: DataFrame, store: Store, embedder: Embedder, run: int, b
     # every event's user gets edges, also when a later event replaced the page
     store.append_ownership(ownership_edges(good), run, batch_id)
     latest = latest_by(good, ["url_key"], "arrival")
-    # documents first: readers see those of a page's latest snapshot, so the snapshot's
-    # write shows a page and its documents at once
     store.upsert_documents(documents_of(latest.select("url_key", "text"), embedder), embedder.dim, run, batch_id)
     store.write("page_snapshots", latest, run, batch_id)
+    store.publish(run, batch_id, TABLES)
 
 
 def reindex(store: Store, embedder: Embedder, folder: str, run: int = 0) -> Store:
@@ -59,6 +63,7 @@ def reindex(store: Store, embedder: Embedder, folder: str, run: int = 0) -> Stor
     reads it. Snapshot versions are kept; no ownership edges are written."""
     pages = store.snapshots().select("url_key", "html", "commit_id")
     texts = pages.select("url_key", "commit_id", clean_text(extract_text(F.col("html"))).alias("text"))
-    rebuilt = Store(store.spark, store.root, **{**store.folders, "documents": folder})
+    rebuilt = store.renamed(documents=folder)
     rebuilt.upsert_documents(documents_of(texts, embedder), embedder.dim, run, 0)
+    rebuilt.publish(run, 0, ["documents"])
     return rebuilt

@@ -19,3 +19,4 @@ def import_pages(folder: str, store: Store, run: int) -> None:
     )
     pages = read_snapshots(store.spark, folder).join(newest, "url_key", "left")
     store.write("page_snapshots", pages.withColumn("ingest_seq", F.lit(0).cast("bigint")), run, 0)
+    store.publish(run, 0, ["crawl_log", "page_snapshots"])

@@ -44,6 +44,16 @@ CRAWL_REQUEST = _struct("url STRING, depth INT")
 QUERY = _struct("qid STRING, prompt STRING, user_id STRING")
 
 COMMIT = _struct("commit_id BIGINT")
+# What a store's readers see: batches (or one bucket of them) that were added or dropped.
+MANIFEST = _struct("change STRING, folder STRING, run BIGINT, batch_id BIGINT, bucket INT, buckets INT, commit_id BIGINT, at BIGINT")
+# Tables kept in buckets by the hash of a column.
+KEYS = {
+    "page_snapshots": "url_key",
+    "documents": "url_key",
+    "crawl_log": "url_key",
+    "conversations": "id",
+    "ownership": "document_id",
+}
 # Keyed tables. `commit_id` orders the batches that wrote the rows.
 TABLES: dict[str, T.StructType] = {
     "page_events": _struct(

@@ -1,5 +1,6 @@
 """The two streams. Both keep their offsets in a checkpoint and write each micro-batch
-into its own folder, so a restart neither loses nor duplicates rows. Neither keeps
+into its own folders, published as a whole, so a restart neither loses nor duplicates rows
+and a reader sees all of a batch or nothing of it. Neither keeps
 state between batches, so there is no watermark and no late data to drop."""
 
 from __future__ import annotations
@@ -14,7 +15,10 @@ from gleanery.sources.store import Store
 
 
 def append_conversations(parsed: DataFrame, store: Store, run: int, batch_id: int) -> None:
-    """One micro-batch of chat events; of a repeated id the last arrival is kept."""
+    """One micro-batch of chat events; of a repeated id the last arrival is kept. Both tables
+    are published together; a batch that was published is left as it is."""
+    if store.published("conversations", run, batch_id):
+        return
     parsed = arrived(parsed, "seq").persist()  # a micro-batch, read for both tables; recomputed if lost
     try:
         good = valid(parsed)
@@ -22,6 +26,7 @@ def append_conversations(parsed: DataFrame, store: Store, run: int, batch_id: in
         last = good.groupBy("id").agg(F.max_by(F.struct(*fields), "arrival").alias("row")).select("id", "row.*")
         store.write("conversations", last, run, batch_id)
         store.write("chat_dead_letter", dead_letter(parsed), run, batch_id)
+        store.publish(run, batch_id, ["conversations", "chat_dead_letter"])
     finally:
         parsed.unpersist()
 
