@@ -11,11 +11,16 @@ estimate is far below the threshold are dropped, the others are confirmed on ful
 
 A band's classes are not paired with one another. First each class meets one other only,
 the least of the first classes of its bands, which connects most of a large group at the
-cost of a pair for each class. Then in each round a band offers a few pivots, eight times as
-many as in the round before, to its other classes that do not belong to the pivot's
-component yet; a pivot then has met all its band and leaves it. Bands whose classes
-are one component are done, so a group of near copies takes a round or two however large it
-is, and no link is skipped that could join two components.
+cost of a pair for each class. Then a band offers a few pivots to its other classes that do
+not belong to the pivot's component yet. Bands whose classes are one component are done, so
+a group of near copies takes a round or two however large it is. What is open then are
+classes that come close to the threshold and mostly do not reach it. Small bands pair those
+of different components. Crowded bands that share classes are one crowd: its full sets are
+dealt into blocks of bounded size, and a task counts the overlaps of two blocks at once as a
+product of matrices, over the shingles that stand in two of their sets at least. It
+gives a spanning forest of the links it finds, so no pairs leave it. No link is skipped that
+could join two components. The work of a crowd grows with the square of its classes, its
+rows with their number times that of its blocks.
 
 A document without words links with nothing, nor does one without an id: its component is
 its own id, and it is kept. Rows that share an id are judged one by one by their texts.
@@ -31,7 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from gleanery.llm.texts import BASE, WordHashes, grams, mix, raw
+from gleanery.llm.texts import BASE, WordHashes, grams, merge_labels, mix, raw
 from gleanery.operators.sizing import broadcast_if_small
 from gleanery.session import shared_dir
 
@@ -40,7 +45,10 @@ THRESHOLD = 80  # percent of the union
 BANDS, ROWS = 28, 4
 REGISTERS = BANDS * ROWS
 B, RATE = 1.001, 20.0  # of the registers: step of the exponents, rate of the variables
-PIVOTS, MORE = 4, 8  # of a band in the second round, and times as many in each next one
+PIVOTS = 4  # of a band in the second round
+CROWD = 64  # classes from which a band's are not paired
+BLOCK, ELEMENTS = 8192, 4 << 20  # classes of a crowd, and shingles, that a block holds
+COLUMNS, SLICE = 2048, 1024  # shingles and classes of a block multiplied at once
 DOUBT = 20  # percent below the threshold where an estimate is believed: over 5 standard errors
 
 _FACTORS = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
@@ -159,6 +167,69 @@ def _candidates(classes: DataFrame) -> DataFrame:
     return bands.join(shared, "key", "left_semi")
 
 
+def overlapping(one: list[np.ndarray], two: list[np.ndarray] | None, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """(member, root) positions of a spanning forest of the links between two lists of sets,
+    or among one. Positions count on from the first list into the second."""
+    every = one + (two or [])
+    sizes = np.array([len(x) for x in every])
+    _, column, count = np.unique(np.concatenate(every), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(every)), sizes)
+    shared = np.flatnonzero(count[column] > 1)
+    # the shared shingles in an order of their own, by column and then by row
+    place = np.cumsum(count > 1) - 1
+    column, row = place[column[shared]], row[shared]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    labels = np.arange(len(every))
+    for begin in range(0, len(one), SLICE):
+        end = min(begin + SLICE, len(one))
+        low = begin if two is None else len(one)
+        both = np.zeros((end - begin, len(every) - low), np.float32)
+        for c in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+            a, b = np.searchsorted(column, [c, c + COLUMNS])
+            part, at = row[a:b], column[a:b] - c
+            left, right = (part >= begin) & (part < end), part >= low
+            x, y = np.zeros((end - begin, COLUMNS), np.float32), np.zeros((len(every) - low, COLUMNS), np.float32)
+            x[part[left] - begin, at[left]] = 1
+            y[part[right] - low, at[right]] = 1
+            both += x @ y.T
+        total = sizes[begin:end, None] + sizes[None, low:]
+        a, b = np.nonzero((100 + threshold) * both >= threshold * total)
+        labels = merge_labels(labels, a + begin, b + low)
+    linked = np.flatnonzero(labels != np.arange(len(every)))
+    return linked, labels[linked]
+
+
+def _forests(threshold: int):
+    def forest(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids = table["id"].to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
+        block = table["block"].to_numpy()
+        order = np.argsort(block, kind="stable")
+        split = int((block == block.min()).sum())
+        sets, ids = [sets[i] for i in order], ids[order]
+        member, root = overlapping(sets[:split], sets[split:] or None, threshold)
+        return pa.table({"a": ids[member], "b": ids[root]})
+
+    return forest
+
+
+def _crowd_links(placed: DataFrame, narrow: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """(a, b) links that connect the classes of crowded bands ``placed(key, id)``."""
+    first = placed.groupBy("key").agg(F.min("id").alias("b"))
+    crowds = components(placed.join(first, "key").select(F.col("id").alias("a"), "b").where("a != b"))
+    members = crowds.join(narrow.select("id", "n"), F.col("node") == F.col("id")).select("id", "n", F.col("root").alias("crowd"))
+    members = members.checkpoint()
+    size = members.groupBy("crowd").agg(F.count("*").alias("m"), F.sum("n").alias("all"))
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("all") / ELEMENTS)).cast("int")
+    dealt = members.join(size.select("crowd", blocks.alias("blocks")), "crowd")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int")).join(sets, "id")
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("crowd", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "shingles")
+    return met.groupBy("crowd", "x", "y").applyInArrow(_forests(threshold), "a bigint, b bigint")
+
+
 def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text", threshold: int = THRESHOLD) -> DataFrame | None:
     """(node, root) of the classes that confirmed links join to others."""
     members = _candidates(classes).checkpoint()
@@ -168,16 +239,40 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
     sets = sets.join(wanted, "digest").select("id", "shingles").checkpoint()
     narrow = classes.select("id", "n", "registers")
     tested = roots = None
-    pivots = 0  # the first round is the one with a single pair for each class
-    while True:
+
+    def still_open() -> DataFrame:
+        """The bands of several components, with their classes' components and number."""
         if roots is None:
             placed = members.withColumn("root", F.col("id"))
         else:
             placed = members.join(roots, F.col("id") == F.col("node"), "left").select(
                 "key", "id", F.coalesce("root", "id").alias("root")
             )
-        still = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
-        placed = placed.join(still, "key", "left_semi").checkpoint()
+        bands = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"))
+        return placed.join(bands.where("x < y").select("key", "n"), "key").checkpoint()
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        one = narrow.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"))
+        two = narrow.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"))
+        near = pairs.join(one, "a").join(two, "b").where(100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
+        near = near.where(100 * similarity("r_a", "r_b", "n_a", "n_b") >= threshold - DOUBT).select("a", "b", "n_a", "n_b")
+        near = near.checkpoint()
+        needed = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        some = sets.join(broadcast_if_small(needed), "id", "left_semi")
+        near = near.join(some.select(F.col("id").alias("a"), F.col("shingles").alias("s_a")), "a")
+        near = near.join(some.select(F.col("id").alias("b"), F.col("shingles").alias("s_b")), "b")
+        near = near.withColumn("both", common("s_a", "s_b"))
+        return near.where(100 * F.col("both") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
+
+    def with_links(found: DataFrame) -> DataFrame | None:
+        found = found.checkpoint()
+        if found.isEmpty():
+            return roots
+        stars = [] if roots is None else [roots.select(F.col("node").alias("a"), F.col("root").alias("b"))]
+        return components(reduce(DataFrame.union, stars, found))
+
+    for pivots in (0, PIVOTS):  # the first round is the one with a single pair for each class
+        placed = still_open()
         if placed.isEmpty():
             return roots
         place = F.pmod(F.xxhash64("id", F.lit(pivots)), F.lit(max(pivots, 1)))
@@ -191,26 +286,14 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = pairs.checkpoint()
         tested = pairs if tested is None else tested.union(pairs)
-        one = narrow.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"))
-        two = narrow.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"))
-        near = pairs.join(one, "a").join(two, "b").where(100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
-        near = near.where(100 * similarity("r_a", "r_b", "n_a", "n_b") >= threshold - DOUBT).select("a", "b", "n_a", "n_b")
-        near = near.checkpoint()
-        needed = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        some = sets.join(broadcast_if_small(needed), "id", "left_semi")
-        near = near.join(some.select(F.col("id").alias("a"), F.col("shingles").alias("s_a")), "a")
-        near = near.join(some.select(F.col("id").alias("b"), F.col("shingles").alias("s_b")), "b")
-        near = near.withColumn("both", common("s_a", "s_b"))
-        found = near.where(100 * F.col("both") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("both")))
-        found = found.select("a", "b").checkpoint()
-        if not found.isEmpty():
-            stars = [] if roots is None else [roots.select(F.col("node").alias("a"), F.col("root").alias("b"))]
-            roots = components(reduce(DataFrame.union, stars, found))
-        members = placed.select("key", "id")
-        if pivots:
-            met = chosen.select(F.col("key").alias("_key"), "pivot")
-            members = members.join(met, (F.col("key") == F.col("_key")) & (F.col("id") == F.col("pivot")), "left_anti")
-        pivots = pivots * MORE or PIVOTS
+        roots = with_links(confirmed(pairs))
+
+    small = still_open().where(F.col("n") <= CROWD)
+    other = small.select("key", F.col("id").alias("b"), F.col("root").alias("b_root"))
+    pairs = small.join(other, "key").where("id < b and root != b_root").select(F.col("id").alias("a"), "b").distinct()
+    roots = with_links(confirmed(pairs.join(tested, ["a", "b"], "left_anti").checkpoint()))
+    crowded = still_open().where(F.col("n") > CROWD).select("key", "id").checkpoint()
+    return roots if crowded.isEmpty() else with_links(_crowd_links(crowded, narrow, sets, threshold))
 
 
 def _key(text: str) -> Column:

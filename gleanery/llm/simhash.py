@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gleanery.llm.near_dedup import components
-from gleanery.llm.texts import raw
+from gleanery.llm.texts import merge_labels, raw
 from gleanery.operators.sizing import broadcast_if_small
 from gleanery.session import shared_dir
 
@@ -108,19 +108,6 @@ def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
     return of(text)
 
 
-def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The labels after members a and b were linked: the smallest position of a component."""
-    while True:
-        one, two = labels[a], labels[b]
-        if np.array_equal(one, two):
-            return labels
-        least = np.minimum(one, two)
-        np.minimum.at(labels, one, least)
-        np.minimum.at(labels, two, least)
-        while not np.array_equal(labels, labels[labels]):
-            labels = labels[labels]
-
-
 def _beyond(over: np.ndarray, ones: np.ndarray, twos: np.ndarray, radius: int) -> np.ndarray:
     """The lanes whose counters exceed the radius."""
     return over | ((ones | twos, twos, ones & twos)[radius])
@@ -168,7 +155,7 @@ def bucket_forest(group: np.ndarray, free: np.ndarray, radius: int = RADIUS) ->
         query = np.repeat(np.arange(begin, end), n)
         word = np.repeat(own[begin:end] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         a, b = _near(free, planes, valid, query, word, radius)
-        labels = _merge(labels, a, member[b])
+        labels = merge_labels(labels, a, member[b])
         begin = end
     linked = np.flatnonzero(labels != np.arange(len(group)))
     return linked, labels[linked]

@@ -78,3 +78,16 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
         out *= np.uint64(BASE)
         out += hashes[i : i + n]
     return mix(out)
+
+
+def merge_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The labels after members a and b were linked: the smallest position of a component."""
+    while True:
+        one, two = labels[a], labels[b]
+        if np.array_equal(one, two):
+            return labels
+        least = np.minimum(one, two)
+        np.minimum.at(labels, one, least)
+        np.minimum.at(labels, two, least)
+        while not np.array_equal(labels, labels[labels]):
+            labels = labels[labels]

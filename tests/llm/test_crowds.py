@@ -1,0 +1,65 @@
+"""Near copies that come close to the threshold, in bands too crowded to be paired."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from gleanery.llm import near_dedup
+from gleanery.llm.near_dedup import near_duplicates, overlapping
+from tests.llm import brute
+from tests.llm.conftest import table, words
+
+
+def crowd(seed: int, n: int, edits: int, length: int = 120) -> list[tuple[int, str]]:
+    """Copies of one text, each with words replaced in places of its own."""
+    rng = random.Random(seed)
+    base = words(seed, length).split(" ")
+    rows = []
+    for i in range(n):
+        copy = list(base)
+        for at in rng.sample(range(length), edits):
+            copy[at] = f"w{seed}x{i}x{at}"
+        rows.append((seed * 1000 + i, " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [near_dedup.BLOCK, 25])
+def test_crowds_near_the_threshold(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "CROWD", 5)
+    rows = crowd(1, 70, 2) + crowd(2, 60, 1) + crowd(3, 40, 3, 200) + crowd(4, 4, 2)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(table(spark, rows)).collect()}
+    want = brute.near_components(dict(rows), 5)
+    assert got == want
+    sizes = [list(c for _, c in want.values()).count(c) for c in {c for _, c in want.values()}]
+    assert len(sizes) > 40 and max(sizes) >= 60 and sum(1 < n < 60 for n in sizes) > 2
+
+
+@settings(max_examples=80, deadline=None)
+@given(
+    st.lists(st.sets(st.integers(0, 25), min_size=1, max_size=25), min_size=1, max_size=12),
+    st.lists(st.sets(st.integers(0, 25), min_size=1, max_size=25), max_size=12),
+    st.sampled_from([1, 3, 2048]),
+)
+def test_overlaps_of_blocks(one, two, step):
+    before = near_dedup.COLUMNS, near_dedup.SLICE
+    near_dedup.COLUMNS = near_dedup.SLICE = step
+    try:
+        arrays = [[np.array(sorted(x), np.uint64) for x in side] for side in (one, two)]
+        member, root = overlapping(arrays[0], arrays[1] or None, 60)
+    finally:
+        near_dedup.COLUMNS, near_dedup.SLICE = before
+    every = one + two
+    label = list(range(len(every)))
+    for i, x in enumerate(every):
+        for j, y in enumerate(every):
+            across = i < len(one) <= j if two else i < j
+            if across and 100 * len(x & y) >= 60 * len(x | y):
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if v == old else v for v in label]
+    found = dict(zip(member.tolist(), root.tolist()))
+    assert [found.get(i, i) for i in range(len(every))] == label
