@@ -147,7 +147,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         edges = small.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
@@ -288,12 +288,14 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
         tested = pairs if tested is None else tested.union(pairs)
         roots = with_links(confirmed(pairs))
 
-    small = still_open().where(F.col("n") <= CROWD)
+    placed = still_open()
+    if placed.isEmpty():
+        return roots
+    small, crowded = placed.where(F.col("n") <= CROWD), placed.where(F.col("n") > CROWD).select("key", "id")
     other = small.select("key", F.col("id").alias("b"), F.col("root").alias("b_root"))
     pairs = small.join(other, "key").where("id < b and root != b_root").select(F.col("id").alias("a"), "b").distinct()
-    roots = with_links(confirmed(pairs.join(tested, ["a", "b"], "left_anti").checkpoint()))
-    crowded = still_open().where(F.col("n") > CROWD).select("key", "id").checkpoint()
-    return roots if crowded.isEmpty() else with_links(_crowd_links(crowded, narrow, sets, threshold))
+    found = confirmed(pairs.join(tested, ["a", "b"], "left_anti").checkpoint())
+    return with_links(found if crowded.isEmpty() else found.union(_crowd_links(crowded, narrow, sets, threshold)))
 
 
 def _key(text: str) -> Column:
