@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gleanery.llm.texts import let
 from gleanery.operators.sizing import broadcast_if_small
-from gleanery.session import shared_dir
+from gleanery.session import scratch_path, shared_dir
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of the words
@@ -158,6 +158,17 @@ def quality_scores(docs: DataFrame, id: str = "doc_id", text: str = "text", host
     return with_hosts(judged, judged, "_from").select(id, "quality")
 
 
-def filter_quality(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with their own columns."""
-    return quality_rules(docs, into="_quality").where("_quality.kept").drop("_quality")
+def filter_quality(docs: DataFrame, text: str = "text", host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
+    """The documents that pass, with their own columns. The texts are judged once: those that
+    do not fail by themselves are kept in the shared folder beside every document's verdict,
+    from which the hosts are counted."""
+    spark = docs.sparkSession
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    stats = docs.select(row.alias("row"), F.col(host).alias("from"), document_stats(F.col(text)).alias("stats"))
+    judged = stats.select("row", "from", base_failed("stats").alias("failed"))
+    path = scratch_path(spark, "judged")
+    judged.select(F.when(~F.col("failed"), F.col("row")).alias("row"), "from", "failed").write.parquet(path)
+    judged = spark.read.parquet(path)
+    bad = host_rates(judged, "from", "failed").where(F.col("shrunk") > limit).select("host")
+    passed = judged.where(~F.col("failed")).join(broadcast_if_small(bad), F.col("from") == F.col("host"), "left_anti")
+    return passed.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
