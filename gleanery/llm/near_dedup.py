@@ -48,6 +48,7 @@ B, RATE = 1.001, 20.0  # of the registers: step of the exponents, rate of the va
 PIVOTS = 4  # of a band in the second round
 CROWD = 64  # classes from which a band's are not paired
 BLOCK, ELEMENTS = 8192, 4 << 20  # classes of a crowd, and shingles, that a block holds
+EDGES = 100_000  # of a task, while components are found
 COLUMNS, SLICE = 2048, 1024  # shingles and classes of a block multiplied at once
 DOUBT = 20  # percent below the threshold where an estimate is believed: over 5 standard errors
 
@@ -157,6 +158,7 @@ def components(edges: DataFrame) -> DataFrame:
             roots = edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
             return roots.union(edges.select("b", "b").distinct())
         before = now
+        edges = edges.coalesce(1 + now[0] // EDGES)  # few edges are not many tasks
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
