@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gleanery.functions.html import hrefs, unescape_html
 from gleanery.functions.text import urls_in
 from gleanery.functions.urls import url_host, with_target
 from gleanery.operators.sizing import BROADCAST_BYTES, broadcast_if_small, measured
-from gleanery.session import shared_dir
+from gleanery.session import scratch_path, shared_dir
+from gleanery.sources.buckets import write_bucketed
+
+HUB = 65_536  # links of a page that lie in one bucket
+HOT = 1_000_000  # walks on one page that are not exchanged
 
 
 def extract_urls(df: DataFrame, text_col: str) -> DataFrame:
@@ -67,45 +73,91 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return same_host(resolve_links(decoded)).select("url", "target")
 
 
-def crawl_reach(pages: DataFrame, seeds: DataFrame) -> DataFrame:
+def crawl_reach(
+    pages: DataFrame, seeds: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, hub: int = HUB, hot: int = HOT
+) -> DataFrame:
     """``seed, url, depth``: captured pages within each seed's depth, at least depth.
 
-    Breadth-first over edges between captured pages. A round is one equi-join of the
-    current frontier with the edges and one anti-join against what was reached; each
-    round is checkpointed in the shared folder, so a lost executor costs one round.
+    Breadth-first over edges between captured pages: a round joins the current frontier
+    with the edges and removes what was reached. Edges measured to take ``broadcast_bytes``
+    at most are broadcast. More of them are kept in buckets by their page, those of a page
+    with over ``hub`` links in several parts, and are exchanged in no round: the frontier
+    comes to them. Where over ``hot`` walks stand on one page, its edges go to the walks.
+    Beside edges in buckets, what was reached lies in buckets too, by walk and page, and
+    stays there. Each round is written to the shared folder, so a lost executor costs one.
     """
     spark = pages.sparkSession
     shared_dir(spark)
     captured = pages.select("url").distinct()
     seeds = seeds.groupBy(F.col("url").alias("seed")).agg(F.max("depth").alias("max_depth"))
     started = seeds.join(captured.withColumnRenamed("url", "seed"), "seed", "left_semi")
-    frontier = started.select("seed", F.col("seed").alias("url"), F.lit(1).alias("depth"), "max_depth")
+    frontier = started.select("seed", F.col("seed").alias("url"), "max_depth")
     deepest = seeds.agg(F.max("max_depth")).first()[0] or 0  # one number
     if deepest <= 1:
-        return frontier.select("seed", "url", "depth")
+        return frontier.select("seed", "url", F.lit(1).alias("depth"))
 
     edges = host_edges(on_hosts_of(pages, started.withColumnRenamed("seed", "url")))
-    steps = edges.join(captured.withColumnRenamed("url", "target"), "target", "left_semi").distinct().checkpoint()
-    frontier = frontier.checkpoint()
+    edges, size = measured(edges.join(captured.withColumnRenamed("url", "target"), "target", "left_semi").distinct())
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # rows come from a grouping as the buckets want them
+
+    few = size <= broadcast_bytes
+
+    def kept(rows: DataFrame) -> DataFrame:
+        if few:
+            return rows.checkpoint()
+        return write_bucketed(rows, scratch_path(spark, "reached"), ["seed", "url"], parts, lasting=False)
+
+    if few:
+        frontier, steps = frontier.withColumn("fan", F.lit(1)), F.broadcast(edges)
+    else:
+        steps, fans = _dealt(edges, hub, parts)
+        frontier = frontier.join(fans, "url", "left").withColumn("fan", F.coalesce("fan", F.lit(1)))
+    frontier = kept(frontier.groupBy("seed", "url").agg(F.max("max_depth").alias("max_depth"), F.max("fan").alias("fan")))
     rounds = [frontier]
     for depth in range(2, deepest + 1):
-        reached = rounds[0]
-        for earlier in rounds[1:]:
-            reached = reached.unionByName(earlier)
-        ahead = (
-            frontier.where(F.col("max_depth") >= depth)
-            .join(steps, "url")
-            .select("seed", F.col("target").alias("url"), F.lit(depth).alias("depth"), "max_depth")
-            .distinct()
-        )
-        frontier = ahead.join(reached, ["seed", "url"], "left_anti").select(*ahead.columns).checkpoint()
+        standing = frontier.where(F.col("max_depth") >= depth)
+        if few:
+            ahead = standing.join(steps, "url").select("seed", F.col("target").alias("url"), "max_depth", "fan")
+        else:
+            ahead = _stepped(standing, steps, hot)
+        ahead = ahead.groupBy("seed", "url").agg(F.max("max_depth").alias("max_depth"), F.max("fan").alias("fan"))
+        for earlier in rounds:
+            ahead = ahead.join(earlier, ["seed", "url"], "left_anti")
+        frontier = kept(ahead)
         if frontier.isEmpty():
             break
         rounds.append(frontier)
-    reached = rounds[0]
-    for later in rounds[1:]:
-        reached = reached.unionByName(later)
-    return reached.select("seed", "url", "depth")
+    found = [r.select("seed", "url", F.lit(n).alias("depth")) for n, r in enumerate(rounds, 1)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _dealt(edges: DataFrame, hub: int, parts: int) -> tuple[DataFrame, DataFrame]:
+    """The edges ``place, target, fan`` in buckets by place, a part of a page's links, with
+    the number of parts of their target; and (url, fan) of the pages in several parts."""
+    fans = edges.groupBy("url").agg(F.ceil(F.count("*") / hub).cast("int").alias("fan")).where("fan > 1")
+    fans = broadcast_if_small(fans)
+    part = F.pmod(F.xxhash64("target"), F.coalesce("fan", F.lit(1)))
+    placed = edges.join(fans, "url", "left").select(_place(part), "target")
+    ends = fans.select(F.col("url").alias("target"), "fan")
+    placed = placed.join(ends, "target", "left").select("place", "target", F.coalesce("fan", F.lit(1)).alias("fan"))
+    return write_bucketed(placed, scratch_path(edges.sparkSession, "steps"), "place", parts, lasting=False), fans
+
+
+def _place(part: Column) -> Column:
+    return F.concat_ws(" ", part.cast("string"), F.col("url")).alias("place")
+
+
+def _stepped(standing: DataFrame, steps: DataFrame, hot: int) -> DataFrame:
+    """(seed, url, max_depth, fan) one link further, by the edges in their buckets."""
+    at = standing.select("*", F.explode(F.sequence(F.lit(0), F.col("fan") - 1)).alias("part"))
+    at = at.select("seed", "max_depth", _place(F.col("part")))
+    crowded, size = measured(at.groupBy("place").count().where(F.col("count") > hot).select("place"))
+    usual, after = at, ["seed", F.col("target").alias("url"), "max_depth", "fan"]
+    if size:  # at most one place for each ``hot`` rows of the frontier
+        usual = at.join(crowded, "place", "left_anti")
+        theirs = broadcast_if_small(steps.join(crowded, "place", "left_semi"))
+        return usual.join(steps, "place").select(*after).unionByName(at.join(theirs, "place").select(*after))
+    return usual.join(steps, "place").select(*after)
 
 
 def crawl_frontier(pages: DataFrame, reach: DataFrame) -> DataFrame:

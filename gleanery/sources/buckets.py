@@ -1,4 +1,4 @@
-"""Parquet tables kept in buckets by the hash of a column.
+"""Parquet tables kept in buckets by the hash of one column or several.
 
 Rows of one value of the column lie in the files of one bucket, so a join on it reads them
 where they are: only the other side is exchanged, whatever the size of either. The layout is
@@ -17,7 +17,7 @@ from gleanery.operators.sizing import row_bytes
 BUCKET_BYTES = 256 << 20  # of rows in memory that one task reads
 MOST_BUCKETS = 65_536
 
-_LAYOUT = "by string, buckets int, columns string"
+_LAYOUT = "by array<string>, buckets int, columns string"
 
 
 def bucket_count(rows: DataFrame) -> int:
@@ -30,15 +30,17 @@ def bucket_count(rows: DataFrame) -> int:
     return buckets
 
 
-def write_bucketed(rows: DataFrame, folder: str, by: str, buckets: int) -> DataFrame:
+def write_bucketed(rows: DataFrame, folder: str, by: str | list[str], buckets: int, lasting: bool = True) -> DataFrame:
     """The rows, written to a new folder and read from it. They are exchanged once, by the
-    hash of ``by``, so each bucket is one file."""
-    spark = rows.sparkSession
-    columns = ", ".join(f"{_quoted(f.name)} {_ddl(f.dataType)}" for f in rows.schema.fields)
-    dealt = rows.repartition(buckets, by)
-    dealt.write.bucketBy(buckets, by).format("parquet").option("path", folder).saveAsTable(_name(folder))
-    layout = spark.createDataFrame([(by, buckets, columns)], _LAYOUT)
-    layout.coalesce(1).write.mode("overwrite").json(f"{folder}/_layout")
+    hash of ``by``, so each bucket is one file. A table that is not ``lasting`` serves this
+    session only and has no layout recorded."""
+    spark, by = rows.sparkSession, [by] if isinstance(by, str) else by
+    dealt = rows.repartition(buckets, *by)
+    dealt.write.bucketBy(buckets, *by).format("parquet").option("path", folder).saveAsTable(_name(folder))
+    if lasting:
+        columns = ", ".join(f"{_quoted(f.name)} {_ddl(f.dataType)}" for f in rows.schema.fields)
+        layout = spark.createDataFrame([(by, buckets, columns)], _LAYOUT)
+        layout.coalesce(1).write.mode("overwrite").json(f"{folder}/_layout")
     return spark.table(_name(folder))
 
 
@@ -47,10 +49,11 @@ def read_bucketed(spark: SparkSession, folder: str) -> DataFrame:
     name = _name(folder)
     if not spark.catalog.tableExists(name):
         layout = spark.read.schema(_LAYOUT).json(f"{folder}/_layout").first()
+        by = ", ".join(map(_quoted, layout["by"]))
         place = folder.replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({layout['columns']}) USING parquet"
-            f" CLUSTERED BY ({_quoted(layout['by'])}) INTO {layout['buckets']} BUCKETS LOCATION '{place}'"
+            f" CLUSTERED BY ({by}) INTO {layout['buckets']} BUCKETS LOCATION '{place}'"
         )
     return spark.table(name)
 

@@ -5,8 +5,18 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from gleanery.operators.links import crawl_frontier, crawl_reach, extract_urls, same_host, valid_depth
+from gleanery.operators.links import (
+    _dealt,
+    _stepped,
+    crawl_frontier,
+    crawl_reach,
+    extract_urls,
+    host_edges,
+    same_host,
+    valid_depth,
+)
 from gleanery.plans.crawl import crawl_plan
+from gleanery.sources.buckets import write_bucketed
 
 A = "http://a.org"
 SITE = {
@@ -114,3 +124,41 @@ def test_crawl_plan(spark, pages):
     assert plan.frontier.count() == 2
     assert plan.fetches.count() == 0  # those lie beyond the depth asked for
     assert sorted(r.reason for r in plan.dead_letter.collect()) == ["invalid_depth", "invalid_url"]
+
+
+def _walks(seeds):
+    return {(s, u): d for s, depth in seeds.items() for u, d in walk(s, 1, depth, {}).items()}
+
+
+@pytest.mark.parametrize("hub,hot", [(1, 1), (2, 100)])
+def test_reach_over_edges_in_buckets(spark, pages, hub, hot):
+    seeds = {f"{A}/": 4, "http://b.org/": 2, f"{A}/3": 4, f"{A}:8080/4": 3, "http://nowhere.org/": 4}
+    rows = crawl_reach(pages, spark.createDataFrame(list(seeds.items()), "url string, depth int"), 0, hub, hot).collect()
+    assert len(rows) == len({(r.seed, r.url) for r in rows})
+    assert {(r.seed, r.url): r.depth for r in rows} == _walks(seeds)
+
+
+def test_no_round_exchanges_the_edges(spark, pages, tmp_path):
+    edges = host_edges(pages).distinct()
+    steps, fans = _dealt(edges, 2, 8)
+    assert {r.url: r.fan for r in fans.collect()} == {f"{A}/1": 2, f"{A}/2": 2}
+    standing = spark.createDataFrame([(f"{A}/", f"{A}/1", 3, 2), (f"{A}/3", f"{A}/3", 3, 1)], "seed string, url string, max_depth int, fan int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ahead = _stepped(standing, steps, 100)
+        text = ahead._jdf.queryExecution().executedPlan().toString()
+        assert ahead.count() == len(TARGETS[f"{A}/1"]) + len(TARGETS[f"{A}/3"])
+        reached = write_bucketed(standing.select("seed", "url"), str(tmp_path / "reached"), ["seed", "url"], 8)
+        rest = ahead.groupBy("seed", "url").agg(F.max("max_depth")).join(reached, ["seed", "url"], "left_anti")
+        anti = rest._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert scans_exchanged(text, "target") == 0 and text.count("Exchange hashpartitioning") == 1
+    assert anti.count("Exchange hashpartitioning(seed") == 1  # what was reached is not
+
+
+def scans_exchanged(text, column):
+    """File scans of the column with an exchange right above them, up to the next join."""
+    lines = text.split("\n")
+    scans = [n for n, line in enumerate(lines) if "FileScan" in line and column in line]
+    return sum("Exchange" in line for n in scans for line in lines[max(0, n - 3) : n])
