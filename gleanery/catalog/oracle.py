@@ -115,6 +115,9 @@ ORACLE["indexed_snapshots"] = _with(*_INDEX) + "SELECT url_key, url, ts, html FR
 ORACLE["indexed_crawl_log"] = _with(*_INDEX) + _LOG
 ORACLE["indexed_ownership"] = _with(*_INDEX, _texts("keyed", "url_key, user_id"), _chunks("texts", "url_key, user_id")) + _EDGES
 
+ORACLE["imported_pages"] = _with(EVENTS, f"keyed AS (SELECT *, {URL_KEY.format('url')} AS url_key FROM captures)", LATEST, f"log AS ({_LOG})") + """
+SELECT url_key, arg_max(log.url, log.ts) AS url, max(log.ts) AS ts, chr(10) || any_value(html) || chr(13) || chr(10) || 'ü' || chr(10) AS html, count(*) AS urls
+FROM latest JOIN log USING (url_key) GROUP BY url_key"""
 ORACLE["unnumbered_captures"] = _with(
     EVENTS, RECRAWLS, KEYED,
     "delivered AS (SELECT *, unnest([0] || CASE WHEN ingest_seq % 5 = 0 THEN [1] ELSE [] END || CASE WHEN ingest_seq % 3 = 0 THEN [2] ELSE [] END) AS delivery FROM keyed)",

@@ -28,9 +28,11 @@ from gleanery.operators.ownership import documents_for_user, ownership_edges
 from gleanery.operators.topk import nearest
 from gleanery.plans.build_index import build_index, page_texts, reindex
 from gleanery.plans.crawl import crawl_plan
+from gleanery.plans.migrate import import_pages
 from gleanery.plans.retrieve import prompts, retrieve
 from gleanery.session import scratch_path
 from gleanery.sources.messages import read_chat_events, read_page_events, write_messages
+from gleanery.sources.pages import write_page_folder
 from gleanery.sources.store import Store
 from gleanery.streaming.jobs import append_conversations, chat_stream, page_stream
 
@@ -344,6 +346,18 @@ def page_event_transport(spark, sf_dir):
     return m.valid(read_page_events(spark, "envelope", folder)).drop("origin")
 
 
+@query
+def imported_pages(spark, sf_dir):
+    """Every page's latest capture and crawl log as a folder of files, taken over by a store:
+    pages under the URL that their log names last, with the number of URLs it names."""
+    events = i.page_events(spark, sf_dir).withColumn("html", F.concat(F.lit("\n"), "html", F.lit("\r\nü\n")))
+    folder, store = scratch_path(spark, "stored"), Store(spark, scratch_path(spark, "index"))
+    write_page_folder(latest_snapshot(events), crawl_log(events), folder)
+    import_pages(folder, store, run=1)
+    urls = store.crawl_log().groupBy("url_key").agg(F.count("*").alias("urls"))
+    return store.snapshots().join(urls, "url_key").select("url_key", "url", "ts", "html", "urls")
+
+
 @query
 def unnumbered_captures(spark, sf_dir):
     """Three deliveries of captures as plain lines without arrival numbers, the first in the

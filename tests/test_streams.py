@@ -14,7 +14,7 @@ from gleanery.plans.build_index import build_index, reindex
 from gleanery.plans.migrate import import_pages
 from gleanery.session import shared_dir
 from gleanery.sources.messages import read_chat_events, read_messages, read_page_events, write_messages
-from gleanery.sources.pages import export_crawl_log, read_crawl_logs, read_snapshots
+from gleanery.sources.pages import export_crawl_log, read_crawl_logs, read_snapshots, write_page_folder
 from gleanery.sources.store import Store
 from gleanery.streaming.jobs import chat_stream, page_stream
 
@@ -131,6 +131,22 @@ def test_stored_page_folder(spark, tmp_path):
     assert {tuple(r) for r in back.collect()} == {(odd, "http://x", "5"), (odd, "https://x", "6")}
 
 
+def test_pages_are_stored_and_read_back(spark, tmp_path):
+    folder = f"{tmp_path}/deep/folder"
+    texts = {"a.org_ü+%20 &=#1": "\r\n<body>é\u2028\n</body>\r", "big": "x" * 3_000_000, "empty": "", "null": None, "n" * 250: "long name"}
+    refused = {"_x": "1", ".y": "2", "n" * 251: "3", "ü" * 126: "4", "a/b": "5", "": "6", None: "7"}
+    pages = spark.createDataFrame([*texts.items(), *refused.items()], "url_key string, html string").repartition(3)
+    urls = [("big", f'http://big/{n}?q="a,b"\\{n}', n) for n in range(5000)] + [("a.org_ü+%20 &=#1", "http://ü", 7), ("_x", "http://x", 1)]
+    log = spark.createDataFrame(urls, "url_key string, url string, ts bigint").repartition(4)
+    for _ in range(2):  # written again, they are replaced
+        lost, unlogged = write_page_folder(pages, log, folder)
+    assert {r.url_key for r in lost.collect()} == set(refused) and [r.url_key for r in unlogged.collect()] == ["_x"]
+    got = {r.url_key: r.html for r in read_snapshots(spark, folder).collect()}
+    assert got == {k: v for k, v in texts.items() if v}
+    assert sorted(tuple(r) for r in read_crawl_logs(spark, folder).collect()) == sorted(u for u in urls if u[0] != "_x")
+    assert len(list((tmp_path / "deep" / "folder").iterdir())) == len(texts) + 2  # no drafts are left
+
+
 def test_a_page_folder_is_taken_over(spark, tmp_path):
     pages = tmp_path / "html"
     pages.mkdir()
