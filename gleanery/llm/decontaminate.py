@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gleanery.llm.texts import WordHashes, chunks, grams, raw
+from gleanery.llm.texts import WordHashes, chunks, grams, raw, unused
 from gleanery.session import scratch_path
 
 WINDOW = 10  # words that count as a passage of an item
@@ -171,23 +171,24 @@ def benchmark_hits(
         return docs.withColumn(into, _searcher(index)(raw(text)))
     docs = docs.drop(into)
     table, blocks = scratch_path(spark, "documents"), -(-size // block_bytes)
-    docs.withColumn("_row", F.monotonically_increasing_id()).write.parquet(table)
+    number = unused(docs, "row")
+    docs.withColumn(number, F.monotonically_increasing_id()).write.parquet(table)
     docs, found = spark.read.parquet(table), scratch_path(spark, "hits")
     for b in range(blocks):
         items = known.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == b).collect()
         index = spark.sparkContext.broadcast(Index([tuple(r) for r in items]))
-        hits = docs.select("_row", _searcher(index)(raw(text)).alias("h"))
+        hits = docs.select(F.col(number).alias("row"), _searcher(index)(raw(text)).alias("h"))
         hits.where("size(h.items) > 0 or %d = 0" % b).write.mode("append").parquet(found)
         index.destroy()
     all_spans = F.flatten(F.collect_list("h.spans"))
-    one = spark.read.parquet(found).groupBy("_row").agg(
+    one = spark.read.parquet(found).groupBy(F.col("row").alias(number)).agg(
         F.struct(
             F.max("h.n_words").alias("n_words"),
             union_of(all_spans).alias("spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("h.items")))).alias("items"),
         ).alias(into)
     )
-    return docs.join(one, "_row").drop("_row")
+    return docs.join(one, number).drop(number)
 
 
 def union_of(spans: Column) -> Column:
@@ -209,4 +210,5 @@ def n_hit(hits: str = "hits") -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no window of an item occurs, with their own columns."""
-    return benchmark_hits(docs, benchmark, into="_hits").where("size(_hits.items) = 0").drop("_hits")
+    hits = unused(docs, "hits")
+    return benchmark_hits(docs, benchmark, into=hits).where(F.size(f"{hits}.items") == 0).drop(hits)

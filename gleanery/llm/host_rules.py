@@ -131,31 +131,35 @@ def quality_rules(
     this name: the stats, base_failed, host_rate (the host's shrunk rate if beyond the
     limit, else null) and kept."""
     shared_dir(docs.sparkSession)
-    judged = docs.withColumn("_stats", document_stats(F.col(text))).withColumn("_failed", base_failed("_stats"))
-    return with_hosts(judged, judged, host, limit, into)
-
-
-def with_hosts(judged: DataFrame, counted: DataFrame, host: str, limit: float = HOST_LIMIT, into: str = "quality") -> DataFrame:
-    """Join the verdicts on the hosts in ``counted`` back to the rows of ``judged``."""
-    rates = host_rates(counted, host, "_failed").where(F.col("shrunk") > limit)
-    bad = broadcast_if_small(rates.select(F.col("host").alias("_host"), F.col("shrunk").alias("_shrunk")))
-    joined = judged.join(bad, judged[host] == F.col("_host"), "left")
+    own = [c for c in docs.columns if c.lower() != into.lower()]
+    row = F.struct(*[F.col(f"`{c}`") for c in own])
+    judged = docs.select(row.alias("row"), F.col(host).alias("from"), document_stats(F.col(text)).alias("stats"))
+    judged = judged.withColumn("failed", base_failed("stats"))
+    found = with_hosts(judged, limit)
+    return found.select(*[F.col(f"row.`{c}`").alias(c) for c in own], F.col("quality").alias(into))
+
+
+def with_hosts(judged: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
+    """The rows of ``judged``, with from, stats and failed, and the verdict ``quality`` on
+    each, by itself and by its host."""
+    bad = host_rates(judged, "from", "failed").where(F.col("shrunk") > limit).select("host", "shrunk")
+    joined = judged.join(broadcast_if_small(bad), F.col("from") == F.col("host"), "left")
     quality = F.struct(
-        *[F.col(f"_stats.{s}").alias(s) for s in STATS],
-        F.col("_failed").alias("base_failed"),
-        F.col("_shrunk").alias("host_rate"),
-        (~F.col("_failed") & F.col("_host").isNull()).alias("kept"),
+        *[F.col(f"stats.{s}").alias(s) for s in STATS],
+        F.col("failed").alias("base_failed"),
+        F.col("shrunk").alias("host_rate"),
+        (~F.col("failed") & F.col("host").isNull()).alias("kept"),
     )
-    return joined.withColumn(into, quality).drop("_stats", "_failed", "_host", "_shrunk")
+    return joined.select(*judged.columns, quality.alias("quality"))
 
 
 def quality_scores(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """(id, quality) of every document. The texts are read once: their narrow counts are
     kept in the shared folder, and both the hosts' rates and the verdicts come from those."""
     shared_dir(docs.sparkSession)
-    judged = docs.select(id, F.col(host).alias("_from"), document_stats(F.col(text)).alias("_stats"))
-    judged = judged.withColumn("_failed", base_failed("_stats")).checkpoint()
-    return with_hosts(judged, judged, "_from").select(id, "quality")
+    judged = docs.select(F.col(id).alias("id"), F.col(host).alias("from"), document_stats(F.col(text)).alias("stats"))
+    judged = judged.withColumn("failed", base_failed("stats")).checkpoint()
+    return with_hosts(judged).select(F.col("id").alias(id), "quality")
 
 
 def filter_quality(docs: DataFrame, text: str = "text", host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from gleanery.llm.texts import BASE, WordHashes, grams, merge_labels, mix, raw
+from gleanery.llm.texts import BASE, WordHashes, grams, merge_labels, mix, raw, unused
 from gleanery.operators.sizing import broadcast_if_small
 from gleanery.session import shared_dir
 
@@ -344,6 +344,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """The documents with their own columns, those of the smallest id of each group of
     near-duplicates. A row goes by its id and text, so others that share its id stay."""
-    gone = _judged(docs, shingle, threshold).where("not kept").select(F.col("doc_id").alias("_gone"), F.col("key").alias("_key"))
-    same = (F.col("doc_id") == F.col("_gone")) & (_key("text") == F.col("_key"))
-    return docs.join(broadcast_if_small(gone.distinct()), same, "left_anti")
+    gone, key = unused(docs, "gone"), unused(docs, "key")
+    found = _judged(docs, shingle, threshold).where("not kept").select(F.col("doc_id").alias(gone), F.col("key").alias(key))
+    same = (F.col("doc_id") == F.col(gone)) & (_key("text") == F.col(key))
+    return docs.join(broadcast_if_small(found.distinct()), same, "left_anti")

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gleanery.llm.texts import chunks
+from gleanery.llm.texts import chunks, unused
 
 # fixed values: the base patterns, and their least lengths
 ASSIGN = re.compile(
@@ -163,12 +163,13 @@ def redact(docs: DataFrame, text: str = "text", mask: str = "[secret]", ratios:
         for texts in batches:
             yield pa.array([None if t is None else masked(t, ratios, mask) for t in texts.to_pylist()], pa.string())
 
-    found = docs.withColumn("_clean", clean(F.col(text)))
+    name = unused(docs, "clean")
+    found = docs.withColumn(name, clean(F.col(text)))
     if "n_chars" in docs.columns:
-        changed = ~F.col("_clean").eqNullSafe(F.col(text))
-        length = F.length("_clean").cast(docs.schema["n_chars"].dataType)
+        changed = ~F.col(name).eqNullSafe(F.col(text))
+        length = F.length(name).cast(docs.schema["n_chars"].dataType)
         found = found.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars")))
-    return found.withColumn(text, F.col("_clean")).select(*docs.columns)
+    return found.withColumn(text, F.col(name)).drop(name)
 
 
 def digest(spans: Column) -> Column:

@@ -29,6 +29,14 @@ def raw(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A name that no column of the table has, in any case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def let(value: Column, use) -> Column:
     """``use(value)`` with the value computed once for a row."""
     return F.element_at(F.transform(F.array(value), use), 1)

@@ -1,0 +1,58 @@
+"""Columns named like those that operators use inside."""
+
+from __future__ import annotations
+
+import public_tokenizers
+import pytest
+
+from gleanery.llm import bpe, secret_scan
+from gleanery.llm.decontaminate import benchmark_hits, decontaminate
+from gleanery.llm.host_rules import filter_quality, quality_rules, quality_scores
+from gleanery.llm.near_dedup import drop_near_duplicates, near_duplicates
+from tests.llm.conftest import words
+
+NAMES = (
+    "_row _hits _clean _stats _failed _host _shrunk _from _gone _key _first Row hits clean stats failed host shrunk from gone"
+    " key first kept n_shingles digest registers n id root node a b spans items h part place learned_from"
+).split()
+
+
+@pytest.fixture(scope="module")
+def crowded(spark):
+    """Three texts, one a copy and one with a passage, beside a column of every name."""
+    text, other = words(90, 80), words(91, 60) + "\ntoken = " + "0123456789abcdef" * 2
+    rows = [(1, text, "s"), (2, text, "s"), (3, other, "t"), (4, words(92, 70) + " " + words(93, 20), "t")]
+    columns = ", ".join(f"`{name}` string" for name in NAMES)
+    full = [(*row, *(f"{name} of {row[0]}" for name in NAMES)) for row in rows]
+    return spark.createDataFrame(full, f"doc_id bigint, text string, source string, {columns}").cache()
+
+
+def own(df):
+    """The rows' other columns as they should be."""
+    rows = df.collect()
+    assert all(r[name] == f"{name} of {r.doc_id}" for r in rows for name in NAMES)
+    return sorted(r.doc_id for r in rows)
+
+
+def test_rows_keep_columns_of_any_name(spark, crowded):
+    items = spark.createDataFrame([(1, words(93, 20))], "item_id int, text string")
+    for kept, want in (
+        (filter_quality(crowded), [1, 2, 3, 4]),
+        (drop_near_duplicates(crowded), [1, 3, 4]),
+        (decontaminate(crowded, items), [1, 2, 3]),
+        (secret_scan.redact(crowded), [1, 2, 3, 4]),
+    ):
+        assert own(kept) == want and kept.columns == crowded.columns
+    assert "[secret]" in secret_scan.redact(crowded).where("doc_id = 3").first().text
+
+
+def test_results_beside_columns_of_any_name(spark, crowded):
+    items = spark.createDataFrame([(n, words(93 + n, 20)) for n in range(3)], "item_id int, text string")
+    judged = quality_rules(crowded, into="verdict")
+    assert own(judged) == [1, 2, 3, 4] and judged.columns == [*crowded.columns, "verdict"]
+    assert quality_scores(crowded).count() == near_duplicates(crowded).count() == 4
+    in_blocks = benchmark_hits(crowded, items, block_bytes=200, into="found")
+    assert own(in_blocks) == [1, 2, 3, 4]
+    assert [r.doc_id for r in in_blocks.where("size(found.items) > 0").collect()] == [4]
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    assert own(bpe.encode(crowded, ranks, public_tokenizers.PATTERN)) == [1, 2, 3, 4]
