@@ -32,7 +32,7 @@ from gleanery.llm.texts import chunks
 
 QUERY_BYTES = 64  # longest piece that the recursive query takes
 REMEMBERED = 250_000  # pieces kept from one run of documents to the next
-QUERY_PIECES = 10_000  # in one query
+QUERY_ROWS = 2 << 20  # that the pieces of one query can leave in all its rounds, about 50 bytes each
 QUERY_IDS = 1 << 18  # decoded in one query
 DUCKDB_MEMORY = "256MB"
 RUN_BYTES = 1 << 20  # of text encoded at once
@@ -87,6 +87,14 @@ def ranges(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts - begins, counts)
 
 
+class Slots(dict):
+    """Numbers of pieces, in order of their first use."""
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = slot = len(self)
+        return slot
+
+
 class Codec:
     """Encoder and decoder of one task."""
 
@@ -105,7 +113,7 @@ class Codec:
         self._fill("merges", "SELECT l, r, rank::BIGINT AS rank FROM given", columns)
         tokens = {"id": list(self.ranks.values()), "hex": [t.hex() for t in self.ranks]}
         self._fill("tokens", "SELECT id::INTEGER AS id, hex FROM given", tokens)
-        self.slots: dict[str, int] = {}
+        self.slots = Slots()
         # ids of the pieces in order of their slots, and how many each has
         self.flat, self.counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
 
@@ -124,7 +132,7 @@ class Codec:
         at = np.array([self.slots[w] for w in kept], np.int64)
         counts, flat = self.counts[0], self.flat[0]
         begins = np.cumsum(counts) - counts
-        self.slots = dict(zip(kept, range(len(kept))))
+        self.slots = Slots(zip(kept, range(len(kept))))
         self.flat, self.counts = [flat[ranges(begins[at], counts[at])]], [counts[at]]
 
     def pieces(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -144,24 +152,28 @@ class Codec:
         return np.asarray(merged["id"], np.int32), np.bincount(merged["piece"], minlength=len(found))
 
     def learn(self, new: list[str]) -> None:
-        """Encode pieces not seen before."""
-        tokens, queried, long = [], [], []
-        for piece in new:
-            bytes_ = piece.encode()
-            rank = self.ranks.get(bytes_)
-            (queried if len(bytes_) <= QUERY_BYTES else long).append((piece, bytes_)) if rank is None else tokens.append((piece, rank))
-        self.remember([p for p, _ in tokens], np.array([r for _, r in tokens], np.int32), np.ones(len(tokens), np.int64))
-        for a in range(0, len(queried), QUERY_PIECES):
-            some = queried[a : a + QUERY_PIECES]
-            self.remember([p for p, _ in some], *self.pieces([b for _, b in some]))
-        for piece, bytes_ in long:
-            ids = self.contract(bytes_)
-            self.remember([piece], ids, np.array([len(ids)]))
-
-    def remember(self, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
-        self.slots.update(zip(pieces, range(len(self.slots), len(self.slots) + len(pieces))))
-        self.flat.append(ids)
-        self.counts.append(counts)
+        """Encode pieces not seen before, in the order of their slots."""
+        raw = [piece.encode() for piece in new]
+        ranks = [self.ranks.get(b) for b in raw]
+        whole = [i for i, rank in enumerate(ranks) if rank is not None]
+        queried = [i for i, rank in enumerate(ranks) if rank is None and len(raw[i]) <= QUERY_BYTES]
+        order, flat, counts = [whole], [np.array([ranks[i] for i in whole], np.int32)], [np.ones(len(whole), np.int64)]
+        lengths = np.array([len(raw[i]) for i in queried], np.int64)
+        query = np.cumsum(lengths * (lengths + 1) // 2) // QUERY_ROWS
+        for some in np.split(np.array(queried, np.int64), np.flatnonzero(np.diff(query)) + 1):
+            if not len(some):
+                continue
+            ids, each = self.pieces([raw[i] for i in some])
+            order.append(some), flat.append(ids), counts.append(each)
+        for i, rank in enumerate(ranks):
+            if rank is None and len(raw[i]) > QUERY_BYTES:
+                ids = self.contract(raw[i])
+                order.append([i]), flat.append(ids), counts.append(np.array([len(ids)]))
+        at = np.argsort(np.concatenate([np.array(o, np.int64) for o in order]))
+        each = np.concatenate(counts)
+        begins = np.cumsum(each) - each
+        self.flat.append(np.concatenate(flat)[ranges(begins[at], each[at])])
+        self.counts.append(each[at])
 
     def contract(self, piece: bytes) -> np.ndarray:
         """The same contraction with a heap of pairs by rank, then position."""
@@ -190,13 +202,14 @@ class Codec:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and where each text's end."""
         words = [self.find(t) for t in texts]
-        here = set(itertools.chain.from_iterable(words))
         if len(self.slots) > REMEMBERED:
-            self._forget(here)
-        self.learn(list(here - self.slots.keys()))
+            self._forget(set(itertools.chain.from_iterable(words)))
+        known = len(self.slots)
+        each_word = map(self.slots.__getitem__, itertools.chain.from_iterable(words))
+        at = np.fromiter(each_word, np.int64, sum(map(len, words)))
+        self.learn(list(itertools.islice(self.slots, known, None)))
         self.flat, self.counts = [np.concatenate(self.flat)], [np.concatenate(self.counts)]
         flat, counts = self.flat[0], self.counts[0]
-        at = np.fromiter(map(self.slots.__getitem__, itertools.chain.from_iterable(words)), np.int64, sum(map(len, words)))
         begins = np.cumsum(counts) - counts
         each = counts[at]
         ids = flat[ranges(begins[at], each)]

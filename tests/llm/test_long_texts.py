@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import public_tokenizers
+import tiktoken
 
 from gleanery.llm import bpe
 
@@ -26,3 +29,15 @@ def test_slices_keep_order_and_documents():
     borders = np.array([0, 5, (1 << 18) - 1, (1 << 18), (1 << 18), 2 * (1 << 18) + 9, len(ids)])
     want = [b"".join(map(tokens.__getitem__, x.tolist())) for x in np.split(ids, borders[:-1])]
     assert codec.decode(ids, borders) == want
+
+
+def test_many_long_pieces_fit_the_queries():
+    """Distinct pieces as long as the query takes: their rounds would not fit its memory at once."""
+    rng = random.Random(4)
+    pieces = ["".join(rng.choices("abcdefgh", k=bpe.QUERY_BYTES)) for _ in range(6000)]
+    text = "1".join(pieces + ["é語" * 12 + "".join(rng.choices("abcé", k=9)) for _ in range(2000)])
+    known = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(RANKS), special_tokens={})
+    codec = bpe.codec_of(RANKS, public_tokenizers.PATTERN)
+    ids, _ = codec.encode(["", text, "a"])
+    assert ids.tolist() == known.encode_ordinary(text) + known.encode_ordinary("a")
+    assert codec.decode(*codec.encode([""])) == [b""]
