@@ -4,6 +4,10 @@ Quality rules drop documents that fail by themselves or with their host; one doc
 each group of near-duplicates stays; documents holding a benchmark passage go; secrets are
 masked in the texts that are left; these are encoded. A stage reads what the one before it
 wrote.
+
+The stages keep null and empty texts, rows without an id, repeated rows and columns of any
+name as their operators' modules state; an empty text has too few words and goes in the first
+stage. Very long texts are handled whole. Without documents every stage returns no rows.
 """
 
 from __future__ import annotations

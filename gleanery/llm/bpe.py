@@ -11,7 +11,7 @@ Pieces beyond ``QUERY_BYTES`` would take as many rounds of the query as they hav
 each over all their rows; they are contracted by the same rule with a heap instead.
 
 A null text is an empty one: no ids, no bytes. Rows are encoded one by one, repeated or
-not, and no length is cut off.
+not, and no length is cut off. Without rows nothing is returned.
 """
 
 from __future__ import annotations

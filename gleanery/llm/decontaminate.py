@@ -11,7 +11,8 @@ larger benchmark is searched in blocks of bounded size, each past all documents.
 
 Null or wordless texts have no words. Items without an id or words are no items; repeated
 items with one id are one item, with the windows of each. Rows of documents are judged one
-by one, repeated or not. An empty benchmark hits nothing.
+by one, repeated or not. An empty benchmark hits nothing, and without documents nothing is
+returned. A very long text is searched whole, in one task.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ and where the family's template does not confirm the prediction, a licence is ``
 The model is of bounded size and becomes a literal: scoring touches no other rows, and only
 documents that hold a word of positive weight are looked at more closely, since no other
 could be anything but ``none``. A null or empty text has no paragraphs. Without samples the
-templates alone are learned from. Repeated rows are scanned one by one.
+templates alone are learned from. Repeated rows are scanned one by one. A very long text is
+scanned whole, in one task. Without rows nothing is returned.
 """
 
 from __future__ import annotations

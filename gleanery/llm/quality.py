@@ -8,7 +8,9 @@ monotone by pooling neighbours. Only matrices of fixed size reach the driver.
 
 A null text counts as an empty one and gets a score as any other. Documents without an id
 are scored and not learned from; several labels of one id count as their mean. Without
-labels every score is 0.5. Repeated rows are scored one by one.
+labels every score is 0.5. Repeated rows are scored one by one, equal ones alike. Of a text of
+any length only its statistics are kept. Without documents nothing is returned. Where the fold
+kept apart has no labelled row, the rows that were learned from calibrate the scores too.
 """
 
 from __future__ import annotations

@@ -33,7 +33,8 @@ anchor N * N / 2^65 pairs are expected to be confused, 3e-6 for ten million. Ste
 bytes. The number of buckets follows the size of the texts.
 
 A null text is empty. Rows without an id are left as they are, and are not earlier than any
-other. Rows that share an id are not earlier than one another.
+other. Rows that share an id are not earlier than one another. Without rows nothing is
+returned.
 """
 
 from __future__ import annotations

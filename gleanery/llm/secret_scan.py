@@ -10,7 +10,8 @@ that the patterns' spans leave of a run.
 
 Spans are counted in code points, ends exclusive. Null or empty texts have none; where the
 corpus has no samples, both models are uniform and only the patterns find anything.
-Repeated rows are scanned, and counted, one by one.
+Repeated rows are scanned, and counted, one by one. A very long text is scanned whole, in one
+task. Without rows nothing is returned.
 """
 
 from __future__ import annotations
