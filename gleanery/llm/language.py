@@ -7,11 +7,11 @@ probabilities are learned by expectation maximisation over the words counted in
 texts: a backward pass gives how often each piece is expected in each word. Both passes
 rescale at every letter, so that no run of rare letters is lost to underflow.
 
-Words are runs of letters in lower case, marked at their start. A run beyond ``SPAN``
-letters is scored in spans of that length. A character that no piece covers is one unknown
-piece. A text without letters, or null, is ``und`` with score 0, and so is every text where
+Words are runs of letters in lower case, marked at their start, and are never cut: of a run
+beyond ``SPAN`` letters only a span is held at once, and both passes carry their sums from
+span to span. A character that no piece covers is one unknown piece. A text without letters, or null, is ``und`` with score 0, and so is every text where
 nothing was labelled. Equal scores go to the first language by name. Repeated rows are
-judged one by one.
+judged one by one. A very long text costs work by its length, in one task.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from gleanery.llm.texts import chunks
 from gleanery.session import shared_dir
 
-SPAN = 96
+SPAN = 4096  # letters of a word worked on at once
 LONGEST = 16  # letters in a piece
 ROUNDS = 2
 SMOOTHING = 0.1
@@ -43,8 +43,7 @@ _LETTERS = regex.compile(r"\p{L}+")
 
 
 def words(text: str) -> list[str]:
-    found = _LETTERS.findall(text.lower())
-    return [w[i : i + SPAN] for w in found for i in range(0, len(w), SPAN)] if any(len(w) > SPAN for w in found) else found
+    return _LETTERS.findall(text.lower())
 
 
 class Lattice:
@@ -53,47 +52,80 @@ class Lattice:
     def __init__(self, path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
-        usable = (p for i, p in enumerate(pieces) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
+        usable = [p for i, p in enumerate(pieces) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+        if any(len(p) > LONGEST and _LETTERS.fullmatch(p.removeprefix(START)) for p in usable):
+            raise ValueError(f"the vocabulary has pieces of over {LONGEST} letters")
         self.ids = {p: i + 1 for i, p in enumerate(dict.fromkeys(p for p in usable if len(p) <= LONGEST))}
         self.size = len(self.ids) + 2  # 0 is the unknown piece, the last one no piece
         self.none = self.size - 1
+        # the pieces' beginnings as a tree: a node and a letter give the next node
+        nodes = {"": 0}
+        for p in self.ids:
+            for k in range(1, len(p) + 1):
+                nodes.setdefault(p[:k], len(nodes))
+        letters = sorted({p[-1] for p in nodes if p})
+        self.letter = np.zeros(0x110000, np.uint16)  # 0 stands in no piece
+        self.letter[list(map(ord, letters))] = np.arange(1, len(letters) + 1)
+        self.letters = len(letters) + 1
+        steps = {nodes[p[:-1]] * self.letters + int(self.letter[ord(p[-1])]): i for p, i in nodes.items() if p}
+        self.steps = np.array(sorted(steps), np.int64)
+        self.next = np.array([steps[x] for x in self.steps.tolist()], np.int64)
+        self.piece = np.array([self.ids.get(p, self.none) for p in nodes], np.int32)
 
     def arcs(self, some: list[str]) -> np.ndarray:
-        """Piece ids [word, start, length - 1] of words of one length."""
-        n = len(some[0]) + 1
+        """Piece ids [word, start, length - 1] in marked words of one length."""
+        n = len(some[0])
         reach = min(LONGEST, n)
-        get, none = self.ids.get, self.none
-        flat = [
-            get(s[j : j + k], none) if j + k <= n else none
-            for s in (START + w for w in some)
-            for j in range(n)
-            for k in range(1, reach + 1)
-        ]
-        out = np.array(flat, np.int32).reshape(len(some), n, reach)
-        out[:, :, 0][out[:, :, 0] == none] = 0
-        return out
+        letter = self.letter[np.frombuffer("".join(some).encode("utf-32-le"), np.uint32)]
+        out = np.full((len(some) * n, reach), self.none, np.int32)
+        place = np.arange(len(letter))
+        left = n - place % n  # letters to the word's end
+        node = np.zeros(len(letter), np.int64)
+        for k in range(reach):
+            here = left[place] > k
+            place, node = place[here], node[here]
+            step = node * self.letters + letter[place + k]
+            at = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+            here = self.steps[at] == step
+            place, node = place[here], self.next[at[here]]
+            out[place, k] = self.piece[node]
+        out[:, 0][out[:, 0] == self.none] = 0
+        return out.reshape(len(some), n, reach)
 
     def by_length(self, some: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(places, arcs) of words of equal length, a bounded number at a time."""
+        """(places, arcs) of words of equal length up to ``SPAN``, a bounded number at a time."""
         lengths = np.fromiter(map(len, some), np.int64, len(some))
-        for n in np.unique(lengths):
+        for n in np.unique(lengths[lengths <= SPAN]):
             places = np.flatnonzero(lengths == n)
             step = max(1, 200_000 // ((int(n) + 1) * min(LONGEST, int(n) + 1)))
             for a in range(0, len(places), step):
-                yield places[a : a + step], self.arcs([some[i] for i in places[a : a + step]])
+                yield places[a : a + step], self.arcs([START + some[i] for i in places[a : a + step]])
 
+    def span(self, word: str, start: int) -> tuple[int, np.ndarray]:
+        """(low, arcs) of a marked word's next ``SPAN`` letters, and of those before them that
+        an arc into the span may start at, from ``low`` on."""
+        low = max(0, start - LONGEST + 1)
+        return low, self.arcs([word[low : start + SPAN]])
 
 
-def forward(arcs: np.ndarray, chances: np.ndarray, place: np.ndarray | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Logarithms of the sums over all segmentations [word, language] and, where ``place``
-    picks one language for each word, each end's shares [word, length - 1]: how much of the
-    sum up to this end comes by the arc of that length. A sum is kept relative to the one
-    before it, so none is too small for a number however rare the letters."""
+@functools.lru_cache(maxsize=1)
+def lattice_of(path: str) -> Lattice:
+    """The lattice of a Python worker, which serves one task after another."""
+    return Lattice(path)
+
+
+def forward(arcs: np.ndarray, chances: np.ndarray, place: np.ndarray | None = None, done: int = 0, before: np.ndarray | None = None):
+    """Logarithms of the sums over all segmentations [word, language]; where ``place`` picks
+    one language for each word, each end's shares [word, length - 1], how much of the sum up
+    to this end comes by the arc of that length; and the sums up to the last starts. A sum is
+    kept relative to the one before it, so none is too small for a number however rare the
+    letters. ``done`` letters are those of an earlier span, which gave ``before``."""
     n, reach = arcs.shape[1:]
     logs = np.zeros((len(arcs), chances.shape[1] if place is None else 1))
-    before = first = np.ones((len(arcs), 1, logs.shape[1]))  # sums up to the last starts, by that of the last one
+    first = np.ones((len(arcs), 1, logs.shape[1]))
+    before = first if before is None else before  # sums up to the last starts, by that of the last one
     shares = []
-    for end in range(1, n + 1):
+    for end in range(done + 1, n + 1):
         k = np.arange(1, min(reach, end) + 1)
         some = arcs[:, end - k, k - 1]
         parts = before * (chances[some] if place is None else chances[some, place[:, None]][..., None])
@@ -102,7 +134,19 @@ def forward(arcs: np.ndarray, chances: np.ndarray, place: np.ndarray | None = No
         if place is not None:
             shares.append((parts / step)[..., 0])
         before = np.concatenate([first, before[:, : reach - 1] / step], axis=1)
-    return logs, shares
+    return logs, shares, before
+
+
+def backward(shares: list[np.ndarray], back: np.ndarray, shape: tuple[int, int, int], done: int = 0) -> np.ndarray:
+    """How often each arc [word, start, length - 1] is expected. ``back`` has how often a
+    segmentation has a border at a letter, what its arcs from there on have; it is added to."""
+    got = np.zeros(shape)
+    for end in range(shape[1], done, -1):
+        k = np.arange(1, min(shape[2], end) + 1)
+        part = shares[end - done - 1] * back[:, end, None]
+        got[:, end - k, k - 1] = part
+        back[:, end - k] += part
+    return got
 
 
 def log_chances(lattice: Lattice, chances: np.ndarray, some: list[str]) -> np.ndarray:
@@ -110,53 +154,71 @@ def log_chances(lattice: Lattice, chances: np.ndarray, some: list[str]) -> np.nd
     out = np.zeros((len(some), chances.shape[1]))
     for places, arcs in lattice.by_length(some):
         out[places] = forward(arcs, chances)[0]
+    for i, word in enumerate(some):
+        before, marked = None, START + word if len(word) > SPAN else ""
+        for start in range(0, len(marked), SPAN):
+            low, arcs = lattice.span(marked, start)
+            logs, _, before = forward(arcs, chances, None, start - low, before)
+            out[i] += logs[0]
     return out
 
 
 def expected(lattice: Lattice, chances: np.ndarray, some: list[str], place: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Expected counts [piece, language] of words seen ``weight`` times in one language each."""
     out = np.zeros(chances.shape)
+
+    def add(arcs: np.ndarray, got: np.ndarray, langs: np.ndarray) -> None:
+        cells = arcs.astype(np.int64) * chances.shape[1] + langs[:, None, None]
+        out.ravel()[:] += np.bincount(cells.ravel(), got.ravel(), out.size)
+
     for places, arcs in lattice.by_length(some):
-        _, shares = forward(arcs, chances, place[places])
-        n, reach = arcs.shape[1:]
-        # how often a segmentation has a border here: what its arcs from here on have
-        back = np.zeros((len(arcs), n + 1))
-        back[:, n] = weight[places]
-        got = np.zeros(arcs.shape)
-        for end in range(n, 0, -1):
-            k = np.arange(1, min(reach, end) + 1)
-            part = shares[end - 1] * back[:, end, None]
-            got[:, end - k, k - 1] = part
-            back[:, end - k] += part
-        cells = arcs.astype(np.int64) * chances.shape[1] + place[places][:, None, None]
-        out += np.bincount(cells.ravel(), got.ravel(), out.size).reshape(out.shape)
+        _, shares, _ = forward(arcs, chances, place[places])
+        back = np.zeros((len(arcs), arcs.shape[1] + 1))
+        back[:, -1] = weight[places]
+        add(arcs, backward(shares, back, arcs.shape), place[places])
+    for i in np.flatnonzero(np.fromiter(map(len, some), np.int64, len(some)) > SPAN):
+        # the sums at each span's start are kept, its shares made anew on the way back
+        marked, lang, carried = START + some[i], place[i : i + 1], [None]
+        starts = range(0, len(marked), SPAN)
+        for start in starts:
+            low, arcs = lattice.span(marked, start)
+            carried.append(forward(arcs, chances, lang, start - low, carried[-1])[2])
+        back = np.zeros((1, len(marked) + 1))
+        back[:, -1] = weight[i]
+        for start, before in zip(reversed(starts), carried[-2::-1]):
+            low, arcs = lattice.span(marked, start)
+            _, shares, _ = forward(arcs, chances, lang, start - low, before)
+            add(arcs, backward(shares, back[:, low : low + arcs.shape[1] + 1], arcs.shape, start - low), lang)
     out[-1] = 0
     return out
 
 
 def _counter(places: dict[str, int]):
-    def handed_on(counts: Counter) -> pa.RecordBatch:
-        names, langs = zip(*counts) if counts else ((), ())
-        columns = [pa.array(names, pa.string()), pa.array(langs, pa.int32()), pa.array(counts.values(), pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["word", "lang", "n"])
+    def handed_on(counts: dict[int, Counter]) -> Iterator[pa.RecordBatch]:
+        for place, some in counts.items():
+            columns = [pa.array(some, pa.string()), pa.array([place] * len(some), pa.int32()), pa.array(some.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["word", "lang", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        counts: dict[int, Counter] = {}
+        held = 0
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                place = places[lang]
-                counts.update((w, place) for w in words(text))
-                if len(counts) >= FLUSH:
-                    yield handed_on(counts)
-                    counts = Counter()
-        yield handed_on(counts)
+                own = counts.setdefault(places[lang], Counter())
+                held -= len(own)
+                own.update(words(text))
+                held += len(own)
+                if held >= FLUSH:
+                    yield from handed_on(counts)
+                    counts, held = {}, 0
+        yield from handed_on(counts)
 
     return count
 
 
 def _expecter(path: str, shared):
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, chances = Lattice(path), shared.value
+        lattice, chances = lattice_of(path), shared.value
         totals = np.zeros(chances.shape)
         for batch in batches:
             some, place, weight = (batch.column(i) for i in range(3))
@@ -205,7 +267,7 @@ class Scorer:
     are too many, those of the texts at hand stay, the frequent ones among them."""
 
     def __init__(self, path: str, model: Model):
-        self.model, self.lattice = model, Lattice(path)
+        self.model, self.lattice = model, lattice_of(path)
         self.slots: dict[str, int] = {}
         self.scores = np.empty((0, len(model.langs)))
 
@@ -227,7 +289,7 @@ class Scorer:
             if not row:
                 yield UNDETERMINED, 0.0
                 continue
-            total = self.model.shares + self.scores[[self.slots[w] for w in row]].sum(axis=0)
+            total = self.model.shares + self.scores[np.fromiter(map(self.slots.__getitem__, row), np.int64, len(row))].sum(axis=0)
             best = int(total.argmax())
             yield self.model.langs[best], float(1 / np.exp(total - total[best]).sum())
 

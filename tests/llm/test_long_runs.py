@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
+from gleanery.llm import language
 from gleanery.llm.language import ROUNDS, SPAN, START, Lattice, expected, identify, log_chances, train
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -66,3 +67,28 @@ def test_one_long_run_does_not_take_a_language(spark):
     rows = identify(spark.createDataFrame(asked, docs.schema), model, PATH).select("lang", "language.*").collect()
     assert [r["lang_pred"] for r in rows[:3]] == [r["lang"] for r in rows[:3]]
     assert all(0 < r["score"] <= 1 for r in rows)
+
+
+def test_runs_beyond_a_span_are_not_cut(lattice, monkeypatch):
+    rng = np.random.default_rng(7)
+    chances = rng.random((lattice.size, 3)) + 0.01
+    chances[-1] = 0
+    chances /= chances.sum(axis=0)
+    some = ["".join(rng.choice(list("etaoinshr語本日"), n)) for n in (300, 301, 127, 128, 129, 17)]
+    place, weight = np.array([0, 1, 2, 0, 1, 2]), np.array([1, 4, 2, 7, 1, 3])
+    whole = log_chances(lattice, chances, some), expected(lattice, chances, some, place, weight)
+    monkeypatch.setattr(language, "SPAN", 64)
+    cut = log_chances(lattice, chances, some), expected(lattice, chances, some, place, weight)
+    assert cut[0] == pytest.approx(whole[0], rel=1e-12)
+    assert cut[1] == pytest.approx(whole[1], rel=1e-9, abs=1e-12)
+
+
+def test_arcs_are_the_pieces_of_the_vocabulary(lattice):
+    words = ["implementation", "straßenbahnen", "日本語のテキスト", "ꙮꙮꙮ", "a"]
+    for word in words:
+        marked = START + word
+        arcs = lattice.arcs([marked])[0]
+        for j in range(len(marked)):
+            for k in range(1, arcs.shape[1] + 1):
+                piece = lattice.ids.get(marked[j : j + k]) if j + k <= len(marked) else None
+                assert arcs[j, k - 1] == (piece or (0 if k == 1 else lattice.none))
