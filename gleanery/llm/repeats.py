@@ -53,9 +53,10 @@ LENGTH = 50
 GRAM = 20
 REACH = LENGTH - GRAM
 BUCKET_BYTES = 12 << 20  # of text for each bucket
-FLUSH = 1_500_000  # anchors gathered in a task before they are handed on
+FLUSH = 400_000  # anchors gathered in a task before they are handed on
+DELIVERED = 150_000  # contexts likewise
 FLUSH_DOCS = 60_000  # fit 16 bits
-CROWD = 256  # contexts of an anchor in one flush beyond which they are dealt by context
+CROWD = 64  # contexts of an anchor in one flush beyond which they are dealt by context
 GATHERED = 4096  # contexts of an anchor that step 4 puts in order at once
 CROWDED_BYTES = 100 << 30  # of text, from which on a crowd is fewer, so that buckets stay bounded
 COMMON = 20_000  # strings at most that meet their contexts by broadcast
@@ -166,19 +167,25 @@ class Gatherer:
         for a, b in chunks([p[0] for p in some], CHUNK_BYTES):
             part, at, anchor, context = anchors(some[a:b], self.powers)
             part = part + done
-            self.parts.append((np.array(whose)[part], at + np.array(offsets)[part], anchor, context))
+            place = (at + np.array(offsets, np.int64)[part]).astype(np.uint32)
+            self.parts.append((np.array(whose, np.int32)[part], place, anchor, context))
             self.n += len(at)
             done = b
 
     def packed(self) -> Iterator[tuple]:
         if not self.n:
+            self.clear()
             return
         ids = np.array([d[0] for d in self.docs], np.int64)
         hashes = np.array([d[1] for d in self.docs], np.int32)
         ref, at, anchor, context = (np.concatenate(x) for x in zip(*self.parts))
+        self.clear()  # only one copy of the anchors is held beside those put in order
         order = np.lexsort((ids[ref], context, anchor))
         ref, at, anchor, context = ref[order], at[order], anchor[order], context[order]
-        first = ids[ref] == runs_least(heads(anchor, context), ids[ref])
+        del order
+        owner = ids[ref]
+        first = owner == runs_least(heads(anchor, context), owner)
+        del owner
         name = names(anchor, self.buckets)
         bucket = (name >> np.uint64(32)).astype(np.int64)
         group = np.cumsum(heads(anchor)) - 1
@@ -214,7 +221,6 @@ def _gather(buckets: int, crowd: int):
                 gatherer.add(docs[a:b])
                 if gatherer.n >= FLUSH or len(gatherer.docs) >= FLUSH_DOCS:
                     yield from handed_on(gatherer.packed())
-                    gatherer.clear()
         yield from handed_on(gatherer.packed())
 
     return gather
@@ -330,7 +336,7 @@ def _deliver(buckets: int):
                 sides = np.stack([np.minimum(at, REACH), np.minimum(len(text) - at, LENGTH)], axis=1).astype(np.uint8)
                 rows.append((doc, hash, at, name, sides, bytes_))
                 n += len(at)
-                if n >= FLUSH // 10:
+                if n >= DELIVERED:
                     yield from handed_on(packed(rows))
                     rows, n = [], 0
         yield from handed_on(packed(rows))
