@@ -51,7 +51,7 @@ B, RATE = 1.001, 20.0  # of the registers: step of the exponents, rate of the va
 PIVOTS = 4  # of a band in the second round
 CROWD = 64  # classes from which a band's are not paired
 BLOCK, ELEMENTS = 8192, 4 << 20  # classes of a crowd, and shingles, that a block holds
-EDGES = 100_000  # of a task, while components are found
+EDGES = 100_000  # narrow rows of a task: links, pairs, bands
 COLUMNS, SLICE = 2048, 1024  # shingles and classes of a block multiplied at once
 DOUBT = 20  # percent below the threshold where an estimate is believed: over 5 standard errors
 
@@ -141,27 +141,36 @@ def common(one: pa.Array, two: pa.Array) -> pa.Array:
     return pa.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in sets], pa.int64())
 
 
+def settled(rows: DataFrame) -> DataFrame:
+    """The rows, written once, in as many partitions as their number asks for: each partition
+    of an exchange's input leaves files of its own, so few rows are not many tasks."""
+    rows = rows.checkpoint()
+    return rows.coalesce(1 + rows.count() // EDGES)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the edges (a, b): the smallest node of its component.
 
     Edges are moved to smaller nodes by turns, first those to larger neighbours, then those
     to smaller ones, until only stars are left."""
-    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
-    before = None
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").checkpoint()
+    parts, before = 1 + edges.count() // EDGES, None
     while True:
+        edges = edges.coalesce(parts)
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b")
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").coalesce(parts)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         edges = small.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
-        edges = edges.where("a > b").distinct().checkpoint()
+        edges = edges.where("a > b").coalesce(parts).distinct().checkpoint()
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        parts = 1 + now[0] // EDGES
         if now == before:
+            edges = edges.coalesce(parts)
             roots = edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
-            return roots.union(edges.select("b", "b").distinct())
+            return settled(roots.union(edges.select("b", "b").distinct()))
         before = now
-        edges = edges.coalesce(1 + now[0] // EDGES)  # few edges are not many tasks
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
@@ -225,7 +234,7 @@ def _crowd_links(placed: DataFrame, narrow: DataFrame, sets: DataFrame, threshol
     first = placed.groupBy("key").agg(F.min("id").alias("b"))
     crowds = components(placed.join(first, "key").select(F.col("id").alias("a"), "b").where("a != b"))
     members = crowds.join(narrow.select("id", "n"), F.col("node") == F.col("id")).select("id", "n", F.col("root").alias("crowd"))
-    members = members.checkpoint()
+    members = settled(members)
     size = members.groupBy("crowd").agg(F.count("*").alias("m"), F.sum("n").alias("all"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("all") / ELEMENTS)).cast("int")
     dealt = members.join(size.select("crowd", blocks.alias("blocks")), "crowd")
@@ -237,7 +246,7 @@ def _crowd_links(placed: DataFrame, narrow: DataFrame, sets: DataFrame, threshol
 
 def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text", threshold: int = THRESHOLD) -> DataFrame | None:
     """(node, root) of the classes that confirmed links join to others."""
-    members = _candidates(classes).checkpoint()
+    members = settled(_candidates(classes))
     wanted = members.select("id").distinct().join(classes, "id").select("id", "digest", F.col("first").alias("_first")).checkpoint()
     few = docs.join(broadcast_if_small(wanted.select("_first").distinct()), F.col("doc_id") == F.col("_first"), "left_semi")
     sets = few.select(_sets(shingle)(raw(text)).alias("s")).select("s.digest", "s.shingles").dropDuplicates(["digest"])
@@ -254,14 +263,14 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
                 "key", "id", F.coalesce("root", "id").alias("root")
             )
         bands = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"))
-        return placed.join(bands.where("x < y").select("key", "n"), "key").checkpoint()
+        return settled(placed.join(bands.where("x < y").select("key", "n"), "key"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         one = narrow.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"))
         two = narrow.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"))
         near = pairs.join(one, "a").join(two, "b").where(100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
         near = near.where(100 * similarity("r_a", "r_b", "n_a", "n_b") >= threshold - DOUBT).select("a", "b", "n_a", "n_b")
-        near = near.checkpoint()
+        near = settled(near)
         needed = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         some = sets.join(broadcast_if_small(needed), "id", "left_semi")
         near = near.join(some.select(F.col("id").alias("a"), F.col("shingles").alias("s_a")), "a")
@@ -270,7 +279,7 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
         return near.where(100 * F.col("both") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
 
     def with_links(found: DataFrame) -> DataFrame | None:
-        found = found.checkpoint()
+        found = settled(found)
         if found.isEmpty():
             return roots
         stars = [] if roots is None else [roots.select(F.col("node").alias("a"), F.col("root").alias("b"))]
@@ -289,7 +298,7 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
         pairs = offered.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = pairs.checkpoint()
+        pairs = settled(pairs)
         tested = pairs if tested is None else tested.union(pairs)
         roots = with_links(confirmed(pairs))
 
@@ -299,7 +308,7 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
     small, crowded = placed.where(F.col("n") <= CROWD), placed.where(F.col("n") > CROWD).select("key", "id")
     other = small.select("key", F.col("id").alias("b"), F.col("root").alias("b_root"))
     pairs = small.join(other, "key").where("id < b and root != b_root").select(F.col("id").alias("a"), "b").distinct()
-    found = confirmed(pairs.join(tested, ["a", "b"], "left_anti").checkpoint())
+    found = confirmed(settled(pairs.join(tested, ["a", "b"], "left_anti")))
     return with_links(found if crowded.isEmpty() else found.union(_crowd_links(crowded, narrow, sets, threshold)))
 
 
