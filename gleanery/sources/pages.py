@@ -18,6 +18,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 NAME_BYTES = 255  # of a file name, in the common file systems
+READS = 64  # partitions that Spark makes of small files, a few files each, that one task reads
 _HEADER = ["url", "timestamp"]
 
 
@@ -25,7 +26,7 @@ def read_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     """``url_key, html`` of every ``*.html`` file, read whole as UTF-8."""
     files = spark.read.option("pathGlobFilter", "*.html").text(folder, wholetext=True)
     key = F.regexp_replace("_metadata.file_name", r"\.html$", "")
-    return files.select(_decoded(key).alias("url_key"), F.col("value").alias("html"))
+    return _in_few_tasks(files.select(_decoded(key).alias("url_key"), F.col("value").alias("html")))
 
 
 def read_crawl_logs(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,7 +39,14 @@ def read_crawl_logs(spark: SparkSession, folder: str) -> DataFrame:
         .csv(folder)
     )
     key = F.regexp_replace("_metadata.file_name", r"\.log$", "")
-    return files.select(_decoded(key).alias("url_key"), "url", F.col("timestamp").alias("ts"))
+    return _in_few_tasks(files.select(_decoded(key).alias("url_key"), "url", F.col("timestamp").alias("ts")))
+
+
+def _in_few_tasks(files: DataFrame) -> DataFrame:
+    """The rows of small files, many files to a task, without an exchange: a task that has a few
+    only writes as many files as one that has thousands. No fewer tasks than run at once."""
+    parts = files.rdd.getNumPartitions()
+    return files.coalesce(max(files.sparkSession.sparkContext.defaultParallelism, -(-parts // READS)))
 
 
 def nameable(key: Column) -> Column:

@@ -14,6 +14,7 @@ from gleanery.operators.links import extract_links, host_edges, resolve_links
 from gleanery.operators.ownership import documents_for_user, ownership_edges
 from gleanery.operators.topk import nearest, nearest_rows
 from gleanery.plans.build_index import build_index, documents_of, page_texts
+from gleanery.sources.pages import read_crawl_logs, read_snapshots, write_page_folder
 from gleanery.sources.store import Store
 from tests.test_streams import MESSAGE, body, page
 
@@ -92,3 +93,20 @@ def test_expressions_compile(store):
     """Cleaning and chunking stay in generated code."""
     cleaned = documents_of(store.read("page_events").select("url_key", F.lower("text").alias("text")), EMBEDDER)
     assert plan(cleaned).count("*(") >= 3
+
+
+def test_small_files_are_read_in_few_tasks(spark, tmp_path):
+    """A task for a few of them would write as many files as one for thousands."""
+    rows = [(f"k{n}", f"http://h.org/{n}", f"<p>{n}</p>", n) for n in range(60)]
+    pages = spark.createDataFrame(rows, "url_key string, url string, html string, ts bigint")
+    write_page_folder(pages, pages.select("url_key", "url", "ts"), f"{tmp_path}/pages")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # a partition for each file
+    try:
+        snapshots, logs = read_snapshots(spark, f"{tmp_path}/pages"), read_crawl_logs(spark, f"{tmp_path}/pages")
+        for read in (snapshots, logs):
+            assert read.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        assert sorted(map(tuple, snapshots.collect())) == sorted((k, html) for k, _, html, _ in rows)
+        assert sorted(map(tuple, logs.collect())) == sorted((k, url, ts) for k, url, _, ts in rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
