@@ -495,7 +495,7 @@ def retrieval_prompts(spark, sf_dir):
 @query
 def served_hits(spark, sf_dir):
     """The same hits from documents kept in buckets: owners and hits meet them there, as if
-    there were too many of either to be broadcast, and questions are asked in rounds."""
+    there were too many of either to be broadcast, and questions are asked in parts."""
     store = i.index(spark, sf_dir, whole=True)
     folder = scratch_path(spark, "served").rsplit("/", 1)[1]
     documents = store.serve_documents(folder, buckets=8)

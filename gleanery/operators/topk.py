@@ -1,4 +1,4 @@
-"""Exact nearest neighbours of many questions in one pass over the vectors.
+"""Exact nearest neighbours of many questions in one job over the vectors.
 
 No question x document pair is ever a row. The questions are broadcast as matrices; every
 task streams its Arrow batches of vectors past them and keeps k candidates per question, so
@@ -12,8 +12,10 @@ small. Otherwise both sides meet by the hash of the id, and vectors that are kep
 by id (``gleanery.sources.buckets``) are not exchanged for it; nor are they ever for open
 questions. Where no question is open, unowned documents do not leave the join.
 
-Questions beyond what a task may hold are answered in rounds of bounded size, each one
-checkpointed, so no broadcast grows with the data. Vectors are array<float> or
+Questions beyond what a task may hold never pass the driver. They are dealt into partitions
+that a task may hold, and every partition of the vectors meets every one of them: both sides
+are packed into blocks, a row for each Arrow batch, and written once, so what is paired are
+blocks in one job, and no vector is exchanged for it. Vectors are array<float> or
 array<double>, and are compared as what they are; other arrays are refused.
 """
 
@@ -38,7 +40,13 @@ FEW_HITS = 250_000  # rows of a question id, a document id and two numbers
 CANDIDATE_BYTES = 128  # of a task for each of the k candidates of a question
 SMALL_SCOPE = 1 << 14  # pairs of a scope in a batch below which all are compared
 
+FEW_USERS = 256  # that are listed in a filter
+
 _PARTIAL = "qid string, part int, document_id string, dist double"
+_QUESTIONS = "block int, qids array<string>, questions binary, places binary"
+_DOCUMENTS = "source int, ids array<string>, vectors binary, firsts binary, owned binary, owners binary"
+_ENTRIES = {T.FloatType: "float32", T.DoubleType: "float64"}
+_OPEN = -1  # the place of questions about everything, before those of users
 
 
 def _asked(table: pa.Table) -> dict:
@@ -72,8 +80,9 @@ class _Best:
         self.start_of = np.repeat(self.starts, self.counts)
         self.rows = pd.DataFrame({"q": np.empty(0, np.int64), "dist": np.empty(0), "id": np.empty(0, object)})
 
-    def offer(self, ids: np.ndarray, vectors: np.ndarray, owners: pa.ListArray | None) -> None:
-        """One batch of documents, each with the places of the scopes that own it."""
+    def offer(self, ids: np.ndarray, vectors: np.ndarray, owners: pa.ListArray | None, firsts: np.ndarray | None = None) -> None:
+        """One batch of documents, each with the places of the scopes that own it. ``firsts``
+        are the rows that ``distinct`` gives, where they are known."""
         if vectors.shape[1] != self.q.shape[1]:
             raise ValueError(f"document vectors have {vectors.shape[1]} dimensions, questions {self.q.shape[1]}")
         if owners is not None:
@@ -90,8 +99,11 @@ class _Best:
         if self.open:
             places = np.concatenate([np.zeros(len(ids), np.int64), places])
             rows = np.concatenate([np.arange(len(ids)), rows])
+        if not len(rows):
+            return
+        firsts = self.distinct(vectors) if firsts is None else firsts
         docs = pd.DataFrame(
-            {"start": self.starts[places], "n": self.counts[places], "vector": self._distinct(vectors)[rows], "id": ids[rows]}
+            {"start": self.starts[places], "n": self.counts[places], "vector": firsts[rows], "id": ids[rows]}
         )
         if docs["vector"].nunique() < len(docs):
             # copies of one vector rank by id: k of them are enough, compared once
@@ -104,7 +116,7 @@ class _Best:
         self._keep(near.merge(docs[["start", "vector", "id"]], on=["start", "vector"])[["q", "dist", "id"]])
 
     @staticmethod
-    def _distinct(vectors: np.ndarray) -> np.ndarray:
+    def distinct(vectors: np.ndarray) -> np.ndarray:
         """For each row the first row holding the same vector."""
         as_bytes = np.ascontiguousarray(vectors).view(np.dtype((np.void, vectors.itemsize * vectors.shape[1]))).ravel()
         _, first, copy_of = np.unique(as_bytes, return_index=True, return_inverse=True)
@@ -215,7 +227,7 @@ def _owners(scopes: list[str], ownership: DataFrame) -> DataFrame:
     """(document_id, owners): the places in ``scopes`` of the users who own a document. Users
     are as many as fit the broadcast questions, so a list is bounded by that."""
     places = {user: place for place, user in enumerate(scopes) if user}
-    if len(places) <= 256:  # few users reach the Parquet scan as an IN filter
+    if len(places) <= FEW_USERS:  # few users reach the Parquet scan as an IN filter
         ownership = ownership.where(F.col("user_id").isin(list(places)))
     asking = ownership.sparkSession.createDataFrame(
         pa.table({"user_id": pa.array(list(places), pa.string()), "place": pa.array(list(places.values()), pa.int32())})
@@ -313,20 +325,103 @@ def _nearest(queries, documents, k, ownership, broadcast_bytes, owner_bytes) ->
         return none, 0
     total = count * (max(longest, 0) * (8 + 4 + 8) + k * CANDIDATE_BYTES) + (named or 0)
     if total > broadcast_bytes:
-        return _in_rounds(asked, documents, ownership, k, -(-2 * total // broadcast_bytes), owner_bytes), count * k
+        return _in_blocks(asked, documents, ownership, k, -(-2 * total // broadcast_bytes), owner_bytes), count * k
     return _answer(asked.toArrow(), documents, ownership, k, owner_bytes)[0], count * k
 
 
-def _in_rounds(asked, documents, ownership, k, parts, owner_bytes) -> DataFrame:
-    """Hash-split questions into parts well under the bound; one pass per part."""
+def _in_blocks(asked, documents, ownership, k, parts, limit) -> DataFrame:
+    """The hits of questions dealt into ``parts`` partitions, in one job without the driver."""
     asked, _ = sizing.measured(asked)
-    done = None
-    for part in range(parts):
-        table = asked.where(F.pmod(F.xxhash64("qid"), F.lit(parts)) == part).toArrow()
-        if not table.num_rows:
-            continue
-        hits, shared = _answer(table, documents, ownership, k, owner_bytes)
-        hits = hits.checkpoint()
-        shared.destroy()
-        done = hits if done is None else done.unionByName(hits)
-    return done
+    scoped, opened = asked.agg(F.max(F.col("scope") != ""), F.max(F.col("scope") == "")).first()
+    asked = asked.withColumn("place", F.lit(_OPEN).cast("bigint"))
+    owners = F.lit(None).cast("array<bigint>").alias("owners")
+    if scoped:
+        if ownership is None:
+            raise ValueError("questions with a user scope need the ownership table")
+        users = asked.where("scope <> ''").select(F.col("scope").alias("user")).distinct()
+        users, size = sizing.measured(users.withColumn("number", F.monotonically_increasing_id()))
+        users = F.broadcast(users) if size <= limit else users
+        asked = asked.join(users, F.col("scope") == F.col("user"), "left")
+        asked = asked.select("qid", "embed", F.coalesce("number", "place").alias("place"))
+        few = [r.user for r in users.select("user").limit(FEW_USERS + 1).collect()]
+        if len(few) <= FEW_USERS:  # few users reach the Parquet scan as an IN filter
+            ownership = ownership.where(F.col("user_id").isin(few))
+        edges = ownership.join(users, F.col("user_id") == F.col("user"))
+        lists, size = sizing.measured(edges.groupBy("document_id").agg(F.collect_set("number").alias("owners")))
+        lists = F.broadcast(lists) if size <= limit else lists.hint("shuffle_hash")
+        documents = documents.join(lists, documents["id"] == lists["document_id"], "left" if opened else "inner")
+        owners = F.col("owners")
+    entries = [np.dtype(_ENTRIES[type(side.schema["embed"].dataType.elementType)]) for side in (asked, documents)]
+    asked = asked.select("qid", "embed", "place").repartitionByRange(parts, "place", "qid").sortWithinPartitions("place")
+    asked = asked.mapInArrow(_question_blocks, _QUESTIONS).checkpoint()
+    blocks = documents.select("id", "embed", owners).mapInArrow(_document_blocks, _DOCUMENTS).checkpoint()
+    met = blocks.crossJoin(asked.hint("shuffle_replicate_nl"))  # each partition with each, a block of the left at a time
+    return _ranked(met.mapInArrow(_scan_blocks(k, *entries), _PARTIAL), k)
+
+
+def _packed(schema: pa.Schema, **row) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([row], schema)
+
+
+def _question_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = [("block", pa.int32()), ("qids", pa.list_(pa.string())), ("questions", pa.binary()), ("places", pa.binary())]
+    full = (batch for batch in batches if batch.num_rows)
+    for n, batch in enumerate(full):
+        vectors, places = _matrix(batch.column(1)).tobytes(), batch.column(2).to_numpy().tobytes()
+        yield _packed(pa.schema(kinds), block=n, qids=batch.column(0).to_pylist(), questions=vectors, places=places)
+
+
+def _document_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = [("source", pa.int32()), ("ids", pa.list_(pa.string()))]
+    kinds += [(name, pa.binary()) for name in ("vectors", "firsts", "owned", "owners")]
+    for batch in batches:
+        if batch.num_rows:
+            vectors, owners = _matrix(batch.column(1)), batch.column(2)
+            yield _packed(
+                pa.schema(kinds),
+                source=TaskContext.get().partitionId(),
+                ids=batch.column(0).to_pylist(),
+                vectors=vectors.tobytes(),
+                firsts=_Best.distinct(vectors).tobytes(),
+                owned=np.diff(owners.offsets.to_numpy()).astype(np.int64).tobytes(),
+                owners=owners.flatten().to_numpy().tobytes(),
+            )
+
+
+def _scan_blocks(k: int, q_entry: np.dtype, d_entry: np.dtype):
+    def asked_of(row: dict) -> tuple[dict, np.ndarray]:
+        scopes, starts, counts = np.unique(np.frombuffer(row["places"], np.int64), return_index=True, return_counts=True)
+        vectors = np.frombuffer(row["questions"], q_entry).reshape(len(row["qids"]), -1)
+        names = ["" if scope == _OPEN else scope for scope in scopes.tolist()]
+        qids = np.array(row["qids"], dtype=object)
+        return {"qids": qids, "vectors": vectors, "scopes": names, "starts": starts, "counts": counts}, scopes
+
+    def owned_of(row: dict, scopes: np.ndarray) -> pa.ListArray:
+        """Of each document the places, in a block of questions, of the scopes that own it."""
+        lengths, owners = np.frombuffer(row["owned"], np.int64), np.frombuffer(row["owners"], np.int64)
+        places = np.searchsorted(scopes, owners)
+        here = scopes[np.minimum(places, len(scopes) - 1)] == owners
+        each = np.bincount(np.repeat(np.arange(len(lengths)), lengths)[here], minlength=len(lengths))
+        offsets = np.concatenate([[0], np.cumsum(each)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(places[here].astype(np.int32)))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bests, part = {}, 0
+        for batch in batches:
+            for at in range(batch.num_rows):
+                block = batch.column("block")[at].as_py()
+                if block not in bests:
+                    names = ("qids", "questions", "places")
+                    asked, scopes = asked_of({name: batch.column(name)[at].as_py() for name in names})
+                    bests[block] = _Best(asked, k), scopes
+                best, scopes = bests[block]
+                row = {name: batch.column(name)[at].as_buffer() for name in ("vectors", "firsts", "owned", "owners")}
+                ids = np.array(batch.column("ids")[at].values.to_pylist(), dtype=object)
+                vectors = np.frombuffer(row["vectors"], d_entry).reshape(len(ids), -1)
+                best.offer(ids, vectors, owned_of(row, scopes), np.frombuffer(row["firsts"], np.int64))
+                part = batch.column("source")[at].as_py() // FAN_IN
+        for best, _ in bests.values():
+            if len(best.rows):
+                yield best.emit(part)
+
+    return scan

@@ -217,3 +217,26 @@ def test_a_store_serves_its_documents(spark, tmp_path):
     hits = retrieve(questions, served, store.ownership(), EMBEDDER, owner_bytes=0, few_hits=0)
     assert sorted(map(tuple, hits.collect())) == sorted(map(tuple, retrieve(questions, store.documents(), store.ownership(), EMBEDDER).collect()))
     assert not exchanged(hits, "chunk") and hits.where(F.col("rank") == 1).count() == 2
+
+
+def test_questions_beyond_the_bound_never_pass_the_driver(spark, kept, monkeypatch, asked_docs_owned):
+    """They meet the vectors in one job, which exchanges no vector of a document."""
+    asked, docs, owned = asked_docs_owned
+    asked = asked + [(f"more{n}", f"u{n % 300}", docs[n][1]) for n in range(250)]  # more users than a filter lists
+    owned = owned | {(docs[n][0], f"u{n % 300}") for n in range(250)}
+    questions, edges = spark.createDataFrame(asked, ASKED), spark.createDataFrame(sorted(owned), OWNED)
+    monkeypatch.setattr(type(questions), "toArrow", lambda self: pytest.fail("questions are sent to the driver"))
+    for owner_bytes in (topk.OWNER_BYTES, 0):
+        for some in (questions, questions.where("user_id <> ''"), questions.where("user_id = ''")):
+            qids = {r.qid for r in some.collect()}
+            got = nearest(some, kept, 7, edges, broadcast_bytes=len(qids) * 600, owner_bytes=owner_bytes)
+            assert plan(got).count("CartesianProduct") == 1 and not exchanged(got, "embed")
+            assert found(got) == brute([a for a in asked if a[0] in qids], docs, 7, owned)
+
+
+def test_doubles_in_blocks(spark):
+    docs = [(f"d{n:02}", [1.0 + n * 1e-12, 0.5]) for n in range(30)] + [("far", [1e200, 0.0])]
+    asked = [(f"q{n}", "", [1.0 + 29 * 1e-12, 0.5]) for n in range(20)] + [("r", None, [1e200, 1.0])]
+    got = nearest(spark.createDataFrame(asked, ASKED.replace("float", "double")), spark.createDataFrame(docs, DOUBLES).coalesce(2), 3, broadcast_bytes=8000)
+    ranks = {(r.qid, r.rank): r.document_id for r in got.collect()}
+    assert [ranks["q7", n] for n in (1, 2, 3)] == ["d29", "d28", "d27"] and ranks["r", 1] == "far" and len(ranks) == 63
