@@ -52,7 +52,7 @@ PIVOTS = 4  # of a band in the second round
 CROWD = 64  # classes from which a band's are not paired
 BLOCK, ELEMENTS = 8192, 4 << 20  # classes of a crowd, and shingles, that a block holds
 EDGES = 100_000  # narrow rows of a task: links, pairs, bands
-COLUMNS, SLICE = 2048, 1024  # shingles and classes of a block multiplied at once
+COLUMNS, SLICE, WIDE = 2048, 1024, 4096  # shingles, and classes of both sides, multiplied at once
 DOUBT = 20  # percent below the threshold where an estimate is believed: over 5 standard errors
 
 _FACTORS = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
@@ -181,44 +181,61 @@ def _candidates(classes: DataFrame) -> DataFrame:
     return bands.join(shared, "key", "left_semi")
 
 
+def _shared(every: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(column, row) of each shingle that two sets hold at least, by column and then by row.
+    The columns are numbered in the shingles' order; little is held beside the sets."""
+    found = np.concatenate(every)
+    found.sort()
+    shared = np.unique(found[1:][found[1:] == found[:-1]])
+    del found
+    if not len(shared):
+        return np.empty(0, np.int32), np.empty(0, np.int32)
+    columns, counts = [], []
+    for one in every:
+        at = np.searchsorted(shared, one)
+        at = at[shared[np.minimum(at, len(shared) - 1)] == one]
+        columns.append(at.astype(np.int32)), counts.append(len(at))
+    column = np.concatenate(columns)
+    del columns
+    order = np.argsort(column, kind="stable")
+    row = np.repeat(np.arange(len(every), dtype=np.int32), counts)[order]
+    return column[order], row
+
+
 def overlapping(one: list[np.ndarray], two: list[np.ndarray] | None, threshold: int) -> tuple[np.ndarray, np.ndarray]:
     """(member, root) positions of a spanning forest of the links between two lists of sets,
     or among one. Positions count on from the first list into the second."""
     every = one + (two or [])
     sizes = np.array([len(x) for x in every])
-    _, column, count = np.unique(np.concatenate(every), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(every)), sizes)
-    shared = np.flatnonzero(count[column] > 1)
-    # the shared shingles in an order of their own, by column and then by row
-    place = np.cumsum(count > 1) - 1
-    column, row = place[column[shared]], row[shared]
-    order = np.argsort(column, kind="stable")
-    column, row = column[order], row[order]
+    column, row = _shared(every)
     labels = np.arange(len(every))
     for begin in range(0, len(one), SLICE):
         end = min(begin + SLICE, len(one))
-        low = begin if two is None else len(one)
-        both = np.zeros((end - begin, len(every) - low), np.float32)
-        for c in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-            a, b = np.searchsorted(column, [c, c + COLUMNS])
-            part, at = row[a:b], column[a:b] - c
-            left, right = (part >= begin) & (part < end), part >= low
-            x, y = np.zeros((end - begin, COLUMNS), np.float32), np.zeros((len(every) - low, COLUMNS), np.float32)
-            x[part[left] - begin, at[left]] = 1
-            y[part[right] - low, at[right]] = 1
-            both += x @ y.T
-        total = sizes[begin:end, None] + sizes[None, low:]
-        a, b = np.nonzero((100 + threshold) * both >= threshold * total)
-        labels = merge_labels(labels, a + begin, b + low)
+        for low in range(begin if two is None else len(one), len(every), WIDE):
+            high = min(low + WIDE, len(every))
+            both = np.zeros((end - begin, high - low), np.float32)
+            for c in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+                a, b = np.searchsorted(column, [c, c + COLUMNS])
+                part, at = row[a:b], column[a:b] - c
+                left, right = (part >= begin) & (part < end), (part >= low) & (part < high)
+                if not left.any() or not right.any():
+                    continue
+                x, y = np.zeros((end - begin, COLUMNS), np.float32), np.zeros((high - low, COLUMNS), np.float32)
+                x[part[left] - begin, at[left]] = 1
+                y[part[right] - low, at[right]] = 1
+                both += x @ y.T
+            for some in range(0, high - low, SLICE):  # near copies are linked all with all
+                total = sizes[begin:end, None] + sizes[None, low + some : min(low + some + SLICE, high)]
+                a, b = np.nonzero((100 + threshold) * both[:, some : some + SLICE] >= threshold * total)
+                labels = merge_labels(labels, a + begin, b + low + some)
     linked = np.flatnonzero(labels != np.arange(len(every)))
     return linked, labels[linked]
 
 
 def _forests(threshold: int):
     def forest(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
         ids = table["id"].to_numpy()
-        sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["shingles"]]  # no copies
         block = table["block"].to_numpy()
         order = np.argsort(block, kind="stable")
         split = int((block == block.min()).sum())

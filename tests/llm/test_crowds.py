@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -63,3 +64,18 @@ def test_overlaps_of_blocks(one, two, step):
                 label = [new if v == old else v for v in label]
     found = dict(zip(member.tolist(), root.tolist()))
     assert [found.get(i, i) for i in range(len(every))] == label
+
+
+def test_blocks_of_near_copies_take_little_memory():
+    """Every set is linked with every other, so links held at once would be millions."""
+    rng = np.random.default_rng(0)
+    base = rng.integers(0, 2**63, 100).astype(np.uint64)
+    sets = [np.unique(np.append(base[rng.random(100) > 0.03], np.uint64(i))) for i in range(4000)]
+    tracemalloc.start()
+    try:
+        member, root = overlapping(sets[:2000], sets[2000:], 80)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(member) == 3999 and not root.any()
+    assert peak < 160 << 20
