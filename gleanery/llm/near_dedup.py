@@ -52,6 +52,8 @@ PIVOTS = 4  # of a band in the second round
 CROWD = 64  # classes from which a band's are not paired
 BLOCK, ELEMENTS = 8192, 4 << 20  # classes of a crowd, and shingles, that a block holds
 EDGES = 100_000  # narrow rows of a task: links, pairs, bands
+PAIRS = 8192  # rows of a task that carry registers or sets, and
+SET_BYTES = 4 << 20  # the sets of one
 COLUMNS, SLICE, WIDE = 2048, 1024, 4096  # shingles, and classes of both sides, multiplied at once
 DOUBT = 20  # percent below the threshold where an estimate is believed: over 5 standard errors
 
@@ -122,7 +124,8 @@ def _sets(shingle: int):
             digests = [xxhash.xxh3_128_digest(f) for f in found]
             yield pa.StructArray.from_arrays([pa.array(digests, pa.binary()), pa.array(found, pa.binary())], ["digest", "shingles"])
 
-    return sets
+    # else a join's filter on the digest makes each set twice, by two Python workers of a task
+    return sets.asNondeterministic()
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -141,20 +144,29 @@ def common(one: pa.Array, two: pa.Array) -> pa.Array:
     return pa.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in sets], pa.int64())
 
 
-def settled(rows: DataFrame) -> DataFrame:
-    """The rows, written once, in as many partitions as their number asks for: each partition
-    of an exchange's input leaves files of its own, so few rows are not many tasks."""
-    rows = rows.checkpoint()
-    return rows.coalesce(1 + rows.count() // EDGES)
+def dealt(rows: DataFrame, n: int, each: int = EDGES) -> DataFrame:
+    """Some ``n`` rows in as many partitions as that asks for, at most. What is written has a
+    file for each partition, and on some stores a process is started for each file."""
+    return rows.coalesce(1 + n // each)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def counted(rows: DataFrame, most: int | None = None, each: int = EDGES) -> tuple[DataFrame, int]:
+    """The rows, written once, and their number, in as many partitions as that asks for: each
+    partition of an exchange's input leaves files of its own, so few rows are not many tasks.
+    ``most``: about as many rows as there can be, if that is known before."""
+    rows = (rows if most is None else dealt(rows, most, each)).checkpoint()
+    n = rows.count()
+    return dealt(rows, n), n
+
+
+def components(edges: DataFrame, most: int | None = None) -> DataFrame:
     """(node, root) of every node of the edges (a, b): the smallest node of its component.
+    ``most``: as many edges as there can be, if that is known before.
 
     Edges are moved to smaller nodes by turns, first those to larger neighbours, then those
     to smaller ones, until only stars are left."""
-    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").checkpoint()
-    parts, before = 1 + edges.count() // EDGES, None
+    edges, n = counted(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b"), most)
+    parts, before = 1 + n // EDGES, None
     while True:
         edges = edges.coalesce(parts)
         both = edges.union(edges.select("b", "a"))
@@ -163,13 +175,13 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         edges = small.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
-        edges = edges.where("a > b").coalesce(parts).distinct().checkpoint()
+        edges = edges.where("a > b").coalesce(parts).distinct().coalesce(parts).checkpoint()
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         parts = 1 + now[0] // EDGES
         if now == before:
             edges = edges.coalesce(parts)
             roots = edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
-            return settled(roots.union(edges.select("b", "b").distinct()))
+            return counted(roots.union(edges.select("b", "b").distinct()), now[0])[0]
         before = now
 
 
@@ -246,32 +258,40 @@ def _forests(threshold: int):
     return forest
 
 
-def _crowd_links(placed: DataFrame, narrow: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """(a, b) links that connect the classes of crowded bands ``placed(key, id)``."""
+def _crowd_links(placed: DataFrame, most: int, narrow: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """(a, b) links that connect the classes of crowded bands ``placed(key, id)``, at most
+    ``most`` rows."""
     first = placed.groupBy("key").agg(F.min("id").alias("b"))
-    crowds = components(placed.join(first, "key").select(F.col("id").alias("a"), "b").where("a != b"))
+    crowds = components(placed.join(first, "key").select(F.col("id").alias("a"), "b").where("a != b"), most)
     members = crowds.join(narrow.select("id", "n"), F.col("node") == F.col("id")).select("id", "n", F.col("root").alias("crowd"))
-    members = settled(members)
+    members, _ = counted(members, most)
     size = members.groupBy("crowd").agg(F.count("*").alias("m"), F.sum("n").alias("all"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("all") / ELEMENTS)).cast("int")
-    dealt = members.join(size.select("crowd", blocks.alias("blocks")), "crowd")
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int")).join(sets, "id")
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    size = size.select("crowd", blocks.alias("blocks"))
+    meetings = size.agg(F.sum(F.col("blocks").cast("bigint") * (F.col("blocks") + 1))).first()[0] or 0
+    placed = members.join(size, "crowd")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int")).join(sets, "id")
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("crowd", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "shingles")
-    return met.groupBy("crowd", "x", "y").applyInArrow(_forests(threshold), "a bigint, b bigint")
+    forests = met.groupBy("crowd", "x", "y").applyInArrow(_forests(threshold), "a bigint, b bigint")
+    return dealt(forests, 4 * meetings, 1)  # most partitions of a few meetings hold none
 
 
 def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text", threshold: int = THRESHOLD) -> DataFrame | None:
     """(node, root) of the classes that confirmed links join to others."""
-    members = settled(_candidates(classes))
-    wanted = members.select("id").distinct().join(classes, "id").select("id", "digest", F.col("first").alias("_first")).checkpoint()
-    few = docs.join(broadcast_if_small(wanted.select("_first").distinct()), F.col("doc_id") == F.col("_first"), "left_semi")
+    n_classes = classes.count()
+    members, n_members = counted(_candidates(classes), BANDS * n_classes)
+    wanted = members.select("id").distinct().join(classes, "id").select("id", "digest", "n", F.col("first").alias("_first"))
+    wanted, n_wanted = counted(wanted, n_classes)
+    shingles = wanted.agg(F.sum("n")).first()[0] or 0
+    firsts = broadcast_if_small(dealt(wanted.select("_first").distinct(), n_wanted))
+    few = docs.join(firsts, F.col("doc_id") == F.col("_first"), "left_semi")
     sets = few.select(_sets(shingle)(raw(text)).alias("s")).select("s.digest", "s.shingles").dropDuplicates(["digest"])
-    sets = sets.join(wanted, "digest").select("id", "shingles").checkpoint()
+    sets = dealt(sets.join(wanted, "digest").select("id", "shingles"), 8 * shingles, SET_BYTES).checkpoint()
     narrow = classes.select("id", "n", "registers")
     tested = roots = None
 
-    def still_open() -> DataFrame:
+    def still_open() -> tuple[DataFrame, int]:
         """The bands of several components, with their classes' components and number."""
         if roots is None:
             placed = members.withColumn("root", F.col("id"))
@@ -280,31 +300,32 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
                 "key", "id", F.coalesce("root", "id").alias("root")
             )
         bands = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"))
-        return settled(placed.join(bands.where("x < y").select("key", "n"), "key"))
+        return counted(placed.join(bands.where("x < y").select("key", "n"), "key"), n_members)
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
+    def confirmed(pairs: DataFrame, most: int) -> DataFrame:
         one = narrow.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"))
         two = narrow.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"))
         near = pairs.join(one, "a").join(two, "b").where(100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
         near = near.where(100 * similarity("r_a", "r_b", "n_a", "n_b") >= threshold - DOUBT).select("a", "b", "n_a", "n_b")
-        near = settled(near)
+        near, n = counted(near, most, PAIRS)
         needed = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        some = sets.join(broadcast_if_small(needed), "id", "left_semi")
+        some = sets.join(broadcast_if_small(dealt(needed, 2 * n)), "id", "left_semi")
         near = near.join(some.select(F.col("id").alias("a"), F.col("shingles").alias("s_a")), "a")
         near = near.join(some.select(F.col("id").alias("b"), F.col("shingles").alias("s_b")), "b")
         near = near.withColumn("both", common("s_a", "s_b"))
-        return near.where(100 * F.col("both") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
+        found = near.where(100 * F.col("both") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
+        return dealt(found, n, PAIRS)
 
     def with_links(found: DataFrame) -> DataFrame | None:
-        found = settled(found)
-        if found.isEmpty():
+        found, n = counted(found)
+        if not n:
             return roots
         stars = [] if roots is None else [roots.select(F.col("node").alias("a"), F.col("root").alias("b"))]
         return components(reduce(DataFrame.union, stars, found))
 
     for pivots in (0, PIVOTS):  # the first round is the one with a single pair for each class
-        placed = still_open()
-        if placed.isEmpty():
+        placed, n = still_open()
+        if not n:
             return roots
         place = F.pmod(F.xxhash64("id", F.lit(pivots)), F.lit(max(pivots, 1)))
         chosen = placed.groupBy("key", place.alias("place")).agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id", "root")).alias("p"))
@@ -315,18 +336,19 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
         pairs = offered.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = settled(pairs)
+        pairs, n_pairs = counted(pairs, n * max(pivots, 1))
         tested = pairs if tested is None else tested.union(pairs)
-        roots = with_links(confirmed(pairs))
+        roots = with_links(confirmed(pairs, n_pairs))
 
-    placed = still_open()
-    if placed.isEmpty():
+    placed, n = still_open()
+    if not n:
         return roots
     small, crowded = placed.where(F.col("n") <= CROWD), placed.where(F.col("n") > CROWD).select("key", "id")
     other = small.select("key", F.col("id").alias("b"), F.col("root").alias("b_root"))
     pairs = small.join(other, "key").where("id < b and root != b_root").select(F.col("id").alias("a"), "b").distinct()
-    found = confirmed(settled(pairs.join(tested, ["a", "b"], "left_anti")))
-    return with_links(found if crowded.isEmpty() else found.union(_crowd_links(crowded, narrow, sets, threshold)))
+    most = (small.agg(F.sum("n")).first()[0] or 0) // 2  # a band's number stands beside each of its classes
+    found = confirmed(*counted(pairs.join(tested, ["a", "b"], "left_anti"), most))
+    return with_links(found if crowded.isEmpty() else found.union(_crowd_links(crowded, n, narrow, sets, threshold)))
 
 
 def _key(text: str) -> Column:
@@ -334,16 +356,18 @@ def _key(text: str) -> Column:
     return F.xxhash64(raw(text))
 
 
-def _judged(docs: DataFrame, shingle: int, threshold: int, text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document, and its text's key."""
+def _judged(docs: DataFrame, shingle: int, threshold: int, text: str = "text") -> tuple[DataFrame, int]:
+    """(doc_id, n_shingles, component_id, kept) of every document, and its text's key; the
+    number of documents."""
     shared_dir(docs.sparkSession)
     docs = docs.select("doc_id", text)
     rows = docs.select("doc_id", _key(text).alias("key"), _sketcher(shingle)(raw(text)).alias("s"))
     rows = rows.select("doc_id", "key", "s.*").checkpoint()
+    n_rows = rows.count()
     classes = rows.where("doc_id is not null and n > 0").groupBy("digest").agg(
         F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("registers").alias("registers")
     )
-    classes = classes.withColumn("id", F.monotonically_increasing_id()).checkpoint()
+    classes = dealt(classes, n_rows, PAIRS).withColumn("id", F.monotonically_increasing_id()).checkpoint()
     roots = links(docs, classes, shingle, text, threshold)
     of_class = classes.select("digest", "first", "id")
     if roots is None:
@@ -351,29 +375,31 @@ def _judged(docs: DataFrame, shingle: int, threshold: int, text: str = "text") -
     else:
         joined = of_class.join(roots, F.col("id") == F.col("node"))
         least = joined.groupBy("root").agg(F.min("first").alias("least"))
-        moved = broadcast_if_small(joined.join(least, "root").select("id", "least"))
+        moved = broadcast_if_small(dealt(joined.join(least, "root").select("id", "least"), n_rows))
         of_class = of_class.join(moved, "id", "left").select("digest", F.coalesce("least", "first").alias("first"))
     found = rows.select("doc_id", "key", "n", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
     found = found.join(of_class, "digest", "left")
     component = F.coalesce("first", "doc_id")
-    return found.select(
+    found = found.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
         "key",
     )
+    return found, n_rows
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD, text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document."""
-    return _judged(docs, shingle, threshold, text).drop("key")
+    return _judged(docs, shingle, threshold, text)[0].drop("key")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """The documents with their own columns, those of the smallest id of each group of
     near-duplicates. A row goes by its id and text, so others that share its id stay."""
     gone, key = unused(docs, "gone"), unused(docs, "key")
-    found = _judged(docs, shingle, threshold).where("not kept").select(F.col("doc_id").alias(gone), F.col("key").alias(key))
+    found, n = _judged(docs, shingle, threshold)
+    found = found.where("not kept").select(F.col("doc_id").alias(gone), F.col("key").alias(key))
     same = (F.col("doc_id") == F.col(gone)) & (_key("text") == F.col(key))
-    return docs.join(broadcast_if_small(found.distinct()), same, "left_anti")
+    return docs.join(broadcast_if_small(dealt(found.distinct(), n)), same, "left_anti")
