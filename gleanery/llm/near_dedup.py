@@ -52,8 +52,7 @@ PIVOTS = 4  # of a band in the second round
 CROWD = 64  # classes from which a band's are not paired
 BLOCK, ELEMENTS = 8192, 4 << 20  # classes of a crowd, and shingles, that a block holds
 EDGES = 100_000  # narrow rows of a task: links, pairs, bands
-PAIRS = 8192  # rows of a task that carry registers or sets, and
-SET_BYTES = 4 << 20  # the sets of one
+SKETCHES = 8192  # rows of a task that carry registers
 COLUMNS, SLICE, WIDE = 2048, 1024, 4096  # shingles, and classes of both sides, multiplied at once
 DOUBT = 20  # percent below the threshold where an estimate is believed: over 5 standard errors
 
@@ -150,11 +149,13 @@ def dealt(rows: DataFrame, n: int, each: int = EDGES) -> DataFrame:
     return rows.coalesce(1 + n // each)
 
 
-def counted(rows: DataFrame, most: int | None = None, each: int = EDGES) -> tuple[DataFrame, int]:
+def counted(rows: DataFrame, most: int | None = None) -> tuple[DataFrame, int]:
     """The rows, written once, and their number, in as many partitions as that asks for: each
     partition of an exchange's input leaves files of its own, so few rows are not many tasks.
-    ``most``: about as many rows as there can be, if that is known before."""
-    rows = (rows if most is None else dealt(rows, most, each)).checkpoint()
+    ``most``: about as many rows as there can be, if that is known before. The rows, which are
+    narrow, are exchanged for it: a task that took many partitions of a join would hold the
+    hash tables of all of them."""
+    rows = (rows if most is None else rows.repartition(1 + most // EDGES)).checkpoint()
     n = rows.count()
     return dealt(rows, n), n
 
@@ -181,7 +182,7 @@ def components(edges: DataFrame, most: int | None = None) -> DataFrame:
         if now == before:
             edges = edges.coalesce(parts)
             roots = edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
-            return counted(roots.union(edges.select("b", "b").distinct()), now[0])[0]
+            return counted(dealt(roots.union(edges.select("b", "b").distinct()), now[0]))[0]
         before = now
 
 
@@ -267,27 +268,23 @@ def _crowd_links(placed: DataFrame, most: int, narrow: DataFrame, sets: DataFram
     members, _ = counted(members, most)
     size = members.groupBy("crowd").agg(F.count("*").alias("m"), F.sum("n").alias("all"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("all") / ELEMENTS)).cast("int")
-    size = size.select("crowd", blocks.alias("blocks"))
-    meetings = size.agg(F.sum(F.col("blocks").cast("bigint") * (F.col("blocks") + 1))).first()[0] or 0
-    placed = members.join(size, "crowd")
+    placed = members.join(size.select("crowd", blocks.alias("blocks")), "crowd")
     placed = placed.withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int")).join(sets, "id")
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("crowd", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "shingles")
-    forests = met.groupBy("crowd", "x", "y").applyInArrow(_forests(threshold), "a bigint, b bigint")
-    return dealt(forests, 4 * meetings, 1)  # most partitions of a few meetings hold none
+    return met.groupBy("crowd", "x", "y").applyInArrow(_forests(threshold), "a bigint, b bigint")
 
 
 def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text", threshold: int = THRESHOLD) -> DataFrame | None:
     """(node, root) of the classes that confirmed links join to others."""
     n_classes = classes.count()
     members, n_members = counted(_candidates(classes), BANDS * n_classes)
-    wanted = members.select("id").distinct().join(classes, "id").select("id", "digest", "n", F.col("first").alias("_first"))
+    wanted = members.select("id").distinct().join(classes, "id").select("id", "digest", F.col("first").alias("_first"))
     wanted, n_wanted = counted(wanted, n_classes)
-    shingles = wanted.agg(F.sum("n")).first()[0] or 0
     firsts = broadcast_if_small(dealt(wanted.select("_first").distinct(), n_wanted))
     few = docs.join(firsts, F.col("doc_id") == F.col("_first"), "left_semi")
     sets = few.select(_sets(shingle)(raw(text)).alias("s")).select("s.digest", "s.shingles").dropDuplicates(["digest"])
-    sets = dealt(sets.join(wanted, "digest").select("id", "shingles"), 8 * shingles, SET_BYTES).checkpoint()
+    sets = sets.join(wanted, "digest").select("id", "shingles").checkpoint()
     narrow = classes.select("id", "n", "registers")
     tested = roots = None
 
@@ -307,17 +304,16 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
         two = narrow.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"))
         near = pairs.join(one, "a").join(two, "b").where(100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
         near = near.where(100 * similarity("r_a", "r_b", "n_a", "n_b") >= threshold - DOUBT).select("a", "b", "n_a", "n_b")
-        near, n = counted(near, most, PAIRS)
+        near, n = counted(near, most)
         needed = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         some = sets.join(broadcast_if_small(dealt(needed, 2 * n)), "id", "left_semi")
         near = near.join(some.select(F.col("id").alias("a"), F.col("shingles").alias("s_a")), "a")
         near = near.join(some.select(F.col("id").alias("b"), F.col("shingles").alias("s_b")), "b")
         near = near.withColumn("both", common("s_a", "s_b"))
-        found = near.where(100 * F.col("both") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
-        return dealt(found, n, PAIRS)
+        return near.where(100 * F.col("both") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
 
-    def with_links(found: DataFrame) -> DataFrame | None:
-        found, n = counted(found)
+    def with_links(found: DataFrame, most: int) -> DataFrame | None:
+        found, n = counted(found, most)
         if not n:
             return roots
         stars = [] if roots is None else [roots.select(F.col("node").alias("a"), F.col("root").alias("b"))]
@@ -338,7 +334,7 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs, n_pairs = counted(pairs, n * max(pivots, 1))
         tested = pairs if tested is None else tested.union(pairs)
-        roots = with_links(confirmed(pairs, n_pairs))
+        roots = with_links(confirmed(pairs, n_pairs), n_pairs)
 
     placed, n = still_open()
     if not n:
@@ -347,8 +343,10 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
     other = small.select("key", F.col("id").alias("b"), F.col("root").alias("b_root"))
     pairs = small.join(other, "key").where("id < b and root != b_root").select(F.col("id").alias("a"), "b").distinct()
     most = (small.agg(F.sum("n")).first()[0] or 0) // 2  # a band's number stands beside each of its classes
-    found = confirmed(*counted(pairs.join(tested, ["a", "b"], "left_anti"), most))
-    return with_links(found if crowded.isEmpty() else found.union(_crowd_links(crowded, n, narrow, sets, threshold)))
+    pairs, n_pairs = counted(pairs.join(tested, ["a", "b"], "left_anti"), most)
+    found = confirmed(pairs, n_pairs)
+    found = found if crowded.isEmpty() else found.union(_crowd_links(crowded, n, narrow, sets, threshold))
+    return with_links(found, n_pairs + n)
 
 
 def _key(text: str) -> Column:
@@ -367,7 +365,7 @@ def _judged(docs: DataFrame, shingle: int, threshold: int, text: str = "text") -
     classes = rows.where("doc_id is not null and n > 0").groupBy("digest").agg(
         F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("registers").alias("registers")
     )
-    classes = dealt(classes, n_rows, PAIRS).withColumn("id", F.monotonically_increasing_id()).checkpoint()
+    classes = dealt(classes, n_rows, SKETCHES).withColumn("id", F.monotonically_increasing_id()).checkpoint()
     roots = links(docs, classes, shingle, text, threshold)
     of_class = classes.select("digest", "first", "id")
     if roots is None:
@@ -375,7 +373,8 @@ def _judged(docs: DataFrame, shingle: int, threshold: int, text: str = "text") -
     else:
         joined = of_class.join(roots, F.col("id") == F.col("node"))
         least = joined.groupBy("root").agg(F.min("first").alias("least"))
-        moved = broadcast_if_small(dealt(joined.join(least, "root").select("id", "least"), n_rows))
+        moved = joined.join(least, "root").select("id", "least")
+        moved = broadcast_if_small(moved.repartition(1 + n_rows // EDGES))
         of_class = of_class.join(moved, "id", "left").select("digest", F.coalesce("least", "first").alias("first"))
     found = rows.select("doc_id", "key", "n", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
     found = found.join(of_class, "digest", "left")
