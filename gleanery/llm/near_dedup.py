@@ -175,7 +175,8 @@ def components(edges: DataFrame, most: int | None = None) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").coalesce(parts)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
-        edges = small.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
+        # both edges of a row at once: each use of what stands above makes it anew
+        edges = small.select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
         edges = edges.where("a > b").coalesce(parts).distinct().coalesce(parts).checkpoint()
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         parts = 1 + now[0] // EDGES
@@ -262,8 +263,11 @@ def _forests(threshold: int):
 def _crowd_links(placed: DataFrame, most: int, narrow: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """(a, b) links that connect the classes of crowded bands ``placed(key, id)``, at most
     ``most`` rows."""
-    first = placed.groupBy("key").agg(F.min("id").alias("b"))
-    crowds = components(placed.join(first, "key").select(F.col("id").alias("a"), "b").where("a != b"), most)
+    first = placed.groupBy("key").agg(F.min("id").alias("first"))
+    # a class's bands meet in the least of their first classes; classes of the same bands repeat the same edges
+    firsts = placed.join(first, "key").groupBy("id").agg(F.collect_set("first").alias("firsts"))
+    edges = firsts.select(F.explode(F.concat("firsts", F.array("id"))).alias("a"), F.array_min("firsts").alias("b"))
+    crowds = components(edges.where("a != b").distinct(), most)
     members = crowds.join(narrow.select("id", "n"), F.col("node") == F.col("id")).select("id", "n", F.col("root").alias("crowd"))
     members, _ = counted(members, most)
     size = members.groupBy("crowd").agg(F.count("*").alias("m"), F.sum("n").alias("all"))
