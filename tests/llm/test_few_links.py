@@ -1,4 +1,4 @@
-"""What connects the classes of crowds: a few edges for each class, made once a round."""
+"""What connects the classes of crowds: a few edges for each class, by few joins."""
 
 from __future__ import annotations
 
@@ -30,7 +30,7 @@ def test_a_crowd_is_connected_by_few_edges(spark, monkeypatch):
     assert edges <= 2 * classes
 
 
-def test_a_round_makes_its_edges_once(spark, monkeypatch):
+def test_a_round_has_few_joins(spark, monkeypatch):
     plans = []
     kind = type(spark.range(0))
     checkpoint = kind.checkpoint
