@@ -10,9 +10,11 @@ from all their registers together by maximum likelihood given both sizes; pairs
 estimate is far below the threshold are dropped, the others are confirmed on full sets.
 
 A band's classes are not paired with one another. First each class meets one other only,
-the least of the first classes of its bands, which connects most of a large group at the
-cost of a pair for each class. Then a band offers a few pivots to its other classes that do
-not belong to the pivot's component yet. Bands whose classes are one component are done, so
+the most central one of its bands: that whose own bands hold most classes, as the text does
+that a group's others were made from. This connects most of a large group at the cost of a
+pair for each class, where two of the others may be too far apart. Then a band offers a few
+pivots, central ones again, to its other classes that do not belong to the pivot's component
+yet. Bands whose classes are one component are done, so
 a group of near copies takes a round or two however large it is. What is open then are
 classes that come close to the threshold and mostly do not reach it. Small bands pair those
 of different components. Crowded bands that share classes are one crowd: its full sets are
@@ -37,7 +39,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from gleanery.llm.texts import BASE, WordHashes, grams, merge_labels, mix, raw, unused
 from gleanery.operators.sizing import broadcast_if_small
@@ -328,11 +330,12 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, text: str = "text",
         if not n:
             return roots
         place = F.pmod(F.xxhash64("id", F.lit(pivots)), F.lit(max(pivots, 1)))
-        chosen = placed.groupBy("key", place.alias("place")).agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id", "root")).alias("p"))
-        chosen = chosen.select("key", "p.h", F.col("p.id").alias("pivot"), F.col("p.root").alias("pivot_root"))
-        offered = placed.join(chosen, "key").where("root != pivot_root").select("id", "h", "pivot")
+        rank = F.struct((-F.sum("n").over(Window.partitionBy("id"))).alias("others"), F.xxhash64("id").alias("h"))
+        chosen = placed.withColumn("rank", rank).groupBy("key", place.alias("place")).agg(F.min(F.struct("rank", "id", "root")).alias("p"))
+        chosen = chosen.select("key", "p.rank", F.col("p.id").alias("pivot"), F.col("p.root").alias("pivot_root"))
+        offered = placed.join(chosen, "key").where("root != pivot_root").select("id", "rank", "pivot")
         if not pivots:
-            offered = offered.groupBy("id").agg(F.min(F.struct("h", "pivot")).alias("p")).select("id", "p.pivot")
+            offered = offered.groupBy("id").agg(F.min(F.struct("rank", "pivot")).alias("p")).select("id", "p.pivot")
         pairs = offered.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
