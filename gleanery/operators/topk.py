@@ -12,11 +12,14 @@ small. Otherwise both sides meet by the hash of the id, and vectors that are kep
 by id (``gleanery.sources.buckets``) are not exchanged for it; nor are they ever for open
 questions. Where no question is open, unowned documents do not leave the join.
 
-Questions beyond what a task may hold never pass the driver. They are dealt into partitions
-that a task may hold, and every partition of the vectors meets every one of them: both sides
-are packed into blocks, a row for each Arrow batch, and written once, so what is paired are
-blocks in one job, and no vector is exchanged for it. Vectors are array<float> or
-array<double>, and are compared as what they are; other arrays are refused.
+Questions beyond what a task may hold never pass the driver. They are dealt, by scope, into
+partitions as large as a task may hold, and every partition of the vectors meets every one of
+them: both sides are packed into blocks, a row for each partition of the questions and each
+Arrow batch of the vectors, and written once, so what is paired are blocks in one job, and no
+vector is exchanged for it. A partition's vectors are put in the order of their owners first,
+so that most blocks are of few scopes; blocks without a scope in common are not paired. The
+questions go to a task with the first pair only. Vectors are array<float> or array<double>,
+and are compared as what they are; other arrays are refused.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ K = 7  # fixed value: documents found per question
 QUESTION_BYTES = 256 << 20  # of the questions and their candidates that one task holds
 OWNER_BYTES = sizing.BROADCAST_BYTES  # of the lists of owners, or the ids that were hit, that are broadcast
 PAIR_BLOCK = 4 << 20  # distances held at once by one task
+MOST_DEALT = 64 << 20  # of questions in a partition; more of them save no more reading of the vectors
 FAN_IN = 256  # tasks whose rows of a question are merged first
 FEW_HITS = 250_000  # rows of a question id, a document id and two numbers
 CANDIDATE_BYTES = 128  # of a task for each of the k candidates of a question
@@ -43,8 +47,9 @@ SMALL_SCOPE = 1 << 14  # pairs of a scope in a batch below which all are compare
 FEW_USERS = 256  # that are listed in a filter
 
 _PARTIAL = "qid string, part int, document_id string, dist double"
-_QUESTIONS = "block int, qids array<string>, questions binary, places binary"
-_DOCUMENTS = "source int, ids array<string>, vectors binary, firsts binary, owned binary, owners binary"
+_QUESTIONS = "qids array<string>, questions binary, places binary, asking array<bigint>"
+_DOCUMENTS = "source int, number int, ids array<string>, vectors binary, firsts binary, owned binary, owners binary, owning array<bigint>"
+_PAIRED = ["ids", "vectors", "firsts", "owned", "owners"]
 _ENTRIES = {T.FloatType: "float32", T.DoubleType: "float64"}
 _OPEN = -1  # the place of questions about everything, before those of users
 
@@ -73,47 +78,45 @@ class _Best:
     def __init__(self, asked: dict, k: int):
         self.qids, self.k = asked["qids"], k
         self.starts, self.counts, self.open = asked["starts"], asked["counts"], asked["scopes"][0] == ""
-        self.q = asked["vectors"].astype(np.float64)
-        self.rough = _single(asked["vectors"])
-        self.norms = np.einsum("ij,ij->i", self.q, self.q)
+        self.q = asked["vectors"]
+        self.rough = _single(self.q, np.ones(len(self.q)))
+        if self.q.dtype == np.float32:  # held once
+            self.q = self.rough[:, :-1]
+        self.norms = np.einsum("ij,ij->i", self.q, self.q, dtype=np.float64)
         self.bound = np.full(len(self.q), np.inf)
-        self.start_of = np.repeat(self.starts, self.counts)
-        self.rows = pd.DataFrame({"q": np.empty(0, np.int64), "dist": np.empty(0), "id": np.empty(0, object)})
+        self.held = np.zeros(len(self.q), np.int64)
+        self.dist = np.empty((len(self.q), k))
+        self.ids = np.empty((len(self.q), k), object)
 
     def offer(self, ids: np.ndarray, vectors: np.ndarray, owners: pa.ListArray | None, firsts: np.ndarray | None = None) -> None:
         """One batch of documents, each with the places of the scopes that own it. ``firsts``
         are the rows that ``distinct`` gives, where they are known."""
         if vectors.shape[1] != self.q.shape[1]:
             raise ValueError(f"document vectors have {vectors.shape[1]} dimensions, questions {self.q.shape[1]}")
+        places = rows = np.empty(0, np.int64)
         if owners is not None:
-            lengths = np.diff(owners.offsets.to_numpy())
-            places = owners.flatten().to_numpy()
-            if len(ids) > 1 and self.counts[places].sum() > PAIR_BLOCK:
+            places = owners.flatten().to_numpy().astype(np.int64)
+            rows = np.repeat(np.arange(len(ids)), np.diff(owners.offsets.to_numpy()))
+            each = np.bincount(places, minlength=len(self.counts)) * self.counts
+            if len(ids) > 1 and each[each <= SMALL_SCOPE].sum() > PAIR_BLOCK:
                 half = len(ids) // 2
                 self.offer(ids[:half], vectors[:half], owners[:half])
                 self.offer(ids[half:], vectors[half:], owners[half:])
                 return
-            rows = np.repeat(np.arange(len(ids)), lengths)
-        else:
-            places = rows = np.empty(0, np.int64)
         if self.open:
             places = np.concatenate([np.zeros(len(ids), np.int64), places])
             rows = np.concatenate([np.arange(len(ids)), rows])
         if not len(rows):
             return
         firsts = self.distinct(vectors) if firsts is None else firsts
-        docs = pd.DataFrame(
-            {"start": self.starts[places], "n": self.counts[places], "vector": firsts[rows], "id": ids[rows]}
-        )
-        if docs["vector"].nunique() < len(docs):
-            # copies of one vector rank by id: k of them are enough, compared once
-            docs = docs.sort_values("id").groupby(["start", "vector"], sort=False).head(self.k)
-        firsts = docs.drop_duplicates(["start", "vector"])
-        q_at, d_at = self._candidates(firsts, vectors)
-        dist = self._exact(vectors, q_at, d_at)
-        near = pd.DataFrame({"q": q_at, "start": self.start_of[q_at], "vector": d_at, "dist": dist})
-        near = near[dist <= self.bound[q_at]]
-        self._keep(near.merge(docs[["start", "vector", "id"]], on=["start", "vector"])[["q", "dist", "id"]])
+        copies, first = self._copies(places, rows, firsts, ids)
+        q_at, at = self._candidates(copies["place"][first], copies["vector"][first], vectors)
+        dist = self._exact(vectors, q_at, copies["vector"][first[at]])
+        near = dist <= self.bound[q_at]
+        q_at, at, dist = q_at[near], at[near], dist[near]
+        each = np.diff(np.append(first, len(copies["row"])))[at]
+        rows = copies["row"][np.repeat(first[at], each) + _within(each)]
+        self._keep(np.repeat(q_at, each), np.repeat(dist, each), ids[rows])
 
     @staticmethod
     def distinct(vectors: np.ndarray) -> np.ndarray:
@@ -122,73 +125,130 @@ class _Best:
         _, first, copy_of = np.unique(as_bytes, return_index=True, return_inverse=True)
         return first[copy_of]
 
-    def _candidates(self, docs: pd.DataFrame, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(question, vector) positions that may rank. Large scopes are narrowed down by
-        matrix products; of small ones every pair is taken."""
-        pairs = [(np.empty(0, np.int64), np.empty(0, np.int64))]
-        sizes = docs.groupby("start")["n"].sum()
-        large = docs["start"].isin(sizes.index[sizes > SMALL_SCOPE])
-        few = docs[~large]
-        each = few["n"].to_numpy()
-        within = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-        pairs.append((np.repeat(few["start"].to_numpy(), each) + within, np.repeat(few["vector"].to_numpy(), each)))
-        for start, group in docs[large].groupby("start"):
-            pairs += self._narrowed(start, group["n"].iloc[0], group["vector"].to_numpy(), vectors)
+    def _copies(self, places, rows, firsts, ids) -> tuple[dict, np.ndarray]:
+        """(place, vector, row) of the documents in each scope, those of one vector in a run,
+        and where the runs begin. Copies of one vector rank by id: k of them are enough,
+        compared once."""
+        vector = firsts[rows]
+        order = np.lexsort((vector, places))
+        found = {"place": places[order], "vector": vector[order], "row": rows[order]}
+        new = (np.diff(found["place"], prepend=-1) != 0) | (np.diff(found["vector"], prepend=-1) != 0)
+        first = np.flatnonzero(new)
+        each = np.diff(np.append(first, len(order)))
+        if (each > self.k).any():
+            kept = np.ones(len(order), bool)
+            for at, n in zip(first[each > self.k], each[each > self.k], strict=True):
+                ranks = _id_ranks(ids[found["row"][at : at + n]])
+                kept[at : at + n] = np.argsort(np.argsort(ranks, kind="stable")) < self.k
+                new[at] = False
+                new[at + int(np.argmax(kept[at : at + n]))] = True
+            found, first = {name: values[kept] for name, values in found.items()}, np.flatnonzero(new[kept])
+        return found, first
+
+    def _candidates(self, places: np.ndarray, at: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(question, position in ``at``) of what may rank, of the vectors ``at`` in scopes in
+        order. Large scopes are narrowed down by matrix products; of small ones every pair is
+        taken."""
+        sizes = np.bincount(places, minlength=len(self.counts))
+        large = sizes * self.counts > SMALL_SCOPE
+        few = np.flatnonzero(~large[places])
+        each = self.counts[places[few]]
+        pairs = [(np.repeat(self.starts[places[few]], each) + _within(each), np.repeat(few, each))]
+        begins = np.cumsum(sizes) - sizes
+        for place in np.flatnonzero(large):
+            part = slice(begins[place], begins[place] + sizes[place])
+            for q_at, d_at in self._narrowed(self.starts[place], self.counts[place], vectors[at[part]]):
+                pairs.append((q_at, d_at + part.start))
         return np.concatenate([q for q, _ in pairs]), np.concatenate([d for _, d in pairs])
 
-    def _narrowed(self, start: int, n: int, at: np.ndarray, vectors: np.ndarray) -> Iterator[tuple]:
-        """Candidates of questions start..start+n among the vectors ``at``, by distances
-        in single precision. Their error is below ``slack`` (over twice the worst case of a
-        dot product of this length, rounding of the entries included), so the exact pass
-        misses no neighbour."""
-        vectors = vectors[at]
+    def _narrowed(self, start: int, n: int, vectors: np.ndarray) -> Iterator[tuple]:
+        """Candidates of questions start..start+n among the vectors, by distances in single
+        precision: half of |q|^2 less the distance is q.v - |v|^2 / 2, one matrix product. The
+        error of the distance is below a third of ``slack`` (the worst case of a dot product
+        of this length, rounding of the entries included), so the exact pass misses no
+        neighbour."""
         norms = np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64)
+        rough, most = _single(vectors, norms / -2).T, norms.max()
         step = max(1, PAIR_BLOCK // len(vectors))
         for begin in range(start, start + n, step):
             part = slice(begin, min(begin + step, start + n))
-            scale = self.norms[part] + norms.max()
+            scale = self.norms[part] + most
             if not scale.max() < 1e30:  # beyond single precision
                 near = np.ones((len(scale), len(vectors)), bool)
             else:
                 slack = 4 * (vectors.shape[1] + 8) * float(np.finfo(np.float32).eps) * scale
-                rough = self.rough[part] @ _single(vectors).T
-                rough *= -2
-                rough += norms.astype(np.float32)
-                cut = self.bound[part] - self.norms[part]
-                if np.isinf(cut).any() and len(vectors) > self.k:
-                    cut = np.minimum(cut, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1] + slack)
-                near = rough <= (cut + slack).astype(np.float32)[:, None]
-            q_at, d_at = np.nonzero(near)
-            yield q_at + begin, at[d_at]
+                score = self.rough[part] @ rough
+                least = (self.norms[part] - self.bound[part] - slack) / 2
+                near = score >= least.astype(np.float32)[:, None]
+                loose = np.flatnonzero(np.count_nonzero(near, axis=1) > 2 * self.k)
+                if len(loose):  # what was seen before lies further off than k of these
+                    every = score if len(loose) == len(score) else score[loose]
+                    least = np.partition(every, len(vectors) - self.k, axis=1)[:, -self.k] - slack[loose]
+                    near[loose] &= every >= least.astype(np.float32)[:, None]
+            q_at, d_at = np.divmod(np.flatnonzero(near), len(vectors))
+            yield q_at + begin, d_at
 
     def _exact(self, vectors, q_at, d_at) -> np.ndarray:
         """Squared distances in double, summed in dimension order like a sequential fold."""
         dist = np.empty(len(q_at))
-        for at in range(0, len(q_at), 8192):
-            part = slice(at, at + 8192)
-            gaps = self.q[q_at[part]] - vectors[d_at[part]]
+        for at in range(0, len(q_at), 256):  # that stay in a core's cache
+            part = slice(at, at + 256)
+            gaps = self.q[q_at[part]].astype(np.float64) - vectors[d_at[part]]
             dist[part] = np.cumsum(gaps * gaps, axis=1)[:, -1]
         return dist
 
-    def _keep(self, near: pd.DataFrame) -> None:
-        touched = self.rows["q"].isin(near["q"].unique())
-        merged = pd.concat([self.rows[touched], near]) if touched.any() else near
-        best = merged.sort_values(["q", "dist", "id"]).groupby("q", sort=False).head(self.k)
-        kth = best.groupby("q")["dist"].agg(["size", "max"])
-        full = kth[kth["size"] == self.k]
-        self.bound[full.index] = full["max"]
-        self.rows = pd.concat([self.rows[~touched], best]) if len(self.rows) else best
+    def _keep(self, q: np.ndarray, dist: np.ndarray, ids: np.ndarray) -> None:
+        touched = np.unique(q)
+        old = touched.repeat(self.held[touched]), _within(self.held[touched])
+        q, dist = np.concatenate([old[0], q]), np.concatenate([self.dist[old], dist])
+        ids = np.concatenate([self.ids[old], ids])
+        order = np.lexsort((dist, q))
+        same = (np.diff(q[order]) == 0) & (np.diff(dist[order]) == 0)
+        if same.any():  # ties by id
+            tied = order[np.append(same, False) | np.append(False, same)]
+            ranks = np.zeros(len(q), np.int64)
+            ranks[tied] = _id_ranks(ids[tied])
+            order = np.lexsort((ranks, dist, q))
+        q, dist, ids = q[order], dist[order], ids[order]
+        each = np.bincount(np.searchsorted(touched, q), minlength=len(touched))
+        rank = _within(each)
+        best = rank < self.k
+        self.dist[q[best], rank[best]], self.ids[q[best], rank[best]] = dist[best], ids[best]
+        self.held[touched] = np.minimum(each, self.k)
+        full = touched[each >= self.k]
+        self.bound[full] = self.dist[full, self.k - 1]
+
+    @property
+    def rows(self) -> pd.DataFrame:
+        at = np.arange(len(self.held)).repeat(self.held), _within(self.held)
+        return pd.DataFrame({"q": at[0], "dist": self.dist[at], "id": self.ids[at]})
 
     def emit(self, part: int) -> pa.RecordBatch:
-        qids = self.qids[self.rows["q"].to_numpy(np.int64)]
+        rows = self.rows
+        qids = self.qids[rows["q"].to_numpy(np.int64)]
         parts = pa.array(np.full(len(qids), part, np.int32))
-        columns = [pa.array(qids, pa.string()), parts, pa.array(self.rows["id"], pa.string()), pa.array(self.rows["dist"])]
+        columns = [pa.array(qids, pa.string()), parts, pa.array(rows["id"], pa.string()), pa.array(rows["dist"])]
         return pa.RecordBatch.from_arrays(columns, names=["qid", "part", "document_id", "dist"])
 
 
-def _single(vectors: np.ndarray) -> np.ndarray:
+def _within(each: np.ndarray) -> np.ndarray:
+    """0, 1, ... within runs of these lengths."""
+    return np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+
+
+def _id_ranks(ids: np.ndarray) -> np.ndarray:
+    """Places of the ids in their order, nulls last."""
+    ranks = np.empty(len(ids), np.int64)
+    ranks[sorted(range(len(ids)), key=lambda n: (ids[n] is None, ids[n] or ""))] = np.arange(len(ids))
+    return ranks
+
+
+def _single(vectors: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The vectors in single precision with one more entry each."""
+    rows = np.empty((len(vectors), vectors.shape[1] + 1), np.float32)
     with np.errstate(over="ignore"):  # what is beyond single precision is not narrowed by it
-        return vectors.astype(np.float32, copy=False)
+        rows[:, :-1], rows[:, -1] = vectors, last
+    return rows
 
 
 def _matrix(column: pa.ListArray) -> np.ndarray:
@@ -209,7 +269,7 @@ def _scan(questions, k: int):
             if batch.num_rows:
                 ids = np.array(batch.column(0).to_pylist(), dtype=object)
                 best.offer(ids, _matrix(batch.column(1)), batch.column(2) if batch.num_columns > 2 else None)
-        if len(best.rows):
+        if best.held.any():
             yield best.emit(TaskContext.get().partitionId() // FAN_IN)
 
     return scan
@@ -323,18 +383,21 @@ def _nearest(queries, documents, k, ownership, broadcast_bytes, owner_bytes) ->
     if not count:
         none = documents.sparkSession.createDataFrame([], "qid string, rank int, document_id string, dist double")
         return none, 0
-    total = count * (max(longest, 0) * (8 + 4 + 8) + k * CANDIDATE_BYTES) + (named or 0)
+    entry = np.dtype(_ENTRIES[type(asked.schema["embed"].dataType.elementType)]).itemsize
+    # the vectors as they came, and in single precision; a double is kept beside that
+    total = count * (max(longest, 0) * (entry + 4) + k * CANDIDATE_BYTES) + (named or 0)
     if total > broadcast_bytes:
-        return _in_blocks(asked, documents, ownership, k, -(-2 * total // broadcast_bytes), owner_bytes), count * k
+        each = max(1, min(broadcast_bytes, MOST_DEALT) * count // total)
+        return _in_blocks(asked, documents, ownership, k, each, owner_bytes), count * k
     return _answer(asked.toArrow(), documents, ownership, k, owner_bytes)[0], count * k
 
 
-def _in_blocks(asked, documents, ownership, k, parts, limit) -> DataFrame:
-    """The hits of questions dealt into ``parts`` partitions, in one job without the driver."""
+def _in_blocks(asked, documents, ownership, k, each, limit) -> DataFrame:
+    """The hits of questions, ``each`` of them to a partition, in one job without the driver."""
     asked, _ = sizing.measured(asked)
     scoped, opened = asked.agg(F.max(F.col("scope") != ""), F.max(F.col("scope") == "")).first()
     asked = asked.withColumn("place", F.lit(_OPEN).cast("bigint"))
-    owners = F.lit(None).cast("array<bigint>").alias("owners")
+    documents = documents.select("id", "embed", F.lit(None).cast("array<bigint>").alias("owners"))
     if scoped:
         if ownership is None:
             raise ValueError("questions with a user scope need the ownership table")
@@ -347,45 +410,76 @@ def _in_blocks(asked, documents, ownership, k, parts, limit) -> DataFrame:
         if len(few) <= FEW_USERS:  # few users reach the Parquet scan as an IN filter
             ownership = ownership.where(F.col("user_id").isin(few))
         edges = ownership.join(users, F.col("user_id") == F.col("user"))
-        lists, size = sizing.measured(edges.groupBy("document_id").agg(F.collect_set("number").alias("owners")))
+        lists = edges.groupBy("document_id").agg(F.sort_array(F.collect_set("number")).alias("owners"))
+        lists, size = sizing.measured(lists)
         lists = F.broadcast(lists) if size <= limit else lists.hint("shuffle_hash")
-        documents = documents.join(lists, documents["id"] == lists["document_id"], "left" if opened else "inner")
-        owners = F.col("owners")
+        documents = documents.drop("owners").join(lists, documents["id"] == lists["document_id"], "left" if opened else "inner")
+        documents = documents.select("id", "embed", "owners").sortWithinPartitions("owners")
     entries = [np.dtype(_ENTRIES[type(side.schema["embed"].dataType.elementType)]) for side in (asked, documents)]
-    asked = asked.select("qid", "embed", "place").repartitionByRange(parts, "place", "qid").sortWithinPartitions("place")
-    asked = asked.mapInArrow(_question_blocks, _QUESTIONS).checkpoint()
-    blocks = documents.select("id", "embed", owners).mapInArrow(_document_blocks, _DOCUMENTS).checkpoint()
+    asked = _dealt(asked.select("qid", "embed", "place"), each).mapInArrow(_question_blocks, _QUESTIONS).checkpoint()
+    blocks = documents.mapInArrow(_document_blocks, _DOCUMENTS).checkpoint()
     met = blocks.crossJoin(asked.hint("shuffle_replicate_nl"))  # each partition with each, a block of the left at a time
+    first = F.col("number") == 0
+    paired = F.array_contains("asking", F.lit(_OPEN).cast("bigint")) | F.arrays_overlap("asking", "owning")
+    questions = [F.when(first, F.col(name)).alias(name) for name in ("qids", "questions", "places")]
+    met = met.where(first | paired).select("source", *questions, paired.alias("paired"), *_PAIRED)
     return _ranked(met.mapInArrow(_scan_blocks(k, *entries), _PARTIAL), k)
 
 
+def _dealt(asked: DataFrame, each: int) -> DataFrame:
+    """The questions in the order of their places, ``each`` of them to a partition. What lies
+    in a partition of a range is counted, as ranges are only about even."""
+    count = asked.count()
+    parts = -(-count // each)
+    ranges = asked.repartitionByRange(parts, "place", "qid").sortWithinPartitions("place").checkpoint()
+    at = F.monotonically_increasing_id()  # the number of the partition above the row's
+    counts = ranges.select(F.shiftright(at, 33).cast("int").alias("n")).groupBy("n").count().collect()
+    before = np.zeros(parts + 1, np.int64)
+    before[[r["n"] + 1 for r in counts]] = [r["count"] for r in counts]
+    line = F.element_at(F.array(*map(F.lit, np.cumsum(before).tolist())), (F.shiftright("at", 33) + 1).cast("int"))
+    line = line + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    dealt = ranges.withColumn("at", at).withColumn("part", F.floor(line / each).cast("int"))
+    return dealt.repartitionById(parts, "part").sortWithinPartitions("place").select(*asked.columns)
+
+
 def _packed(schema: pa.Schema, **row) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist([row], schema)
 
 
 def _question_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [("block", pa.int32()), ("qids", pa.list_(pa.string())), ("questions", pa.binary()), ("places", pa.binary())]
-    full = (batch for batch in batches if batch.num_rows)
-    for n, batch in enumerate(full):
-        vectors, places = _matrix(batch.column(1)).tobytes(), batch.column(2).to_numpy().tobytes()
-        yield _packed(pa.schema(kinds), block=n, qids=batch.column(0).to_pylist(), questions=vectors, places=places)
+    kinds = [("qids", pa.list_(pa.string())), ("questions", pa.binary()), ("places", pa.binary()), ("asking", pa.list_(pa.int64()))]
+    full = [batch for batch in batches if batch.num_rows]
+    if full:
+        table = pa.Table.from_batches(full).combine_chunks()
+        places = table.column(2).to_numpy()
+        yield _packed(
+            pa.schema(kinds),
+            qids=table.column(0).to_pylist(),
+            questions=_matrix(table.column(1).chunk(0)).tobytes(),
+            places=places.tobytes(),
+            asking=np.unique(places).tolist(),
+        )
 
 
 def _document_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [("source", pa.int32()), ("ids", pa.list_(pa.string()))]
+    kinds = [("source", pa.int32()), ("number", pa.int32()), ("ids", pa.list_(pa.string()))]
     kinds += [(name, pa.binary()) for name in ("vectors", "firsts", "owned", "owners")]
-    for batch in batches:
-        if batch.num_rows:
-            vectors, owners = _matrix(batch.column(1)), batch.column(2)
-            yield _packed(
-                pa.schema(kinds),
-                source=TaskContext.get().partitionId(),
-                ids=batch.column(0).to_pylist(),
-                vectors=vectors.tobytes(),
-                firsts=_Best.distinct(vectors).tobytes(),
-                owned=np.diff(owners.offsets.to_numpy()).astype(np.int64).tobytes(),
-                owners=owners.flatten().to_numpy().tobytes(),
-            )
+    kinds += [("owning", pa.list_(pa.int64()))]
+    full = (batch for batch in batches if batch.num_rows)
+    for n, batch in enumerate(full):
+        vectors, lists = _matrix(batch.column(1)), batch.column(2)
+        owners = lists.flatten().to_numpy()
+        yield _packed(
+            pa.schema(kinds),
+            source=TaskContext.get().partitionId(),
+            number=n,
+            ids=batch.column(0).to_pylist(),
+            vectors=vectors.tobytes(),
+            firsts=_Best.distinct(vectors).tobytes(),
+            owned=np.diff(lists.offsets.to_numpy()).astype(np.int64).tobytes(),
+            owners=owners.tobytes(),
+            owning=np.unique(owners).tolist(),
+        )
 
 
 def _scan_blocks(k: int, q_entry: np.dtype, d_entry: np.dtype):
@@ -396,9 +490,14 @@ def _scan_blocks(k: int, q_entry: np.dtype, d_entry: np.dtype):
         qids = np.array(row["qids"], dtype=object)
         return {"qids": qids, "vectors": vectors, "scopes": names, "starts": starts, "counts": counts}, scopes
 
-    def owned_of(row: dict, scopes: np.ndarray) -> pa.ListArray:
+    def documents_of(batch: pa.RecordBatch, at: int) -> tuple:
+        row = {name: batch.column(name)[at].as_buffer() for name in ("vectors", "firsts", "owned", "owners")}
+        ids = np.array(batch.column("ids")[at].values.to_pylist(), dtype=object)
+        vectors = np.frombuffer(row["vectors"], d_entry).reshape(len(ids), -1)
+        return ids, vectors, *(np.frombuffer(row[name], np.int64) for name in ("firsts", "owned", "owners"))
+
+    def owned_of(lengths: np.ndarray, owners: np.ndarray, scopes: np.ndarray) -> pa.ListArray:
         """Of each document the places, in a block of questions, of the scopes that own it."""
-        lengths, owners = np.frombuffer(row["owned"], np.int64), np.frombuffer(row["owners"], np.int64)
         places = np.searchsorted(scopes, owners)
         here = scopes[np.minimum(places, len(scopes) - 1)] == owners
         each = np.bincount(np.repeat(np.arange(len(lengths)), lengths)[here], minlength=len(lengths))
@@ -406,22 +505,16 @@ def _scan_blocks(k: int, q_entry: np.dtype, d_entry: np.dtype):
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(places[here].astype(np.int32)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bests, part = {}, 0
+        best, source, scopes = None, 0, None
         for batch in batches:
             for at in range(batch.num_rows):
-                block = batch.column("block")[at].as_py()
-                if block not in bests:
-                    names = ("qids", "questions", "places")
-                    asked, scopes = asked_of({name: batch.column(name)[at].as_py() for name in names})
-                    bests[block] = _Best(asked, k), scopes
-                best, scopes = bests[block]
-                row = {name: batch.column(name)[at].as_buffer() for name in ("vectors", "firsts", "owned", "owners")}
-                ids = np.array(batch.column("ids")[at].values.to_pylist(), dtype=object)
-                vectors = np.frombuffer(row["vectors"], d_entry).reshape(len(ids), -1)
-                best.offer(ids, vectors, owned_of(row, scopes), np.frombuffer(row["firsts"], np.int64))
-                part = batch.column("source")[at].as_py() // FAN_IN
-        for best, _ in bests.values():
-            if len(best.rows):
-                yield best.emit(part)
+                if batch.column("qids")[at].is_valid:
+                    asked, scopes = asked_of({name: batch.column(name)[at].as_py() for name in ("qids", "questions", "places")})
+                    best, source = _Best(asked, k), batch.column("source")[at].as_py()
+                if batch.column("paired")[at].as_py():
+                    ids, vectors, firsts, lengths, owners = documents_of(batch, at)
+                    best.offer(ids, vectors, owned_of(lengths, owners, scopes), firsts)
+        if best is not None and best.held.any():
+            yield best.emit(source // FAN_IN)
 
     return scan

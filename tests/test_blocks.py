@@ -1,0 +1,77 @@
+"""Questions in blocks: what is compared, and what a pair of blocks carries."""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from gleanery.operators import topk
+from gleanery.operators.topk import nearest
+from tests.test_topk import ASKED, DOCS, OWNED, brute, found
+
+
+@pytest.fixture
+def small_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    previous = spark.conf.get(name)
+    spark.conf.set(name, "16")
+    yield
+    spark.conf.set(name, previous)
+
+
+def test_nearer_documents_that_come_later_are_narrowed(monkeypatch):
+    """A batch that is nearer than all before it is not compared in full."""
+    rng = np.random.default_rng(6)
+    q = rng.normal(size=(200, 12)).astype(np.float32)
+    vectors = (rng.normal(size=(4, 500, 12)) + np.array([30, 20, 10, 0])[:, None, None]).astype(np.float32)
+    ids = np.array([f"{n:04}" for n in range(2000)], dtype=object)
+    asked = {"qids": np.arange(200).astype(str).astype(object), "vectors": q, "scopes": [""], "starts": np.array([0]), "counts": np.array([200])}
+    best, compared, exact = topk._Best(asked, 3), [], topk._Best._exact
+    monkeypatch.setattr(topk._Best, "_exact", lambda self, v, q_at, d_at: compared.append(len(q_at)) or exact(self, v, q_at, d_at))
+    for n in range(4):
+        best.offer(ids[500 * n : 500 * n + 500], vectors[n], None)
+    assert max(compared) <= 2 * 3 * 200
+    gaps = ((q[:, None].astype(float) - vectors.reshape(1, 2000, 12).astype(float)) ** 2).cumsum(axis=2)[:, :, -1]
+    want = {(i, ids[j]) for i, row in enumerate(gaps) for j in np.lexsort((ids, row))[:3]}
+    assert set(zip(best.rows["q"], best.rows["id"])) == want
+
+
+def test_ties_and_copies_go_by_id():
+    vectors = np.array([[1, 0], [0, 1], [1, 0], [0, -1], [1, 0], [0, 1]], np.float32)
+    asked = {"qids": np.array(["q"], object), "vectors": np.zeros((1, 2), np.float32), "scopes": [""], "starts": np.array([0]), "counts": np.array([1])}
+    best = topk._Best(asked, 3)
+    best.offer(np.array(["f", "e", "d", "c", None, "b"], object), vectors, None)
+    assert best.rows["id"].tolist() == ["b", "c", "d"]
+    best.offer(np.array(["g", "a"], object), vectors[:2], None)
+    assert best.rows["id"].tolist() == ["a", "b", "c"] and best.rows["dist"].tolist() == [1, 1, 1]
+
+
+@pytest.mark.parametrize("opened", [False, True])
+def test_blocks_without_a_common_scope_are_not_paired(spark, monkeypatch, small_batches, opened):
+    rng = np.random.default_rng(8)
+    docs = [(f"d{n:03}", rng.normal(size=4).tolist()) for n in range(128)]
+    owned = [(d, f"u{n % 4}") for n, (d, _) in enumerate(docs)]
+    asked = [(f"q{n:03}", "" if opened and n % 5 == 4 else f"u{n % 4}", rng.normal(size=4).tolist()) for n in range(160)]
+    frames = [spark.createDataFrame(rows, kind) for rows, kind in ((asked, ASKED), (docs, DOCS), (owned, OWNED))]
+    run = lambda: nearest(frames[0], frames[1].coalesce(1), 2, frames[2], broadcast_bytes=20 * 300)
+    assert found(run()) == brute(asked, docs, 2, set(owned))
+
+    def carried(k, *entries):
+        def scan(batches):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    told = "-" if row["qids"] is None else str(len(row["qids"]))
+                    columns = [pa.array([told]), pa.array([int(row["paired"])], pa.int32()), pa.array(["x"]), pa.array([0.0])]
+                    yield pa.RecordBatch.from_arrays(columns, names=["qid", "part", "document_id", "dist"])
+
+        return scan
+
+    monkeypatch.setattr(topk, "_scan_blocks", carried)
+    monkeypatch.setattr(topk, "_ranked", lambda partial, k: partial)
+    rows = run().collect()
+    told = [int(r.qid) for r in rows if r.qid != "-"]
+    assert sum(told) == 160 and max(told) <= 20  # each question once, as one partition of documents is there
+    assert max(told) - min(told) <= 20 and len(told) == -(-160 // max(told))
+    blocks, parts = 128 // 16, len(told)
+    assert sum(r.part for r in rows) < blocks * parts / (1.5 if opened else 2.5)
