@@ -48,8 +48,11 @@ FEW_USERS = 256  # that are listed in a filter
 
 _PARTIAL = "qid string, part int, document_id string, dist double"
 _QUESTIONS = "qids array<string>, questions binary, places binary, asking array<bigint>"
-_DOCUMENTS = "source int, number int, ids array<string>, vectors binary, firsts binary, owned binary, owners binary, owning array<bigint>"
-_PAIRED = ["ids", "vectors", "firsts", "owned", "owners"]
+_DOCUMENTS = (
+    "source int, number int, ids array<string>, width int, vectors binary, filled binary, firsts binary, owned binary, owners binary,"
+    " owning array<bigint>"
+)
+_PAIRED = ["ids", "width", "vectors", "filled", "firsts", "owned", "owners"]
 _ENTRIES = {T.FloatType: "float32", T.DoubleType: "float64"}
 _OPEN = -1  # the place of questions about everything, before those of users
 
@@ -462,19 +465,22 @@ def _question_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _document_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [("source", pa.int32()), ("number", pa.int32()), ("ids", pa.list_(pa.string()))]
-    kinds += [(name, pa.binary()) for name in ("vectors", "firsts", "owned", "owners")]
+    kinds = [("source", pa.int32()), ("number", pa.int32()), ("ids", pa.list_(pa.string())), ("width", pa.int32())]
+    kinds += [(name, pa.binary()) for name in ("vectors", "filled", "firsts", "owned", "owners")]
     kinds += [("owning", pa.list_(pa.int64()))]
     full = (batch for batch in batches if batch.num_rows)
     for n, batch in enumerate(full):
         vectors, lists = _matrix(batch.column(1)), batch.column(2)
         owners = lists.flatten().to_numpy()
+        entries, filled = _without_zeros(vectors)
         yield _packed(
             pa.schema(kinds),
             source=TaskContext.get().partitionId(),
             number=n,
             ids=batch.column(0).to_pylist(),
-            vectors=vectors.tobytes(),
+            width=vectors.shape[1],
+            vectors=entries,
+            filled=filled,
             firsts=_Best.distinct(vectors).tobytes(),
             owned=np.diff(lists.offsets.to_numpy()).astype(np.int64).tobytes(),
             owners=owners.tobytes(),
@@ -482,6 +488,23 @@ def _document_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         )
 
 
+def _without_zeros(vectors: np.ndarray) -> tuple[bytes, bytes]:
+    """The entries in a row, and a bit for each that is not zero; the zeros are left out where
+    they are most."""
+    filled = vectors.view(f"u{vectors.itemsize}") != 0
+    if 2 * np.count_nonzero(filled) > filled.size:
+        return vectors.tobytes(), b""
+    return vectors[filled].tobytes(), np.packbits(filled).tobytes()
+
+
+def _with_zeros(entries: np.ndarray, filled: np.ndarray, rows: int, width: int) -> np.ndarray:
+    if len(filled):
+        vectors = np.zeros(rows * width, entries.dtype)
+        vectors[np.unpackbits(filled, count=rows * width).view(bool)] = entries
+        entries = vectors
+    return entries.reshape(rows, width)
+
+
 def _scan_blocks(k: int, q_entry: np.dtype, d_entry: np.dtype):
     def asked_of(row: dict) -> tuple[dict, np.ndarray]:
         scopes, starts, counts = np.unique(np.frombuffer(row["places"], np.int64), return_index=True, return_counts=True)
@@ -491,9 +514,10 @@ def _scan_blocks(k: int, q_entry: np.dtype, d_entry: np.dtype):
         return {"qids": qids, "vectors": vectors, "scopes": names, "starts": starts, "counts": counts}, scopes
 
     def documents_of(batch: pa.RecordBatch, at: int) -> tuple:
-        row = {name: batch.column(name)[at].as_buffer() for name in ("vectors", "firsts", "owned", "owners")}
+        row = {name: batch.column(name)[at].as_buffer() for name in ("vectors", "filled", "firsts", "owned", "owners")}
         ids = np.array(batch.column("ids")[at].values.to_pylist(), dtype=object)
-        vectors = np.frombuffer(row["vectors"], d_entry).reshape(len(ids), -1)
+        entries, filled = np.frombuffer(row["vectors"], d_entry), np.frombuffer(row["filled"], np.uint8)
+        vectors = _with_zeros(entries, filled, len(ids), batch.column("width")[at].as_py())
         return ids, vectors, *(np.frombuffer(row[name], np.int64) for name in ("firsts", "owned", "owners"))
 
     def owned_of(lengths: np.ndarray, owners: np.ndarray, scopes: np.ndarray) -> pa.ListArray:

@@ -75,3 +75,15 @@ def test_blocks_without_a_common_scope_are_not_paired(spark, monkeypatch, small_
     assert max(told) - min(told) <= 20 and len(told) == -(-160 // max(told))
     blocks, parts = 128 // 16, len(told)
     assert sum(r.part for r in rows) < blocks * parts / (1.5 if opened else 2.5)
+
+
+@pytest.mark.parametrize("kind", [np.float32, np.float64])
+def test_zeros_of_a_block_are_left_out_and_come_back(kind):
+    rng = np.random.default_rng(4)
+    sparse = np.where(rng.random((37, 11)) < 0.3, rng.normal(size=(37, 11)), 0).astype(kind)
+    sparse[0, :3] = -0.0, np.nan, np.inf
+    for vectors in (sparse, rng.normal(size=(5, 3)).astype(kind), np.zeros((4, 3), kind), np.zeros((2, 0), kind)):
+        entries, filled = topk._without_zeros(vectors)
+        back = topk._with_zeros(np.frombuffer(entries, kind), np.frombuffer(filled, np.uint8), *vectors.shape)
+        assert back.tobytes() == vectors.tobytes() and back.shape == vectors.shape
+    assert len(topk._without_zeros(sparse)[0]) < sparse.nbytes / 2
