@@ -500,7 +500,7 @@ def _without_zeros(vectors: np.ndarray) -> tuple[bytes, bytes]:
 def _with_zeros(entries: np.ndarray, filled: np.ndarray, rows: int, width: int) -> np.ndarray:
     if len(filled):
         vectors = np.zeros(rows * width, entries.dtype)
-        vectors[np.unpackbits(filled, count=rows * width).view(bool)] = entries
+        vectors[np.flatnonzero(np.unpackbits(filled, count=rows * width).view(bool))] = entries
         entries = vectors
     return entries.reshape(rows, width)
 
